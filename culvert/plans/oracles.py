@@ -460,11 +460,8 @@ FROM rec LEFT JOIN fields USING (event_id) LEFT JOIN header_text USING (event_id
     ),
     "m_process_duration": histogram("ingested", "status IN ('ok', 'handler_error')", INGESTED),
     "m_lag": with_(REC, POSITIONS, select="SELECT topic, part, lag FROM lag"),
-    "m_commits": with_(
-        INGESTED,
-        select="""SELECT true AS dlq, count(DISTINCT batch_id) AS n FROM ingested
-UNION ALL SELECT false, count(DISTINCT batch_id) FROM ingested WHERE status = 'ok'""",
-    ),
+    "m_commits": with_(INGESTED, select="SELECT count(DISTINCT batch_id) AS n FROM ingested WHERE status = 'ok'"),
+    "m_commits_dlq": with_(INGESTED, select="SELECT count(DISTINCT batch_id) AS n FROM ingested"),
     "m_sent": with_(OUTBOUND, select="SELECT topic, count(*) AS n FROM outbound WHERE NOT refused GROUP BY topic"),
     "m_producer_errors": with_(OUTBOUND, select="SELECT topic, count(*) AS n FROM outbound WHERE refused GROUP BY topic"),
     "m_produce_duration": histogram("outbound", "NOT refused", OUTBOUND),

@@ -21,7 +21,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a file stream; the pattern in the name covers a single file and a folder alike."""
-    reader = spark.readStream.schema(events(spark, sf_dir).schema).option("maxBytesPerTrigger", "64g")
+    reader = spark.readStream.schema(events(spark, sf_dir).schema).option("maxBytesPerTrigger", 64 << 30)
     return reader.parquet(f"{sf_dir}/events.parque[t]")
 
 
@@ -37,8 +37,50 @@ def _region() -> Column:
     return F.concat(F.lit("r"), (F.col("user_id") % 3).cast("string"))
 
 
+def in_partitions(events: DataFrame) -> DataFrame:
+    """The events with the ``topic`` and ``partition`` their record lies in."""
+    return events.withColumns({
+        "topic": F.concat(F.lit("app."), F.col("event_type")),
+        "partition": (F.col("user_id") % 4).cast("int"),
+    })
+
+
+def with_offset(events: DataFrame) -> DataFrame:
+    """Add ``offset``, the event's place within its topic and partition by ``event_id``.
+
+    A topic and partition may hold much of the log, so no task numbers all of
+    it. Rows are numbered within blocks of ids, which are bounded, and a block
+    begins where the row counts of the blocks before it end.
+    """
+    placed = in_partitions(events).withColumn("_block", F.expr(f"event_id div {BLOCK_IDS}"))
+    within = Window.partitionBy(*PARTITION_KEYS, "_block").orderBy("event_id")
+    before = Window.partitionBy(*PARTITION_KEYS).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (
+        placed.groupBy(*PARTITION_KEYS, "_block")
+        .agg(F.count("*").alias("_rows"))
+        .withColumn("_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+        .drop("_rows")
+    )
+    return (
+        placed.withColumn("_place", F.row_number().over(within) - 1)
+        .join(blocks, [*PARTITION_KEYS, "_block"])
+        .withColumn("offset", F.col("_first") + F.col("_place"))
+        .drop("_block", "_place", "_first")
+    )
+
+
+def records(events: DataFrame) -> DataFrame:
+    """Records with their position; rows are numbered before the record columns are made."""
+    numbered = with_offset(events)
+    return _as_records(numbered, "offset")
+
+
 def records_without_offset(events: DataFrame) -> DataFrame:
     """Records as they can be made on a stream too: no position within the partition."""
+    return _as_records(in_partitions(events))
+
+
+def _as_records(events: DataFrame, *position: str) -> DataFrame:
     event_id, user_id = F.col("event_id"), F.col("user_id")
     trace = [
         _header("traceparent", F.lit("00-0af7651916cd43dd8448eb211c80319c-b7ad6b7169203331-01")),
@@ -63,8 +105,9 @@ def records_without_offset(events: DataFrame) -> DataFrame:
     for rest, text in enumerate(("", "not-json", '"hello"', "[1,2,3]", "1 2"), start=1):
         value = value.when(by_23 == rest, _bytes(text))
     return events.select(
-        F.concat(F.lit("app."), F.col("event_type")).alias("topic"),
-        (user_id % 4).cast("int").alias("partition"),
+        "topic",
+        "partition",
+        *position,
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
         key.alias("key"),
@@ -76,33 +119,9 @@ def records_without_offset(events: DataFrame) -> DataFrame:
     )
 
 
-def records(events: DataFrame) -> DataFrame:
-    """Records with ``offset``, the row's place within its topic and partition by ``event_id``.
-
-    A topic and partition may hold much of the log, so no task numbers all of
-    it. Rows are numbered within blocks of ids, which are bounded, and a block
-    begins where the row counts of the blocks before it end.
-    """
-    plain = records_without_offset(events).withColumn("_block", F.floor(F.col("event_id") / BLOCK_IDS))
-    within = Window.partitionBy(*PARTITION_KEYS, "_block").orderBy("event_id")
-    before = Window.partitionBy(*PARTITION_KEYS).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (
-        plain.groupBy(*PARTITION_KEYS, "_block")
-        .agg(F.count("*").alias("_rows"))
-        .withColumn("_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-        .drop("_rows")
-    )
-    return (
-        plain.withColumn("_place", F.row_number().over(within) - 1)
-        .join(blocks, [*PARTITION_KEYS, "_block"])
-        .withColumn("offset", F.col("_first") + F.col("_place"))
-        .drop("_block", "_place", "_first")
-    )
-
-
 def partition_sizes(events: DataFrame) -> DataFrame:
     """Rows per topic and partition; offsets have no gaps, so this is the last offset plus one."""
-    return records_without_offset(events).groupBy(*PARTITION_KEYS).agg(F.count("*").alias("n"))
+    return in_partitions(events).groupBy(*PARTITION_KEYS).agg(F.count("*").alias("n"))
 
 
 def high_watermarks(events: DataFrame) -> DataFrame:
@@ -119,7 +138,7 @@ def high_watermarks(events: DataFrame) -> DataFrame:
 
 def committed(events: DataFrame) -> DataFrame:
     """Half of each partition is committed, in the first two partitions of each topic."""
-    half = F.floor(F.col("n") / 2).cast("long").alias("next_offset")
+    half = F.expr("n div 2").alias("next_offset")
     return partition_sizes(events).filter(F.col("partition") < 2).select(*PARTITION_KEYS, half)
 
 
@@ -203,19 +222,14 @@ def rules_of(spark: SparkSession, mappings: list[TopicMapping]) -> DataFrame:
 
 def user_rules(events: DataFrame) -> DataFrame:
     """A rule table that grows with the data: one rule for two of three users, numbered by user."""
-    users = events.select("user_id").distinct()
-    ord_, user = F.col("user_id").alias("ord"), F.col("user_id").cast("string")
-    sensors = users.filter(F.col("user_id") % 3 == 0).select(
-        ord_,
-        F.concat(F.lit("sensor/"), user, F.lit("/+")).alias("pattern"),
-        F.concat(F.lit("device."), user).alias("kafka_topic"),
-    )
-    buyers = users.filter(F.col("user_id") % 3 == 1).select(
-        ord_,
-        F.concat(F.lit("shop/+/purchase/"), user).alias("pattern"),
-        F.concat(F.lit("buyer."), user).alias("kafka_topic"),
+    user, sells = F.col("user_id").cast("string"), F.col("user_id") % 3 == 1
+    return events.select("user_id").filter(F.col("user_id") % 3 < 2).distinct().select(
+        F.col("user_id").alias("ord"),
+        F.when(sells, F.concat(F.lit("shop/+/purchase/"), user))
+        .otherwise(F.concat(F.lit("sensor/"), user, F.lit("/+")))
+        .alias("pattern"),
+        F.concat(F.when(sells, "buyer.").otherwise("device."), user).alias("kafka_topic"),
     )
-    return sensors.unionByName(buyers)
 
 
 def write_results(outbound: DataFrame) -> DataFrame:

@@ -53,7 +53,7 @@ class ParquetLog:
     path: str
     schema: T.StructType = schemas.RECORDS
     by_topic: bool = False
-    max_bytes_per_trigger: str = "64g"
+    max_bytes_per_trigger: int = 64 << 30
 
     def write(self, records: DataFrame, batch_id: int | None = None) -> None:
         """Append ``records``; a batch written twice replaces itself."""
