@@ -88,8 +88,8 @@ def _is_json(text):
 JSON_SCRAPS = st.lists(st.sampled_from(list('{}[],:"1-.e ') + ["true", "null", '"a"', '"a":', "\\"]), max_size=8).map("".join)
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(JSON_SCRAPS, min_size=300, max_size=300))
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(JSON_SCRAPS, min_size=500, max_size=500))
 def test_json_test_agrees_with_a_strict_parser(spark, texts):
     df = spark.createDataFrame([(t, bytearray(t.encode())) for t in texts], "t string, value binary")
     rows = df.select("t", parse_json(F.col("value")).isNotNull().alias("ok")).collect()

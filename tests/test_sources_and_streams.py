@@ -1,0 +1,189 @@
+"""Sources, sinks and the continuous jobs."""
+
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from compare import connect, difference, spark_rows
+from conftest import TESTDATA
+from culvert import schemas
+from culvert.operators.ingest import Subscription, ingest
+from culvert.operators.routing import TopicMapping, route, to_outbound
+from culvert.plans import tables
+from culvert.plans.oracles import ORACLES
+from culvert.session import work_dir
+from culvert.sources.records import KafkaLog, ParquetLog, read_records, stream_records, write_records
+from culvert.streaming import jobs
+
+SUBS = [Subscription("foo", static="a/b")]
+
+
+def log_rows(spark, topics, start=0):
+    rows = [(t, 0, start + i, None, 0, None, bytearray(b'{"n":%d}' % i), None) for i, t in enumerate(topics)]
+    return spark.createDataFrame(rows, schemas.RECORDS)
+
+
+def test_kafka_read_options():
+    log = KafkaLog("broker1:9092,broker2:9092", {"kafka.security.protocol": "SSL"})
+    options = log.read_options(["a", "b", "a"])
+    assert options == {
+        "kafka.bootstrap.servers": "broker1:9092,broker2:9092",
+        "kafka.security.protocol": "SSL",
+        "subscribe": "a,b",
+        "includeHeaders": "true",
+    }
+    assert "minPartitions" not in options
+
+
+@pytest.mark.parametrize("start, offsets", [("stored", "latest"), ("earliest", "earliest"), ("latest", "latest")])
+def test_kafka_start_position(start, offsets):
+    assert KafkaLog("b:1").read_options(["a"], start)["startingOffsets"] == offsets
+
+
+def test_source_arguments_are_checked(spark, tmp_path):
+    with pytest.raises(ValueError):
+        KafkaLog("b:1").read_options([])
+    with pytest.raises(ValueError):
+        KafkaLog("b:1").read_options(["a"], "middle")
+    for start in ("latest", "middle"):
+        with pytest.raises(ValueError):
+            stream_records(spark, ParquetLog(str(tmp_path)), ["a"], start)
+
+
+@pytest.mark.parametrize("by_topic", [False, True])
+def test_parquet_log_reads_what_was_written(spark, tmp_path, by_topic):
+    log = ParquetLog(str(tmp_path / "log"), by_topic=by_topic)
+    write_records(log_rows(spark, ["foo", "bar", "1", "foo"]), log)
+    write_records(log_rows(spark, ["foo"], 10), log)
+    rows = read_records(spark, log, ["foo", "1"]).collect()
+    assert sorted((r.topic, r.offset) for r in rows) == [("1", 2), ("foo", 0), ("foo", 3), ("foo", 10)]
+
+
+def test_topic_filter_reaches_the_scan(spark, tmp_path):
+    for by_topic, wanted in (False, "PushedFilters: [In(topic, [bar,foo])]"), (True, "PartitionFilters: [topic#"):
+        log = ParquetLog(str(tmp_path / f"log{by_topic}"), by_topic=by_topic)
+        write_records(log_rows(spark, ["foo", "bar"]), log)
+        plan = read_records(spark, log, ["foo", "bar"])._jdf.queryExecution().executedPlan().toString()
+        assert wanted in plan
+
+
+def test_replayed_batch_replaces_itself(spark, tmp_path):
+    log = ParquetLog(str(tmp_path / "log"))
+    for topics, batch_id in (["foo", "foo"], 0), (["bar"], 1), (["foo"], 0):
+        write_records(log_rows(spark, topics), log, batch_id)
+    assert sorted(r.topic for r in log.read(spark).collect()) == ["bar", "foo"]
+
+
+def test_work_dir_lies_in_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert work_dir(spark, "x").startswith(shared + "/x-") and work_dir(spark, "x") != work_dir(spark, "x")
+
+
+def run_ingest(spark, source, base, **more):
+    delivered, dead, report = (ParquetLog(f"{base}/{name}") for name in ("delivered", "dead", "report"))
+    stream = stream_records(spark, source, ["foo", "bar"])
+    query = jobs.run_ingest(
+        stream,
+        SUBS,
+        lambda batch, batch_id: delivered.write(batch.select("offset", "bus_topic", "msg"), batch_id),
+        f"{base}/checkpoint",
+        dlq=dead,
+        report=lambda batch, batch_id: report.write(jobs.running_counts(batch), batch_id),
+        **more,
+    )
+    query.awaitTermination()
+    return query, delivered, dead, report
+
+
+def test_restart_reads_only_what_is_new(spark, tmp_path):
+    source = ParquetLog(str(tmp_path / "log"))
+    write_records(log_rows(spark, ["foo", "bar", "other"]), source)
+    query, delivered, dead, report = run_ingest(spark, source, tmp_path)
+    assert query.lastProgress.observedMetrics["ingest"].asDict() == {"polled": 2, "delivered": 1, "failed": 1, "undecoded": 0}
+    assert (delivered.read(spark).count(), dead.read(spark).count()) == (1, 1)
+    run_ingest(spark, source, tmp_path)
+    assert (delivered.read(spark).count(), dead.read(spark).count()) == (1, 1)
+    write_records(log_rows(spark, ["foo", "foo", "bar"], 10), source)
+    run_ingest(spark, source, tmp_path)
+    assert sorted(r.offset for r in delivered.read(spark).collect()) == [0, 10, 11]
+    assert dead.read(spark).count() == 2
+    assert sorted(tuple(r[:3]) for r in report.read(spark).collect()) == [
+        ("bar", "no_subscription", 1), ("bar", "no_subscription", 1), ("foo", "ok", 1), ("foo", "ok", 2),
+    ]
+
+
+def test_batch_that_fails_is_tried_again_whole(spark, tmp_path):
+    source = ParquetLog(str(tmp_path / "log"))
+    write_records(log_rows(spark, ["foo", "bar", "foo"]), source)
+
+    class Broken(ParquetLog):
+        def write(self, records, batch_id=None):
+            super().write(records, batch_id)
+            raise OSError("broker down")
+
+    delivered, dead = ParquetLog(f"{tmp_path}/delivered"), ParquetLog(f"{tmp_path}/dead")
+
+    def start(dlq):
+        stream = stream_records(spark, source, ["foo", "bar"])
+        subscriber = lambda batch, batch_id: delivered.write(batch.select("offset"), batch_id)
+        return jobs.run_ingest(stream, SUBS, subscriber, f"{tmp_path}/checkpoint", dlq=dlq)
+
+    with pytest.raises(Exception, match="broker down"):
+        start(Broken(dead.path)).awaitTermination()
+    start(dead).awaitTermination()
+    assert sorted(r.offset for r in delivered.read(spark).collect()) == [0, 2]
+    assert dead.read(spark).count() == 1
+
+
+def event_files(spark, tmp_path, n_files=4):
+    """The events as several files, read one per micro-batch."""
+    events = tables.events(spark, f"{TESTDATA}/sf0.001")
+    path = str(tmp_path / "events")
+    events.repartition(n_files).write.parquet(path)
+    assert len(glob.glob(f"{path}/*.parquet")) == n_files
+    return events, spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def test_stream_of_several_batches_equals_batch(spark, tmp_path):
+    events, stream = event_files(spark, tmp_path)
+    target = ParquetLog(str(tmp_path / "out"))
+    query = jobs.run_produce(tables.bus_events(stream), tables.MAPPINGS, target, str(tmp_path / "ck"), "slash_to_dot")
+    query.awaitTermination()
+    assert len(glob.glob(f"{target.path}/batch_id=*")) == 4
+    batch = to_outbound(route(tables.bus_events(events), tables.MAPPINGS, "slash_to_dot"))
+    shown = [F.hex("key").alias("k"), F.hex("value").alias("v"), F.to_json("headers").alias("h"), "topic"]
+    assert spark_rows(target.read(spark).select(*shown)) == spark_rows(batch.select(*shown))
+
+
+def test_running_counts_grow_over_batches(spark, tmp_path):
+    events, stream = event_files(spark, tmp_path)
+    ingested = ingest(tables.records_without_offset(stream), tables.SUBSCRIPTIONS, tables.handler)
+    path = str(tmp_path / "counts")
+    jobs.run_counts(ingested, path, str(tmp_path / "ck")).awaitTermination()
+    con = connect(f"{TESTDATA}/sf0.001")
+    assert difference(spark.read.parquet(path), con, ORACLES["stream_running_counts"]) is None
+
+
+def test_streaming_rule_lookup_needs_no_shuffle(spark, tmp_path):
+    from culvert.operators.rules import route_by_table
+
+    events, stream = event_files(spark, tmp_path)
+    routed = route_by_table(tables.bus_events(stream), tables.rules_of(spark, tables.MAPPINGS), "slash_to_dot")
+    out = str(tmp_path / "out")
+    query = routed.select("event_id", "kafka_topic").writeStream.format("parquet").option("path", out)
+    query.option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination()
+    batch = route(tables.bus_events(events), tables.MAPPINGS, "slash_to_dot").select("event_id", "kafka_topic")
+    assert spark_rows(spark.read.parquet(out)) == spark_rows(batch)
+
+
+def test_events_stream_reads_a_file_and_a_folder(spark, tmp_path):
+    os.makedirs(tmp_path / "sf")
+    tables.events(spark, f"{TESTDATA}/sf0.001").repartition(3).write.parquet(str(tmp_path / "sf" / "events.parquet"))
+    for sf_dir in (f"{TESTDATA}/sf0.001", str(tmp_path / "sf")):
+        out = work_dir(spark, "events")
+        stream = tables.event_stream(spark, sf_dir).select("event_id")
+        query = stream.writeStream.format("parquet").option("checkpointLocation", f"{out}/ck").trigger(availableNow=True)
+        query.start(f"{out}/rows").awaitTermination()
+        assert spark.read.parquet(f"{out}/rows").distinct().count() == 1000
