@@ -52,18 +52,27 @@ class Codec:
     finish: Callable[[Column, Column], Column] | None = None
 
 
-def parse_json(value: Column) -> Column:
-    """VARIANT of one whole JSON text, null for anything else.
+def json_in_array(value: Column) -> Column:
+    """VARIANT array around a JSON text; null unless the text is valid up to its end.
 
     ``try_parse_json`` stops after the first value and ignores what follows. A
-    text is one whole value exactly if it stands both as the only element of an
-    array and as the only member of an object: whatever closes the array early
-    breaks the object, and the other way round.
+    text that closes the array early, and so hides what follows, has a ``]`` of
+    its own. Only such a text is also tried as the one member of an object:
+    whatever closes the array breaks the object. A text of several values with
+    commas between gives an array of as many elements.
     """
     text = value.cast("string")
     only_member = F.size(F.json_object_keys(F.concat(F.lit('{"v":'), text, F.lit("}")))) == 1
-    in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    return F.when(only_member, F.variant_get(in_array, "$[0]", "variant"))
+    return F.when(
+        ~text.contains("]") | only_member,
+        F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))),
+    )
+
+
+def _is_one_value(array: Column) -> Column:
+    """Whether there is a first element and no second one."""
+    first, second = (F.variant_get(array, f"$[{i}]", "variant") for i in (0, 1))
+    return first.isNotNull() & second.isNull()
 
 
 def _is_json_string(value: Column) -> Column:
@@ -71,25 +80,20 @@ def _is_json_string(value: Column) -> Column:
     return F.ltrim(value.cast("string"), F.lit(JSON_SPACE)).startswith('"')
 
 
-def _json_message(value: Column, parsed: Column) -> Column:
+def _json_message(value: Column, array: Column) -> Column:
     is_string = _is_json_string(value)
     return F.when(
-        parsed.isNotNull(),
+        _is_one_value(array),
         message(
             F.when(is_string, "string").otherwise("json"),
-            json=F.when(~is_string, parsed),
-            text=F.when(is_string, F.variant_get(parsed, "$", "string")),
+            json=F.when(~is_string, F.variant_get(array, "$[0]", "variant")),
+            text=F.when(is_string, F.variant_get(array, "$[0]", "string")),
         ),
     )
 
 
-def _auto_message(value: Column, parsed: Column) -> Column:
-    is_json = parsed.isNotNull() & ~_is_json_string(value)
-    return message(
-        F.when(is_json, "json").otherwise("string"),
-        json=F.when(is_json, parsed),
-        text=F.when(parsed.isNull(), value.cast("string")).when(~is_json, F.variant_get(parsed, "$", "string")),
-    )
+def _auto_message(value: Column, array: Column) -> Column:
+    return F.coalesce(_json_message(value, array), message("string", text=value.cast("string")))
 
 
 def _json_text(msg: Column) -> Column:
@@ -121,8 +125,8 @@ def _encode_bytes(msg: Column) -> Fallible:
 CODECS = {
     codec.name: codec
     for codec in (
-        Codec("auto", parse_json, _encode_verbatim, _auto_message),
-        Codec("json", parse_json, _encode_json, _json_message),
+        Codec("auto", json_in_array, _encode_verbatim, _auto_message),
+        Codec("json", json_in_array, _encode_json, _json_message),
         Codec("string", lambda value: message("string", text=value), _encode_verbatim),
         Codec("bytes", lambda value: message("bytes", raw=value), _encode_bytes),
     )
@@ -146,7 +150,7 @@ def decode_payload(df: DataFrame, fmt: str | Codec = "auto") -> DataFrame:
     """
     codec = codec_for(fmt)
     value = F.col("value")
-    # The parse result is a column of its own so that it is computed once per row.
+    # What is used several times is a column of its own, so that it is computed once per row.
     df = df.withColumn("_parsed", F.when(value.isNotNull(), codec.decode(value)))
     if codec.finish is not None:
         df = df.withColumn("_parsed", codec.finish(value, F.col("_parsed")))

@@ -23,24 +23,27 @@ MAX_BROADCAST_RULES = 100_000
 MAX_LOOKUPS = 16
 
 
-def _masked(levels: Column, is_masked) -> Column:
-    """Levels joined to one text; a masked level reads ``+``, a literal one starts with ``=``."""
+def _masked(levels: Column, any_rest: Column, is_masked) -> Column:
+    """Levels as one text: a masked level reads ``+``, a literal one starts with ``=``, any rest is ``#``.
+
+    So the text tells the shape too, and no text of one shape equals one of another.
+    """
     marked = F.transform(levels, lambda level, i: F.when(is_masked(level, i), "+").otherwise(F.concat(F.lit("="), level)))
-    return F.array_join(marked, "/")
+    return F.concat(F.array_join(marked, "/"), F.when(any_rest, "/#").otherwise(""))
 
 
-def _masked_topic(levels: Column, mask: Column) -> Column:
+def _masked_topic(levels: Column, any_rest: Column, mask: Column) -> Column:
     """A topic's first levels, masked as ``mask`` (one character per level) says."""
     kept = F.slice(levels, 1, F.length(mask))
-    return _masked(kept, lambda _, i: F.substring(mask, i + 1, F.lit(1)) == "+")
+    return _masked(kept, any_rest, lambda _, i: F.substring(mask, i + 1, F.lit(1)) == "+")
 
 
-def _masked_topic_for(levels: Column, mask: str) -> Column:
-    """The same for a mask known on the driver: plain concatenation instead of a lambda."""
+def _masked_topic_for(levels: Column, any_rest: bool, mask: str) -> Column:
+    """The same for a shape known on the driver: plain concatenation instead of a lambda."""
     parts = [
         F.lit("+") if how == "+" else F.concat(F.lit("="), F.get(levels, F.lit(i))) for i, how in enumerate(mask)
     ]
-    return F.concat_ws("/", *parts) if parts else F.lit("")
+    return F.concat(F.concat_ws("/", *parts) if parts else F.lit(""), F.lit("/#" if any_rest else ""))
 
 
 def shaped_rules(rules: DataFrame) -> DataFrame:
@@ -60,7 +63,7 @@ def shaped_rules(rules: DataFrame) -> DataFrame:
         )
         .filter(~F.exists("_levels", lambda level: level.startswith("#")))
         .withColumn("mask", F.array_join(F.transform("_levels", lambda lv: F.when(is_wild(lv), "+").otherwise("=")), ""))
-        .withColumn("masked", _masked(F.col("_levels"), lambda level, _: is_wild(level)))
+        .withColumn("masked", _masked(F.col("_levels"), F.col("any_rest"), lambda level, _: is_wild(level)))
     )
     return shaped.groupBy("any_rest", "mask", "masked").agg(
         F.min("ord").alias("ord"), F.min_by("kafka_topic", "ord").alias("kafka_topic")
@@ -109,14 +112,16 @@ def _match_by_lookups(df: DataFrame, shaped: DataFrame, shapes: Sequence[Row]) -
     df = df.withColumn("_levels", F.split(topic, "/"))
     hits = []
     for i, shape in enumerate(sorted(shapes, key=lambda s: (s["any_rest"], s["mask"]))):
-        any_rest, mask = F.lit(shape["any_rest"]), F.lit(shape["mask"])
-        fits = F.size(levels) >= len(shape["mask"]) if shape["any_rest"] else F.size(levels) == len(shape["mask"])
-        rows = shaped.filter((F.col("any_rest") == any_rest) & (F.col("mask") == mask)).select(
+        any_rest, mask = shape["any_rest"], shape["mask"]
+        fits = F.size(levels) >= len(mask) if any_rest else F.size(levels) == len(mask)
+        probe = F.when(
+            fits & _may_match(topic, F.lit(any_rest), F.lit(mask)), _masked_topic_for(levels, any_rest, mask)
+        )
+        # Every lookup uses the same rows, so Spark broadcasts them once. Their number passed the bound.
+        rows = shaped.select(
             F.col("masked").alias(f"_masked_{i}"),
             F.struct(F.col("ord").alias("mapping_ord"), F.col("kafka_topic").alias("_target")).alias(f"_hit_{i}"),
         )
-        probe = F.when(fits & _may_match(topic, any_rest, mask), _masked_topic_for(levels, shape["mask"]))
-        # The rules passed the bound above, and each of them stands in one shape only.
         df = df.withColumn(f"_masked_{i}", probe).join(F.broadcast(rows), f"_masked_{i}", "left")
         hits.append(F.col(f"_hit_{i}"))
     if hits:
@@ -142,8 +147,8 @@ def _match_by_topic_join(df: DataFrame, shaped: DataFrame) -> DataFrame:
         .select("topic", "_levels", F.inline(forms))
         .join(shapes, ["any_rest", "n_levels"])
         .filter(_may_match(F.col("topic"), F.col("any_rest"), F.col("mask")))
-        .withColumn("masked", _masked_topic(F.col("_levels"), F.col("mask")))
-        .join(shaped, ["any_rest", "mask", "masked"])
+        .withColumn("masked", _masked_topic(F.col("_levels"), F.col("any_rest"), F.col("mask")))
+        .join(shaped.select("masked", "ord", "kafka_topic"), "masked")
         .groupBy("topic")
         .agg(F.min("ord").alias("mapping_ord"), F.min_by("kafka_topic", "ord").alias("_target"))
     )

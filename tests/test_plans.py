@@ -67,6 +67,10 @@ def test_small_rule_tables_are_broadcast_and_large_ones_are_not(spark):
     bus, rules = tables.bus_events(tables.events(spark, SF)), tables.rules_of(spark, tables.MAPPINGS)
     small = plan_of(route_by_table(bus, rules))
     assert "BroadcastHashJoin" in small and "NestedLoop" not in small
+    executed = route_by_table(bus, rules)
+    executed.collect()
+    final = plan_of(executed)
+    assert final.count("ReusedExchange") >= 3 and final.count("BroadcastHashJoin") >= 4
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         large = route_by_table(bus, rules, "slash_to_dot", max_broadcast_rules=3)
