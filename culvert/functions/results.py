@@ -43,5 +43,10 @@ def computed_once(df: DataFrame, *columns: str) -> DataFrame:
     that parse a payload or try patterns that doubles the work. Filters on the
     output of a generator stay above it; this one unfolds a list of one row.
     """
-    others = [name for name in df.columns if name not in columns]
+    others = [column_named(name) for name in df.columns if name not in columns]
     return df.select(*others, F.inline(F.array(F.struct(*columns))))
+
+
+def column_named(name: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from culvert.functions.results import column_named
+
 STARTS = ("stored", "earliest", "latest")
 COMMIT_MODES = ("after_process", "periodic")
 
@@ -23,7 +25,7 @@ def resume_from(records: DataFrame, committed: DataFrame, high_watermarks: DataF
     """
     if start not in STARTS:
         raise ValueError(f"start must be one of {STARTS}: {start!r}")
-    own = records.columns
+    own = [column_named(name) for name in records.columns]
     if start == "earliest":
         positions = committed.select(*PARTITION, F.col("next_offset").alias("_start"))
         first = F.coalesce("_start", F.lit(0))
@@ -49,6 +51,19 @@ def committed_positions(processed: DataFrame, eligible: Column | None = None, co
     return processed.groupBy(*PARTITION).agg((F.max("offset") + 1).alias("next_offset"))
 
 
+def starting_offsets(positions: DataFrame, offset_col: str = "next_offset") -> DataFrame:
+    """One row with the text Kafka's ``startingOffsets`` option takes, as ``starting_offsets``.
+
+    A Kafka source given this text begins at the positions, so that nothing in
+    front of them is read; ``resume_from`` does the same to a table. There is
+    one entry per partition of the subscribed topics.
+    """
+    entry = F.struct(F.col("partition").cast("string").alias("key"), F.col(offset_col).alias("value"))
+    topics = positions.groupBy("topic").agg(F.map_from_entries(F.collect_list(entry)).alias("offsets"))
+    everything = F.map_from_entries(F.collect_list(F.struct("topic", "offsets")))
+    return topics.agg(F.to_json(everything).alias("starting_offsets"))
+
+
 def consumer_lag(records: DataFrame, high_watermarks: DataFrame) -> DataFrame:
     """``topic, partition, lag`` per fetched partition, zero for one without records.
 

@@ -11,7 +11,7 @@ from culvert import schemas
 from culvert.functions.headers import headers_from
 from culvert.functions.patterns import Pattern
 from culvert.functions.payload import Codec, encode_payload
-from culvert.functions.results import Fallible, case, computed_once, quoted, value_and_error
+from culvert.functions.results import Fallible, case, column_named, computed_once, quoted, value_and_error
 
 FALLBACKS = ("error", "slash_to_dot", "ignore")
 
@@ -160,7 +160,7 @@ def route_many(df: DataFrame, producers: dict[str, Sequence[TopicMapping]]) -> D
     """
     if not producers:
         raise ValueError("at least one producer is needed")
-    own = df.columns
+    own = [column_named(name) for name in df.columns]
     routes = []
     for i, (name, mappings) in enumerate(producers.items()):
         df = route(df, mappings, "ignore")

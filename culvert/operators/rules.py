@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import Row
 
 from culvert.functions.patterns import RESERVED
+from culvert.functions.results import column_named
 from culvert.operators.routing import _check_default, _finish_route
 
 # Beyond these bounds the rules are joined by shuffle instead of broadcast.
@@ -107,7 +108,7 @@ def route_by_table(
 
 
 def _match_by_lookups(df: DataFrame, shaped: DataFrame, shapes: Sequence[Row]) -> DataFrame:
-    own = df.columns
+    own = [column_named(name) for name in df.columns]
     topic, levels = F.col("topic"), F.col("_levels")
     df = df.withColumn("_levels", F.split(topic, "/"))
     hits = []
@@ -152,4 +153,6 @@ def _match_by_topic_join(df: DataFrame, shaped: DataFrame) -> DataFrame:
         .groupBy("topic")
         .agg(F.min("ord").alias("mapping_ord"), F.min_by("kafka_topic", "ord").alias("_target"))
     )
-    return df.join(matches, "topic", "left").select(*df.columns, "mapping_ord", "_target")
+    # A topic that holds much of the events is split by AQE's skew join; its one match goes to each part.
+    own = [column_named(name) for name in df.columns]
+    return df.join(matches, "topic", "left").select(*own, "mapping_ord", "_target")

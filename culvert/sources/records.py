@@ -26,14 +26,15 @@ class KafkaLog:
         """Options to read ``topics``. ``start`` only counts for a query without checkpoint.
 
         ``stored`` leaves the position to the checkpoint; a query that has none
-        yet begins at the end.
+        yet begins at the end. Positions kept elsewhere go in as ``options``,
+        with the text of ``starting_offsets`` under ``startingOffsets``.
         """
-        options = {**self.connection(), "subscribe": ",".join(_distinct(topics)), "includeHeaders": "true"}
+        options = {"subscribe": ",".join(_distinct(topics)), "includeHeaders": "true"}
         if start is not None:
             if start not in STARTS:
                 raise ValueError(f"start must be one of {STARTS}: {start!r}")
             options["startingOffsets"] = "earliest" if start == "earliest" else "latest"
-        return options
+        return {**options, **self.connection()}
 
     def write(self, records: DataFrame, batch_id: int | None = None) -> None:
         """Append ``records``, each to the topic its row names. A replayed batch is sent again."""

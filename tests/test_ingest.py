@@ -328,3 +328,26 @@ def test_bridge_tells_the_first_failing_stage_of_both_directions(spark):
         ("baz", None, "no_subscription"),
         ("foo", None, "handler_error"),
     ]
+
+
+def test_user_logic_may_be_a_pandas_udf(spark):
+    import pandas as pd
+
+    @F.pandas_udf("topic string, error string")
+    def resolver(key: pd.Series, value: pd.Series) -> pd.DataFrame:
+        bad = key.isna()
+        return pd.DataFrame({"topic": "u/" + key.fillna(""), "error": bad.map({True: "no key", False: None})})
+
+    def resolve(topic, key, fields, msg):
+        result = resolver(key, msg["text"])
+        return result["topic"], result["error"]
+
+    rows = ingested(spark, [Subscription("foo", column=resolve)], record(key=b"1"), record())
+    assert [(r.bus_topic, r.status) for r in rows] == [("u/1", "ok"), (None, "topic_error")]
+    assert rows[1].error.endswith(": no key")
+
+
+def test_columns_of_any_name_pass_through(spark):
+    df = records(spark, record("foo", b"7")).withColumn("odd.`name", F.lit(1))
+    passed = ingest(df, [Subscription("foo", template="in/${key}")])
+    assert passed.first()["odd.`name"] == 1

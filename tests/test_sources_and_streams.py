@@ -1,6 +1,7 @@
 """Sources, sinks and the continuous jobs."""
 
 import glob
+import json
 import os
 
 import pytest
@@ -187,3 +188,13 @@ def test_events_stream_reads_a_file_and_a_folder(spark, tmp_path):
         query = stream.writeStream.format("parquet").option("checkpointLocation", f"{out}/ck").trigger(availableNow=True)
         query.start(f"{out}/rows").awaitTermination()
         assert spark.read.parquet(f"{out}/rows").distinct().count() == 1000
+
+
+def test_positions_become_kafka_starting_offsets(spark):
+    from culvert.operators.offsets import starting_offsets
+
+    committed = spark.createDataFrame([("b", 0, 7), ("a", 10, 3), ("a", 2, 5)], schemas.COMMITTED)
+    text = starting_offsets(committed).first().starting_offsets
+    assert json.loads(text) == {"a": {"2": 5, "10": 3}, "b": {"0": 7}}
+    options = KafkaLog("b:1", {"startingOffsets": text}).read_options(["a", "b"], "stored")
+    assert options["startingOffsets"] == text
