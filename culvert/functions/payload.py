@@ -52,27 +52,19 @@ class Codec:
     finish: Callable[[Column, Column], Column] | None = None
 
 
-def json_in_array(value: Column) -> Column:
-    """VARIANT array around a JSON text; null unless the text is valid up to its end.
-
-    ``try_parse_json`` stops after the first value and ignores what follows. A
-    text that closes the array early, and so hides what follows, has a ``]`` of
-    its own. Only such a text is also tried as the one member of an object:
-    whatever closes the array breaks the object. A text of several values with
-    commas between gives an array of as many elements.
+def json_values(value: Column) -> Column:
+    """The JSON values of a text, ARRAY<VARIANT>: one for a whole JSON text, several if commas stand between.
+
+    Null unless the text is valid up to its end. ``try_parse_json`` stops after
+    the first value and ignores what follows, so the text is parsed inside
+    brackets. A text that closes them early, and so hides what follows, has a
+    ``]`` of its own. Only such a text is also tried as the one member of an
+    object: whatever closes the array breaks the object.
     """
     text = value.cast("string")
     only_member = F.size(F.json_object_keys(F.concat(F.lit('{"v":'), text, F.lit("}")))) == 1
-    return F.when(
-        ~text.contains("]") | only_member,
-        F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))),
-    )
-
-
-def _is_one_value(array: Column) -> Column:
-    """Whether there is a first element and no second one."""
-    first, second = (F.variant_get(array, f"$[{i}]", "variant") for i in (0, 1))
-    return first.isNotNull() & second.isNull()
+    in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    return F.when(~text.contains("]") | only_member, F.variant_get(in_array, "$", "array<variant>"))
 
 
 def _is_json_string(value: Column) -> Column:
@@ -80,20 +72,20 @@ def _is_json_string(value: Column) -> Column:
     return F.ltrim(value.cast("string"), F.lit(JSON_SPACE)).startswith('"')
 
 
-def _json_message(value: Column, array: Column) -> Column:
-    is_string = _is_json_string(value)
+def _json_message(value: Column, values: Column) -> Column:
+    parsed, is_string = F.get(values, F.lit(0)), _is_json_string(value)
     return F.when(
-        _is_one_value(array),
+        F.size(values) == 1,
         message(
             F.when(is_string, "string").otherwise("json"),
-            json=F.when(~is_string, F.variant_get(array, "$[0]", "variant")),
-            text=F.when(is_string, F.variant_get(array, "$[0]", "string")),
+            json=F.when(~is_string, parsed),
+            text=F.when(is_string, F.variant_get(parsed, "$", "string")),
         ),
     )
 
 
-def _auto_message(value: Column, array: Column) -> Column:
-    return F.coalesce(_json_message(value, array), message("string", text=value.cast("string")))
+def _auto_message(value: Column, values: Column) -> Column:
+    return F.coalesce(_json_message(value, values), message("string", text=value.cast("string")))
 
 
 def _json_text(msg: Column) -> Column:
@@ -125,8 +117,8 @@ def _encode_bytes(msg: Column) -> Fallible:
 CODECS = {
     codec.name: codec
     for codec in (
-        Codec("auto", json_in_array, _encode_verbatim, _auto_message),
-        Codec("json", json_in_array, _encode_json, _json_message),
+        Codec("auto", json_values, _encode_verbatim, _auto_message),
+        Codec("json", json_values, _encode_json, _json_message),
         Codec("string", lambda value: message("string", text=value), _encode_verbatim),
         Codec("bytes", lambda value: message("bytes", raw=value), _encode_bytes),
     )
