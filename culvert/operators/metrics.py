@@ -77,8 +77,9 @@ def process_duration(ingested: DataFrame, col: str, bounds: Sequence[float]) ->
     return duration_histogram(ingested.filter(F.col("status").isin(*DELIVERED)), col, ["topic"], bounds)
 
 
-def commit_count(ingested: DataFrame, batch_col: str, eligible: Column) -> DataFrame:
-    """Number of poll batches with at least one row to commit, as ``n``."""
+def commit_count(ingested: DataFrame, batch_col: str, eligible: Column | None = None) -> DataFrame:
+    """Number of poll batches with at least one row to commit, as ``n``; without ``eligible``, the good rows."""
+    eligible = F.col("status") == "ok" if eligible is None else eligible
     return ingested.filter(eligible).agg(F.countDistinct(batch_col).alias("n"))
 
 

@@ -23,6 +23,9 @@ from culvert.operators.routing import _check_default, _finish_route
 MAX_BROADCAST_RULES = 100_000
 MAX_LOOKUPS = 16
 
+# A topic that is not among so many most frequent ones holds less than one part in so many of the events.
+HOT_TOPICS = 1000
+
 
 def _masked(levels: Column, any_rest: Column, is_masked) -> Column:
     """Levels as one text: a masked level reads ``+``, a literal one starts with ``=``, any rest is ``#``.
@@ -89,13 +92,16 @@ def route_by_table(
     The shapes in use and the rules in each are counted first. Few shapes and a
     bounded number of rules: one broadcast hash lookup per shape, and the events
     are not shuffled at all. Otherwise: matching of the distinct topics by
-    equi-joins, joined back on the topic.
+    equi-joins, joined back on the topic; that needs all topics at hand, so a
+    stream must stay within the bounds.
     """
     _check_default(default)
     shaped = shaped_rules(rules)
     shapes = shaped.groupBy("any_rest", "mask").count().limit(max_lookups + 1).collect()
     if len(shapes) <= max_lookups and sum(shape["count"] for shape in shapes) <= max_broadcast_rules:
         matched = _match_by_lookups(df, shaped, shapes)
+    elif df.isStreaming:
+        raise ValueError("a stream takes no rules beyond max_broadcast_rules and max_lookups")
     else:
         matched = _match_by_topic_join(df, shaped)
     return _finish_route(
@@ -142,7 +148,7 @@ def _match_by_topic_join(df: DataFrame, shaped: DataFrame) -> DataFrame:
         ),
     )
     shapes = shaped.select("any_rest", "mask").distinct().withColumn("n_levels", F.length("mask"))
-    topics = df.select("topic").filter(F.col("topic").isNotNull()).distinct()
+    topics = df.filter(F.col("topic").isNotNull()).groupBy("topic").agg(F.count("*").alias("_n"))
     matches = (
         topics.withColumn("_levels", F.split("topic", "/"))
         .select("topic", "_levels", F.inline(forms))
@@ -153,6 +159,28 @@ def _match_by_topic_join(df: DataFrame, shaped: DataFrame) -> DataFrame:
         .groupBy("topic")
         .agg(F.min("ord").alias("mapping_ord"), F.min_by("kafka_topic", "ord").alias("_target"))
     )
-    # A topic that holds much of the events is split by AQE's skew join; its one match goes to each part.
+    return _join_by_topic(df, topics, matches)
+
+
+def _join_by_topic(df: DataFrame, topics: DataFrame, matches: DataFrame) -> DataFrame:
+    """Left join of the events with their topic's match, whatever share of them one topic holds.
+
+    The most frequent topics, matched or not, are looked up by broadcast; their
+    number is fixed. Their events still pass the join for the other topics, but
+    spread by the task they come from instead of by topic.
+    """
     own = [column_named(name) for name in df.columns]
-    return df.join(matches, "topic", "left").select(*own, "mapping_ord", "_target")
+    hit = F.struct("mapping_ord", "_target")
+    hot = (
+        topics.orderBy(F.desc("_n"), "topic").limit(HOT_TOPICS).join(matches, "topic", "left").select("topic", hit.alias("_hot"))
+    )
+    cold = matches.select(F.col("topic").alias("_key"), hit.alias("_cold"))
+    spread = F.concat(F.lit("\0"), F.spark_partition_id().cast("string"))
+    found = F.col("_hot").isNotNull()
+    return (
+        df.join(F.broadcast(hot), "topic", "left")
+        .withColumn("_key", F.when(found | F.col("topic").isNull(), spread).otherwise(F.col("topic")))
+        .join(cold, "_key", "left")
+        .withColumn("_hit", F.when(found, F.col("_hot")).otherwise(F.col("_cold")))
+        .select(*own, "_hit.mapping_ord", "_hit._target")
+    )

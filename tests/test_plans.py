@@ -74,13 +74,45 @@ def test_small_rule_tables_are_broadcast_and_large_ones_are_not(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         large = route_by_table(bus, rules, "slash_to_dot", max_broadcast_rules=3)
-        assert "Broadcast" not in plan_of(large)
+        assert re.findall(r"(\w*Join) \[", plan_of(large)).count("BroadcastHashJoin") == 1
+        assert "TakeOrderedAndProject(limit=1000" in plan_of(large)
         want = route(bus, tables.MAPPINGS, "slash_to_dot").select("event_id", "mapping_ord", "kafka_topic")
         assert spark_rows(large.select("event_id", "mapping_ord", "kafka_topic")) == spark_rows(want)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_hot_topic_is_not_shuffled_to_one_task(spark, monkeypatch):
+    """Half of the events have one topic, a sixth another that no rule matches; some have none."""
+    from culvert.operators import rules as rule_module
+
+    monkeypatch.setattr(rule_module, "HOT_TOPICS", 3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        number = F.col("id")
+        topic = (
+            F.when(number % 2 == 0, "hot/topic")
+            .when(number % 3 == 0, "nobody/wants/this")
+            .when(number % 5 == 0, F.lit(None))
+            .otherwise(F.concat(F.lit("dev/"), (number % 900).cast("string")))
+        )
+        bus = spark.range(0, 60000, 1, 16).select("id", topic.alias("topic"))
+        rules = tables.rules_of(spark, [TopicMapping("hot/+", "h"), TopicMapping("dev/#", "d")])
+        routed = route_by_table(bus, rules, max_broadcast_rules=0)
+        placed = routed.select("id", "kafka_topic", "status", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    got = {row.id: row.kafka_topic for row in placed}
+    assert len(placed) == 60000
+    for i in range(60000):
+        want = "h" if i % 2 == 0 else None if i % 3 == 0 or i % 5 == 0 else "d"
+        assert got[i] == want
+    sizes = [sum(1 for row in placed if row.task == task) for task in range(8)]
+    assert max(sizes) < 60000 / 3
+
+
 def test_a_thousand_rules_in_one_table(spark):
     mappings = [TopicMapping(f"sensor/{i}/+" if i % 2 else f"sensor/{i}", f"t{i}") for i in range(1000)]
     bus = tables.bus_events(tables.events(spark, SF))

@@ -179,6 +179,14 @@ def test_streaming_rule_lookup_needs_no_shuffle(spark, tmp_path):
     assert spark_rows(spark.read.parquet(out)) == spark_rows(batch)
 
 
+def test_stream_refuses_rules_beyond_the_bounds(spark):
+    from culvert.operators.rules import route_by_table
+
+    bus = tables.bus_events(tables.event_stream(spark, f"{TESTDATA}/sf0.001"))
+    with pytest.raises(ValueError, match="stream"):
+        route_by_table(bus, tables.rules_of(spark, tables.MAPPINGS), max_broadcast_rules=1)
+
+
 def test_events_stream_reads_a_file_and_a_folder(spark, tmp_path):
     os.makedirs(tmp_path / "sf")
     tables.events(spark, f"{TESTDATA}/sf0.001").repartition(3).write.parquet(str(tmp_path / "sf" / "events.parquet"))
