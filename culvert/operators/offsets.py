@@ -11,17 +11,26 @@ COMMIT_MODES = ("after_process", "periodic")
 
 PARTITION = ["topic", "partition"]
 
+# Position tables of more partitions than this are joined by shuffle instead of broadcast.
+MAX_BROADCAST_PARTITIONS = 1_000_000
 
-def resume_from(records: DataFrame, committed: DataFrame, high_watermarks: DataFrame, start: str = "stored") -> DataFrame:
+
+def resume_from(
+    records: DataFrame,
+    committed: DataFrame,
+    high_watermarks: DataFrame,
+    start: str = "stored",
+    max_broadcast_partitions: int = MAX_BROADCAST_PARTITIONS,
+) -> DataFrame:
     """Records at or after the committed position of their partition.
 
     ``start`` decides for partitions without one: ``earliest`` reads all of it,
     ``latest`` only what lies at or behind the high watermark. ``stored`` names
     no position of its own and begins at the end, as a new streaming query does.
 
-    The position tables have one row per partition. They carry no broadcast
-    hint: Spark compares their size with its threshold, and AQE splits a
-    partition that holds much of the log where they are joined by shuffle.
+    There is one position per partition. They are counted and, up to the bound,
+    broadcast, so that neither the records nor a partition that holds much of
+    them is shuffled.
     """
     if start not in STARTS:
         raise ValueError(f"start must be one of {STARTS}: {start!r}")
@@ -34,6 +43,8 @@ def resume_from(records: DataFrame, committed: DataFrame, high_watermarks: DataF
             *PARTITION, F.coalesce("next_offset", "high_watermark").alias("_start")
         )
         first = F.col("_start")
+    if positions.count() <= max_broadcast_partitions:
+        positions = F.broadcast(positions)
     return records.join(positions, PARTITION, "left").filter(F.col("offset") >= first).select(*own)
 
 

@@ -233,7 +233,10 @@ def test_resume(spark):
     log = records(spark, *LOG)
 
     def resumed(start):
-        return {(r.topic, r.partition, r.offset) for r in resume_from(log, committed, ends, start).collect()}
+        few, many = (resume_from(log, committed, ends, start, bound) for bound in (10, 0))
+        rows = sorted((r.topic, r.partition, r.offset) for r in few.collect())
+        assert rows == sorted((r.topic, r.partition, r.offset) for r in many.collect())
+        return set(rows)
 
     late = {("foo", 0, 1), ("foo", 0, 2), ("bar", 0, 7)}
     assert resumed("earliest") == late | {("foo", 1, 5)}

@@ -9,6 +9,7 @@ import __spark_entry__ as entry
 from conftest import TESTDATA
 from compare import spark_rows
 from culvert.operators.ingest import ingest
+from culvert.operators.offsets import resume_from
 from culvert.operators.routing import TopicMapping, route, to_outbound
 from culvert.operators.rules import route_by_table
 from culvert.plans import tables
@@ -149,3 +150,13 @@ def test_generated_methods_stay_small_enough_for_the_jit(spark, name):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert sizes and max(sizes) < 8000
+
+
+def test_resuming_does_not_shuffle_the_records(spark, tmp_path):
+    events = tables.events(spark, SF)
+    tables.records(events).write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    resumed = resume_from(log, tables.committed(events), tables.high_watermarks(events), "earliest")
+    plan = plan_of(resumed)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1  # the sizes of the partitions, which are derived here
