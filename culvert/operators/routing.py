@@ -78,7 +78,7 @@ def route(df: DataFrame, mappings: Sequence[TopicMapping], default: str = "error
     ``default`` decides: ``error``, ``slash_to_dot`` or ``ignore``. The pattern
     tests run once, into ``mapping_ord``; everything else switches on that number.
     """
-    _check_default(default)
+    check_default(default)
     topic = F.col("topic")
     patterns = [Pattern(mapping.pattern) for mapping in mappings]
     matched = case(
@@ -98,15 +98,15 @@ def route(df: DataFrame, mappings: Sequence[TopicMapping], default: str = "error
         "_key": case([(ord_ == i, keys[i][0]) for i in keyed], F.lit(None).cast("binary")),
         "_key_error": case([(ord_ == i, keys[i][1]) for i in keyed], F.lit(None).cast("string")),
     })
-    return _finish_route(df, default)
+    return finish_route(df, default)
 
 
-def _check_default(default: str) -> None:
+def check_default(default: str) -> None:
     if default not in FALLBACKS:
         raise ValueError(f"default must be one of {FALLBACKS}: {default!r}")
 
 
-def _finish_route(df: DataFrame, default: str) -> DataFrame:
+def finish_route(df: DataFrame, default: str) -> DataFrame:
     """Turn ``mapping_ord, _target, _key, _key_error`` into the route columns."""
     topic, unmatched = F.col("topic"), F.col("mapping_ord").isNull()
     if default == "slash_to_dot":

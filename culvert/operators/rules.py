@@ -12,12 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql import Row
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from culvert.functions.patterns import RESERVED
 from culvert.functions.results import column_named
-from culvert.operators.routing import _check_default, _finish_route
+from culvert.operators.routing import check_default, finish_route
 
 # Beyond these bounds the rules are joined by shuffle instead of broadcast.
 MAX_BROADCAST_RULES = 100_000
@@ -27,6 +26,10 @@ MAX_LOOKUPS = 16
 HOT_TOPICS = 1000
 
 
+def _is_wild(level: Column) -> Column:
+    return level.startswith("+")
+
+
 def _masked(levels: Column, any_rest: Column, is_masked) -> Column:
     """Levels as one text: a masked level reads ``+``, a literal one starts with ``=``, any rest is ``#``.
 
@@ -56,18 +59,16 @@ def shaped_rules(rules: DataFrame) -> DataFrame:
     Of rules with equal form only the first can ever match. A ``#`` before the
     last level matches nothing, so such rules drop out.
     """
-    levels = F.split("pattern", "/")
-    is_wild = lambda level: level.startswith("+")
     shaped = (
-        rules.withColumn("_levels", levels)
+        rules.withColumn("_levels", F.split("pattern", "/"))
         .withColumn("any_rest", F.element_at("_levels", -1).startswith("#"))
         .withColumn(
             "_levels",
             F.when(F.col("any_rest"), F.slice("_levels", 1, F.size("_levels") - 1)).otherwise(F.col("_levels")),
         )
         .filter(~F.exists("_levels", lambda level: level.startswith("#")))
-        .withColumn("mask", F.array_join(F.transform("_levels", lambda lv: F.when(is_wild(lv), "+").otherwise("=")), ""))
-        .withColumn("masked", _masked(F.col("_levels"), F.col("any_rest"), lambda level, _: is_wild(level)))
+        .withColumn("mask", F.array_join(F.transform("_levels", lambda level: F.when(_is_wild(level), "+").otherwise("=")), ""))
+        .withColumn("masked", _masked(F.col("_levels"), F.col("any_rest"), lambda level, _: _is_wild(level)))
     )
     return shaped.groupBy("any_rest", "mask", "masked").agg(
         F.min("ord").alias("ord"), F.min_by("kafka_topic", "ord").alias("kafka_topic")
@@ -95,7 +96,7 @@ def route_by_table(
     equi-joins, joined back on the topic; that needs all topics at hand, so a
     stream must stay within the bounds.
     """
-    _check_default(default)
+    check_default(default)
     shaped = shaped_rules(rules)
     shapes = shaped.groupBy("any_rest", "mask").count().limit(max_lookups + 1).collect()
     if len(shapes) <= max_lookups and sum(shape["count"] for shape in shapes) <= max_broadcast_rules:
@@ -104,7 +105,7 @@ def route_by_table(
         raise ValueError("a stream takes no rules beyond max_broadcast_rules and max_lookups")
     else:
         matched = _match_by_topic_join(df, shaped)
-    return _finish_route(
+    return finish_route(
         matched.withColumns({
             "_key": F.lit(None).cast("binary"),
             "_key_error": F.lit(None).cast("string"),

@@ -348,6 +348,10 @@ ORACLES: dict[str, str] = {
         REC,
         select="SELECT event_id, topic, part, hex(encode(val)) AS value_hex FROM rec WHERE topic IN ('app.click', 'app.view')",
     ),
+    "log_round_trip": with_(
+        OUTBOUND,
+        select="""SELECT topic, key_hex, value_hex, headers_text FROM outbound WHERE topic IN ('shop.purchases', 'sensors')""",
+    ),
     "resume_stored": resumed("coalesce(next_offset, high_watermark)"),
     "resume_earliest": resumed("coalesce(next_offset, 0)"),
     "resume_latest": resumed("coalesce(next_offset, high_watermark)"),

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from culvert import schemas
 from culvert.functions.headers import fields_to_headers, headers_to_fields
 from culvert.functions.patterns import extract_fields
 from culvert.functions.payload import Codec, decode_payload, encode_payload, message
@@ -21,7 +22,7 @@ from culvert.operators.bridge import bridge
 from culvert.operators.rules import route_by_table
 from culvert.plans import tables as t
 from culvert.session import work_dir
-from culvert.sources.records import ParquetLog, subscribed
+from culvert.sources.records import ParquetLog, read_records, subscribed, write_records
 from culvert.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +72,15 @@ def scan_subscribed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return picked.select("event_id", "topic", F.col("partition").alias("part"), hex_of("value").alias("value_hex"))
 
 
+def log_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records written to a log laid out by topic, of which some topics are read back."""
+    log = ParquetLog(work_dir(spark, "log"), schemas.OUTBOUND, by_topic=True)
+    write_records(r.to_outbound(r.route(_bus(spark, sf_dir), t.MAPPINGS, "ignore")), log)
+    return read_records(spark, log, ["shop.purchases", "sensors", "nobody"]).select(
+        "topic", hex_of("key").alias("key_hex"), hex_of("value").alias("value_hex"), headers_text("headers").alias("headers_text")
+    )
+
+
 def _resumed(start: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         events = t.events(spark, sf_dir)
@@ -431,6 +441,7 @@ def bridge_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "scan_subscribed": scan_subscribed,
+    "log_round_trip": log_round_trip,
     "resume_stored": _resumed("stored"),
     "resume_earliest": _resumed("earliest"),
     "resume_latest": _resumed("latest"),
