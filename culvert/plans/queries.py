@@ -38,14 +38,12 @@ def hex_of(column: str | Column) -> Column:
 
 
 def map_text(column: str) -> Column:
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(column))))
+    return F.expr(f"to_json(map_from_entries(array_sort(map_entries({column}))))")
 
 
 def headers_text(column: str) -> Column:
-    shown = F.transform(
-        column, lambda h: F.concat(h["key"], F.lit("="), F.coalesce(F.hex(h["value"]), F.lit("null")))
-    )
-    return F.concat_ws("|", shown)
+    shown = f"transform({column}, h -> concat(h.key, '=', coalesce(hex(h.value), 'null')))"
+    return F.expr(f"concat_ws('|', {shown})")
 
 
 def _plain(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from culvert import schemas
-from culvert.functions.payload import message
 from culvert.operators.ingest import Subscription
 from culvert.operators.routing import TopicMapping
 
@@ -25,24 +24,46 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reader.parquet(f"{sf_dir}/events.parque[t]")
 
 
-def _bytes(text: str | Column) -> Column:
-    return (F.lit(text) if isinstance(text, str) else text).cast("binary")
+def _bytes(text: str) -> str:
+    return f"CAST({text} AS BINARY)"
 
 
-def _header(key: str, value: Column) -> Column:
-    return F.struct(F.lit(key).alias("key"), value.cast("binary").alias("value"))
+def _header(key: str, text: str) -> str:
+    return f"named_struct('key', '{key}', 'value', {_bytes(text)})"
 
 
-def _region() -> Column:
-    return F.concat(F.lit("r"), (F.col("user_id") % 3).cast("string"))
+REGION = "concat('r', user_id % 3)"
+TRACE = [
+    _header("traceparent", "'00-0af7651916cd43dd8448eb211c80319c-b7ad6b7169203331-01'"),
+    _header("tracestate", "'vendor=x'"),
+    _header("baggage", "'tenant=1'"),
+]
+
+KEY = f"""CASE event_id % 10 WHEN 0 THEN NULL WHEN 1 THEN X'' ELSE {_bytes("CAST(user_id AS STRING)")} END"""
+
+VALUE = f"""CASE event_id % 23 WHEN 0 THEN NULL WHEN 1 THEN X'' WHEN 2 THEN {_bytes("'not-json'")}
+  WHEN 3 THEN {_bytes("""'"hello"'""")} WHEN 4 THEN {_bytes("'[1,2,3]'")} WHEN 5 THEN {_bytes("'1 2'")}
+  ELSE {_bytes("props")} END"""
+
+HEADERS = f"""CASE event_id % 7 WHEN 0 THEN NULL WHEN 1 THEN array({TRACE[0]})
+  WHEN 2 THEN array({_header("region", "'old'")}, {_header("region", REGION)})
+  WHEN 3 THEN array({_header("region", REGION)}, {_header("empty", "NULL")})
+  ELSE array({_header("region", REGION)}, {", ".join(TRACE)}) END"""
+
+BUS_TOPIC = """CASE event_type WHEN 'click' THEN concat('sensor/', user_id, '/reading')
+  WHEN 'view' THEN concat('sensor/', user_id) WHEN 'purchase' THEN concat('shop/eu/purchase/', user_id)
+  WHEN 'signup' THEN concat('$SYS/', user_id, '/signup') ELSE 'alerts/critical' END"""
+
+BUS_MESSAGE = f"""named_struct(
+  'kind', CASE event_id % 4 WHEN 0 THEN 'null' WHEN 1 THEN 'string' WHEN 2 THEN 'bytes' ELSE 'json' END,
+  'json', CASE WHEN event_id % 4 = 3 THEN parse_json(props) END,
+  'text', CASE WHEN event_id % 4 = 1 THEN 'hello' END,
+  'raw', CASE WHEN event_id % 4 = 2 THEN {_bytes("props")} END)"""
 
 
 def in_partitions(events: DataFrame) -> DataFrame:
     """The events with the ``topic`` and ``partition`` their record lies in."""
-    return events.withColumns({
-        "topic": F.concat(F.lit("app."), F.col("event_type")),
-        "partition": (F.col("user_id") % 4).cast("int"),
-    })
+    return events.selectExpr("*", "concat('app.', event_type) AS topic", "CAST(user_id % 4 AS INT) AS partition")
 
 
 def with_offset(events: DataFrame) -> DataFrame:
@@ -81,41 +102,18 @@ def records_without_offset(events: DataFrame) -> DataFrame:
 
 
 def _as_records(events: DataFrame, *position: str) -> DataFrame:
-    event_id, user_id = F.col("event_id"), F.col("user_id")
-    trace = [
-        _header("traceparent", F.lit("00-0af7651916cd43dd8448eb211c80319c-b7ad6b7169203331-01")),
-        _header("tracestate", F.lit("vendor=x")),
-        _header("baggage", F.lit("tenant=1")),
-    ]
-    region = _header("region", _region())
-    by_seven, by_23 = event_id % 7, event_id % 23
-    headers = (
-        F.when(by_seven == 0, F.lit(None).cast(schemas.HEADERS))
-        .when(by_seven == 1, F.array(trace[0]))
-        .when(by_seven == 2, F.array(_header("region", F.lit("old")), region))
-        .when(by_seven == 3, F.array(region, _header("empty", F.lit(None))))
-        .otherwise(F.array(region, *trace))
-    )
-    key = (
-        F.when(event_id % 10 == 0, F.lit(None).cast("binary"))
-        .when(event_id % 10 == 1, _bytes(""))
-        .otherwise(_bytes(user_id.cast("string")))
-    )
-    value = F.when(by_23 == 0, F.lit(None).cast("binary"))
-    for rest, text in enumerate(("", "not-json", '"hello"', "[1,2,3]", "1 2"), start=1):
-        value = value.when(by_23 == rest, _bytes(text))
-    return events.select(
+    return events.selectExpr(
         "topic",
         "partition",
         *position,
-        F.col("ts").cast("timestamp").alias("timestamp"),
-        F.lit(0).alias("timestampType"),
-        key.alias("key"),
-        value.otherwise(_bytes(F.col("props"))).alias("value"),
-        headers.alias("headers"),
+        "CAST(ts AS TIMESTAMP) AS timestamp",
+        "0 AS timestampType",
+        f"{KEY} AS key",
+        f"{VALUE} AS value",
+        f"{HEADERS} AS headers",
         "event_id",
-        F.when(F.col("event_type") == "error", 100 + event_id % 3).otherwise(event_id % 13).alias("batch_id"),
-        (F.col("value") / 1000).alias("duration_s"),
+        "CASE WHEN event_type = 'error' THEN 100 + event_id % 3 ELSE event_id % 13 END AS batch_id",
+        "value / 1000 AS duration_s",
     )
 
 
@@ -158,32 +156,13 @@ def handler(bus_topic: Column, msg: Column, fields: Column) -> Column:
 
 def bus_events(events: DataFrame) -> DataFrame:
     """Bus events of all message kinds, some with fields and some under a reserved topic."""
-    event_id, user = F.col("event_id"), F.col("user_id").cast("string")
-    kind = F.col("event_type")
-    topic = (
-        F.when(kind == "click", F.concat(F.lit("sensor/"), user, F.lit("/reading")))
-        .when(kind == "view", F.concat(F.lit("sensor/"), user))
-        .when(kind == "purchase", F.concat(F.lit("shop/eu/purchase/"), user))
-        .when(kind == "signup", F.concat(F.lit("$SYS/"), user, F.lit("/signup")))
-        .otherwise(F.lit("alerts/critical"))
-    )
-    msg = (
-        F.when(event_id % 4 == 0, message("null"))
-        .when(event_id % 4 == 1, message("string", text=F.lit("hello")))
-        .when(event_id % 4 == 2, message("bytes", raw=_bytes(F.col("props"))))
-        .otherwise(message("json", json=F.parse_json("props")))
-    )
-    fields = F.when(
-        event_id % 5 != 0,
-        F.create_map(F.lit("region"), _region(), F.lit("deviceId"), F.lit("should-be-overridden")),
-    )
-    return events.select(
+    return events.selectExpr(
         "event_id",
         "user_id",
-        topic.alias("topic"),
-        msg.alias("msg"),
-        fields.alias("fields"),
-        (F.col("value") / 1000).alias("duration_s"),
+        f"{BUS_TOPIC} AS topic",
+        f"{BUS_MESSAGE} AS msg",
+        f"CASE WHEN event_id % 5 <> 0 THEN map('region', {REGION}, 'deviceId', 'should-be-overridden') END AS fields",
+        "value / 1000 AS duration_s",
     )
 
 
