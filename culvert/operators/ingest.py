@@ -62,12 +62,7 @@ def decode_key(df: DataFrame) -> DataFrame:
 
 def with_subscription(df: DataFrame, subs: Sequence[Subscription]) -> DataFrame:
     """Add ``sub_ord``, the first subscription of the row's topic, with ``status`` and ``error``."""
-    first: dict[str, int] = {}
-    for i, sub in enumerate(subs):
-        first.setdefault(sub.topic, i)
-    topic = F.col("topic")
-    found = case([(topic == name, F.lit(i)) for name, i in first.items()], F.lit(None).cast("int"))
-    return _with_status(df.withColumn("sub_ord", found))
+    return _with_status(_subscribe(df, subs))
 
 
 def resolve_topics(df: DataFrame, subs: Sequence[Subscription], bus_name: str = "bus") -> DataFrame:
@@ -76,6 +71,27 @@ def resolve_topics(df: DataFrame, subs: Sequence[Subscription], bus_name: str =
     ``topic_reason`` is the resolver's own account of a failure. ``bus_name`` is
     how the error text calls the bus.
     """
+    return _with_status(_resolve(df, subs), bus_name)
+
+
+def deliver(df: DataFrame, handler: Handler | None = None, bus_name: str = "bus") -> DataFrame:
+    """Run ``handler(bus_topic, msg, fields)`` on the rows that have a bus topic.
+
+    Its text, in ``handler_error``, is the row's error.
+    """
+    return df if handler is None else _with_status(_handle(df, handler), bus_name)
+
+
+def _subscribe(df: DataFrame, subs: Sequence[Subscription]) -> DataFrame:
+    first: dict[str, int] = {}
+    for i, sub in enumerate(subs):
+        first.setdefault(sub.topic, i)
+    topic = F.col("topic")
+    found = case([(topic == name, F.lit(i)) for name, i in first.items()], F.lit(None).cast("int"))
+    return df.withColumn("sub_ord", found)
+
+
+def _resolve(df: DataFrame, subs: Sequence[Subscription]) -> DataFrame:
     ord_ = F.col("sub_ord")
     # A shadowed subscription is never looked up, so it needs no branch.
     used = {sub.topic: i for i, sub in reversed(list(enumerate(subs)))}
@@ -85,20 +101,12 @@ def resolve_topics(df: DataFrame, subs: Sequence[Subscription], bus_name: str =
         "bus_topic": case([(ord_ == i, topic) for i, (topic, _) in resolved.items()], nothing),
         "topic_reason": case([(ord_ == i, reason) for i, (_, reason) in resolved.items()], nothing),
     })
-    df = df.withColumn("bus_topic", F.when(F.col("topic_reason").isNull(), F.col("bus_topic")))
-    return _with_status(df, bus_name)
-
+    return df.withColumn("bus_topic", F.when(F.col("topic_reason").isNull(), F.col("bus_topic")))
 
-def deliver(df: DataFrame, handler: Handler | None = None, bus_name: str = "bus") -> DataFrame:
-    """Run ``handler(bus_topic, msg, fields)`` on the rows that have a bus topic.
 
-    Its text, in ``handler_error``, is the row's error.
-    """
-    if handler is None:
-        return df
+def _handle(df: DataFrame, handler: Handler) -> DataFrame:
     outcome = handler(F.col("bus_topic"), F.col("msg"), F.col("fields"))
-    df = df.withColumn("handler_error", F.when(F.col("bus_topic").isNotNull(), outcome))
-    return _with_status(df, bus_name)
+    return df.withColumn("handler_error", F.when(F.col("bus_topic").isNotNull(), outcome))
 
 
 def _with_status(df: DataFrame, bus_name: str = "bus") -> DataFrame:
@@ -132,8 +140,10 @@ def ingest(
     if not subs:
         raise ValueError("at least one subscription is needed")
     df = decode_payload(headers_to_fields(decode_key(records)), fmt)
-    df = resolve_topics(with_subscription(df, subs), subs, bus_name)
-    df = deliver(df, handler, bus_name).drop("sub_ord", "topic_reason", "handler_error")
+    df = _resolve(_subscribe(df, subs), subs)
+    if handler is not None:
+        df = _handle(df, handler)
+    df = _with_status(df, bus_name).drop("sub_ord", "topic_reason", "handler_error")
     return computed_once(df, "bus_topic", "status", "error")
 
 
