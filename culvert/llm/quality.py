@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from culvert.functions.results import computed_once
 from culvert.llm.shared import fresh, stored, words_of
 
 #: Buckets that unigrams and bigrams are hashed into; the size of the model.
@@ -132,11 +133,12 @@ def ratio_weights(
 def judge(
     docs: DataFrame,
     labels: DataFrame,
+    name: str = "quality",
     threshold: float = THRESHOLD,
     buckets: int = BUCKETS,
     smoothing: float = SMOOTHING,
 ) -> DataFrame:
-    """Every row of ``docs`` with one more column, ``quality``: a struct of the base
+    """Every row of ``docs`` with one more column, ``name``: a struct of the base
     counts, ``n_grams``, ``score`` (mean log ratio per n-gram), ``base_failed`` and ``kept``.
 
     The bucket counts are one shuffle of the texts to meet their labels and one of at
@@ -145,7 +147,7 @@ def judge(
 
     A null or empty text has no words, fails the base rules and is not kept; its score
     is 0. Repeated rows are judged each. A null ``doc_id`` never belongs to the target.
-    Only ``doc_id`` and ``text`` are read; an own column ``quality`` is replaced.
+    Only ``doc_id`` and ``text`` are read; an own column ``name`` is replaced.
     """
     weights = stored(ratio_weights(docs, labels, buckets, smoothing), "quality-weights").scalar()
     words, hashes, model = fresh("words"), fresh("hashes"), fresh("weights")
@@ -154,23 +156,21 @@ def judge(
     total = F.aggregate(grams, F.lit(0).cast("long"), lambda s, b: s + F.get(F.col(model), b))
     counts = base_counts(F.col("text"), F.col(words), F.col(hashes))
     n_words = F.size(words)
-    judged = prepared.withColumn(model, weights).withColumn(
-        "quality",
-        F.struct(
-            *[column.alias(name) for name, column in counts.items()],
-            (n_words + F.greatest(n_words - 1, F.lit(0))).cast("long").alias("n_grams"),
-            total.alias("total"),
-        ),
+    figures = F.struct(
+        *[column.alias(x) for x, column in counts.items()],
+        (n_words + F.greatest(n_words - 1, F.lit(0))).cast("long").alias("n_grams"),
+        total.alias("total"),
     )
-    q = lambda name: F.col(f"quality.{name}")
+    counted = computed_once(prepared.withColumn(model, weights).withColumn(name, figures), name)
+    q = lambda x: F.col(f"{name}.{x}")
     failed = (q("n_words") < MIN_WORDS) | (
         100 * q("n_repeat_words") > MAX_REPEAT_PERCENT * q("n_words")
     )
     score = F.when(q("n_grams") > 0, q("total") / SCALE / q("n_grams")).otherwise(F.lit(0.0))
-    return judged.drop(words, hashes, model).withColumn(
-        "quality",
+    return counted.drop(words, hashes, model).withColumn(
+        name,
         F.struct(
-            *[q(name).alias(name) for name in (*counts, "n_grams")],
+            *[q(x).alias(x) for x in (*counts, "n_grams")],
             score.alias("score"),
             failed.alias("base_failed"),
             (~failed & (score >= threshold)).alias("kept"),

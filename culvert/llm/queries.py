@@ -4,10 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from culvert.llm import quality
+from culvert.llm import (
+    convnet,
+    decontamination,
+    jaccard,
+    language,
+    licences,
+    mixing,
+    packing,
+    quality,
+    token_files,
+    tokens,
+    urls,
+)
 from culvert.llm.shared import table
+from culvert.session import work_dir
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,8 +29,92 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "quality.*")
 
 
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "token-files")
+    docs = table(spark, sf_dir, "documents")
+    token_files.write_tokens(docs, path, tokens.vocabulary(VOCABULARY), end_id=2)
+    return token_files.digest(token_files.read_tokens(spark, path))
+
+
+def op3_language_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op4_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(docs, tokens.vocabulary(VOCABULARY), close_id=0)
+
+
+URL_RULES = [
+    urls.Rule("allow", "org/"),
+    urls.Rule("block", "example.org/es/"),
+    urls.Rule("block", "example.org/en/1"),
+    urls.Rule("allow", "com/fr/"),
+    urls.Rule("block", "com/de/"),
+]
+
+
+def op5_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict", "template", "purity"
+    )
+
+
+def op6_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.decontaminate(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op7_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.score(table(spark, sf_dir, "documents"))
+
+
+def op8_byte_convnet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = convnet.classify(docs, table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
+def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    lists = ("licence_ids", "licences", "licence_rules")
+    return found.select(
+        "doc_id", *[F.array_join(name, ",").alias(name) for name in lists], "licence_kind"
+    )
+
+
+def op10_token_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_token_files": op2_token_files,
+    "op3_language_kernel": op3_language_kernel,
+    "op4_cost_packing": op4_cost_packing,
+    "op5_url_templates": op5_url_templates,
+    "op6_positional_index": op6_positional_index,
+    "op7_context_mixing": op7_context_mixing,
+    "op8_byte_convnet": op8_byte_convnet,
+    "op9_licence_scan": op9_licence_scan,
+    "op10_token_groups": op10_token_groups,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_licence_scan": licences.oracle(),
+}

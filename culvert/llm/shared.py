@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -12,7 +16,27 @@ from culvert.session import work_dir
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
+_ROOT = Path(__file__).resolve().parents[2]
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives the executors this package, unless they find it on their path: operators in
+    Python are functions of its modules. Once per application."""
+    places = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    app = spark.sparkContext.applicationId
+    if app in _shipped or str(_ROOT) in [os.path.realpath(p) for p in places if p]:
+        return
+    path = Path(tempfile.mkdtemp(prefix="package-")) / f"{_ROOT.name}.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for source in sorted((_ROOT / "culvert").rglob("*.py")):
+            archive.write(source, source.relative_to(_ROOT))
+    spark.sparkContext.addPyFile(str(path))
+    _shipped.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
