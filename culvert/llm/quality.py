@@ -10,8 +10,9 @@ from culvert.llm.shared import fresh, stored, words_of
 
 #: Buckets that unigrams and bigrams are hashed into; the size of the model.
 BUCKETS = 1 << 14
-#: Added to every bucket of both multinomials.
-SMOOTHING = 1.0
+#: Occurrences by which every bucket of the target is drawn to its share in the corpus: what
+#: the target holds little evidence of has a ratio near 1.
+SMOOTHING = 30.0
 #: Mean log ratio (nats per n-gram) below which a text is rejected.
 THRESHOLD = -0.045
 #: Weights are whole multiples of 1 / SCALE, so sums do not depend on their order.
@@ -87,8 +88,9 @@ def base_counts(text: Column, words: Column, hashes: Column) -> dict[str, Column
 def ratio_weights(
     docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING
 ) -> DataFrame:
-    """One row with the weight of every bucket: the log of its share in the target
-    (documents labelled quality 1) over its share in the raw corpus (all documents).
+    """One row with the weight of every bucket: the log of its occurrences in the target
+    (documents labelled quality 1) over those expected from its share in the raw corpus
+    (all documents), both with ``smoothing`` added.
 
     The counts cover every word of every text. Only ``buckets`` sums leave a task.
     Without a target or a corpus all weights are 0.
@@ -120,13 +122,12 @@ def ratio_weights(
         F.sum("raw").alias("n_raw"),
         F.sum("target").alias("n_target"),
     )
-    share = lambda n, total: F.log((n + smoothing) / (total + smoothing * buckets))
-    weight = lambda x: F.when(
-        (F.col("n_raw") > 0) & (F.col("n_target") > 0),
-        F.round(
-            (share(x["target"], F.col("n_target")) - share(x["raw"], F.col("n_raw"))) * SCALE
-        ).cast("long"),
-    ).otherwise(F.lit(0).cast("long"))
+    def weight(x: Column) -> Column:
+        expected = F.col("n_target") * x["raw"] / F.col("n_raw")
+        ratio = F.log((x["target"] + smoothing) / (expected + smoothing))
+        some = (F.col("n_raw") > 0) & (F.col("n_target") > 0)
+        return F.when(some, F.round(ratio * SCALE).cast("long")).otherwise(F.lit(0).cast("long"))
+
     return lists.select(F.transform("all", weight).alias("weights"))
 
 
