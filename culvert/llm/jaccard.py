@@ -1,10 +1,12 @@
 """Exact Jaccard self-join of documents on word shingles with a token-group matrix.
 
-A document's shingles are dealt into as many parts as two linked documents can differ in,
-and some more; the hash of a part is a *token*. Linked documents have at least ``half`` of
-some number of tokens in common, unrelated ones hardly any. Documents of one min-hash form
-a group, the matrix holds the union of tokens of every group, two groups whose unions
-overlap enough to contain a link are opened, and only there shingles are compared.
+Similar documents are brought together first. A document's shingles are dealt into as many
+parts as two linked documents can differ in, and some more; the hash of a part is a *mark*.
+Linked documents have a mark in common, unrelated ones hardly ever, so documents connected
+by marks are a family, and no link leaves a family. Families are compared in units of at
+most two blocks. In a unit documents next to each other in min-hash order form groups. The
+matrix holds the union of shingles of every group, a document's overlap with a union bounds
+its overlap with every member, and only groups whose bound allows a link are opened.
 """
 
 from __future__ import annotations
@@ -23,31 +25,30 @@ from culvert.llm.shared import fresh, stored
 SHINGLE = 3
 #: Two documents link if 100 * intersection >= PERCENT * union.
 PERCENT = 90
-#: Documents of a group; a larger class of one min-hash is cut into several groups.
-GROUP = 32
+#: Documents of a group in the matrix, and of a block; larger families are cut into blocks,
+#: and each two blocks meet in a unit.
+GROUP, BLOCK = 32, 512
+#: Parts of fewer shingles are no marks, so a sentence that many documents share makes none.
+LEAST = 3
 #: Bytes of text hashed at a time.
 BLOCK_BYTES = 1 << 20
 
 # The sizes of sets are cut into frames; a pair is compared in the frame of the larger.
 _FRAME_BITS = 6
-_FRAMES = (1 << _FRAME_BITS) - 1  # the last number marks rows of the matrix that are no tokens
+_FRAMES = (1 << _FRAME_BITS) - 1  # the last number tells pairs found within a task
 
 
 def _plan(percent: int) -> dict[str, np.ndarray]:
-    """Per frame: its largest size, the parts of a set, the parts that two linked sets
-    share at least, and how many of those are always seen as common tokens."""
+    """Per frame: its largest size, the parts of a set, and the parts that two linked sets
+    share at least."""
     upper = [1]
     while len(upper) < _FRAMES:
-        upper.append(max(upper[-1] + 1, upper[-1] * 3 // 2))
+        upper.append(max(upper[-1] + 1, upper[-1] * 4 // 3))
     # union - intersection <= (1 - t) * union and a + b >= (1 + t) * union
     differ = [2 * u * (100 - percent) // (100 + percent) for u in upper]
     parts = [d + 1 + max(1, d // 4) if d else 1 for d in differ]
     need = [p - d for p, d in zip(parts, differ, strict=True)]
-    half = [-(-n // 2) for n in need]
-    return {
-        name: np.array(x, np.int64)
-        for name, x in (("upper", upper), ("parts", parts), ("need", need), ("half", half))
-    }
+    return {name: np.array(x, np.int64) for name, x in (("upper", upper), ("parts", parts), ("need", need))}
 
 
 PLAN = _plan(PERCENT)
@@ -66,9 +67,13 @@ def sets_of(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarr
     return found[new], np.bincount(text[new], minlength=len(counts))
 
 
-def tokens_of(found: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens of each set and the set each belongs to. The last bits of a token tell its
-    frame. Empty parts count as tokens only for sets with too many of them to do without."""
+def marks_of(found: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Marks of each set and the set each belongs to. The last bits of a mark tell its frame.
+
+    Of the parts of a set, two linked sets share ``need`` or more. Parts of fewer than
+    ``LEAST`` shingles are marks only for a set that has ``need`` of them or more: if all
+    parts that two linked sets share are that small, both have so many.
+    """
     frame = np.searchsorted(PLAN["upper"], counts)
     # A set also meets larger ones of the next frame.
     reaches = (counts * 100 // PERCENT > PLAN["upper"][frame]) & (counts > 0)
@@ -82,23 +87,21 @@ def tokens_of(found: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
         first = np.cumsum(parts) - parts
         slot = first[at] + ((shingle >> np.uint64(16)) % parts[at].astype(np.uint64)).astype(np.int64)
         total = int(parts.sum())
-        sums, filled = np.zeros(total, np.uint64), np.zeros(total, bool)
+        sums = np.zeros(total, np.uint64)
         np.add.at(sums, slot, wordhash.mixed(shingle ^ np.uint64(0x5BD1E995)))
-        filled[slot] = True
         of = np.repeat(np.arange(len(counts)), parts)
-        empty = parts - np.bincount(of[filled], minlength=len(counts))
-        allowed = PLAN["need"][number] - PLAN["half"][number]
-        filled |= (empty > allowed)[of]
+        large = np.bincount(slot, minlength=total) >= LEAST
+        small = parts - np.bincount(of[large], minlength=len(counts))
+        large |= (small >= PLAN["need"][number])[of]
         place = (np.arange(total) - first[of]).astype(np.uint64)
         kind = number[of].astype(np.uint64)
-        token = wordhash.mixed(
+        mark = wordhash.mixed(
             wordhash.mixed(sums) + place * np.uint64(0x9E3779B97F4A7C15) + kind * np.uint64(0xC2B2AE3D27D4EB4F)
         )
-        token = (token & ~np.uint64(_FRAMES)) | kind
-        out.append(token[filled])
-        owner.append(of[filled])
-    order = np.argsort(np.concatenate(owner), kind="stable")
-    return np.concatenate(out)[order], np.concatenate(owner)[order]
+        mark = (mark & ~np.uint64(_FRAMES)) | kind
+        out.append(mark[large])
+        owner.append(of[large])
+    return np.concatenate(out), np.concatenate(owner)
 
 
 def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -118,92 +121,58 @@ def _set_ids(found: np.ndarray, counts: np.ndarray) -> list[int | None]:
     ]
 
 
-_SETS = "key long, doc_id long, n long, sid long, mh long, tokens array<long>"
-
-
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: set[int] = set()  # copies within a task send their tokens once
     for batch in batches:
         for part in _blocks(batch):
             found, counts = sets_of(part.column("text"))
-            ids = _set_ids(found, counts)
-            starts = np.cumsum(counts) - counts
-            some = counts > 0
-            least = np.zeros(len(counts), np.uint64)
-            if some.any():
-                spread = wordhash.mixed(found ^ np.uint64(0x2545F4914F6CDD1D))
-                least[some] = np.minimum.reduceat(spread, starts[some])
-            tokens, owner = tokens_of(found, counts)
-            new = np.zeros(len(ids), bool)
-            for i, sid in enumerate(ids):
-                if sid is not None and sid not in seen:
-                    seen.add(sid)
-                    new[i] = True
-            kept = new[owner]
-            sizes = np.bincount(owner[kept], minlength=len(ids))
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(
-                pa.array(offsets, mask=np.append(~new, False)), pa.array(tokens[kept].view(np.int64))
-            )
             yield pa.RecordBatch.from_pydict(
                 {
                     "key": part.column("key"),
                     "doc_id": part.column("doc_id"),
                     "n": pa.array(counts, pa.int64()),
-                    "sid": pa.array(ids, pa.int64()),
-                    "mh": pa.array(least.view(np.int64), mask=~some),
-                    "tokens": lists,
+                    "sid": pa.array(_set_ids(found, counts), pa.int64()),
                 }
             )
 
 
-def _unions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (token, grp) of the matrix from rows sorted by group; and for documents that
-    share a token with another of their group a row (grp with the mark, sid)."""
-    held: list[tuple[int, int, np.ndarray]] = []
-
-    def closed(rows: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
-        left, right = [], []
-        i = 0
-        while i < len(rows):
-            j = i
-            while j < len(rows) and rows[j][0] == rows[i][0]:
-                j += 1
-            members = {sid: tokens for _, sid, tokens in rows[i:j]}
-            every = np.concatenate(list(members.values()))
-            union = every
-            if len(members) > 1:
-                union, times = np.unique(every, return_counts=True)
-                common = union[times > 1]
-                if len(common):
-                    mine = [sid for sid, tokens in members.items() if np.isin(tokens, common).any()]
-                    left.append(np.full(len(mine), rows[i][0] | _FRAMES, np.int64))
-                    right.append(np.array(mine, np.int64))
-            left.append(union)
-            right.append(np.full(len(union), rows[i][0], np.int64))
-            i = j
-        columns = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right)]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "grp"])
-
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (mark, sid, low): each mark of a task once, with ``low`` = ``sid`` the first set
+    that has it; and for every further set that has it a row of both sets under a mark of
+    its own. So a mark that many documents have is sent once per task."""
+    marks, sids = [], []
     for batch in batches:
-        lists = batch.column("tokens")
-        values = lists.flatten().to_numpy()
-        ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
-        starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-        rows = zip(batch.column("grp").to_pylist(), batch.column("sid").to_pylist(), starts.tolist(), ends.tolist(), strict=True)
-        held += [(grp, sid, values[a:b].copy()) for grp, sid, a, b in rows]
-        cut = len(held)
-        while cut and held[cut - 1][0] == held[-1][0]:
-            cut -= 1
-        if cut:
-            yield closed(held[:cut])
-            held = held[cut:]
-    if held:
-        yield closed(held)
-
-
-def _forest(sids: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+        for part in _blocks(batch):
+            found, counts = sets_of(part.column("text"))
+            ids = np.array([x or 0 for x in _set_ids(found, counts)], np.int64)
+            mark, owner = marks_of(found, counts)
+            marks.append(mark)
+            sids.append(ids[owner])
+    mark = np.concatenate(marks or [np.zeros(0, np.uint64)])
+    sid = np.concatenate(sids or [np.zeros(0, np.int64)])
+    order = np.argsort(mark, kind="stable")
+    mark, sid = mark[order], sid[order]
+    new = np.ones(len(mark), bool)
+    new[1:] = mark[1:] != mark[:-1]
+    low = sid[np.maximum.accumulate(np.where(new, np.arange(len(mark)), 0))]
+    other = ~new & (low != sid)
+    both = wordhash.mixed(low[other].view(np.uint64) * np.uint64(3) + sid[other].view(np.uint64))
+    pairs, at = np.unique((both & ~np.uint64(_FRAMES)) | np.uint64(_FRAMES), return_index=True)
+    columns = [
+        np.concatenate([mark[new], pairs]).view(np.int64),
+        np.concatenate([sid[new], sid[other][at]]),
+        np.concatenate([sid[new], low[other][at]]),
+    ]
+    for i in range(0, len(columns[0]), 1 << 17):
+        rows = [pa.array(x[i : i + (1 << 17)]) for x in columns]
+        yield pa.RecordBatch.from_arrays(rows, ["mark", "sid", "low"])
+
+
+def _forest(
+    sids: list[int], sets: list[np.ndarray], percent: int, group: int = GROUP
+) -> list[tuple[int, int]]:
     """(document, smallest document it is linked with over others) within one unit."""
+    order = sorted(range(len(sids)), key=lambda i: (sets[i][0], sids[i]))  # by min-hash
+    sids, sets = [sids[i] for i in order], [sets[i] for i in order]
     root = list(range(len(sids)))
 
     def top(i: int) -> int:
@@ -214,27 +183,31 @@ def _forest(sids: list[int], sets: list[np.ndarray], percent: int) -> list[tuple
 
     sizes = np.array([len(s) for s in sets])
     which = np.repeat(np.arange(len(sets)), sizes)
-    _, column = np.unique(np.concatenate(sets), return_inverse=True)
-    order = np.argsort(column, kind="stable")
-    which, column = which[order], column[order]
-    # Only shingles that several documents have take part in the product.
-    times = np.bincount(column)
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # Shingles that one document has alone are in no overlap.
     several = times[column] > 1
     which, column = which[several], np.unique(column[several], return_inverse=True)[1]
     width = int(column.max()) + 1 if len(column) else 0
-    common = np.zeros((len(sets), len(sets)), np.float64)
-    for low in range(0, width, 8192):
-        inside = (column >= low) & (column < low + 8192)
-        there = np.zeros((len(sets), min(8192, width - low)), np.float32)
-        there[which[inside], column[inside] - low] = 1
-        common += there @ there.T
-    union = sizes[:, None] + sizes[None, :] - common
-    linked = 100 * np.rint(common) >= percent * np.rint(union)
-    for a, b in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
-        x, y = top(int(a)), top(int(b))
-        if x != y:
-            low, high = (x, y) if sids[x] < sids[y] else (y, x)
-            root[high] = low
+    there = np.zeros((len(sets), width), np.float32)
+    there[which, column] = 1
+    starts = np.arange(0, len(sets), group)
+    unions = np.maximum.reduceat(there, starts, axis=0)
+    bounds = there @ unions.T
+    for number, start in enumerate(starts.tolist()):
+        # A link needs percent of the document in common; a pair is met in its later document.
+        open_to = np.flatnonzero(100 * np.rint(bounds[:, number]) >= percent * sizes)
+        open_to = open_to[open_to > start]
+        if not len(open_to):
+            continue
+        members = np.arange(start, min(start + group, len(sets)))
+        common = np.rint(there[open_to] @ there[members].T)
+        union = sizes[open_to][:, None] + sizes[members][None, :] - common
+        linked = (100 * common >= percent * union) & (open_to[:, None] > members[None, :])
+        for a, b in zip(*np.nonzero(linked), strict=True):
+            x, y = top(int(open_to[a])), top(int(members[b]))
+            if x != y:
+                low, high = (x, y) if sids[x] < sids[y] else (y, x)
+                root[high] = low
     return [(sids[i], sids[top(i)]) for i in range(len(sids)) if top(i) != i]
 
 
@@ -321,14 +294,14 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def classes(docs: DataFrame, percent: int = PERCENT, group: int = GROUP) -> DataFrame:
+def classes(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """Per row of ``docs``: ``key`` (a number of the row in the scan), ``doc_id``,
     ``n_shingles``, ``component_id`` (the smallest id reachable by links, its own included)
     and ``first`` (whether the row is the one that stands for its class).
 
-    Texts of one set are one node however often they occur, copies send their tokens once
-    per task, groups are bounded, and what is compared is two opened groups at a time. No
-    pair of documents is ever a row; a unit returns at most one link per document.
+    Texts of one set are one node however often they occur. A mark is sent once per task,
+    a mark's sets become a star of edges and not pairs, and a family is compared in units
+    of two blocks at most. A unit returns at most one link per document.
 
     A null text, or one without words, has no shingles and stands alone. A row without an
     id has the smallest id it reaches, or null. Rows that repeat an id and text are copies.
@@ -336,48 +309,21 @@ def classes(docs: DataFrame, percent: int = PERCENT, group: int = GROUP) -> Data
     numbered = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("key")
     )
-    sets = stored(numbered.mapInArrow(_described, _SETS), "jaccard-sets")
-    nodes = sets.filter("tokens IS NOT NULL")
-    # Groups: one min-hash each; larger classes are dealt by the hash of their members.
-    crowded = (
-        nodes.select("mh", "sid").groupBy("mh").agg(F.count("*").alias("size")).filter(F.col("size") > group)
-    )
-    crowded = stored(crowded, "jaccard-crowded")
-    share = F.coalesce(F.ceil(F.col("size") / group), F.lit(1))
-    number = F.xxhash64("mh", F.pmod(F.xxhash64("sid"), share)).bitwiseAND(F.lit(~_FRAMES))
-    grouped = nodes.join(crowded, "mh", "left").withColumn("grp", number)
-    matrix = (
-        grouped.select("grp", "sid", "tokens")
-        .repartition("grp")
-        .sortWithinPartitions("grp", "sid")
-        .mapInArrow(_unions, "token long, grp long")
-    )
-    frame = F.col("token").bitwiseAND(F.lit(_FRAMES))
-    times = F.count("*").over(Window.partitionBy("token"))
-    shared = stored(
-        matrix.withColumn("times", times).filter((F.col("times") > 1) | (frame == _FRAMES)).drop("times"),
-        "jaccard-matrix",
-    )
-    # Two groups that may hold a link: their unions overlap by ``half`` in some frame.
-    one = shared.filter(frame != _FRAMES)
-    half = F.element_at(F.array(*[F.lit(int(h)) for h in PLAN["half"]]), (frame + 1).cast("int"))
-    opened = (
-        one.withColumnRenamed("grp", "g")
-        .join(one.withColumnRenamed("grp", "h"), "token")
-        .filter("g < h")
-        .groupBy("g", "h", frame.alias("frame"), half.alias("half"))
-        .count()
-        .filter("count >= half")
-        .select("g", "h")
-        .distinct()
-    )
-    opened = stored(opened.withColumn("unit", F.xxhash64("g", "h")), "jaccard-opened")
-    members = grouped.select("grp", "sid").distinct()
-    sides = opened.select("unit", F.explode(F.array("g", "h")).alias("grp"))
-    inside = shared.filter(frame == _FRAMES).select(
-        F.col("token").alias("unit"), F.col("grp").alias("sid")
+    sets = stored(numbered.mapInArrow(_described, "key long, doc_id long, n long, sid long"), "jaccard-sets")
+    marks = numbered.select("text").mapInArrow(_marked, "mark long, sid long, low long")
+    lowest = F.min("low").over(Window.partitionBy("mark"))
+    edges = marks.select("sid", lowest.alias("low")).filter("sid <> low").distinct()
+    families = components(stored(edges.toDF("a", "b"), "jaccard-edges"))
+    sizes = families.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    own, met = F.pmod(F.xxhash64("node"), F.col("blocks")), F.col("met")
+    units = (
+        families.join(sizes, "root")
+        .select("root", "node", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("met"))
+        .select(
+            F.xxhash64("root", F.least("own", met), F.greatest("own", met)).alias("unit"), F.col("node").alias("sid")
+        )
     )
-    units = stored(sides.join(members, "grp").select("unit", "sid").union(inside), "jaccard-units")
+    units = stored(units, "jaccard-units")
     # The shingles of the documents in some unit, from one text each.
     asked = units.select("sid").distinct()
     texts = sets.join(asked, "sid").groupBy("sid").agg(
@@ -411,8 +357,7 @@ def classes(docs: DataFrame, percent: int = PERCENT, group: int = GROUP) -> Data
     lowest = rooted.groupBy("root").agg(F.min("least").alias("lowest"))
     named = rooted.join(lowest, "root").select(F.col("sid").alias("of"), "lowest")
     return (
-        sets.drop("tokens", "mh")
-        .join(named, sets["sid"] == named["of"], "left")
+        sets.join(named, sets["sid"] == named["of"], "left")
         .select(
             "key",
             "doc_id",
