@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from culvert.functions.payload import Codec
-from culvert.operators.ingest import Handler, Subscription, ingest
+from culvert.operators.ingest import SOURCE, Handler, Subscription, ingest, settled
 from culvert.operators.routing import TopicMapping, route
 
 
@@ -25,11 +25,15 @@ def bridge(
 
     ``source_topic`` is the record's topic, ``topic`` the event's. ``status``
     and ``error`` tell the first stage that failed, of both directions;
-    ``to_outbound`` makes the records to send of the rows that are ``ok``.
+    ``produce`` and ``to_outbound`` make the records to send of the rows that
+    are ``ok``. ``source`` holds the record as it came, for ``build_dlq`` and
+    ``committed_positions``.
     """
-    ingested = ingest(records, subs, handler, fmt, bus_name)
+    ingested = settled(ingest(records, subs, handler, fmt, bus_name))
+    source = [name for name in SOURCE if name in records.columns]
     events = ingested.select(
         *keep,
+        F.struct(*source).alias("source"),
         F.col("topic").alias("source_topic"),
         F.when(F.col("status") == "ok", F.col("bus_topic")).alias("topic"),
         "msg",

@@ -19,6 +19,10 @@ from culvert.functions.payload import Codec, decode_payload
 from culvert.functions.results import Fallible, case, computed_once, quoted, value_and_error
 from culvert.functions.templates import render
 
+# A record's own columns, and what ingest finds out about it.
+SOURCE = ("topic", "partition", "offset", "key", "value", "headers")
+OUTCOME = ("bus_topic", "status", "error")
+
 TopicResolver = Callable[[Column, Column, Column, Column], Fallible]
 Handler = Callable[[Column, Column, Column], Column]
 
@@ -74,14 +78,6 @@ def resolve_topics(df: DataFrame, subs: Sequence[Subscription], bus_name: str =
     return _with_status(_resolve(df, subs), bus_name)
 
 
-def deliver(df: DataFrame, handler: Handler | None = None, bus_name: str = "bus") -> DataFrame:
-    """Run ``handler(bus_topic, msg, fields)`` on the rows that have a bus topic.
-
-    Its text, in ``handler_error``, is the row's error.
-    """
-    return df if handler is None else _with_status(_handle(df, handler), bus_name)
-
-
 def _subscribe(df: DataFrame, subs: Sequence[Subscription]) -> DataFrame:
     first: dict[str, int] = {}
     for i, sub in enumerate(subs):
@@ -143,13 +139,19 @@ def ingest(
     df = _resolve(_subscribe(df, subs), subs)
     if handler is not None:
         df = _handle(df, handler)
-    df = _with_status(df, bus_name).drop("sub_ord", "topic_reason", "handler_error")
-    return computed_once(df, "bus_topic", "status", "error")
+    return _with_status(df, bus_name).drop("sub_ord", "topic_reason", "handler_error")
+
+
+def settled(ingested: DataFrame) -> DataFrame:
+    """The same rows with the outcome computed at this point: a filter on it, made next,
+    does not decode a payload a second time."""
+    return computed_once(ingested, *(name for name in OUTCOME if name in ingested.columns))
 
 
 def bus_events(ingested: DataFrame) -> DataFrame:
     """The delivered events: ``topic, msg, fields`` of the rows that are ``ok``."""
-    return ingested.filter(F.col("status") == "ok").select(F.col("bus_topic").alias("topic"), "msg", "fields")
+    delivered = settled(ingested).filter(F.col("status") == "ok")
+    return delivered.select(F.col("bus_topic").alias("topic"), "msg", "fields")
 
 
 class Outcomes(NamedTuple):
@@ -170,7 +172,7 @@ def split_outcomes(ingested: DataFrame, dlq: bool = True) -> Outcomes:
     Each part reads ``ingested`` again: write several of them from a persisted
     batch, as ``run_ingest`` does.
     """
-    with_all = with_outcome(ingested, dlq)
+    with_all = with_outcome(settled(ingested), dlq)
     parts = (with_all.filter(F.col("outcome") == name).drop("outcome") for name in ("success", "dead_letter", "dropped"))
     return Outcomes(*parts)
 
@@ -186,26 +188,30 @@ def build_dlq(
 
     Key, value and all headers stay as they came, in order; the error, the
     original topic and the time (``as_of``, or now) are appended as headers.
+    Of bridged rows the record is taken from ``source``.
     """
+    bridged = "source" in df.columns
+    own = {name: F.col(f"source.{name}" if bridged else name) for name in ("topic", "key", "value", "headers")}
     if as_of is None:
         as_of = F.current_timestamp()
     moment = (as_of if isinstance(as_of, Column) else F.lit(as_of)).cast("timestamp")
     utc = F.to_utc_timestamp(moment, F.current_timezone())
     added = {
         "error": F.col("error"),
-        "original-topic": F.col("topic"),
+        "original-topic": own["topic"],
         "timestamp": F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
     }
     extra = F.array(*(
         F.struct(F.lit(header_prefix + name).alias("key"), value.cast("binary").alias("value"))
         for name, value in added.items()
     ))
-    original = F.coalesce("headers", F.array().cast(schemas.HEADERS))
-    return df.filter(F.col("error").isNotNull()).select(
+    original = F.coalesce(own["headers"], F.array().cast(schemas.HEADERS))
+    outcome = [name for name in ("status", "error") if name in df.columns]
+    return computed_once(df, *outcome).filter(F.col("error").isNotNull()).select(
         *keep,
         F.lit(topic).alias("topic"),
-        "key",
-        "value",
+        own["key"].alias("key"),
+        own["value"].alias("value"),
         F.concat(original, extra).alias("headers"),
     )
 

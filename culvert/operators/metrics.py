@@ -11,7 +11,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from culvert.functions.results import computed_once
 from culvert.operators.offsets import PARTITION, lag_of
+from culvert.session import written_once
 
 
 @dataclass(frozen=True)
@@ -38,6 +40,9 @@ OPERATION, OPERATION_VALUE = "messaging.operation.name", "send"
 
 DELIVERED = ("ok", "handler_error")
 
+# Bounds of the buckets of a histogram in a report, in seconds.
+BOUNDS = (0.005, 0.01, 0.025, 0.05, 0.1)
+
 
 def consumed_messages(ingested: DataFrame) -> DataFrame:
     """Delivered records per topic, as ``n``; failures do not count."""
@@ -55,7 +60,11 @@ def duration_histogram(df: DataFrame, col: str, by: Sequence[str], bounds: Seque
     ``bucket_0`` counts what lies at or below the first bound, ``bucket_i`` what
     lies above bound i-1 and at or below bound i, the last bucket the rest.
     """
-    value, edges = F.col(col), list(bounds)
+    return df.groupBy(*by).agg(*_distribution(F.col(col), bounds))
+
+
+def _distribution(value: Column, bounds: Sequence[float]) -> list[Column]:
+    edges = list(bounds)
     if edges != sorted(set(edges)):
         raise ValueError("bounds must rise")
     inside = []
@@ -63,13 +72,13 @@ def duration_histogram(df: DataFrame, col: str, by: Sequence[str], bounds: Seque
         above = value > edges[i - 1] if i > 0 else F.lit(True)
         below = value <= edges[i] if i < len(edges) else F.lit(True)
         inside.append(value.isNotNull() & above & below)
-    return df.groupBy(*by).agg(
+    return [
         F.count(value).alias("n"),
         F.sum(value).alias("total"),
         F.min(value).alias("shortest"),
         F.max(value).alias("longest"),
         *(F.count_if(condition).alias(f"bucket_{i}") for i, condition in enumerate(inside)),
-    )
+    ]
 
 
 def process_duration(ingested: DataFrame, col: str, bounds: Sequence[float]) -> DataFrame:
@@ -133,18 +142,33 @@ def metrics_report(
     eligible: Column,
     client: str,
     client_attr: str = "client.name",
+    duration_col: str = "duration_s",
+    bounds: Sequence[float] = BOUNDS,
 ) -> DataFrame:
-    """All counters and gauges in one table: ``name, unit, attributes, value``.
+    """All instruments in one table: ``name, unit, attributes, measure, value``.
 
     Equal to the single functions above, but ``ingested`` and ``results`` are
     each read once: one aggregation per topic, partition and batch feeds every
-    instrument, and the high watermarks join the same grouping as rows.
+    instrument, and the high watermarks join the same grouping as rows. That
+    aggregation is written once. ``measure`` is ``value`` for counters and
+    gauges, and ``count``, ``sum``, ``min``, ``max`` or ``bucket_i`` for histograms;
+    a table without ``duration_col`` has none.
     """
-    per_batch = ingested.groupBy(*PARTITION, batch_col).agg(
-        F.count_if(F.col("status") == "ok").alias("consumed"),
-        F.count_if(F.col("error").isNotNull()).alias("errors"),
-        F.max(eligible).alias("commits"),
-        F.max("offset").alias("last"),
+    outcome = [name for name in ("bus_topic", "status", "error") if name in ingested.columns]
+
+    def duration(df: DataFrame, counts: Column) -> Column:
+        return F.when(counts, F.col(duration_col) if duration_col in df.columns else F.lit(None).cast("double"))
+
+    reached = duration(ingested, F.col("status").isin(*DELIVERED))
+    per_batch = written_once(
+        computed_once(ingested, *outcome).groupBy(*PARTITION, batch_col).agg(
+            F.count_if(F.col("status") == "ok").alias("consumed"),
+            F.count_if(F.col("error").isNotNull()).alias("errors"),
+            F.max(eligible).alias("commits"),
+            F.max("offset").alias("last"),
+            *_distribution(reached, bounds),
+        ),
+        "report",
     )
     consumer = per_batch.select(
         F.inline(F.array(
@@ -159,9 +183,17 @@ def metrics_report(
             _point(LAG, topic=F.col("topic"), partition=F.col("partition"), high=F.col("high_watermark"))
         ))
     )
-    per_topic = results.groupBy("topic").agg(
-        F.count_if(F.col("write_error").isNull()).alias("sent"),
-        F.count_if(F.col("write_error").isNotNull()).alias("refused"),
+    acknowledged = duration(results, F.col("write_error").isNull())
+    per_topic = written_once(
+        results.groupBy("topic").agg(
+            F.count_if(F.col("write_error").isNull()).alias("sent"),
+            F.count_if(F.col("write_error").isNotNull()).alias("refused"),
+            *_distribution(acknowledged, bounds),
+        ),
+        "report",
+    )
+    histograms = _long_form(per_batch, PROCESS_DURATION, bounds).unionByName(
+        _long_form(per_topic, PRODUCE_DURATION, bounds)
     )
     producer = per_topic.select(
         F.inline(F.array(
@@ -183,15 +215,42 @@ def metrics_report(
     is_lag = F.col("name") == LAG.name
     value = F.when(is_lag, lag_of(F.col("high"), F.col("last"))).otherwise(F.col("n").cast("double"))
     # A counter that was never raised has no point; a partition without high watermark was not fetched.
-    points = totals.withColumn("value", value).filter(F.when(is_lag, F.col("high").isNotNull()).otherwise(F.col("n") > 0))
+    points = (
+        totals.withColumn("value", value)
+        .filter(F.when(is_lag, F.col("high").isNotNull()).otherwise(F.col("n") > 0))
+        .select("name", "unit", "topic", "partition", F.lit("value").alias("measure"), "value")
+        .unionByName(histograms)
+    )
     return with_metric_attrs(
         points,
         client,
         topic=F.col("topic"),
         partition=F.col("partition"),
-        sends=F.col("name") == SENT.name,
+        sends=F.col("name").isin(SENT.name, PRODUCE_DURATION.name),
         client_attr=client_attr,
-    ).select("name", "unit", "attributes", "value")
+    ).select("name", "unit", "attributes", "measure", "value")
+
+
+def _long_form(partial: DataFrame, instrument: Instrument, bounds: Sequence[float]) -> DataFrame:
+    """Partial distributions merged per topic, one row per measure; topics without any are left out."""
+    buckets = [f"bucket_{i}" for i in range(len(bounds) + 1)]
+    merged = partial.groupBy("topic").agg(
+        *(F.sum(name).alias(name) for name in ("n", "total", *buckets)),
+        F.min("shortest").alias("shortest"),
+        F.max("longest").alias("longest"),
+    )
+    named = {"count": "n", "sum": "total", "min": "shortest", "max": "longest", **{name: name for name in buckets}}
+    measures = F.array(*(
+        F.struct(F.lit(measure).alias("measure"), F.col(column).cast("double").alias("value"))
+        for measure, column in named.items()
+    ))
+    return merged.filter(F.col("n") > 0).select(
+        F.lit(instrument.name).alias("name"),
+        F.lit(instrument.unit).alias("unit"),
+        "topic",
+        F.lit(None).cast("int").alias("partition"),
+        F.inline(measures),
+    )
 
 
 def _point(instrument: Instrument, **given: Column) -> Column:

@@ -4,47 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from culvert.functions.results import column_named
+from culvert.functions.results import column_named, computed_once
+from culvert.session import written_once
 
 STARTS = ("stored", "earliest", "latest")
 COMMIT_MODES = ("after_process", "periodic")
 
 PARTITION = ["topic", "partition"]
 
-# Position tables of more partitions than this are joined by shuffle instead of broadcast.
-MAX_BROADCAST_PARTITIONS = 1_000_000
-
 
 def resume_from(
     records: DataFrame,
     committed: DataFrame,
     high_watermarks: DataFrame,
     start: str = "stored",
-    max_broadcast_partitions: int = MAX_BROADCAST_PARTITIONS,
 ) -> DataFrame:
     """Records at or after the committed position of their partition.
 
     ``start`` decides for partitions without one: ``earliest`` reads all of it,
     ``latest`` only what lies at or behind the high watermark. ``stored`` names
     no position of its own and begins at the end, as a new streaming query does.
+    A partition in neither table has appeared since: all of it is read.
 
-    There is one position per partition. They are counted and, up to the bound,
-    broadcast, so that neither the records nor a partition that holds much of
-    them is shuffled.
+    There is one position per partition. They are written to the working folder
+    once, so that Spark knows their size when it plans the join: a small table is
+    broadcast, and a large one is joined by shuffle.
     """
     if start not in STARTS:
         raise ValueError(f"start must be one of {STARTS}: {start!r}")
     own = [column_named(name) for name in records.columns]
     if start == "earliest":
         positions = committed.select(*PARTITION, F.col("next_offset").alias("_start"))
-        first = F.coalesce("_start", F.lit(0))
     else:
         positions = high_watermarks.join(committed, PARTITION, "full").select(
             *PARTITION, F.coalesce("next_offset", "high_watermark").alias("_start")
         )
-        first = F.col("_start")
-    if positions.count() <= max_broadcast_partitions:
-        positions = F.broadcast(positions)
+    positions = written_once(positions, "positions")
+    first = F.coalesce("_start", F.lit(0))
     return records.join(positions, PARTITION, "left").filter(F.col("offset") >= first).select(*own)
 
 
@@ -53,12 +49,16 @@ def committed_positions(processed: DataFrame, eligible: Column | None = None, co
 
     With ``after_process`` only rows that are ``eligible`` count. A failed row
     in front of a later eligible one is passed over, since a partition has one
-    position. With ``periodic`` every row counts, whatever became of it.
+    position. With ``periodic`` every row counts, whatever became of it, and
+    nothing but its place is read. Of bridged rows the place is that of ``source``.
     """
     if commit not in COMMIT_MODES:
         raise ValueError(f"commit must be one of {COMMIT_MODES}: {commit!r}")
     if commit == "after_process":
-        processed = processed.filter(F.col("status") == "ok" if eligible is None else eligible)
+        outcome = [name for name in ("status", "error") if name in processed.columns]
+        processed = computed_once(processed, *outcome).filter(F.col("status") == "ok" if eligible is None else eligible)
+    if "source" in processed.columns:
+        processed = processed.select(*(F.col(f"source.{name}") for name in (*PARTITION, "offset")))
     return processed.groupBy(*PARTITION).agg((F.max("offset") + 1).alias("next_offset"))
 
 

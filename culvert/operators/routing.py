@@ -136,21 +136,36 @@ def finish_route(df: DataFrame, default: str) -> DataFrame:
     }).drop("_target", "_key", "_key_error")
 
 
-def to_outbound(routed: DataFrame, fmt: str | Codec = "auto", keep: Sequence[str] = ()) -> DataFrame:
-    """Outbound records of the routed events that are ``ok`` and encode; ``keep`` carries columns along.
+def produce(routed: DataFrame, fmt: str | Codec = "auto") -> DataFrame:
+    """All routed events with their encoded ``value`` and their ``headers``.
 
+    ``status`` tells what becomes of each: ``ok`` events are sent, ``ignored`` ones are
+    not wanted, and those that do not match, have no key or do not encode carry an
+    ``error``. So sent, ignored and failed events add up to the events that came in.
     The headers hold the event's own fields; captured values do not become headers.
     """
-    encoded = encode_payload(routed.filter(F.col("status") == "ok"), fmt)
-    return encoded.filter(F.col("status") == "ok").select(
-        *keep,
-        F.col("kafka_topic").alias("topic"),
-        "key",
-        "value",
-        headers_from(F.col("fields")).alias("headers"),
+    encoded = encode_payload(routed, fmt)
+    headers = F.when(F.col("status") == "ok", headers_from(F.col("fields")))
+    return computed_once(encoded.withColumn("headers", headers), "value", "headers", "status", "error")
+
+
+def sent(produced: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Outbound records of the produced events that are ``ok``; ``keep`` carries columns along."""
+    return produced.filter(F.col("status") == "ok").select(
+        *keep, F.col("kafka_topic").alias("topic"), "key", "value", "headers"
     )
 
 
+def failed(produced: DataFrame) -> DataFrame:
+    """The produced events that could not be sent, with ``status`` and ``error``."""
+    return produced.filter(F.col("error").isNotNull())
+
+
+def to_outbound(routed: DataFrame, fmt: str | Codec = "auto", keep: Sequence[str] = ()) -> DataFrame:
+    """Outbound records of the routed events that are ``ok`` and encode; see ``produce`` for the others."""
+    return sent(produce(routed.filter(F.col("status") == "ok"), fmt), keep)
+
+
 def route_many(df: DataFrame, producers: dict[str, Sequence[TopicMapping]]) -> DataFrame:
     """Route every event through several producers that each ignore what is not theirs.
 

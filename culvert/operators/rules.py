@@ -17,13 +17,16 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 from culvert.functions.patterns import RESERVED
 from culvert.functions.results import column_named
 from culvert.operators.routing import check_default, finish_route
+from culvert.session import written_once
 
-# Beyond these bounds the rules are joined by shuffle instead of broadcast.
+# Up to these bounds the rules are broadcast; beyond them they are joined by shuffle.
 MAX_BROADCAST_RULES = 100_000
 MAX_LOOKUPS = 16
 
-# A topic that is not among so many most frequent ones holds less than one part in so many of the events.
-HOT_TOPICS = 1000
+# The events of one topic are spread over this many keys when they meet their topic's match.
+SALTS = 32
+
+HIT = "struct<mapping_ord:int,_target:string,_key_field:string,_key_level:int,_key_rest:boolean>"
 
 
 def _is_wild(level: Column) -> Column:
@@ -54,14 +57,23 @@ def _masked_topic_for(levels: Column, any_rest: bool, mask: str) -> Column:
 
 
 def shaped_rules(rules: DataFrame) -> DataFrame:
-    """One row per distinct rule form: ``any_rest, mask, masked, ord, kafka_topic``.
+    """One row per distinct rule form: ``any_rest, mask, masked, hit``.
 
     Of rules with equal form only the first can ever match. A ``#`` before the
-    last level matches nothing, so such rules drop out.
+    last level matches nothing, so such rules drop out. ``hit`` is what a match
+    gives: order, target, and where the key is found, if the rules have a column
+    ``key`` (``fields.x``, or null for no key): the level that captures ``x``, the
+    rest behind it for ``#x``, or else the field of that name.
     """
+    key = F.col("key") if "key" in rules.columns else F.lit(None).cast("string")
+    name = F.regexp_replace(key, r"^fields\.", "")
+    last = F.element_at("_levels", -1)
+    captures = F.transform("_levels", lambda level, i: F.when(level == F.concat(F.lit("+"), name), i))
     shaped = (
         rules.withColumn("_levels", F.split("pattern", "/"))
-        .withColumn("any_rest", F.element_at("_levels", -1).startswith("#"))
+        .withColumn("any_rest", last.startswith("#"))
+        .withColumn("_rest", F.coalesce(last == F.concat(F.lit("#"), name), F.lit(False)))
+        .withColumn("_level", F.when(F.col("_rest"), F.size("_levels") - 1).otherwise(F.array_max(captures)))
         .withColumn(
             "_levels",
             F.when(F.col("any_rest"), F.slice("_levels", 1, F.size("_levels") - 1)).otherwise(F.col("_levels")),
@@ -69,10 +81,23 @@ def shaped_rules(rules: DataFrame) -> DataFrame:
         .filter(~F.exists("_levels", lambda level: level.startswith("#")))
         .withColumn("mask", F.array_join(F.transform("_levels", lambda level: F.when(_is_wild(level), "+").otherwise("=")), ""))
         .withColumn("masked", _masked(F.col("_levels"), F.col("any_rest"), lambda level, _: _is_wild(level)))
+        .withColumn(
+            "hit", F.struct(F.col("ord").cast("int"), "kafka_topic", name, F.col("_level").cast("int"), "_rest").cast(HIT)
+        )
     )
-    return shaped.groupBy("any_rest", "mask", "masked").agg(
-        F.min("ord").alias("ord"), F.min_by("kafka_topic", "ord").alias("kafka_topic")
-    )
+    return shaped.groupBy("any_rest", "mask", "masked").agg(F.min_by("hit", "ord").alias("hit"))
+
+
+def _checked(rules: DataFrame) -> DataFrame:
+    """The rules evaluated once; two rules of one order have no first."""
+    rules = written_once(rules, "rules")
+    twice = rules.groupBy("ord").count().filter("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"several rules have ord {twice[0]['ord']}")
+    keys = rules.filter(~F.col("key").startswith("fields.")).limit(1).collect() if "key" in rules.columns else []
+    if keys:
+        raise ValueError(f'a key must read "fields.<name>": {keys[0]["key"]!r}')
+    return rules
 
 
 def _may_match(topic: Column, any_rest: Column, mask: Column) -> Column:
@@ -88,30 +113,35 @@ def route_by_table(
     max_broadcast_rules: int = MAX_BROADCAST_RULES,
     max_lookups: int = MAX_LOOKUPS,
 ) -> DataFrame:
-    """Same columns as ``route``, for rules given as a table; the keys are null.
-
-    The shapes in use and the rules in each are counted first. Few shapes and a
-    bounded number of rules: one broadcast hash lookup per shape, and the events
-    are not shuffled at all. Otherwise: matching of the distinct topics by
-    equi-joins, joined back on the topic; that needs all topics at hand, so a
-    stream must stay within the bounds.
+    """Same columns as ``route``, for rules ``(ord, pattern, kafka_topic[, key])`` given as a table.
+
+    The rules are read once and must differ in ``ord``. Few shapes and a bounded
+    number of rules: one broadcast hash lookup per shape, and the events are not
+    shuffled at all. Otherwise the distinct topics are matched by equi-joins and
+    joined back on the topic. Both ways give the same rows. Since a table may grow
+    from one way into the other, a stream is routed in its micro-batches, as
+    ``run_produce`` does.
     """
     check_default(default)
-    shaped = shaped_rules(rules)
+    if df.isStreaming:
+        raise ValueError("route a stream by a table within its micro-batches: run_produce takes the rules")
+    shaped = shaped_rules(_checked(rules))
     shapes = shaped.groupBy("any_rest", "mask").count().limit(max_lookups + 1).collect()
     if len(shapes) <= max_lookups and sum(shape["count"] for shape in shapes) <= max_broadcast_rules:
         matched = _match_by_lookups(df, shaped, shapes)
-    elif df.isStreaming:
-        raise ValueError("a stream takes no rules beyond max_broadcast_rules and max_lookups")
     else:
         matched = _match_by_topic_join(df, shaped)
-    return finish_route(
-        matched.withColumns({
-            "_key": F.lit(None).cast("binary"),
-            "_key_error": F.lit(None).cast("string"),
-        }),
-        default,
-    )
+    fields = F.col("fields") if "fields" in df.columns else F.lit(None).cast("map<string,string>")
+    levels, level = F.split("topic", "/"), F.col("_key_level")
+    rest = F.array_join(F.slice(levels, level + 1, F.greatest(F.size(levels) - level, F.lit(0))), "/")
+    captured = F.when(F.col("_key_rest"), rest).otherwise(F.get(levels, level))
+    # A field that is not there reads as empty text, so the key is empty, not null.
+    key = F.coalesce(captured, F.try_element_at(fields, F.col("_key_field")), F.lit(""))
+    keyed = matched.withColumns({
+        "_key": F.when(F.col("_key_field").isNotNull(), key).cast("binary"),
+        "_key_error": F.lit(None).cast("string"),
+    })
+    return finish_route(keyed.drop("_key_field", "_key_level", "_key_rest"), default)
 
 
 def _match_by_lookups(df: DataFrame, shaped: DataFrame, shapes: Sequence[Row]) -> DataFrame:
@@ -126,17 +156,14 @@ def _match_by_lookups(df: DataFrame, shaped: DataFrame, shapes: Sequence[Row]) -
             fits & _may_match(topic, F.lit(any_rest), F.lit(mask)), _masked_topic_for(levels, any_rest, mask)
         )
         # Every lookup uses the same rows, so Spark broadcasts them once. Their number passed the bound.
-        rows = shaped.select(
-            F.col("masked").alias(f"_masked_{i}"),
-            F.struct(F.col("ord").alias("mapping_ord"), F.col("kafka_topic").alias("_target")).alias(f"_hit_{i}"),
-        )
+        rows = shaped.select(F.col("masked").alias(f"_masked_{i}"), F.col("hit").alias(f"_hit_{i}"))
         df = df.withColumn(f"_masked_{i}", probe).join(F.broadcast(rows), f"_masked_{i}", "left")
         hits.append(F.col(f"_hit_{i}"))
     if hits:
         first = F.least(*hits) if len(hits) > 1 else hits[0]
     else:
-        first = F.lit(None).cast("struct<mapping_ord:int,_target:string>")
-    return df.withColumn("_hit", first).select(*own, "_hit.mapping_ord", "_hit._target")
+        first = F.lit(None).cast(HIT)
+    return df.withColumn("_hit", first).select(*own, "_hit.*")
 
 
 def _match_by_topic_join(df: DataFrame, shaped: DataFrame) -> DataFrame:
@@ -148,40 +175,33 @@ def _match_by_topic_join(df: DataFrame, shaped: DataFrame) -> DataFrame:
             lambda n: F.struct(F.lit(True).alias("any_rest"), n.alias("n_levels")),
         ),
     )
-    shapes = shaped.select("any_rest", "mask").distinct().withColumn("n_levels", F.length("mask"))
-    topics = df.filter(F.col("topic").isNotNull()).groupBy("topic").agg(F.count("*").alias("_n"))
+    # Masks of one form, in one row each: at most two rows per number of levels, and at
+    # most two to the power of that number in a row, however many rules there are.
+    masks = written_once(
+        shaped.groupBy("any_rest", F.length("mask").alias("n_levels")).agg(F.collect_set("mask").alias("masks")), "masks"
+    )
+    topics = df.filter(F.col("topic").isNotNull()).select("topic").distinct()
     matches = (
         topics.withColumn("_levels", F.split("topic", "/"))
         .select("topic", "_levels", F.inline(forms))
-        .join(shapes, ["any_rest", "n_levels"])
+        .join(F.broadcast(masks), ["any_rest", "n_levels"])
+        .select("topic", "_levels", "any_rest", F.explode("masks").alias("mask"))
         .filter(_may_match(F.col("topic"), F.col("any_rest"), F.col("mask")))
         .withColumn("masked", _masked_topic(F.col("_levels"), F.col("any_rest"), F.col("mask")))
-        .join(shaped.select("masked", "ord", "kafka_topic"), "masked")
+        .join(shaped.select("masked", "hit"), "masked")
         .groupBy("topic")
-        .agg(F.min("ord").alias("mapping_ord"), F.min_by("kafka_topic", "ord").alias("_target"))
+        .agg(F.min("hit").alias("_hit"))
     )
-    return _join_by_topic(df, topics, matches)
-
+    return _join_by_topic(df, written_once(matches, "matches"))
 
-def _join_by_topic(df: DataFrame, topics: DataFrame, matches: DataFrame) -> DataFrame:
-    """Left join of the events with their topic's match, whatever share of them one topic holds.
 
-    The most frequent topics, matched or not, are looked up by broadcast; their
-    number is fixed. Their events still pass the join for the other topics, but
-    spread by the task they come from instead of by topic.
-    """
+def _join_by_topic(df: DataFrame, matches: DataFrame) -> DataFrame:
+    """Left join of the events with their topic's match, whatever share of them one topic
+    holds: each match stands under ``SALTS`` keys, and an event takes one by its place."""
     own = [column_named(name) for name in df.columns]
-    hit = F.struct("mapping_ord", "_target")
-    hot = (
-        topics.orderBy(F.desc("_n"), "topic").limit(HOT_TOPICS).join(matches, "topic", "left").select("topic", hit.alias("_hot"))
-    )
-    cold = matches.select(F.col("topic").alias("_key"), hit.alias("_cold"))
-    spread = F.concat(F.lit("\0"), F.spark_partition_id().cast("string"))
-    found = F.col("_hot").isNotNull()
-    return (
-        df.join(F.broadcast(hot), "topic", "left")
-        .withColumn("_key", F.when(found | F.col("topic").isNull(), spread).otherwise(F.col("topic")))
-        .join(cold, "_key", "left")
-        .withColumn("_hit", F.when(found, F.col("_hot")).otherwise(F.col("_cold")))
-        .select(*own, "_hit.mapping_ord", "_hit._target")
-    )
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salted = matches.select(F.col("topic").alias("_of"), "_hit", salts.alias("_salt_of"))
+    place = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    spread = df.withColumn("_salt", place)
+    same = (spread["topic"] == salted["_of"]) & (spread["_salt"] == salted["_salt_of"])
+    return spread.join(salted, same, "left").select(*own, "_hit.*")

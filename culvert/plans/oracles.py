@@ -82,18 +82,18 @@ INGESTED = ",".join([REC, FIELDS, MSG, ING])
 BUS = """
 bus AS (
   SELECT event_id, user_id,
-    CASE event_type WHEN 'click' THEN 'sensor/' || user_id || '/reading' WHEN 'view' THEN 'sensor/' || user_id
+    CASE event_type WHEN 'click' THEN 'meter/' || user_id || '/level' WHEN 'view' THEN 'meter/' || user_id
       WHEN 'purchase' THEN 'shop/eu/purchase/' || user_id WHEN 'signup' THEN '$SYS/' || user_id || '/signup'
-      ELSE 'alerts/critical' END AS topic,
+      ELSE 'gate/open' END AS topic,
     CASE event_id % 4 WHEN 0 THEN 'null' WHEN 1 THEN 'string' WHEN 2 THEN 'bytes' ELSE 'json' END AS kind,
     props,
     CASE WHEN event_id % 5 <> 0 THEN 'r' || (user_id % 3) END AS region,
-    CASE WHEN event_id % 5 <> 0 THEN 'should-be-overridden' END AS device,
+    CASE WHEN event_id % 5 <> 0 THEN 'given' END AS device,
     value / 1000 AS duration_s
   FROM events)"""
 
 # The bus events' own fields as headers, ordered by key.
-BUS_HEADERS = "CASE WHEN region IS NULL THEN '' ELSE 'deviceId=' || hex(encode(device)) || '|region=' || hex(encode(region)) END"
+BUS_HEADERS = "CASE WHEN region IS NULL THEN '' ELSE 'meterId=' || hex(encode(device)) || '|region=' || hex(encode(region)) END"
 
 
 def mapped(rules: list[tuple[int, str, bool, str, str]], default: str, key_error: str = "false") -> str:
@@ -128,10 +128,10 @@ routed AS (
 
 NO_KEY = "CAST(NULL AS VARCHAR)"
 REGION_KEY = "coalesce(region, '')"
-DEVICE = (0, "sensor/[^/]*/reading", False, "sensor.readings", "split_part(topic, '/', 2)")
-SENSORS = (1, "sensor(/.*)?", False, "sensors", NO_KEY)
+DEVICE = (0, "meter/[^/]*/level", False, "meter.levels", "split_part(topic, '/', 2)")
+SENSORS = (1, "meter(/.*)?", False, "meters", NO_KEY)
 SHOP = (2, "shop/[^/]*/purchase/[^/]*", False, "shop.purchases", REGION_KEY)
-SHADOWED = (3, "sensor/[^/]*/reading", False, "shadowed", NO_KEY)
+SHADOWED = (3, "meter/[^/]*/level", False, "shadowed", NO_KEY)
 SIGNUPS = (4, "[^/]*/[^/]*/signup", True, "signups", NO_KEY)
 OPS = (5, "ops(/.*)?", False, "", NO_KEY)
 MAPPINGS = [DEVICE, SENSORS, SHOP, SHADOWED, SIGNUPS, OPS]
@@ -175,17 +175,18 @@ watermarks AS (
 committed AS (SELECT topic, part, n // 2 AS next_offset FROM sizes WHERE part < 2),
 lag AS (
   SELECT w.topic, w.part, CAST(CASE WHEN n IS NULL THEN 0 ELSE greatest(high_watermark - n, 0) END AS DOUBLE) AS lag
-  FROM watermarks w LEFT JOIN sizes s ON s.topic = w.topic AND s.part = w.part)"""
+  FROM watermarks w LEFT JOIN sizes s ON s.topic = w.topic AND s.part = w.part),
+early AS (SELECT topic, part, n * 3 // 4 AS high_watermark FROM sizes WHERE part < 3)"""
 
 
-def resumed(first: str) -> str:
+def resumed(first: str, watermarks: str = "watermarks") -> str:
     return with_(
         REC,
         POSITIONS,
         select=f"""SELECT event_id, rec.topic, rec.part, off FROM rec
 LEFT JOIN committed c ON c.topic = rec.topic AND c.part = rec.part
-LEFT JOIN watermarks w ON w.topic = rec.topic AND w.part = rec.part
-WHERE off >= {first}""",
+LEFT JOIN {watermarks} w ON w.topic = rec.topic AND w.part = rec.part
+WHERE off >= coalesce({first}, 0)""",
     )
 
 
@@ -272,14 +273,14 @@ dead AS (
 
 ROUTE_MANY = with_(
     BUS,
-    select="""SELECT event_id, 'sensors' AS producer, CASE WHEN topic LIKE 'sensor/%/reading' THEN 'sensor.readings' ELSE 'sensors' END AS kafka_topic,
-  CASE WHEN topic LIKE 'sensor/%/reading' THEN hex(encode(split_part(topic, '/', 2))) END AS key_hex, 'ok' AS status
-FROM bus WHERE topic LIKE 'sensor/%'
+    select="""SELECT event_id, 'meters' AS producer, CASE WHEN topic LIKE 'meter/%/level' THEN 'meter.levels' ELSE 'meters' END AS kafka_topic,
+  CASE WHEN topic LIKE 'meter/%/level' THEN hex(encode(split_part(topic, '/', 2))) END AS key_hex, 'ok' AS status
+FROM bus WHERE topic LIKE 'meter/%'
 UNION ALL SELECT event_id, 'shop', 'shop.purchases', hex(encode(coalesce(region, ''))), 'ok' FROM bus WHERE topic LIKE 'shop/%/purchase/%'
 UNION ALL SELECT event_id, 'audit', 'audit', NULL, 'ok' FROM bus WHERE NOT starts_with(topic, '$')""",
 )
 
-# A rule per user: sensor/<id>/+ where the id leaves 0 by 3, shop/+/purchase/<id> where it leaves 1.
+# A rule per user: meter/<id>/+ where the id leaves 0 by 3, shop/+/purchase/<id> where it leaves 1.
 BY_USER = with_(
     BUS,
     select="""SELECT event_id, topic, mapping_ord, kafka_topic, CASE WHEN kafka_topic IS NULL THEN 'unmatched' ELSE 'ok' END AS status,
@@ -287,9 +288,9 @@ BY_USER = with_(
     || '" and default_topic_transform is error' END AS error
 FROM (
   SELECT event_id, topic,
-    CASE WHEN user_id % 3 = 0 AND topic LIKE 'sensor/%/reading' THEN user_id
+    CASE WHEN user_id % 3 = 0 AND topic LIKE 'meter/%/level' THEN user_id
       WHEN user_id % 3 = 1 AND topic LIKE 'shop/%' THEN user_id END AS mapping_ord,
-    CASE WHEN user_id % 3 = 0 AND topic LIKE 'sensor/%/reading' THEN 'device.' || user_id
+    CASE WHEN user_id % 3 = 0 AND topic LIKE 'meter/%/level' THEN 'device.' || user_id
       WHEN user_id % 3 = 1 AND topic LIKE 'shop/%' THEN 'buyer.' || user_id END AS kafka_topic
   FROM bus)""",
 )
@@ -307,6 +308,96 @@ bridged AS (
   FROM ingested)"""
 
 
+# The bridge without fallback: what matches no mapping fails, as an event of the bus topic.
+STRICT_BRIDGE = """
+strict AS (
+  SELECT * REPLACE (CASE WHEN lost THEN 'unmatched' ELSE status END AS status,
+    CASE WHEN lost THEN 'kafka producer: no topic mapping matched for topic "' || bus_topic
+      || '" and default_topic_transform is error' ELSE error END AS error)
+  FROM (SELECT b.*, i.key_text AS own_key, i.headers_text, b.status = 'ok' AND starts_with(b.bus_topic, 'user/') AS lost,
+      i.part, i.off, i.topic FROM bridged b JOIN ingested i USING (event_id))),
+strict_dead AS (
+  SELECT event_id, hex(encode(own_key)) AS key_hex, hex(encode(val)) AS value_hex,
+    coalesce(headers_text || '|', '') || 'dlq-error=' || hex(encode(error))
+      || '|dlq-original-topic=' || hex(encode(source_topic)) AS headers_text
+  FROM strict WHERE error IS NOT NULL),
+strict_sent AS (
+  SELECT kafka_topic AS topic, hex(encode(key_text)) AS key_hex,
+    CASE kind WHEN 'json' THEN hex(encode(json_text)) WHEN 'string' THEN hex(encode(text)) END AS value_hex,
+    coalesce(out_headers, '') AS headers_text FROM strict WHERE status = 'ok')"""
+
+# All statuses of MAPPINGS_ALL in format bytes.
+OUTCOMES = ",".join([
+    BUS,
+    mapped(
+        [DEVICE, (1, "meter(/.*)?", False, "", NO_KEY), *MAPPINGS[2:]],
+        "error",
+        "topics.ord = 0 AND ends_with(split_part(topic, '/', 2), '0')",
+    ),
+    f"""
+outcomes AS (
+  SELECT event_id, topic, kafka_topic, key_hex,
+    CASE WHEN status = 'ok' AND kind <> 'json' THEN {AUTO_VALUE} END AS value_hex,
+    CASE WHEN status = 'ok' AND kind <> 'json' THEN {BUS_HEADERS} ELSE '' END AS headers_text,
+    CASE WHEN status = 'ok' AND kind = 'json' THEN 'serialize_error' ELSE status END AS status,
+    CASE WHEN status = 'ok' AND kind = 'json' THEN 'kafka producer: serialize payload: bytes format needs bytes or string'
+      ELSE error END AS error
+  FROM routed)""",
+])
+
+TEXTS = """
+texts AS (
+  SELECT 'documents' AS src, doc_id AS id, text FROM documents
+  UNION ALL SELECT 'pages', page_id, html FROM pages
+  UNION ALL SELECT 'conversations', conv_id * 1000 + turn, text FROM conversations)"""
+
+# The rule of each user for topics meter/<user>[/level], in 24 shapes by the id; the lowest id that fits counts.
+BY_SHAPE = with_(
+    BUS,
+    select="""SELECT event_id, topic, mapping_ord, kafka_topic,
+  CASE WHEN mapping_ord IS NULL THEN NULL ELSE hex(encode(
+    CASE WHEN (mapping_ord % 24) & 2 > 0
+      THEN CASE WHEN (mapping_ord % 24) & 4 > 0 AND (mapping_ord % 24) // 8 <> 1
+        THEN split_part(topic, '/', 3) ELSE split_part(topic, '/', 2) END
+      ELSE coalesce(region, '') END)) END AS key_hex,
+  CASE WHEN mapping_ord IS NULL THEN 'ignored' ELSE 'ok' END AS status
+FROM (
+  SELECT bus.*, CAST(m.ord AS INTEGER) AS mapping_ord, CASE WHEN m.ord IS NULL THEN '' ELSE 'user.' || m.ord END AS kafka_topic
+  FROM bus LEFT JOIN (
+    SELECT topic, min(ord) AS ord FROM (SELECT DISTINCT topic FROM bus) JOIN (
+      SELECT ord, '^' || CASE kind WHEN 0 THEN a || '/' || b || '/' || c
+          WHEN 1 THEN a || '/' || b || '(/.*)?' ELSE a || '/' || b || '/' || c || '(/.*)?' END || '$' AS re, wild
+      FROM (
+        SELECT DISTINCT user_id AS ord, (user_id % 24) // 8 AS kind, (user_id % 24) & 1 > 0 AS wild,
+          CASE WHEN (user_id % 24) & 1 > 0 THEN '[^/]*' ELSE 'meter' END AS a,
+          CASE WHEN (user_id % 24) & 2 > 0 THEN '[^/]*' ELSE CAST(user_id AS VARCHAR) END AS b,
+          CASE WHEN (user_id % 24) & 4 > 0 THEN '[^/]*' ELSE 'reading' END AS c
+        FROM events)) ON regexp_matches(topic, re) AND NOT (wild AND starts_with(topic, '$'))
+    GROUP BY topic) m USING (topic))""",
+)
+
+
+def measures(name: str, unit: str, attributes_text: str, source: str, condition: str) -> str:
+    """A histogram per topic, one row per measure."""
+    d = "duration_s"
+    rows = {
+        "count": "count(*)",
+        "sum": f"round(sum({d}), 6)",
+        "min": f"min({d})",
+        "max": f"max({d})",
+        "bucket_0": f"count(*) FILTER ({d} <= 0.005)",
+        "bucket_1": f"count(*) FILTER ({d} > 0.005 AND {d} <= 0.01)",
+        "bucket_2": f"count(*) FILTER ({d} > 0.01 AND {d} <= 0.025)",
+        "bucket_3": f"count(*) FILTER ({d} > 0.025 AND {d} <= 0.05)",
+        "bucket_4": f"count(*) FILTER ({d} > 0.05 AND {d} <= 0.1)",
+        "bucket_5": f"count(*) FILTER ({d} > 0.1)",
+    }
+    return "\nUNION ALL ".join(
+        f"SELECT '{name}', '{unit}', {attributes_text}, '{measure}', {value} FROM {source} WHERE {condition} GROUP BY topic"
+        for measure, value in rows.items()
+    )
+
+
 def attributes(**named: str) -> str:
     """JSON text of the attribute map, keys in order; a value is a SQL expression."""
     pairs = " || ',' || ".join(f"'\"{name}\":\"' || {value} || '\"'" for name, value in sorted(named.items()))
@@ -323,17 +414,19 @@ REPORT = with_(
     POSITIONS,
     OUTBOUND,
     select=f"""SELECT 'messaging.client.consumed.messages' AS name, '{{message}}' AS unit,
-  {attributes(**PER_TOPIC)} AS attributes_text, CAST(count(*) AS DOUBLE) AS value
+  {attributes(**PER_TOPIC)} AS attributes_text, 'value' AS measure, CAST(count(*) AS DOUBLE) AS value
 FROM ingested WHERE status = 'ok' GROUP BY topic
-UNION ALL SELECT 'kafka.consumer.errors', '{{error}}', {attributes(**PER_TOPIC)}, count(*)
+UNION ALL SELECT 'kafka.consumer.errors', '{{error}}', {attributes(**PER_TOPIC)}, 'value', count(*)
 FROM ingested WHERE status <> 'ok' GROUP BY topic
-UNION ALL SELECT 'kafka.consumer.lag', '{{message}}', {attributes(**PER_PARTITION)}, lag FROM lag
-UNION ALL SELECT 'kafka.consumer.commits', '{{operation}}', {attributes(**ALWAYS)}, count(DISTINCT batch_id)
+UNION ALL SELECT 'kafka.consumer.lag', '{{message}}', {attributes(**PER_PARTITION)}, 'value', lag FROM lag
+UNION ALL SELECT 'kafka.consumer.commits', '{{operation}}', {attributes(**ALWAYS)}, 'value', count(DISTINCT batch_id)
 FROM ingested WHERE status = 'ok'
-UNION ALL SELECT 'messaging.client.sent.messages', '{{message}}', {attributes(**SEND)}, count(*)
+UNION ALL SELECT 'messaging.client.sent.messages', '{{message}}', {attributes(**SEND)}, 'value', count(*)
 FROM outbound WHERE NOT refused GROUP BY topic
-UNION ALL SELECT 'kafka.producer.errors', '{{error}}', {attributes(**PER_TOPIC)}, count(*)
-FROM outbound WHERE refused GROUP BY topic""",
+UNION ALL SELECT 'kafka.producer.errors', '{{error}}', {attributes(**PER_TOPIC)}, 'value', count(*)
+FROM outbound WHERE refused GROUP BY topic
+UNION ALL {measures("messaging.process.duration", "s", attributes(**PER_TOPIC), "ingested", "status IN ('ok', 'handler_error')")}
+UNION ALL {measures("messaging.client.operation.duration", "s", attributes(**SEND), "outbound", "NOT refused")}""",
 )
 
 STREAM_COUNTS = with_(
@@ -350,11 +443,12 @@ ORACLES: dict[str, str] = {
     ),
     "log_round_trip": with_(
         OUTBOUND,
-        select="""SELECT topic, key_hex, value_hex, headers_text FROM outbound WHERE topic IN ('shop.purchases', 'sensors')""",
+        select="""SELECT topic, key_hex, value_hex, headers_text FROM outbound WHERE topic IN ('shop.purchases', 'meters')""",
     ),
     "resume_stored": resumed("coalesce(next_offset, high_watermark)"),
     "resume_earliest": resumed("coalesce(next_offset, 0)"),
     "resume_latest": resumed("coalesce(next_offset, high_watermark)"),
+    "resume_new_partition": resumed("coalesce(next_offset, high_watermark)", "early"),
     "committed_positions": positions("status = 'ok'"),
     "committed_positions_dlq": positions("true"),
     "committed_positions_periodic": positions("true"),
@@ -423,32 +517,32 @@ FROM rec LEFT JOIN fields USING (event_id) LEFT JOIN header_text USING (event_id
     "dlq_records": with_(
         INGESTED, DLQ, select="SELECT event_id, 'app.dlq' AS topic, key_hex, value_hex, headers_text FROM dead"
     ),
-    "route_exact": routed([*MAPPINGS, (6, "alerts/critical", False, "alerts", NO_KEY)]),
+    "route_exact": routed([*MAPPINGS, (6, "gate/open", False, "gates", NO_KEY)]),
     "route_plus": routed(renumbered(SHOP, SHADOWED), "ignore"),
     "route_hash": routed(renumbered(SENSORS), "ignore"),
     "route_reserved": routed([*MAPPINGS, (6, "\\$SYS(/.*)?", False, "sys", NO_KEY)]),
     "route_capture": with_(
         BUS,
         select="""SELECT event_id,
-  CASE WHEN topic LIKE 'sensor/%/reading' THEN '{"deviceId":"' || user_id || '"}' END AS device_text,
+  CASE WHEN topic LIKE 'meter/%/level' THEN '{"meterId":"' || user_id || '"}' END AS device_text,
   CASE WHEN topic LIKE 'shop/%' THEN '{"region":"eu","rest":"purchase/' || user_id || '"}' END AS purchase_text FROM bus""",
     ),
     "route_first_match": routed(MAPPINGS, "slash_to_dot"),
     "route_field_merge": with_(
         BUS,
         select="""SELECT event_id,
-  CASE WHEN topic LIKE 'sensor/%/reading' THEN '{"deviceId":"' || user_id || '"'
+  CASE WHEN topic LIKE 'meter/%/level' THEN '{"meterId":"' || user_id || '"'
     || coalesce(',"region":"' || region || '"', '') || '}' END AS merged_text,
-  '{"deviceId":"' || device || '","region":"' || region || '"}' AS fields_text FROM bus""",
+  '{"meterId":"' || device || '","region":"' || region || '"}' AS fields_text FROM bus""",
     ),
-    "route_key": routed(renumbered(DEVICE, SHOP, (2, "alerts(/.*)?", False, "alerts", REGION_KEY)), "ignore"),
+    "route_key": routed(renumbered(DEVICE, SHOP, (2, "gate(/.*)?", False, "gates", REGION_KEY)), "ignore"),
     "route_key_error": routed(
         MAPPINGS, key_error="topics.ord = 0 AND ends_with(split_part(topic, '/', 2), '0')"
     ),
     "fallback_error": routed(MAPPINGS),
     "fallback_slash_to_dot": routed(renumbered(SIGNUPS, OPS), "slash_to_dot"),
     "fallback_ignore": routed(MAPPINGS, "ignore"),
-    "route_empty_target": routed([DEVICE, (1, "sensor(/.*)?", False, "", NO_KEY), *MAPPINGS[2:]]),
+    "route_empty_target": routed([DEVICE, (1, "meter(/.*)?", False, "", NO_KEY), *MAPPINGS[2:]]),
     "fields_to_headers": with_(BUS, select=f"SELECT event_id, {BUS_HEADERS} AS headers_text FROM bus"),
     "produced_records": with_(OUTBOUND, select="SELECT event_id, topic, key_hex, value_hex, headers_text FROM outbound"),
     "route_rule_table": with_(
@@ -457,13 +551,34 @@ FROM rec LEFT JOIN fields USING (event_id) LEFT JOIN header_text USING (event_id
         select="SELECT event_id, topic, mapping_ord, kafka_topic, status FROM routed",
     ),
     "route_rule_table_by_user": BY_USER,
+    "route_rule_table_keyed": routed(MAPPINGS, "slash_to_dot"),
+    "route_rule_table_shapes": BY_SHAPE,
     "route_many": ROUTE_MANY,
+    "produce_outcomes": with_(
+        OUTCOMES, select="SELECT event_id, kafka_topic, key_hex, value_hex, headers_text, status, error FROM outcomes"
+    ),
+    "decode_texts": with_(
+        TEXTS,
+        select="""SELECT src, id, CASE WHEN text IS NULL THEN 'null' WHEN json_valid(text) AND json_type(text) <> 'VARCHAR' THEN 'json'
+  ELSE 'string' END AS kind, CASE WHEN NOT json_valid(text) THEN md5(text)
+  WHEN json_type(text) = 'VARCHAR' THEN md5(json_extract_string(text, '$')) END AS text_md5, false AS decode_failed FROM texts""",
+    ),
+    "encode_texts": with_(
+        TEXTS,
+        select="""SELECT src, id, md5(CAST(to_json(text) AS VARCHAR)) AS value_md5, 'string' AS kind, md5(text) AS text_md5 FROM texts""",
+    ),
     "m_consumed": with_(INGESTED, select="SELECT topic, count(*) AS n FROM ingested WHERE status = 'ok' GROUP BY topic"),
     "m_consumer_errors": with_(
         INGESTED, select="SELECT topic, count(*) AS n FROM ingested WHERE status <> 'ok' GROUP BY topic"
     ),
     "m_process_duration": histogram("ingested", "status IN ('ok', 'handler_error')", INGESTED),
     "m_lag": with_(REC, POSITIONS, select="SELECT topic, part, lag FROM lag"),
+    "m_lag_stale": with_(
+        REC,
+        POSITIONS,
+        select="""SELECT e.topic, e.part, CAST(greatest(high_watermark - n, 0) AS DOUBLE) AS lag
+FROM early e JOIN sizes s ON s.topic = e.topic AND s.part = e.part""",
+    ),
     "m_commits": with_(INGESTED, select="SELECT count(DISTINCT batch_id) AS n FROM ingested WHERE status = 'ok'"),
     "m_commits_dlq": with_(INGESTED, select="SELECT count(DISTINCT batch_id) AS n FROM ingested"),
     "m_sent": with_(OUTBOUND, select="SELECT topic, count(*) AS n FROM outbound WHERE NOT refused GROUP BY topic"),
@@ -483,6 +598,41 @@ FROM rec LEFT JOIN fields USING (event_id) LEFT JOIN header_text USING (event_id
     "stream_running_counts": with_(
         INGESTED, select="SELECT topic, status, count(*) AS n FROM ingested GROUP BY topic, status"
     ),
+    "stream_produce_failures": with_(
+        OUTCOMES,
+        select="""SELECT CASE WHEN status <> 'ok' THEN event_id END AS event_id,
+  CASE WHEN status = 'ok' THEN kafka_topic ELSE topic END AS topic, status, error,
+  CASE WHEN status = 'ok' THEN key_hex END AS key_hex, value_hex FROM outcomes WHERE status <> 'ignored'""",
+    ),
+    "stream_progress": with_(
+        INGESTED,
+        select="""SELECT 'polled' AS what, count(*) AS n FROM ingested
+UNION ALL SELECT 'delivered', count(*) FROM ingested WHERE status = 'ok'
+UNION ALL SELECT 'failed', count(*) FROM ingested WHERE status <> 'ok'
+UNION ALL SELECT 'undecoded', 0""",
+    ),
+    "stream_restart": with_(OUTBOUND, select="SELECT topic, key_hex, value_hex, headers_text FROM outbound"),
+    "stream_bridge": with_(
+        INGESTED,
+        BRIDGED,
+        STRICT_BRIDGE,
+        select="""SELECT topic, key_hex, value_hex, headers_text FROM strict_sent
+UNION ALL SELECT 'app.dlq', key_hex, value_hex, headers_text FROM strict_dead""",
+    ),
+    "bridge_dlq": with_(
+        INGESTED,
+        BRIDGED,
+        STRICT_BRIDGE,
+        select="""SELECT event_id, 'app.dlq' AS topic, key_hex, value_hex,
+  headers_text || '|dlq-timestamp=' || hex(encode('2026-01-02T03:04:05Z')) AS headers_text FROM strict_dead""",
+    ),
+    "bridge_positions": with_(
+        INGESTED,
+        BRIDGED,
+        STRICT_BRIDGE,
+        select="""SELECT topic, part, CAST(max(off) + 1 AS BIGINT) AS next_offset FROM strict
+WHERE status = 'ok' GROUP BY topic, part""",
+    ),
     "bridge_counts": with_(
         INGESTED,
         BRIDGED,

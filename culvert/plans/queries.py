@@ -21,13 +21,13 @@ from culvert.operators import routing as r
 from culvert.operators.bridge import bridge
 from culvert.operators.rules import route_by_table
 from culvert.plans import tables as t
-from culvert.session import work_dir
+from culvert.session import work_dir, written_once
 from culvert.sources.records import ParquetLog, read_records, subscribed, write_records
 from culvert.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-BOUNDS = [0.005, 0.01, 0.025, 0.05, 0.1]
+BOUNDS = m.BOUNDS
 CLIENT = "main"
 DLQ_TOPIC = "app.dlq"
 AS_OF = "2026-01-02T03:04:05Z"
@@ -74,15 +74,16 @@ def log_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records written to a log laid out by topic, of which some topics are read back."""
     log = ParquetLog(work_dir(spark, "log"), schemas.OUTBOUND, by_topic=True)
     write_records(r.to_outbound(r.route(_bus(spark, sf_dir), t.MAPPINGS, "ignore")), log)
-    return read_records(spark, log, ["shop.purchases", "sensors", "nobody"]).select(
+    return read_records(spark, log, ["shop.purchases", "meters", "nobody"]).select(
         "topic", hex_of("key").alias("key_hex"), hex_of("value").alias("value_hex"), headers_text("headers").alias("headers_text")
     )
 
 
-def _resumed(start: str) -> Query:
+def _resumed(start: str, watermarks: Callable[[DataFrame], DataFrame] = t.high_watermarks) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         events = t.events(spark, sf_dir)
-        resumed = o.resume_from(t.records(events), t.committed(events), t.high_watermarks(events), start)
+        sizes = written_once(t.partition_sizes(events), "sizes")
+        resumed = o.resume_from(t.records(events), t.committed(sizes), watermarks(sizes), start)
         return resumed.select("event_id", "topic", F.col("partition").alias("part"), F.col("offset").alias("off"))
 
     return query
@@ -248,14 +249,14 @@ def route_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = F.col("topic")
     return (
         _bus(spark, sf_dir)
-        .withColumn("device", extract_fields("sensor/+deviceId/reading", topic))
+        .withColumn("device", extract_fields("meter/+meterId/level", topic))
         .withColumn("purchase", extract_fields("shop/+region/#rest", topic))
         .select("event_id", map_text("device").alias("device_text"), map_text("purchase").alias("purchase_text"))
     )
 
 
 def route_field_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = r.merged_fields(_bus(spark, sf_dir), "sensor/+deviceId/reading")
+    merged = r.merged_fields(_bus(spark, sf_dir), "meter/+meterId/level")
     return merged.select("event_id", map_text("merged_fields").alias("merged_text"), map_text("fields").alias("fields_text"))
 
 
@@ -292,7 +293,7 @@ def route_rule_table_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routed.select("event_id", "topic", "mapping_ord", "kafka_topic", "status", "error")
 
 
-PRODUCERS = {"sensors": t.MAPPINGS[:2], "shop": [t.MAPPINGS[2]], "audit": [r.TopicMapping("#", "audit")]}
+PRODUCERS = {"meters": t.MAPPINGS[:2], "shop": [t.MAPPINGS[2]], "audit": [r.TopicMapping("#", "audit")]}
 
 
 def route_many(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,10 +321,13 @@ def m_process_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(m.process_duration(_ingested(_plain(spark, sf_dir)), "duration_s", BOUNDS))
 
 
-def m_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = t.events(spark, sf_dir)
-    lag = o.consumer_lag(t.records(events), t.high_watermarks(events))
-    return lag.select("topic", F.col("partition").alias("part"), "lag")
+def _lag(watermarks: Callable[[DataFrame], DataFrame]) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        events = t.events(spark, sf_dir)
+        lag = o.consumer_lag(t.records(events), watermarks(t.partition_sizes(events)))
+        return lag.select("topic", F.col("partition").alias("part"), "lag")
+
+    return query
 
 
 def m_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -361,13 +365,74 @@ def m_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = t.events(spark, sf_dir)
     report = m.metrics_report(
         _ingested(t.records(events)),
-        t.high_watermarks(events),
+        t.high_watermarks(t.partition_sizes(events)),
         _results(spark, sf_dir),
         "batch_id",
         i.commit_eligible(dlq=False),
         CLIENT,
     )
-    return report.select("name", "unit", map_text("attributes").alias("attributes_text"), "value")
+    value = F.when(F.col("measure") == "sum", F.round("value", 6)).otherwise(F.col("value"))
+    return report.select(
+        "name", "unit", map_text("attributes").alias("attributes_text"), "measure", value.alias("value")
+    )
+
+
+# Texts as payloads: quotes, line ends, brackets and several languages.
+
+
+def decode_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = t.texts(spark, sf_dir).withColumn("value", F.col("text").cast("binary"))
+    msg = F.col("msg")
+    return decode_payload(records).select(
+        "src", "id", msg["kind"].alias("kind"), F.md5(msg["text"].cast("binary")).alias("text_md5"), "decode_failed"
+    )
+
+
+def encode_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each text encoded as JSON, and decoded again."""
+    events = t.texts(spark, sf_dir).withColumn("msg", message("string", text=F.col("text")))
+    encoded = encode_payload(events, "json").drop("msg")
+    again = decode_payload(encoded, "json")
+    return again.select(
+        "src",
+        "id",
+        F.md5("value").alias("value_md5"),
+        F.col("msg.kind").alias("kind"),
+        F.md5(F.col("msg.text").cast("binary")).alias("text_md5"),
+    )
+
+
+# What becomes of produced events.
+
+
+def _produced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return r.produce(r.route(_bus(spark, sf_dir), t.MAPPINGS_ALL), "bytes")
+
+
+def produce_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _produced(spark, sf_dir).select(
+        "event_id",
+        "kafka_topic",
+        hex_of("key").alias("key_hex"),
+        hex_of("value").alias("value_hex"),
+        headers_text("headers").alias("headers_text"),
+        "status",
+        "error",
+    )
+
+
+def route_rule_table_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    routed = route_by_table(_bus(spark, sf_dir), t.rules_of(spark, t.MAPPINGS), "slash_to_dot")
+    return routed.select(
+        "event_id", "topic", "mapping_ord", "kafka_topic", hex_of("key").alias("key_hex"), "status", "error"
+    )
+
+
+def route_rule_table_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules in more shapes than are looked up one by one: matched by joins."""
+    events = t.events(spark, sf_dir)
+    routed = route_by_table(t.bus_events(events), t.shaped_user_rules(events), "ignore")
+    return routed.select("event_id", "topic", "mapping_ord", "kafka_topic", hex_of("key").alias("key_hex"), "status")
 
 
 # Streams: each runs over the files there are, and its result is read back.
@@ -413,7 +478,100 @@ def stream_running_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = work_dir(spark, "counts")
     ingested = _ingested(t.records_without_offset(t.event_stream(spark, sf_dir)))
     jobs.run_counts(ingested, f"{base}/counts", f"{base}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{base}/counts").select("topic", "status", "n")
+    return jobs.latest_counts(spark, f"{base}/counts").select("topic", "status", "n")
+
+
+def stream_produce_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records sent and events failed by a running job, row by row."""
+    base = work_dir(spark, "failures")
+    target, lost = ParquetLog(f"{base}/outbound"), ParquetLog(f"{base}/failed")
+    jobs.run_produce(
+        t.bus_events(t.event_stream(spark, sf_dir)),
+        t.MAPPINGS_ALL,
+        target,
+        f"{base}/checkpoint",
+        fmt="bytes",
+        failures=lambda batch, batch_id: lost.write(batch.select("event_id", "topic", "status", "error"), batch_id),
+    ).awaitTermination()
+    nothing = F.lit(None).cast("string")
+    out = target.read(spark).select(
+        nothing.cast("long").alias("event_id"), "topic", F.lit("ok").alias("status"), nothing.alias("error"),
+        hex_of("key").alias("key_hex"), hex_of("value").alias("value_hex"),
+    )
+    failed = lost.read(spark).select(
+        "event_id", "topic", "status", "error", nothing.alias("key_hex"), nothing.alias("value_hex")
+    )
+    return out.unionByName(failed)
+
+
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a job reports of its batches, summed over them."""
+    base = work_dir(spark, "progress")
+    sink = ParquetLog(f"{base}/delivered")
+    query = jobs.run_ingest(
+        t.records_without_offset(t.event_stream(spark, sf_dir)),
+        t.SUBSCRIPTIONS,
+        lambda batch, batch_id: sink.write(batch.select("event_id"), batch_id),
+        f"{base}/checkpoint",
+        t.handler,
+    )
+    query.awaitTermination()
+    seen = [p.observedMetrics["ingest"].asDict() for p in query.recentProgress if "ingest" in p.observedMetrics]
+    names = ("polled", "delivered", "failed", "undecoded")
+    totals = [(name, sum(row[name] for row in seen)) for name in names]
+    return spark.createDataFrame(totals, "what string, n long")
+
+
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job that is started again on its checkpoint handles no record twice."""
+    base = work_dir(spark, "restart")
+    target = ParquetLog(f"{base}/outbound")
+    for _ in range(2):
+        jobs.run_produce(
+            t.bus_events(t.event_stream(spark, sf_dir)), t.MAPPINGS, target, f"{base}/checkpoint", "slash_to_dot"
+        ).awaitTermination()
+    return target.read(spark).select(
+        "topic", hex_of("key").alias("key_hex"), hex_of("value").alias("value_hex"), headers_text("headers").alias("headers_text")
+    )
+
+
+def stream_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records sent on and dead letters of both directions, row by row; a dead letter's time is left out."""
+    base = work_dir(spark, "bridge")
+    target, dead = ParquetLog(f"{base}/outbound"), ParquetLog(f"{base}/dead")
+    jobs.run_bridge(
+        t.records_without_offset(t.event_stream(spark, sf_dir)),
+        t.SUBSCRIPTIONS,
+        t.BRIDGE_MAPPINGS,
+        target,
+        f"{base}/checkpoint",
+        t.handler,
+        dlq=dead,
+        dlq_topic=DLQ_TOPIC,
+    ).awaitTermination()
+    untimed = F.filter("headers", lambda h: h["key"] != "dlq-timestamp").alias("headers")
+    letters = dead.read(spark).select("topic", "key", "value", untimed)
+    return target.read(spark).select("topic", "key", "value", "headers").union(letters).select(
+        "topic", hex_of("key").alias("key_hex"), hex_of("value").alias("value_hex"), headers_text("headers").alias("headers_text")
+    )
+
+
+def bridge_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = r.produce(bridge(_plain(spark, sf_dir), t.SUBSCRIPTIONS, t.BRIDGE_MAPPINGS, t.handler, keep=["event_id"]))
+    dead = i.build_dlq(rows, DLQ_TOPIC, as_of=F.lit(AS_OF).cast("timestamp"), keep=["event_id"])
+    return dead.select(
+        "event_id",
+        "topic",
+        hex_of("key").alias("key_hex"),
+        hex_of("value").alias("value_hex"),
+        headers_text("headers").alias("headers_text"),
+    )
+
+
+def bridge_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = bridge(_records(spark, sf_dir), t.SUBSCRIPTIONS, t.BRIDGE_MAPPINGS, t.handler)
+    positions = o.committed_positions(rows, i.commit_eligible(dlq=False))
+    return positions.select("topic", F.col("partition").alias("part"), "next_offset")
 
 
 def _bridged(records: DataFrame) -> DataFrame:
@@ -443,6 +601,7 @@ QUERIES: dict[str, Query] = {
     "resume_stored": _resumed("stored"),
     "resume_earliest": _resumed("earliest"),
     "resume_latest": _resumed("latest"),
+    "resume_new_partition": _resumed("latest", t.early_watermarks),
     "committed_positions": _positions("after_process", dlq=False),
     "committed_positions_dlq": _positions("after_process", dlq=True),
     "committed_positions_periodic": _positions("periodic", dlq=False),
@@ -473,7 +632,7 @@ QUERIES: dict[str, Query] = {
     "route_capture": route_capture,
     "route_first_match": _routed(t.MAPPINGS, "slash_to_dot"),
     "route_field_merge": route_field_merge,
-    "route_key": _routed([t.MAPPINGS[0], t.MAPPINGS[2], r.TopicMapping("alerts/#", "alerts", "fields.region")], "ignore"),
+    "route_key": _routed([t.MAPPINGS[0], t.MAPPINGS[2], r.TopicMapping("gate/#", "gates", "fields.region")], "ignore"),
     "route_key_error": _routed(t.MAPPINGS_KEYERR),
     "fallback_error": _routed(t.MAPPINGS),
     "fallback_slash_to_dot": _routed(t.MAPPINGS[4:], "slash_to_dot"),
@@ -483,11 +642,17 @@ QUERIES: dict[str, Query] = {
     "produced_records": produced_records,
     "route_rule_table": route_rule_table,
     "route_rule_table_by_user": route_rule_table_by_user,
+    "route_rule_table_keyed": route_rule_table_keyed,
+    "route_rule_table_shapes": route_rule_table_shapes,
     "route_many": route_many,
+    "produce_outcomes": produce_outcomes,
+    "decode_texts": decode_texts,
+    "encode_texts": encode_texts,
     "m_consumed": m_consumed,
     "m_consumer_errors": m_consumer_errors,
     "m_process_duration": m_process_duration,
-    "m_lag": m_lag,
+    "m_lag": _lag(t.high_watermarks),
+    "m_lag_stale": _lag(t.early_watermarks),
     "m_commits": m_commits,
     "m_commits_dlq": m_commits_dlq,
     "m_sent": m_sent,
@@ -498,6 +663,12 @@ QUERIES: dict[str, Query] = {
     "stream_ingest_counts": stream_ingest_counts,
     "stream_route_counts": stream_route_counts,
     "stream_running_counts": stream_running_counts,
+    "stream_produce_failures": stream_produce_failures,
+    "stream_progress": stream_progress,
+    "stream_restart": stream_restart,
+    "stream_bridge": stream_bridge,
+    "bridge_dlq": bridge_dlq,
+    "bridge_positions": bridge_positions,
     "bridge_counts": bridge_counts,
     "bridge_records": bridge_records,
 }

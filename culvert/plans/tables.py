@@ -50,9 +50,9 @@ HEADERS = f"""CASE event_id % 7 WHEN 0 THEN NULL WHEN 1 THEN array({TRACE[0]})
   WHEN 3 THEN array({_header("region", REGION)}, {_header("empty", "NULL")})
   ELSE array({_header("region", REGION)}, {", ".join(TRACE)}) END"""
 
-BUS_TOPIC = """CASE event_type WHEN 'click' THEN concat('sensor/', user_id, '/reading')
-  WHEN 'view' THEN concat('sensor/', user_id) WHEN 'purchase' THEN concat('shop/eu/purchase/', user_id)
-  WHEN 'signup' THEN concat('$SYS/', user_id, '/signup') ELSE 'alerts/critical' END"""
+BUS_TOPIC = """CASE event_type WHEN 'click' THEN concat('meter/', user_id, '/level')
+  WHEN 'view' THEN concat('meter/', user_id) WHEN 'purchase' THEN concat('shop/eu/purchase/', user_id)
+  WHEN 'signup' THEN concat('$SYS/', user_id, '/signup') ELSE 'gate/open' END"""
 
 BUS_MESSAGE = f"""named_struct(
   'kind', CASE event_id % 4 WHEN 0 THEN 'null' WHEN 1 THEN 'string' WHEN 2 THEN 'bytes' ELSE 'json' END,
@@ -122,22 +122,29 @@ def partition_sizes(events: DataFrame) -> DataFrame:
     return in_partitions(events).groupBy(*PARTITION_KEYS).agg(F.count("*").alias("n"))
 
 
-def high_watermarks(events: DataFrame) -> DataFrame:
-    """End of each partition, and one partition that has no rows."""
-    ends = partition_sizes(events).select(
+def high_watermarks(sizes: DataFrame) -> DataFrame:
+    """End of each partition of ``partition_sizes``, and one partition that has no rows."""
+    ends = sizes.select(
         *PARTITION_KEYS, (F.col("n") + F.col("partition") * 3).cast("long").alias("high_watermark")
     )
-    spark = events.sparkSession
+    spark = sizes.sparkSession
     empty = spark.range(1).select(
         F.lit("app.click").alias("topic"), F.lit(9).alias("partition"), F.lit(50).cast("long").alias("high_watermark")
     )
     return ends.unionByName(empty)
 
 
-def committed(events: DataFrame) -> DataFrame:
+def early_watermarks(sizes: DataFrame) -> DataFrame:
+    """Ends as they were taken earlier: three quarters of each partition, and none of the
+    last partition of a topic, which has appeared since."""
+    end = F.expr("n * 3 div 4").alias("high_watermark")
+    return sizes.filter(F.col("partition") < 3).select(*PARTITION_KEYS, end)
+
+
+def committed(sizes: DataFrame) -> DataFrame:
     """Half of each partition is committed, in the first two partitions of each topic."""
     half = F.expr("n div 2").alias("next_offset")
-    return partition_sizes(events).filter(F.col("partition") < 2).select(*PARTITION_KEYS, half)
+    return sizes.filter(F.col("partition") < 2).select(*PARTITION_KEYS, half)
 
 
 SUBSCRIPTIONS = [
@@ -161,29 +168,32 @@ def bus_events(events: DataFrame) -> DataFrame:
         "user_id",
         f"{BUS_TOPIC} AS topic",
         f"{BUS_MESSAGE} AS msg",
-        f"CASE WHEN event_id % 5 <> 0 THEN map('region', {REGION}, 'deviceId', 'should-be-overridden') END AS fields",
+        f"CASE WHEN event_id % 5 <> 0 THEN map('region', {REGION}, 'meterId', 'given') END AS fields",
         "value / 1000 AS duration_s",
     )
 
 
 MAPPINGS = [
-    TopicMapping("sensor/+deviceId/reading", "sensor.readings", "fields.deviceId"),
-    TopicMapping("sensor/#", "sensors"),
+    TopicMapping("meter/+meterId/level", "meter.levels", "fields.meterId"),
+    TopicMapping("meter/#", "meters"),
     TopicMapping("shop/+/purchase/+userId", "shop.purchases", "fields.region"),
-    TopicMapping("sensor/+/reading", "shadowed"),
+    TopicMapping("meter/+/level", "shadowed"),
     TopicMapping("+/+/signup", "signups"),
     TopicMapping("ops/#", ""),
 ]
 MAPPINGS_SYS = [*MAPPINGS, TopicMapping("$SYS/#", "sys")]
-MAPPINGS_ALERTS = [*MAPPINGS, TopicMapping("alerts/critical", "alerts")]
-MAPPINGS_OPS = [MAPPINGS[0], TopicMapping("sensor/#", ""), *MAPPINGS[2:]]
+MAPPINGS_ALERTS = [*MAPPINGS, TopicMapping("gate/open", "gates")]
+MAPPINGS_OPS = [MAPPINGS[0], TopicMapping("meter/#", ""), *MAPPINGS[2:]]
 
 
 def _failing_key(topic: Column, msg: Column, fields: Column) -> tuple[Column, Column]:
-    return fields["deviceId"], F.when(fields["deviceId"].endswith("0"), "bad device")
+    return fields["meterId"], F.when(fields["meterId"].endswith("0"), "bad device")
+
 
+MAPPINGS_KEYERR = [TopicMapping("meter/+meterId/level", "meter.levels", _failing_key), *MAPPINGS[1:]]
 
-MAPPINGS_KEYERR = [TopicMapping("sensor/+deviceId/reading", "sensor.readings", _failing_key), *MAPPINGS[1:]]
+# Events in every status: sent, ignored, unmatched, without key; in format bytes some do not encode.
+MAPPINGS_ALL = [MAPPINGS_KEYERR[0], TopicMapping("meter/#", ""), *MAPPINGS[2:]]
 
 # What the records of SUBSCRIPTIONS become when they are routed on.
 BRIDGE_MAPPINGS = [
@@ -194,8 +204,8 @@ BRIDGE_MAPPINGS = [
 
 
 def rules_of(spark: SparkSession, mappings: list[TopicMapping]) -> DataFrame:
-    """The mappings as a rule table."""
-    rows = [(i, mapping.pattern, mapping.kafka_topic) for i, mapping in enumerate(mappings)]
+    """The mappings as a rule table; keys must be given as text."""
+    rows = [(i, mapping.pattern, mapping.kafka_topic, mapping.key) for i, mapping in enumerate(mappings)]
     return spark.createDataFrame(rows, schemas.RULES)
 
 
@@ -205,12 +215,43 @@ def user_rules(events: DataFrame) -> DataFrame:
     return events.select("user_id").filter(F.col("user_id") % 3 < 2).distinct().select(
         F.col("user_id").alias("ord"),
         F.when(sells, F.concat(F.lit("shop/+/purchase/"), user))
-        .otherwise(F.concat(F.lit("sensor/"), user, F.lit("/+")))
+        .otherwise(F.concat(F.lit("meter/"), user, F.lit("/+")))
         .alias("pattern"),
         F.concat(F.when(sells, "buyer.").otherwise("device."), user).alias("kafka_topic"),
     )
 
 
+def shaped_user_rules(events: DataFrame) -> DataFrame:
+    """A rule per user in one of 24 shapes, more than are looked up one by one."""
+    user, shape = F.col("user_id").cast("string"), (F.col("user_id") % 24).cast("int")
+    levels = F.array(F.lit("meter"), user, F.lit("reading"))
+    # The last three bits mask levels, what is left decides how the pattern ends.
+    masked = [
+        F.when(shape.bitwiseAND(F.lit(1 << i)) > 0, F.lit("+x")).otherwise(F.get(levels, F.lit(i))) for i in (0, 1, 2)
+    ]
+    kind = F.floor(shape / 8)
+    pattern = (
+        F.when(kind == 0, F.concat_ws("/", *masked))
+        .when(kind == 1, F.concat_ws("/", *masked[:2], F.lit("#")))
+        .otherwise(F.concat_ws("/", *masked, F.lit("#rest")))
+    )
+    return events.select("user_id").distinct().select(
+        F.col("user_id").cast("int").alias("ord"),
+        pattern.alias("pattern"),
+        F.concat(F.lit("user."), user).alias("kafka_topic"),
+        F.when(shape.bitwiseAND(F.lit(2)) > 0, "fields.x").otherwise("fields.region").alias("key"),
+    )
+
+
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts at hand as ``src, id, text``: prose, web pages and conversations."""
+    read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    documents = read("documents").select(F.lit("documents").alias("src"), F.col("doc_id").alias("id"), "text")
+    pages = read("pages").select(F.lit("pages"), "page_id", "html")
+    turns = read("conversations").select(F.lit("conversations"), F.expr("conv_id * 1000 + turn"), "text")
+    return documents.union(pages).union(turns)
+
+
 def write_results(outbound: DataFrame) -> DataFrame:
     """Outbound rows with what the broker said; ``event_id`` must be kept in them."""
     return outbound.withColumn("write_error", F.when(F.col("event_id") % 47 == 0, "broker down"))

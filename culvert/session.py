@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -26,6 +26,14 @@ def build_session(app_name: str, **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a new folder of the working area and read back: it is computed
+    once, and its size is known to whoever plans with it."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder path for checkpoints and intermediate tables.
 

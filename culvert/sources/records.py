@@ -14,10 +14,15 @@ from culvert.operators.offsets import STARTS
 
 @dataclass(frozen=True)
 class KafkaLog:
-    """A Kafka cluster. ``options`` go to Spark's Kafka source and sink as they are (TLS, SASL, ...)."""
+    """A Kafka cluster. ``options`` go to Spark's Kafka source and sink as they are (TLS, SASL, ...).
+
+    A micro-batch of a stream takes at most ``max_offsets_per_trigger`` records, so that a
+    job that starts on a long log, or far behind, does not persist all of it at once.
+    """
 
     bootstrap_servers: str
     options: dict[str, str] = field(default_factory=dict)
+    max_offsets_per_trigger: int = 50_000_000
 
     def connection(self) -> dict[str, str]:
         return {"kafka.bootstrap.servers": self.bootstrap_servers, **self.options}
@@ -36,6 +41,12 @@ class KafkaLog:
             options["startingOffsets"] = "earliest" if start == "earliest" else "latest"
         return {**options, **self.connection()}
 
+    def stream_options(self, topics: Sequence[str], start: str) -> dict[str, str]:
+        """Options to stream ``topics`` in bounded micro-batches; an own
+        ``maxOffsetsPerTrigger`` among the ``options`` counts more."""
+        bound = {"maxOffsetsPerTrigger": str(self.max_offsets_per_trigger)}
+        return {**bound, **self.read_options(topics, start)}
+
     def write(self, records: DataFrame, batch_id: int | None = None) -> None:
         """Append ``records``, each to the topic its row names. A replayed batch is sent again."""
         outbound = records.select("topic", "key", "value", "headers")
@@ -57,7 +68,11 @@ class ParquetLog:
     max_bytes_per_trigger: int = 64 << 30
 
     def write(self, records: DataFrame, batch_id: int | None = None) -> None:
-        """Append ``records``; a batch written twice replaces itself."""
+        """Append ``records``; a batch written twice replaces itself.
+
+        The files of a replayed batch have new names, so a file stream that has read the
+        batch before reads it again: it should drop repeated rows by ``batch_id``.
+        """
         if self.by_topic:
             # Groups a topic's rows into few files and, unlike repartition, splits a topic too big for one task.
             records = records.hint("rebalance", "topic")
@@ -102,7 +117,7 @@ def stream_records(spark: SparkSession, source: Log, topics: Sequence[str], star
     checkpoint, and each micro-batch takes files up to ``max_bytes_per_trigger``.
     """
     if isinstance(source, KafkaLog):
-        return spark.readStream.format("kafka").options(**source.read_options(topics, start)).load()
+        return spark.readStream.format("kafka").options(**source.stream_options(topics, start)).load()
     if start not in STARTS:
         raise ValueError(f"start must be one of {STARTS}: {start!r}")
     if start == "latest":

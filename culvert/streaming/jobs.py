@@ -10,12 +10,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from culvert.functions.payload import Codec
+from culvert.operators.bridge import bridge
 from culvert.operators.ingest import Handler, Subscription, build_dlq, ingest, split_outcomes
-from culvert.operators.routing import TopicMapping, route, to_outbound
+from culvert.operators.routing import TopicMapping, failed, produce, route, sent
+from culvert.operators.rules import route_by_table
 from culvert.sources.records import Log, write_dlq, write_records
 
 AVAILABLE_NOW: dict[str, object] = {"availableNow": True}
@@ -35,16 +37,18 @@ def run_ingest(
     header_prefix: str = "dlq-",
     report: Subscriber | None = None,
     trigger: dict[str, object] = AVAILABLE_NOW,
+    bus_name: str = "bus",
 ) -> StreamingQuery:
     """Ingest a stream of records.
 
     ``subscriber`` gets the delivered rows of each micro-batch, ``dlq`` the dead
     letters, ``report`` all rows with their ``status``. The counts of the batch
     appear in the query's progress under ``ingest``. Should one of the writes
-    fail, the whole batch is tried again after a restart.
+    fail, the whole batch is tried again after a restart. Without ``dlq`` the
+    failed rows reach ``report`` only, and the checkpoint passes them by.
     """
     ok = F.col("status") == "ok"
-    ingested = ingest(records, subs, handler, fmt).observe(
+    ingested = ingest(records, subs, handler, fmt, bus_name).observe(
         "ingest",
         F.count("*").alias("polled"),
         F.count_if(ok).alias("delivered"),
@@ -70,16 +74,91 @@ def run_ingest(
 
 def run_produce(
     events: DataFrame,
+    mappings: Sequence[TopicMapping] | DataFrame,
+    target: Log,
+    checkpoint: str,
+    default: str = "error",
+    fmt: str | Codec = "auto",
+    trigger: dict[str, object] = AVAILABLE_NOW,
+    failures: Subscriber | None = None,
+    report: Subscriber | None = None,
+) -> StreamingQuery:
+    """Route, encode and write a stream of bus events.
+
+    ``mappings`` may be a table of rules; a micro-batch is then routed by the rules
+    as they are when it runs. ``failures`` gets the events of each micro-batch that
+    do not match, have no key or do not encode, with their ``error``; ``report`` gets
+    all events with their ``status``. Sent, ignored and failed events of a batch add
+    up to its ``events`` in the query's progress under ``produce``.
+    """
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        if isinstance(mappings, DataFrame):
+            batch = _watched(produce(route_by_table(batch, mappings, default), fmt))
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_records(sent(batch), target, batch_id)
+            if failures is not None:
+                failures(failed(batch), batch_id)
+            if report is not None:
+                report(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    if isinstance(mappings, DataFrame):
+        return _start(events, on_batch, checkpoint, trigger)
+    return _start(_watched(produce(route(events, mappings, default), fmt)), on_batch, checkpoint, trigger)
+
+
+def _watched(produced: DataFrame) -> DataFrame:
+    """Counts of what became of the events, under ``produce``."""
+    by_status = ("ok", "ignored", "unmatched", "key_error", "serialize_error")
+    counts = [F.count_if(F.col("status") == name).alias(name) for name in by_status]
+    return produced.observe("produce", F.count("*").alias("events"), *counts)
+
+
+def run_bridge(
+    records: DataFrame,
+    subs: Sequence[Subscription],
     mappings: Sequence[TopicMapping],
     target: Log,
     checkpoint: str,
+    handler: Handler | None = None,
     default: str = "error",
     fmt: str | Codec = "auto",
+    dlq: Log | None = None,
+    dlq_topic: str = "dead-letters",
+    header_prefix: str = "dlq-",
+    report: Subscriber | None = None,
     trigger: dict[str, object] = AVAILABLE_NOW,
+    bus_name: str = "bus",
 ) -> StreamingQuery:
-    """Route, encode and write a stream of bus events."""
-    outbound = to_outbound(route(events, mappings, default), fmt)
-    return _start(outbound, lambda batch, batch_id: write_records(batch, target, batch_id), checkpoint, trigger)
+    """Ingest a stream of records, route the events and write them on.
+
+    ``dlq`` gets the record, as it came, of every row that failed in either
+    direction; ``report`` gets all rows. The counts of a micro-batch appear in the
+    query's progress under ``bridge``. Each record is decoded and encoded once.
+    """
+    rows = produce(bridge(records, subs, mappings, handler, default, fmt, bus_name), fmt).observe(
+        "bridge",
+        F.count("*").alias("polled"),
+        F.count_if(F.col("status") == "ok").alias("sent"),
+        F.count_if(F.col("status") == "ignored").alias("ignored"),
+        F.count("error").alias("failed"),
+    )
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_records(sent(batch), target, batch_id)
+            if dlq is not None:
+                write_dlq(build_dlq(batch, dlq_topic, header_prefix), dlq, batch_id)
+            if report is not None:
+                report(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return _start(rows, on_batch, checkpoint, trigger)
 
 
 def running_counts(df: DataFrame, by: Sequence[str] = ("topic", "status")) -> DataFrame:
@@ -94,14 +173,22 @@ def run_counts(
     by: Sequence[str] = ("topic", "status"),
     trigger: dict[str, object] = AVAILABLE_NOW,
 ) -> StreamingQuery:
-    """Keep the running counts of a stream in a table that each batch replaces."""
+    """Keep the running counts of a stream: each batch writes them all under its id, and
+    ``latest_counts`` reads the newest. No batch touches what another has written."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return _start(running_counts(ingested, by), on_batch, checkpoint, trigger, "complete")
 
 
+def latest_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The counts of the newest batch."""
+    every = spark.read.parquet(path)
+    newest = every.agg(F.max("batch_id").alias("batch_id"))
+    return every.join(F.broadcast(newest), "batch_id", "left_semi").drop("batch_id")
+
+
 def _start(
     df: DataFrame, on_batch: Subscriber, checkpoint: str, trigger: dict[str, object], mode: str = "append"
 ) -> StreamingQuery:

@@ -28,33 +28,33 @@ def constant(text):
 
 
 def test_exact_match(spark):
-    got = routed(spark, [TopicMapping("sensor/temp", "sensors", constant("mykey"))], "sensor/temp")
-    assert got == ("sensors", b"mykey", "ok", None)
+    got = routed(spark, [TopicMapping("meter/oil", "meters", constant("fixed"))], "meter/oil")
+    assert got == ("meters", b"fixed", "ok", None)
 
 
 def test_first_match_wins(spark):
-    mappings = [TopicMapping("sensor/#", "first"), TopicMapping("sensor/temp", "second")]
-    assert routed(spark, mappings, "sensor/temp")[0] == "first"
+    mappings = [TopicMapping("meter/#", "first"), TopicMapping("meter/oil", "second")]
+    assert routed(spark, mappings, "meter/oil")[0] == "first"
 
 
 def test_wildcard_captures_a_field(spark):
-    mapping = TopicMapping("sensor/+deviceId/reading", "sensors", "fields.deviceId")
-    assert routed(spark, [mapping], "sensor/abc123/reading") == ("sensors", b"abc123", "ok", None)
+    mapping = TopicMapping("meter/+meterId/level", "meters", "fields.meterId")
+    assert routed(spark, [mapping], "meter/m-9/level") == ("meters", b"m-9", "ok", None)
 
 
 def test_captured_fields_override_the_given_ones_for_the_key(spark):
     def both(topic, msg, fields):
-        return F.concat_ws("|", fields["deviceId"], fields["region"])
+        return F.concat_ws("|", fields["meterId"], fields["region"])
 
-    given_fields = {"region": "us-east", "deviceId": "should-be-overridden"}
-    mapping = TopicMapping("sensor/+deviceId/reading", "sensors", both)
-    assert routed(spark, [mapping], "sensor/abc123/reading", fields=given_fields)[1] == b"abc123|us-east"
-    merged = merged_fields(events(spark, "sensor/abc123/reading", fields=given_fields), mapping.pattern).first()
-    assert merged.merged_fields == {"region": "us-east", "deviceId": "abc123"}
+    given_fields = {"region": "hall 4", "meterId": "given"}
+    mapping = TopicMapping("meter/+meterId/level", "meters", both)
+    assert routed(spark, [mapping], "meter/m-9/level", fields=given_fields)[1] == b"m-9|hall 4"
+    merged = merged_fields(events(spark, "meter/m-9/level", fields=given_fields), mapping.pattern).first()
+    assert merged.merged_fields == {"region": "hall 4", "meterId": "m-9"}
 
 
 def test_no_key_function_gives_no_key(spark):
-    assert routed(spark, [TopicMapping("alerts/#", "alerts")], "alerts/critical") == ("alerts", None, "ok", None)
+    assert routed(spark, [TopicMapping("gate/#", "gates")], "gate/open") == ("gates", None, "ok", None)
 
 
 def test_missing_field_gives_an_empty_key(spark):
@@ -67,23 +67,23 @@ def test_key_as_column(spark):
 
 
 def test_key_failure_does_not_fall_through(spark):
-    failing = TopicMapping("sensor/#", "sensors", lambda *_: (F.lit("k"), F.lit("key resolution failed")))
-    got = routed(spark, [failing, TopicMapping("sensor/temp", "second")], "sensor/temp", "slash_to_dot")
-    assert got == (None, None, "key_error", 'kafka producer: resolve key for "sensor/temp": key resolution failed')
+    failing = TopicMapping("meter/#", "meters", lambda *_: (F.lit("k"), F.lit("no such meter")))
+    got = routed(spark, [failing, TopicMapping("meter/oil", "second")], "meter/oil", "slash_to_dot")
+    assert got == (None, None, "key_error", 'kafka producer: resolve key for "meter/oil": no such meter')
 
 
 def test_key_failure_comes_before_an_empty_target(spark):
-    failing = TopicMapping("sensor/#", "", lambda *_: (F.lit("k"), F.lit("no")))
-    assert routed(spark, [failing], "sensor/temp")[2] == "key_error"
+    failing = TopicMapping("meter/#", "", lambda *_: (F.lit("k"), F.lit("no")))
+    assert routed(spark, [failing], "meter/oil")[2] == "key_error"
 
 
 def test_unmatched_is_an_error_by_default(spark):
-    got = routed(spark, [TopicMapping("sensor/#", "sensors")], "alerts/critical")
+    got = routed(spark, [TopicMapping("meter/#", "meters")], "gate/open")
     assert got == (
         None,
         None,
         "unmatched",
-        'kafka producer: no topic mapping matched for topic "alerts/critical" and default_topic_transform is error',
+        'kafka producer: no topic mapping matched for topic "gate/open" and default_topic_transform is error',
     )
 
 
@@ -91,9 +91,9 @@ def test_slash_to_dot(spark):
     assert routed(spark, [], "a/b/c", "slash_to_dot") == ("a.b.c", None, "ok", None)
 
 
-@pytest.mark.parametrize("mappings", [[], [TopicMapping("sensor/#", "sensors")]])
+@pytest.mark.parametrize("mappings", [[], [TopicMapping("meter/#", "meters")]])
 def test_ignore(spark, mappings):
-    assert routed(spark, mappings, "alerts/critical", "ignore") == ("", None, "ignored", None)
+    assert routed(spark, mappings, "gate/open", "ignore") == ("", None, "ignored", None)
 
 
 def test_empty_target_is_ignored(spark):
@@ -112,17 +112,17 @@ def test_arguments_are_checked(spark):
 
 
 MATCHES = [
-    ("sensor", "sensor", True),
-    ("sensor", "sensor\n", False),
-    ("sensor/+", "sensor/x", True),
-    ("sensor/+", "sensor/x\n", True),
-    ("sensor/+", "sensor/", True),
-    ("sensor/+", "sensor", False),
-    ("sensor/+", "sensor/x/y", False),
-    ("sensor/+/z", "sensor//z", True),
-    ("sensor/#", "sensor", True),
-    ("sensor/#", "sensor/x/y", True),
-    ("sensor/#", "sensors", False),
+    ("meter", "meter", True),
+    ("meter", "meter\n", False),
+    ("meter/+", "meter/x", True),
+    ("meter/+", "meter/x\n", True),
+    ("meter/+", "meter/", True),
+    ("meter/+", "meter", False),
+    ("meter/+", "meter/x/y", False),
+    ("meter/+/z", "meter//z", True),
+    ("meter/#", "meter", True),
+    ("meter/#", "meter/x/y", True),
+    ("meter/#", "meters", False),
     ("+", "x", True),
     ("+", "$SYS", False),
     ("+/x", "$SYS/x", False),
@@ -150,7 +150,7 @@ def test_patterns(spark):
     assert wrong == []
 
 
-@pytest.mark.parametrize("pattern", ["+/x", "#", "$SYS/#", "sensor/+/z", "a/+/#"])
+@pytest.mark.parametrize("pattern", ["+/x", "#", "$SYS/#", "meter/+/z", "a/+/#"])
 def test_rule_table_matches_like_a_pattern(spark, pattern):
     df = events(spark, *dict.fromkeys(topic for _, topic, _ in MATCHES))
     rules = tables.rules_of(spark, [TopicMapping(pattern, "hit")])
@@ -194,7 +194,7 @@ PATTERN = st.tuples(
 ).map(lambda p: "/".join(p[0] + ([p[1]] if p[1] else [])) or "a")
 
 
-@settings(max_examples=2, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(PATTERN, min_size=25, max_size=25), st.lists(TOPIC, min_size=120, max_size=120))
 def test_routing_agrees_with_matching_level_by_level(spark, patterns, topics):
     mappings = [TopicMapping(pattern, f"t{i}") for i, pattern in enumerate(patterns)]
@@ -213,8 +213,33 @@ def test_routing_agrees_with_matching_level_by_level(spark, patterns, topics):
 def test_rule_table_without_rules_or_with_a_broken_one(spark):
     empty = spark.createDataFrame([], schemas.RULES)
     assert route_by_table(events(spark, "a/b"), empty, "slash_to_dot").first().kafka_topic == "a.b"
-    broken = spark.createDataFrame([(0, "a/#/b", "t"), (1, "a/b", "u")], schemas.RULES)
+    broken = spark.createDataFrame([(0, "a/#/b", "t", None), (1, "a/b", "u", None)], schemas.RULES)
     assert route_by_table(events(spark, "a/b"), broken).first().kafka_topic == "u"
+    without_keys = broken.drop("key")
+    assert route_by_table(events(spark, "a/b"), without_keys).first().key is None
+    for rows in [(0, "a", "t", None), (0, "b", "u", None)], [(0, "a", "t", "msg.x")]:
+        with pytest.raises(ValueError):
+            route_by_table(events(spark, "a/b"), spark.createDataFrame(rows, schemas.RULES))
+
+
+KEYED = [
+    TopicMapping("a/+x/+y", "t0", "fields.y"),
+    TopicMapping("b/+x/+x", "t1", "fields.x"),
+    TopicMapping("c/#rest", "t2", "fields.rest"),
+    TopicMapping("d/+x", "t3", "fields.z"),
+    TopicMapping("e/#", "t4"),
+    TopicMapping("+x/#x", "t5", "fields.x"),
+]
+
+
+@pytest.mark.parametrize("fields", [None, {"z": "given", "x": "hidden"}])
+def test_keys_of_a_rule_table_equal_those_of_mappings(spark, fields):
+    topics = ["a/1/2", "b/1/2", "c", "c/", "c/1/2", "d/1", "e/1", "f", "f/1/2", "$s/1", None, ""]
+    df, rules = events(spark, *topics, fields=fields), tables.rules_of(spark, KEYED)
+    shown = ["event_id", "mapping_ord", "kafka_topic", "status", "key"]
+    want = sorted(map(str, route(df, KEYED).select(*shown).collect()))
+    for result in (route_by_table(df, rules), route_by_table(df, rules, max_lookups=0)):
+        assert sorted(map(str, result.select(*shown).collect())) == want
 
 
 def test_events_pass_a_rule_table_once_each(spark):
@@ -226,13 +251,13 @@ def test_events_pass_a_rule_table_once_each(spark):
 
 
 def test_outbound_headers_are_the_events_own_fields(spark):
-    df = events(spark, "sensor/abc123/reading", "other", fields={"region": "eu"})
-    routed_df = route(df, [TopicMapping("sensor/+deviceId/reading", "sensors", "fields.deviceId")], "ignore")
+    df = events(spark, "meter/m-9/level", "other", fields={"region": "eu"})
+    routed_df = route(df, [TopicMapping("meter/+meterId/level", "meters", "fields.meterId")], "ignore")
     out = to_outbound(routed_df)
     assert out.columns == ["topic", "key", "value", "headers"]
     row = out.collect()
     assert len(row) == 1
-    assert (row[0].topic, bytes(row[0].key), bytes(row[0].value)) == ("sensors", b"abc123", b"hi")
+    assert (row[0].topic, bytes(row[0].key), bytes(row[0].value)) == ("meters", b"m-9", b"hi")
     assert [(h.key, bytes(h.value)) for h in row[0].headers] == [("region", b"eu")]
 
 

@@ -164,27 +164,60 @@ def test_running_counts_grow_over_batches(spark, tmp_path):
     path = str(tmp_path / "counts")
     jobs.run_counts(ingested, path, str(tmp_path / "ck")).awaitTermination()
     con = connect(f"{TESTDATA}/sf0.001")
-    assert difference(spark.read.parquet(path), con, ORACLES["stream_running_counts"]) is None
+    assert len(glob.glob(f"{path}/batch_id=*")) >= 4  # a reader never finds a table half replaced
+    assert difference(jobs.latest_counts(spark, path), con, ORACLES["stream_running_counts"]) is None
 
 
-def test_streaming_rule_lookup_needs_no_shuffle(spark, tmp_path):
-    from culvert.operators.rules import route_by_table
-
+def test_a_stream_is_routed_by_a_table_in_its_micro_batches(spark, tmp_path):
     events, stream = event_files(spark, tmp_path)
-    routed = route_by_table(tables.bus_events(stream), tables.rules_of(spark, tables.MAPPINGS), "slash_to_dot")
-    out = str(tmp_path / "out")
-    query = routed.select("event_id", "kafka_topic").writeStream.format("parquet").option("path", out)
-    query.option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination()
-    batch = route(tables.bus_events(events), tables.MAPPINGS, "slash_to_dot").select("event_id", "kafka_topic")
-    assert spark_rows(spark.read.parquet(out)) == spark_rows(batch)
+    target, rules = ParquetLog(str(tmp_path / "out")), tables.rules_of(spark, tables.MAPPINGS)
+    query = jobs.run_produce(tables.bus_events(stream), rules, target, str(tmp_path / "ck"), "slash_to_dot")
+    query.awaitTermination()
+    batch = to_outbound(route(tables.bus_events(events), tables.MAPPINGS, "slash_to_dot"))
+    shown = [F.hex("key").alias("k"), F.hex("value").alias("v"), "topic"]
+    assert spark_rows(target.read(spark).select(*shown)) == spark_rows(batch.select(*shown))
 
 
-def test_stream_refuses_rules_beyond_the_bounds(spark):
+def test_a_streaming_frame_takes_no_rule_table(spark):
     from culvert.operators.rules import route_by_table
 
     bus = tables.bus_events(tables.event_stream(spark, f"{TESTDATA}/sf0.001"))
     with pytest.raises(ValueError, match="stream"):
-        route_by_table(bus, tables.rules_of(spark, tables.MAPPINGS), max_broadcast_rules=1)
+        route_by_table(bus, tables.rules_of(spark, tables.MAPPINGS))
+
+
+def test_no_event_vanishes_in_a_produce_job(spark, tmp_path):
+    events, stream = event_files(spark, tmp_path)
+    target, lost, report = (ParquetLog(f"{tmp_path}/{name}") for name in ("out", "lost", "report"))
+    query = jobs.run_produce(
+        tables.bus_events(stream),
+        tables.MAPPINGS_ALL,
+        target,
+        str(tmp_path / "ck"),
+        fmt="bytes",
+        failures=lambda batch, batch_id: lost.write(batch.select("event_id", "status", "error"), batch_id),
+        report=lambda batch, batch_id: report.write(batch.groupBy("status").count(), batch_id),
+    )
+    query.awaitTermination()
+    seen = [p.observedMetrics["produce"].asDict() for p in query.recentProgress if "produce" in p.observedMetrics]
+    totals = {name: sum(row[name] for row in seen) for name in seen[0]}
+    assert min(totals.values()) > 0
+    assert totals["events"] == events.count() == sum(n for name, n in totals.items() if name != "events")
+    counts = {r.status: r.n for r in report.read(spark).groupBy("status").agg(F.sum("count").alias("n")).collect()}
+    assert counts == {name: n for name, n in totals.items() if name != "events"}
+    assert target.read(spark).count() == totals["ok"]
+    failed = {r.status: r["count"] for r in lost.read(spark).groupBy("status").count().collect()}
+    assert failed == {name: totals[name] for name in ("unmatched", "key_error", "serialize_error")}
+    assert lost.read(spark).filter("error IS NULL").count() == 0
+
+
+def test_kafka_micro_batches_are_bounded():
+    log = KafkaLog("b:1")
+    assert log.stream_options(["a"], "stored")["maxOffsetsPerTrigger"] == "50000000"
+    assert KafkaLog("b:1", max_offsets_per_trigger=7).stream_options(["a"], "stored")["maxOffsetsPerTrigger"] == "7"
+    own = KafkaLog("b:1", {"maxOffsetsPerTrigger": "9"}).stream_options(["a"], "earliest")
+    assert own["maxOffsetsPerTrigger"] == "9" and own["startingOffsets"] == "earliest"
+    assert "maxOffsetsPerTrigger" not in log.read_options(["a"])
 
 
 def test_events_stream_reads_a_file_and_a_folder(spark, tmp_path):
