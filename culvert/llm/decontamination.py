@@ -46,7 +46,7 @@ def hashes_of(terms: list[str]) -> np.ndarray:
 
 def items_of(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The windows to search for: (item_id, number, terms). An item of fewer words is one
-    window, an item without words none."""
+    window, an item without words none. An item without id is called ``null``."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -58,7 +58,8 @@ def items_of(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
                     rows += [(item, i, found[i : i + window]) for i in range(count)]
             yield pd.DataFrame(rows, columns=["item_id", "number", "terms"])
 
-    wanted = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
+    named = F.coalesce(F.col("item_id").cast("string"), F.lit("null"))
+    wanted = benchmark.select(named.alias("item_id"), "text")
     return wanted.mapInPandas(cut, "item_id string, number int, terms array<string>")
 
 
@@ -217,7 +218,7 @@ def _search(windows: list[tuple[str, int, list[str]]], slop: int | None):
     for i, (_, _, terms) in enumerate(windows):
         matrix[i, : len(terms)] = [vocabulary[w] for w in terms]
 
-    def of(key, group: pd.DataFrame) -> pd.DataFrame:
+    def of(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         lists: list[np.ndarray | None] = [None] * len(vocabulary)
         present = np.zeros(len(vocabulary) + 1, bool)
         present[-1] = True
@@ -278,7 +279,7 @@ def hits(index: Index, matches: DataFrame) -> DataFrame:
     A match never runs over the free place between two texts, as no term stands there.
     """
 
-    def spans(key, documents: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+    def spans(key: tuple, documents: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         documents = documents.sort_values("first")
         first = documents["first"].to_numpy()
         counts = np.zeros(len(first), np.int64)

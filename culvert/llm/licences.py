@@ -217,11 +217,11 @@ start AS (
   ON d.doc_id = h.doc_id),
 {", ".join(steps)},
 named AS (
-  SELECT doc_id, ids, list_filter([{licence}], x -> x IS NOT NULL) AS names,
-    list_filter([{numbers}], x -> x IS NOT NULL) AS rules,
+  SELECT doc_id, ids, list_filter([{licence}], lambda x: x IS NOT NULL) AS names,
+    list_filter([{numbers}], lambda x: x IS NOT NULL) AS rules,
     CASE WHEN {has("restricted")} THEN 'restricted' WHEN {has("copyleft")} THEN 'copyleft'
       WHEN {has("permissive")} THEN 'permissive' END AS licence_kind FROM {last})
 SELECT doc_id, array_to_string(ids, ',') AS licence_ids,
-  array_to_string(list_filter(names, (x, i) -> list_position(names, x) = i), ',') AS licences,
+  array_to_string(list_filter(names, lambda x, i: list_position(names, x) = i), ',') AS licences,
   array_to_string(rules, ',') AS licence_rules, licence_kind FROM named
 """

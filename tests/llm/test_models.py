@@ -6,8 +6,7 @@ import brute
 import numpy as np
 import pyarrow as pa
 import pytest
-from cases import DOCS, odd_docs, odd_frame, pairs, with_clashes
-from conftest import TESTDATA
+from cases import DOCS, TESTDATA, odd_docs, odd_frame, pairs, with_clashes
 from pyspark.sql import functions as F
 
 import corpus_pipeline

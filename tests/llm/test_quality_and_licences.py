@@ -6,9 +6,8 @@ import math
 import brute
 import pytest
 import xxhash
-from cases import DOCS, odd_docs, odd_frame, pairs, with_clashes
+from cases import DOCS, TESTDATA, odd_docs, odd_frame, pairs, with_clashes
 from compare import connect, difference
-from conftest import TESTDATA
 from pyspark.sql import functions as F
 
 from culvert.llm import licences, quality, queries, urls
@@ -24,8 +23,9 @@ def buckets_of(text, size):
     found = brute.BLANK_WORD.findall(text or "")
     hashes = [xxhash.xxh64_intdigest(w.encode(), seed=42) for w in found]
     signed = [h - (1 << 64) if h >> 63 else h for h in hashes]
+    chained = [xxhash.xxh64_intdigest(h.to_bytes(8, "little"), seed=42) for h in hashes]
     pairs_ = [
-        xxhash.xxh64_intdigest(b.to_bytes(8, "little"), seed=a) for a, b in zip(hashes, hashes[1:], strict=False)
+        xxhash.xxh64_intdigest(b.to_bytes(8, "little"), seed=a) for a, b in zip(chained, hashes[1:], strict=False)
     ]
     signed += [h - (1 << 64) if h >> 63 else h for h in pairs_]
     return [h % size for h in signed]

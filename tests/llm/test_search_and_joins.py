@@ -4,8 +4,7 @@ import brute
 import numpy as np
 import pyarrow as pa
 import pytest
-from cases import DOCS, edited, odd_docs, odd_frame, pairs, with_clashes, words
-from conftest import TESTDATA
+from cases import DOCS, TESTDATA, edited, odd_docs, odd_frame, pairs, with_clashes, words
 from pyspark.sql import functions as F
 
 from culvert.llm import decontamination, jaccard, queries

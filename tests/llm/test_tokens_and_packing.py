@@ -5,8 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
-from cases import odd_docs, odd_frame, with_clashes
-from conftest import TESTDATA
+from cases import TESTDATA, odd_docs, odd_frame, with_clashes
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
