@@ -37,9 +37,9 @@ PASSES, STEP, RATE = 2, 2048, 0.05
 #: Steps of the refining table and the weight of its starting values.
 BINS, PRIOR = 24, 50.0
 #: Words that share one list of distinct words.
-SEGMENT_WORDS = 1 << 20
+SEGMENT_WORDS = 1 << 18
 #: Bytes worked on at a time.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 #: Bits of the cache of costs of a scoring task.
 CACHE_BITS = 20
 
@@ -153,7 +153,7 @@ def _gather(buckets: int):
                 codes, at = ngrams(data, offsets)
                 found, times = np.unique(codes[np.repeat(taught, np.diff(at))], return_counts=True)
                 waiting.append((found, times))
-                if sum(len(k) for k, _ in waiting) > max(1 << 21, len(grams[0])):
+                if sum(len(k) for k, _ in waiting) > 1 << 20:
                     grams = _summed(*(np.concatenate(x) for x in zip(grams, *waiting, strict=True)))
                     waiting = []
                 if held >= SEGMENT_WORDS:
@@ -477,8 +477,11 @@ def score(docs: DataFrame, divisor: int = 7, rest: int = 2) -> DataFrame:
     )
     gathered = numbered.select("key", "text", "held_out").mapInArrow(_gather(buckets), _GATHERED)
     gathered = stored(gathered, "mixing-gathered")
+    def counts_of(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        return _word_counts(group).assign(bucket=key[0])
+
     counted = gathered.filter("kind = 'words'").groupBy("bucket").applyInPandas(
-        lambda key, group: _word_counts(group).assign(bucket=key[0]),
+        counts_of,
         "bucket int, first long, texts int, sums binary, seen binary, distinct long, total long",
     )
     counted = stored(counted, "mixing-counted")
@@ -488,7 +491,7 @@ def score(docs: DataFrame, divisor: int = 7, rest: int = 2) -> DataFrame:
     ends = numbered.filter(~F.col("held_out")).count()
     total, distinct = int(words["total"]) + ends, int(words["distinct"]) + (ends > 0)
 
-    def merged(key, group: pd.DataFrame) -> pd.DataFrame:
+    def merged(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         keys = [np.frombuffer(x, np.uint64) for x in group["a"]]
         times = [np.frombuffer(x, np.uint64) for x in group["b"]]
         found, sums = _summed(np.concatenate(keys), np.concatenate(times))
