@@ -35,7 +35,7 @@ BLOCK_BYTES = 1 << 20
 
 # The sizes of sets are cut into frames; a pair is compared in the frame of the larger.
 _FRAME_BITS = 6
-_FRAMES = (1 << _FRAME_BITS) - 1  # the last number tells pairs found within a task
+_FRAMES = (1 << _FRAME_BITS) - 1
 
 
 def _plan(percent: int) -> dict[str, np.ndarray]:
@@ -135,10 +135,29 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same connections as the pairs, as one pair per node: the node and its smallest."""
+    root: dict[int, int] = {}
+
+    def top(i: int) -> int:
+        while root.setdefault(i, i) != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for x, y in set(zip(a.tolist(), b.tolist(), strict=True)):
+        x, y = top(x), top(y)
+        root[max(x, y)] = min(x, y)
+    pairs = [(i, top(i)) for i in root if top(i) != i]
+    found = np.array(pairs, np.int64).reshape(-1, 2)
+    return found[:, 0], found[:, 1]
+
+
 def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (mark, sid, low): each mark of a task once, with ``low`` = ``sid`` the first set
-    that has it; and for every further set that has it a row of both sets under a mark of
-    its own. So a mark that many documents have is sent once per task."""
+    that has it; and for every set that shares a mark with another of the task one row of
+    the set and the smallest it is connected with there, under a mark of its own. So a mark
+    that many documents have is sent once per task."""
     marks, sids = [], []
     for batch in batches:
         for part in _blocks(batch):
@@ -153,14 +172,14 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     mark, sid = mark[order], sid[order]
     new = np.ones(len(mark), bool)
     new[1:] = mark[1:] != mark[:-1]
-    low = sid[np.maximum.accumulate(np.where(new, np.arange(len(mark)), 0))]
-    other = ~new & (low != sid)
-    both = wordhash.mixed(low[other].view(np.uint64) * np.uint64(3) + sid[other].view(np.uint64))
-    pairs, at = np.unique((both & ~np.uint64(_FRAMES)) | np.uint64(_FRAMES), return_index=True)
+    first = sid[np.maximum.accumulate(np.where(new, np.arange(len(mark)), 0))]
+    other = ~new & (first != sid)
+    node, low = _stars(sid[other], first[other])
+    pair = wordhash.mixed(wordhash.mixed(node.view(np.uint64)) + low.view(np.uint64))
     columns = [
-        np.concatenate([mark[new], pairs]).view(np.int64),
-        np.concatenate([sid[new], sid[other][at]]),
-        np.concatenate([sid[new], low[other][at]]),
+        np.concatenate([mark[new], pair]).view(np.int64),
+        np.concatenate([sid[new], node]),
+        np.concatenate([sid[new], low]),
     ]
     for i in range(0, len(columns[0]), 1 << 17):
         rows = [pa.array(x[i : i + (1 << 17)]) for x in columns]
