@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -39,11 +42,19 @@ def work_dir(spark: SparkSession, name: str) -> str:
 
     It lies under the shared folder named by ``spark.checkpoint.dir``. Only a
     local session may do without that setting; executors of a cluster cannot
-    see a machine-local folder.
+    see a machine-local folder. What a local session writes goes when its
+    process ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="run-")
+        base = _local_base()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@functools.cache
+def _local_base() -> str:
+    base = tempfile.mkdtemp(prefix="run-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return base
