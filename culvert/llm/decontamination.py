@@ -338,3 +338,32 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
     hit = decontaminate(docs, benchmark, window).filter("n_hit > 0").select(F.col("row").alias(row))
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
     return numbered.join(stored(hit, "contaminated"), row, "left_anti").select(*docs.columns)
+
+
+#: DuckDB SQL for ``op6_positional_index``.
+ORACLE = f"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+item AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark),
+sized AS (SELECT id, w, least(len(w), {WINDOW}) AS n FROM item WHERE len(w) > 0),
+win AS (
+  SELECT DISTINCT id, n, array_to_string(w[i : i + n - 1], ' ') AS terms
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM sized)),
+place AS (
+  SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS terms
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+    FROM doc JOIN (SELECT DISTINCT n FROM win) ON len(w) >= n)),
+hit AS (SELECT doc_id, i, n, id FROM place JOIN win USING (n, terms)),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, id FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""

@@ -115,6 +115,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_groups": op10_token_groups,
 }
 
+# All pairs of texts with a common shingle: only for small tables.
+CLASSES = f"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + {jaccard.SHINGLE - 1}], ' ') AS s
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - {jaccard.SHINGLE - 2}, least(len(w), 1) + 1))) AS i FROM doc)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+pair AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingle a JOIN shingle b USING (s)
+  WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT x, y FROM pair JOIN size a ON a.doc_id = x JOIN size b ON b.doc_id = y
+  WHERE 100 * c >= {jaccard.PERCENT} * (a.n + b.n - c)),
+reach(x, y) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM doc d LEFT JOIN size USING (doc_id)
+JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) ON x = d.doc_id
+"""
+
 ORACLES: dict[str, str] = {
+    "op6_positional_index": decontamination.ORACLE,
     "op9_licence_scan": licences.oracle(),
+    "op10_token_groups": CLASSES,
 }

@@ -5,6 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from cases import DOCS, TESTDATA, edited, odd_docs, odd_frame, pairs, with_clashes, words
+from compare import connect, difference
 from pyspark.sql import functions as F
 
 from culvert.llm import decontamination, jaccard, queries
@@ -56,6 +57,11 @@ def test_contamination_query_equals_brute_force(spark):
         assert row.items_sha256 == brute.items_digest(own)
 
 
+def test_contamination_query_equals_sql(spark):
+    con = connect(SF)
+    assert difference(queries.op6_positional_index(spark, SF), con, decontamination.ORACLE) is None
+
+
 def test_an_index_of_all_terms_finds_the_same(spark):
     docs, items = odd_frame(spark), spark.createDataFrame(ITEMS[:4], "item_id long, text string")
     windows = decontamination.items_of(items)
@@ -141,6 +147,10 @@ def test_class_query_equals_brute_force(spark):
     same_classes(queries.op10_token_groups(spark, SF).collect(), [tuple(r) for r in rows])
 
 
+def test_class_query_equals_sql(spark):
+    assert difference(queries.op10_token_groups(spark, SF), connect(SF), queries.CLASSES) is None
+
+
 def test_linked_sets_always_share_a_mark():
     texts = [t for _, t, *_ in copies_and_near_copies()]
     found, counts = jaccard.sets_of(pa.array(texts))
