@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
 
 import numpy as np
 
-#: Words whose ids a worker remembers; beyond it, it starts anew.
-CACHE_WORDS = 400_000
+#: Words whose ids a worker remembers, some 200 bytes each; beyond it, it starts anew.
+CACHE_WORDS = 1_000_000
 #: Texts that are looked up together.
-TEXTS = 256
+TEXTS = 512
 #: Unknown words are joined to texts of this many.
 JOINED = 500
 
-_LETTERS_AND_MARKS = re.compile(r"([^\W\d_]+)([.,!?;:%#*$&|]+)", re.UNICODE)
+# Letters and marks behind them, and perhaps the same once more in a new line.
+_MARKS = r"[.,!?;:%#*$&|]*"
+_PLAIN = re.compile(rf"([^\W\d_]+)({_MARKS})(?:\n([^\W\d_]+)({_MARKS}))?")
 
 
 def _edge(char: str) -> bool:
@@ -70,38 +73,34 @@ class Encoder:
                 self.spaced.update(zip(part, self._whole([" " + w for w in part]), strict=True))
 
     def _learn(self, parts: set[str]) -> None:
-        """``parts``: what single blanks separate, each with a blank in front."""
-        whole, cut, bare, spaced = [], [], set(), set()
+        """``parts``: what single blanks separate, each with a blank in front.
+
+        Letters, the marks behind them and a line end between two words are pieces of
+        their own to the tokenizer, so their ids are put together.
+        """
+        whole, cut, bare, spaced = [], [], {"\n"}, set()
         for part in parts:
-            if not part or not (_edge(part[0]) and _edge(part[-1])):
-                self.spaced[part] = None  # such a text is not cut
-                continue
-            lines = part.split("\n")
-            if not all(x and _edge(x[0]) and _edge(x[-1]) for x in lines):
+            match = _PLAIN.fullmatch(part)
+            if match:
+                word, marks, second, more = pieces = match.groups()
+                spaced.add(word)
+                if marks or second:
+                    cut.append((part, pieces))
+                    bare.update((marks, second or "", more or ""))
+            elif part and _edge(part[0]) and _edge(part[-1]):
                 whole.append(part)
-                continue
-            pieces = []  # (word, tail of marks)
-            for line in lines:
-                m = _LETTERS_AND_MARKS.fullmatch(line)
-                pieces.append(m.groups() if m else (line, ""))
-            if any(any(c.isspace() for c in word) for word, _ in pieces):
-                whole.append(part)
-                continue
-            spaced.add(pieces[0][0])
-            bare.update(word for word, _ in pieces[1:])
-            bare.update(tail for _, tail in pieces if tail)
-            if len(pieces) > 1:
-                bare.add("\n")
-            if len(pieces) > 1 or pieces[0][1]:
-                cut.append((part, pieces))
+            else:
+                self.spaced[part] = None  # such a text is not cut
+        bare.discard("")
         self._learn_bare(bare)
         self._learn_spaced(spaced)
         self.spaced.update(zip(whole, self._whole([" " + w for w in whole]), strict=True))
-        for part, pieces in cut:
-            ids = [self.spaced[pieces[0][0]], self.bare.get(pieces[0][1], b"")]
-            for word, tail in pieces[1:]:
-                ids += [self.bare["\n"], self.bare[word], self.bare.get(tail, b"")]
-            self.spaced[part] = b"".join(ids)
+        known, of, line = self.spaced, self.bare, self.bare["\n"]
+        for part, (word, marks, second, more) in cut:
+            ids = known[word] + of[marks] if marks else known[word]
+            if second:
+                ids += line + of[second] + (of[more] if more else b"")
+            known[part] = ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian ids of each text, of ``self.dtype``; a null text has none."""
@@ -115,10 +114,10 @@ class Encoder:
     def _encode(self, texts: list[str]) -> list[bytes]:
         parts = [t.split(" ") for t in texts]
         odd = [any(s[:2] in t for s in self.special) for t in texts]
-        rest = {w for p, o in zip(parts, odd, strict=True) if not o for w in p[1:]}
-        self._learn({w for w in rest if w not in self.spaced})
-        heads = {p[0] for p, o in zip(parts, odd, strict=True) if not o and p[0]}
-        self._learn_bare(heads)
+        cut = [p for p, o in zip(parts, odd, strict=True) if not o]
+        words = set(itertools.chain.from_iterable(itertools.islice(p, 1, None) for p in cut))
+        self._learn(words.difference(self.spaced))
+        self._learn_bare({p[0] for p in cut if p[0]})
         out: list[bytes | None] = []
         for text, part, is_odd in zip(texts, parts, odd, strict=True):
             try:
