@@ -155,23 +155,24 @@ def train(
 
 
 def fit(
-    training: DataFrame, sample: int = TRAINING, most_bytes: int = TRAINING_BYTES, **options
+    docs: DataFrame, labels: DataFrame, sample: int = TRAINING, most_bytes: int = TRAINING_BYTES, **options
 ) -> Network | None:
-    """A network from (doc_id, text, label); None unless both labels occur.
+    """A network from (doc_id, text) and (doc_id, label); None unless both labels occur.
 
-    Fitted on the driver on a bounded sample: per label about ``sample`` texts of at most
-    ``most_bytes`` bytes, chosen by a hash of the id.
+    Fitted on the driver on a bounded sample: per label at most ``sample`` texts of at most
+    ``most_bytes`` bytes. The labels are sampled first, by a hash of the id, to about one
+    and a half times as many, so what is broadcast to the scan of the texts is bounded too.
     """
-    usable = training.filter(
-        F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & (F.octet_length("text") <= most_bytes)
-    )
+    usable = labels.filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
     counts = {r.label: r["count"] for r in usable.groupBy("label").count().collect()}
     if len(counts) < 2:
         return None
     order = F.xxhash64(F.lit(7), "doc_id")
     point = F.pmod(order, F.lit(1 << 30)) / (1 << 30)
-    chance = F.when(F.col("label") == 1, 1.2 * sample / counts[1]).otherwise(1.2 * sample / counts[0])
-    rows = usable.filter(point < chance).select("doc_id", "text", "label", order.alias("order")).toPandas()
+    chance = F.when(F.col("label") == 1, 1.5 * sample / counts[1]).otherwise(1.5 * sample / counts[0])
+    chosen = usable.filter(point < chance).withColumn("order", order)
+    short = docs.filter(F.octet_length("text") <= most_bytes)
+    rows = short.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label", "order").toPandas()
     rows = rows.sort_values(["order", "doc_id", "text"], kind="stable").groupby("label").head(sample)
     if rows["label"].nunique() < 2:
         return None
@@ -211,5 +212,6 @@ def classify(docs: DataFrame, labels: DataFrame, divisor: int = 4, rest: int = 2
     left = F.coalesce(remainder("doc_id", divisor) == rest, F.lit(True))
     marked = docs.withColumn("held_out", left)
     own = labels.groupBy("doc_id").agg(F.max("quality").alias("label"))
-    training = marked.filter(~F.col("held_out")).select("doc_id", "text").join(own, "doc_id")
-    return score(marked, fit(training, **options))
+    taught = F.coalesce(remainder("doc_id", divisor) != rest, F.lit(False))
+    training = marked.filter(~F.col("held_out")).select("doc_id", "text")
+    return score(marked, fit(training, own.filter(taught), **options))
