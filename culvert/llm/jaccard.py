@@ -280,37 +280,35 @@ def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node each linked node reaches.
 
-    Every round takes the smallest label among a node's neighbours and then that label's
-    own label, and is written to the shared folder; it ends when a round changes nothing.
+    Every round points each node to its smallest neighbour, follows the pointers once more,
+    and replaces both ends of every edge by what they point to; an edge whose ends meet is
+    done. Edges get fewer each round, and it ends when none are left. The tables of a
+    round are written to the shared folder.
     """
-    both = links.select("a", "b").union(links.select("b", "a")).distinct()
-    edges = stored(both, "link-edges")
-    labels = stored(
-        edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select(
-            "node", F.least("node", "low").alias("root")
-        ),
-        "link-labels",
-    )
-    while True:
-        seen = (
-            edges.join(labels, edges["b"] == labels["node"])
-            .groupBy("a")
-            .agg(F.min("root").alias("low"))
-        )
-        nearer = labels.join(seen, labels["node"] == seen["a"]).select(
-            "node", "root", F.least("root", "low").alias("low")
-        )
-        jump = labels.select(F.col("node").alias("low"), F.col("root").alias("far"))
-        after = stored(
-            nearer.join(jump, "low").select(
-                "node", F.least("low", "far").alias("new"), F.col("root").alias("old")
+    larger, smaller = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
+    edges = stored(links.select(larger, smaller).filter("a <> b").distinct(), "link-edges")
+    labels = None
+    while labels is None or edges.limit(1).count():
+        both = edges.union(edges.select("b", "a"))
+        low = stored(
+            both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select(
+                "node", F.least("node", "low").alias("low")
             ),
-            "link-labels",
+            "link-pointers",
         )
-        changed = after.filter("new <> old").limit(1).count()
-        labels = after.select("node", F.col("new").alias("root"))
-        if not changed:
-            return labels
+        far = low.select(F.col("node").alias("low"), F.col("low").alias("to"))
+        jump = stored(low.join(far, "low").select("node", "to"), "link-pointers")
+        if labels is None:
+            labels = jump.select("node", F.col("to").alias("root"))
+        else:
+            met = jump.select(F.col("node").alias("root"), "to")
+            moved = labels.join(met, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+            labels = stored(moved, "link-labels")
+        ends = [jump.select(F.col("node").alias(x), F.col("to").alias(f"to_{x}")) for x in "ab"]
+        pointed = edges.join(ends[0], "a").join(ends[1], "b")
+        larger, smaller = F.greatest("to_a", "to_b").alias("a"), F.least("to_a", "to_b").alias("b")
+        edges = stored(pointed.select(larger, smaller).filter("a <> b").distinct(), "link-edges")
+    return labels
 
 
 def classes(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
@@ -392,4 +390,6 @@ def representatives(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     smallest id, of repeated rows the first; with the columns they have."""
     key = fresh("key")
     firsts = classes(docs, percent).filter("first").select(F.col("key").alias(key))
-    return docs.withColumn(key, F.monotonically_increasing_id()).join(firsts, key).select(*docs.columns)
+    numbered = docs.withColumn(key, F.monotonically_increasing_id())
+    # The same join at every size; only the keys are held in memory, a part at a time.
+    return numbered.join(firsts.hint("shuffle_hash"), key).select(*docs.columns)
