@@ -99,6 +99,8 @@ def ratio_weights(
         labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull())
         .select(F.col("doc_id").alias("trusted_id"))
         .distinct()
+        # The same join at every size; only the ids are held in memory, a part at a time.
+        .hint("shuffle_hash")
     )
     grams = gram_buckets(F.col("hashes"), buckets)
     counts = (
