@@ -11,6 +11,7 @@ its overlap with every member, and only groups whose bound allows a link are ope
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,14 +22,16 @@ from pyspark.sql import DataFrame, Window, functions as F
 from culvert.llm import wordhash
 from culvert.llm.shared import fresh, stored
 
-#: Words of a shingle.
+#: Words of a shingle, where a caller names no other number.
 SHINGLE = 3
-#: Two documents link if 100 * intersection >= PERCENT * union.
+#: Two documents link if 100 * intersection >= PERCENT * union, or the caller's percent.
 PERCENT = 90
 #: Documents of a group in the matrix, and of a block; larger families are cut into blocks,
 #: and each two blocks meet in a unit.
 GROUP, BLOCK = 32, 512
 #: Parts of fewer shingles are no marks, so a sentence that many documents share makes none.
+#: Below 90 percent parts are so small that most sets would need all of theirs; there one
+#: shingle is enough (``_plan``).
 LEAST = 3
 #: Bytes of text hashed at a time.
 BLOCK_BYTES = 1 << 20
@@ -38,9 +41,16 @@ _FRAME_BITS = 6
 _FRAMES = (1 << _FRAME_BITS) - 1
 
 
+@functools.cache
 def _plan(percent: int) -> dict[str, np.ndarray]:
     """Per frame: its largest size, the parts of a set, and the parts that two linked sets
-    share at least."""
+    share at least; and the shingles that a part needs to be a mark.
+
+    A frame is a third larger than the one before, so sets linked at 75 percent or more are
+    in the same frame or in neighbours.
+    """
+    if not 75 <= percent <= 100:
+        raise ValueError(f"{percent} percent: sets linked below 75 can be two frames apart")
     upper = [1]
     while len(upper) < _FRAMES:
         upper.append(max(upper[-1] + 1, upper[-1] * 4 // 3))
@@ -48,10 +58,9 @@ def _plan(percent: int) -> dict[str, np.ndarray]:
     differ = [2 * u * (100 - percent) // (100 + percent) for u in upper]
     parts = [d + 1 + max(1, d // 4) if d else 1 for d in differ]
     need = [p - d for p, d in zip(parts, differ, strict=True)]
-    return {name: np.array(x, np.int64) for name, x in (("upper", upper), ("parts", parts), ("need", need))}
-
-
-PLAN = _plan(PERCENT)
+    least = LEAST if percent >= 90 else 1
+    plan = (("upper", upper), ("parts", parts), ("need", need), ("least", least))
+    return {name: np.array(x, np.int64) for name, x in plan}
 
 
 def sets_of(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -67,32 +76,35 @@ def sets_of(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarr
     return found[new], np.bincount(text[new], minlength=len(counts))
 
 
-def marks_of(found: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def marks_of(
+    found: np.ndarray, counts: np.ndarray, percent: int = PERCENT
+) -> tuple[np.ndarray, np.ndarray]:
     """Marks of each set and the set each belongs to. The last bits of a mark tell its frame.
 
     Of the parts of a set, two linked sets share ``need`` or more. Parts of fewer than
-    ``LEAST`` shingles are marks only for a set that has ``need`` of them or more: if all
+    ``least`` shingles are marks only for a set that has ``need`` of them or more: if all
     parts that two linked sets share are that small, both have so many.
     """
-    frame = np.searchsorted(PLAN["upper"], counts)
+    plan = _plan(percent)
+    frame = np.searchsorted(plan["upper"], counts)
     # A set also meets larger ones of the next frame.
-    reaches = (counts * 100 // PERCENT > PLAN["upper"][frame]) & (counts > 0)
+    reaches = (counts * 100 // percent > plan["upper"][frame]) & (counts > 0)
     text = np.repeat(np.arange(len(counts)), counts)
     out, owner = [], []
     for shift, chosen in ((0, counts > 0), (1, reaches)):
         mine = chosen[text]
         shingle, at = found[mine], text[mine]
         number = np.minimum(frame + shift, _FRAMES - 1)
-        parts = np.where(chosen, PLAN["parts"][number], 0)
+        parts = np.where(chosen, plan["parts"][number], 0)
         first = np.cumsum(parts) - parts
         slot = first[at] + ((shingle >> np.uint64(16)) % parts[at].astype(np.uint64)).astype(np.int64)
         total = int(parts.sum())
         sums = np.zeros(total, np.uint64)
         np.add.at(sums, slot, wordhash.mixed(shingle ^ np.uint64(0x5BD1E995)))
         of = np.repeat(np.arange(len(counts)), parts)
-        large = np.bincount(slot, minlength=total) >= LEAST
+        large = np.bincount(slot, minlength=total) >= plan["least"]
         small = parts - np.bincount(of[large], minlength=len(counts))
-        large |= (small >= PLAN["need"][number])[of]
+        large |= (small >= plan["need"][number])[of]
         place = (np.arange(total) - first[of]).astype(np.uint64)
         kind = number[of].astype(np.uint64)
         mark = wordhash.mixed(
@@ -121,18 +133,21 @@ def _set_ids(found: np.ndarray, counts: np.ndarray) -> list[int | None]:
     ]
 
 
-def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in _blocks(batch):
-            found, counts = sets_of(part.column("text"))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "key": part.column("key"),
-                    "doc_id": part.column("doc_id"),
-                    "n": pa.array(counts, pa.int64()),
-                    "sid": pa.array(_set_ids(found, counts), pa.int64()),
-                }
-            )
+def _described(size: int):
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _blocks(batch):
+                found, counts = sets_of(part.column("text"), size)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "key": part.column("key"),
+                        "doc_id": part.column("doc_id"),
+                        "n": pa.array(counts, pa.int64()),
+                        "sid": pa.array(_set_ids(found, counts), pa.int64()),
+                    }
+                )
+
+    return of
 
 
 def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,37 +168,40 @@ def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found[:, 0], found[:, 1]
 
 
-def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (mark, sid, low): each mark of a task once, with ``low`` = ``sid`` the first set
-    that has it; and for every set that shares a mark with another of the task one row of
-    the set and the smallest it is connected with there, under a mark of its own. So a mark
-    that many documents have is sent once per task."""
-    marks, sids = [], []
-    for batch in batches:
-        for part in _blocks(batch):
-            found, counts = sets_of(part.column("text"))
-            ids = np.array([x or 0 for x in _set_ids(found, counts)], np.int64)
-            mark, owner = marks_of(found, counts)
-            marks.append(mark)
-            sids.append(ids[owner])
-    mark = np.concatenate(marks or [np.zeros(0, np.uint64)])
-    sid = np.concatenate(sids or [np.zeros(0, np.int64)])
-    order = np.argsort(mark, kind="stable")
-    mark, sid = mark[order], sid[order]
-    new = np.ones(len(mark), bool)
-    new[1:] = mark[1:] != mark[:-1]
-    first = sid[np.maximum.accumulate(np.where(new, np.arange(len(mark)), 0))]
-    other = ~new & (first != sid)
-    node, low = _stars(sid[other], first[other])
-    pair = wordhash.mixed(wordhash.mixed(node.view(np.uint64)) + low.view(np.uint64))
-    columns = [
-        np.concatenate([mark[new], pair]).view(np.int64),
-        np.concatenate([sid[new], node]),
-        np.concatenate([sid[new], low]),
-    ]
-    for i in range(0, len(columns[0]), 1 << 17):
-        rows = [pa.array(x[i : i + (1 << 17)]) for x in columns]
-        yield pa.RecordBatch.from_arrays(rows, ["mark", "sid", "low"])
+def _marked(size: int, percent: int):
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (mark, sid, low): each mark of a task once, with ``low`` = ``sid`` the first set
+        that has it; and for every set that shares a mark with another of the task one row of
+        the set and the smallest it is connected with there, under a mark of its own. So a mark
+        that many documents have is sent once per task."""
+        marks, sids = [], []
+        for batch in batches:
+            for part in _blocks(batch):
+                found, counts = sets_of(part.column("text"), size)
+                ids = np.array([x or 0 for x in _set_ids(found, counts)], np.int64)
+                mark, owner = marks_of(found, counts, percent)
+                marks.append(mark)
+                sids.append(ids[owner])
+        mark = np.concatenate(marks or [np.zeros(0, np.uint64)])
+        sid = np.concatenate(sids or [np.zeros(0, np.int64)])
+        order = np.argsort(mark, kind="stable")
+        mark, sid = mark[order], sid[order]
+        new = np.ones(len(mark), bool)
+        new[1:] = mark[1:] != mark[:-1]
+        first = sid[np.maximum.accumulate(np.where(new, np.arange(len(mark)), 0))]
+        other = ~new & (first != sid)
+        node, low = _stars(sid[other], first[other])
+        pair = wordhash.mixed(wordhash.mixed(node.view(np.uint64)) + low.view(np.uint64))
+        columns = [
+            np.concatenate([mark[new], pair]).view(np.int64),
+            np.concatenate([sid[new], node]),
+            np.concatenate([sid[new], low]),
+        ]
+        for i in range(0, len(columns[0]), 1 << 17):
+            rows = [pa.array(x[i : i + (1 << 17)]) for x in columns]
+            yield pa.RecordBatch.from_arrays(rows, ["mark", "sid", "low"])
+
+    return of
 
 
 def _forest(
@@ -262,19 +280,22 @@ def _compared(percent: int):
     return of
 
 
-def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(sid, shingles) of the texts whose set is the one asked for."""
-    for batch in batches:
-        for part in _blocks(batch):
-            found, counts = sets_of(part.column("text"))
-            ids, ends = _set_ids(found, counts), np.cumsum(counts).tolist()
-            rows = [
-                (sid, found[e - n : e].tobytes())
-                for sid, asked, n, e in zip(ids, part.column("sid").to_pylist(), counts.tolist(), ends, strict=True)
-                if sid == asked
-            ]
-            a, b = zip(*rows, strict=True) if rows else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.binary())], ["sid", "shingles"])
+def _whole_sets(size: int):
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(sid, shingles) of the texts whose set is the one asked for."""
+        for batch in batches:
+            for part in _blocks(batch):
+                found, counts = sets_of(part.column("text"), size)
+                ids, ends = _set_ids(found, counts), np.cumsum(counts).tolist()
+                rows = [
+                    (sid, found[e - n : e].tobytes())
+                    for sid, asked, n, e in zip(ids, part.column("sid").to_pylist(), counts.tolist(), ends, strict=True)
+                    if sid == asked
+                ]
+                a, b = zip(*rows, strict=True) if rows else ((), ())
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.binary())], ["sid", "shingles"])
+
+    return of
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -311,7 +332,9 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
-def classes(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+def classes(
+    docs: DataFrame, percent: int = PERCENT, block: int = BLOCK, size: int = SHINGLE
+) -> DataFrame:
     """Per row of ``docs``: ``key`` (a number of the row in the scan), ``doc_id``,
     ``n_shingles``, ``component_id`` (the smallest id reachable by links, its own included)
     and ``first`` (whether the row is the one that stands for its class).
@@ -326,8 +349,8 @@ def classes(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> Data
     numbered = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("key")
     )
-    sets = stored(numbered.mapInArrow(_described, "key long, doc_id long, n long, sid long"), "jaccard-sets")
-    marks = numbered.select("text").mapInArrow(_marked, "mark long, sid long, low long")
+    sets = stored(numbered.mapInArrow(_described(size), "key long, doc_id long, n long, sid long"), "jaccard-sets")
+    marks = numbered.select("text").mapInArrow(_marked(size, percent), "mark long, sid long, low long")
     lowest = F.min("low").over(Window.partitionBy("mark"))
     edges = marks.select("sid", lowest.alias("low")).filter("sid <> low").distinct()
     families = components(stored(edges.toDF("a", "b"), "jaccard-edges"))
@@ -351,7 +374,7 @@ def classes(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> Data
         numbered.select(place.alias("place"), "text")
         .join(texts, "place")
         .select("sid", "text")
-        .mapInArrow(_whole_sets, "sid long, shingles binary")
+        .mapInArrow(_whole_sets(size), "sid long, shingles binary")
         .dropDuplicates(["sid"])
     )
     links = (
@@ -385,11 +408,11 @@ def classes(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> Data
     )
 
 
-def representatives(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def representatives(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` that stand for their class: of linked documents the one of the
     smallest id, of repeated rows the first; with the columns they have."""
     key = fresh("key")
-    firsts = classes(docs, percent).filter("first").select(F.col("key").alias(key))
+    firsts = classes(docs, percent, size=size).filter("first").select(F.col("key").alias(key))
     numbered = docs.withColumn(key, F.monotonically_increasing_id())
     # The same join at every size; only the keys are held in memory, a part at a time.
     return numbered.join(firsts.hint("shuffle_hash"), key).select(*docs.columns)
