@@ -76,8 +76,15 @@ RULES = [
     ("proprietary", "restricted", ["reserved"]),
 ]
 
-#: Ends a sentence: a mark and blanks behind it, or an empty line.
-_END = r"([.!?:;])[ \t\r]+|\n[ \t\r]*\n"
+#: What opens a line of a comment.
+_LEADER = r"(?md)^[ \t]*(?:/\*+|\*+/?|#+|//+)[ \t]*"
+#: Cuts of a text, from the surest to the least sure: the end of a sentence, that is a mark
+#: with blanks or a line end behind it, or an empty line unless an address follows; any empty
+#: line; the end of a clause; the end of a line.
+_SENTENCE = r"([.!?])[ \t\n]+|\n[ \t]*\n(?![ \t\n]{0,200}https?://)"
+_EMPTY = r"()\n[ \t]*\n"
+_CLAUSE = r"([:;])[ \t\n]+"
+_LINE = r"()\n"
 _SPLIT = "\x01"
 
 
@@ -94,24 +101,37 @@ def _known(sentences: Sequence[tuple[str, str]]) -> Column:
 def sentence_ids(text: Column, sentences: Sequence[tuple[str, str]] = SENTENCES) -> Column:
     """Identifiers of the known sentences of a text, in order.
 
-    A sentence may run over line ends. One that is unknown as a whole is looked up line
-    by line, since notices stand on lines of their own behind unfinished prose.
+    A sentence may run over line ends, ``;`` and ``:``, and an empty line in front of an
+    address. One that is unknown as a whole is cut further, clause by clause and line by
+    line, since notices stand on lines of their own behind unfinished prose. Line ends are
+    those of any system; what opens the lines of a comment is no part of the text.
     """
     known, longest = _known(sentences), max(len(text) for _, text in sentences)
     look_up = lambda part: F.element_at(known, normal_form(part))
     # Nothing much longer than the longest known sentence can be one.
     short = lambda part: F.length(part) <= 4 * longest
 
-    def of_sentence(sentence: Column) -> Column:
-        by_line = F.transform(
-            F.split(sentence, "\n"), lambda line: F.when(short(line), look_up(line))
+    def cut(part: Column, ends: str) -> Column:
+        return F.split(F.regexp_replace(part, ends, f"$1{_SPLIT}"), _SPLIT)
+
+    # A part is (text, name). Level by level, unknown parts are replaced by smaller ones.
+    def named(texts: Column) -> Column:
+        return F.transform(
+            texts, lambda x: F.struct(x.alias("part"), F.when(short(x), look_up(x)).alias("name"))
         )
-        whole = F.when(short(sentence), look_up(sentence))
-        single = ~F.contains(sentence, F.lit("\n"))
-        return F.when(single | whole.isNotNull(), F.array(whole)).otherwise(by_line)
 
-    parts = F.split(F.regexp_replace(text, _END, f"$1{_SPLIT}"), _SPLIT)
-    return F.filter(F.flatten(F.transform(parts, of_sentence)), lambda x: x.isNotNull())
+    def smaller(parts: Column, ends: str) -> Column:
+        def of(x: Column) -> Column:
+            unknown = x["name"].isNull() & x["part"].rlike(ends)
+            return F.when(unknown, named(cut(x["part"], ends))).otherwise(F.array(x))
+
+        return F.flatten(F.transform(parts, of))
+
+    plain = F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), _LEADER, "")
+    parts = named(cut(plain, _SENTENCE))
+    for ends in (_EMPTY, _CLAUSE, _LINE):
+        parts = smaller(parts, ends)
+    return F.filter(F.transform(parts, lambda x: x["name"]), lambda x: x.isNotNull())
 
 
 def matched_rules(ids: Column, rules: Sequence[tuple[str, str, list[str]]] = RULES) -> Column:
