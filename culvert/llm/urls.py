@@ -109,6 +109,26 @@ def _branches(paths: DataFrame, level: int, min_support: int, min_share: float)
     return merged.select(F.col("host"), F.col("node"), F.col("segment"), names.alias("branch"))
 
 
+def _evidence(paths: DataFrame, node: str, level: int) -> DataFrame:
+    """For (host, node): labelled and bad pages of its own, and those of other hosts whose
+    paths begin with the same shapes. A host as a whole has no shape to share."""
+    own = paths.groupBy(
+        "host", F.col(node).alias("at"), F.concat_ws("/", F.slice("shape", 1, level)).alias("prefix")
+    ).agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+    others = [F.lit(0).alias("other_labelled"), F.lit(0).alias("other_bad")]
+    if level:
+        everywhere = own.groupBy("prefix").agg(
+            F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad")
+        )
+        own = own.join(everywhere, "prefix")
+        others = [
+            F.sum(F.col(f"all_{name}") - F.col(name)).alias(f"other_{name}") for name in ("labelled", "bad")
+        ]
+    return own.groupBy("host", "at").agg(
+        F.sum("labelled").alias("node_labelled"), F.sum("bad").alias("node_bad"), *others
+    )
+
+
 def templates(
     pages: DataFrame,
     max_depth: int = MAX_DEPTH,
@@ -120,7 +140,8 @@ def templates(
     with its ``template`` and that template's smoothed ``purity``, the share of bad pages.
 
     The pages are counted by host and shape once; the tree grows on those counts. A
-    template's purity is drawn to its parent's, the host's to that of all pages.
+    template's purity is drawn to that of the same shapes on other hosts, this one to its
+    parent's, and the host's to that of all pages.
     """
     paths = (
         pages.groupBy("host", shape_of(F.col("path"), max_depth).alias("shape"))
@@ -157,16 +178,15 @@ def templates(
     )
     judged = paths.withColumn("purity", prior.scalar())
     for number, node in enumerate(nodes):
-        of_node = paths.groupBy("host", F.col(node).alias("at")).agg(
-            F.sum("labelled").alias("node_labelled"), F.sum("bad").alias("node_bad")
-        )
+        of_node = _evidence(paths, node, number)
         same = F.lit(False) if number == 0 else F.col(node) == F.col(nodes[number - 1])
-        own = (F.col("node_bad") + smoothing * F.col("purity")) / (F.col("node_labelled") + smoothing)
+        before = (F.col("other_bad") + smoothing * F.col("purity")) / (F.col("other_labelled") + smoothing)
+        own = (F.col("node_bad") + smoothing * before) / (F.col("node_labelled") + smoothing)
         judged = (
             judged.withColumn("at", F.col(node))
             .join(of_node, ["host", "at"])
             .withColumn("purity", F.when(same, F.col("purity")).otherwise(own))
-            .drop("at", "node_labelled", "node_bad")
+            .drop("at", "node_labelled", "node_bad", "other_labelled", "other_bad")
         )
     return judged.select("host", "key", F.col("node").alias("template"), "purity")
 
