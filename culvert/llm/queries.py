@@ -9,15 +9,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from culvert.llm import (
     convnet,
     decontamination,
+    fair_mix,
     jaccard,
     language,
     licences,
     mixing,
     packing,
+    phrases,
     quality,
     token_files,
     tokens,
     urls,
+    whitening,
 )
 from culvert.llm.shared import table
 from culvert.session import work_dir
@@ -102,6 +105,19 @@ def op10_token_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
+    return whitening.per_component(found)
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fair_mix.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_files": op2_token_files,
@@ -113,6 +129,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_convnet": op8_byte_convnet,
     "op9_licence_scan": op9_licence_scan,
     "op10_token_groups": op10_token_groups,
+    "op11_whitening": op11_whitening,
+    "op12_phrases": op12_phrases,
+    "op13_fair_mix": op13_fair_mix,
 }
 
 # All pairs of texts with a common shingle: only for small tables.
@@ -141,4 +160,6 @@ ORACLES: dict[str, str] = {
     "op6_positional_index": decontamination.ORACLE,
     "op9_licence_scan": licences.oracle(),
     "op10_token_groups": CLASSES,
+    "op12_phrases": phrases.ORACLE,
+    "op13_fair_mix": fair_mix.ORACLE,
 }
