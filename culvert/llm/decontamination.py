@@ -155,18 +155,21 @@ def _segments(vocabulary: list[str] | None, segment_words: int):
 
 
 def build_index(
-    docs: DataFrame, vocabulary: list[str] | None = None, segment_words: int = SEGMENT_WORDS
+    docs: DataFrame,
+    vocabulary: list[str] | None = None,
+    segment_words: int = SEGMENT_WORDS,
+    row_col: str | None = None,
 ) -> Index:
     """Index of every word of every text, written to the shared folder.
 
     A task indexes the texts it reads, without a shuffle, as segments of about
     ``segment_words`` words each; a longer text is one segment. With a ``vocabulary`` only
     postings of its terms are stored, since no others are asked for. Null texts have no
-    words; rows that repeat an id are indexed each.
+    words; rows that repeat an id are indexed each. ``row`` is the column ``row_col``, or a
+    number that holds within this index only: another scan may number the rows otherwise.
     """
-    keyed = docs.select(
-        docs["doc_id"].cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("row")
-    )
+    row = F.monotonically_increasing_id() if row_col is None else docs[row_col]
+    keyed = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"], row.alias("row"))
     both = keyed.mapInArrow(
         _segments(vocabulary, segment_words),
         f"{POSTINGS}, row long, doc_id long, first int, n_words long",
@@ -320,7 +323,9 @@ def vocabulary_of(items: DataFrame, most: int = 1 << 20) -> list[str] | None:
     return sorted(found) if len(found) <= most else None
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, row_col: str | None = None
+) -> DataFrame:
     """``hits`` of exact windows of the benchmark in every text of ``docs``.
 
     Null and empty texts have no words and no hits; a benchmark without words hits
@@ -328,15 +333,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     names in either table do not matter, as only ids and texts are read.
     """
     items = stored(items_of(benchmark, window), "benchmark-windows")
-    index = build_index(docs, vocabulary_of(items))
+    index = build_index(docs, vocabulary_of(items), row_col=row_col)
     return hits(index, search(index, items, slop=None))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` that hold no window of the benchmark, with the columns they have."""
     row = fresh("row")
-    hit = decontaminate(docs, benchmark, window).filter("n_hit > 0").select(F.col("row").alias(row))
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    # Written once with their numbers: another scan of ``docs`` might number them otherwise.
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "decontamination-rows")
+    found = decontaminate(numbered, benchmark, window, row)
+    hit = found.filter("n_hit > 0").select(F.col("row").alias(row))
     return numbered.join(stored(hit, "contaminated"), row, "left_anti").select(*docs.columns)
 
 

@@ -81,9 +81,13 @@ def marks_of(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Marks of each set and the set each belongs to. The last bits of a mark tell its frame.
 
-    Of the parts of a set, two linked sets share ``need`` or more. Parts of fewer than
-    ``least`` shingles are marks only for a set that has ``need`` of them or more: if all
-    parts that two linked sets share are that small, both have so many.
+    Of the parts of a set, two linked sets share ``need`` or more, since what they differ in
+    touches no more than the others. If a part that they share has ``least`` shingles, it is
+    a mark of both. If all are smaller, both sets have ``need`` such parts and mark all that
+    are not empty. If all are empty, both have ``need`` empty parts, and mark their prefix as
+    well: of linked sets sorted alike, the first ``n - ceil(t * n) + 1`` shingles of one and
+    of the other have one in common. An empty part itself is no mark, as all sets with an
+    empty part of that number would share it.
     """
     plan = _plan(percent)
     frame = np.searchsorted(plan["upper"], counts)
@@ -102,9 +106,11 @@ def marks_of(
         sums = np.zeros(total, np.uint64)
         np.add.at(sums, slot, wordhash.mixed(shingle ^ np.uint64(0x5BD1E995)))
         of = np.repeat(np.arange(len(counts)), parts)
-        large = np.bincount(slot, minlength=total) >= plan["least"]
+        held = np.bincount(slot, minlength=total)
+        large = held >= plan["least"]
         small = parts - np.bincount(of[large], minlength=len(counts))
-        large |= (small >= plan["need"][number])[of]
+        large |= (small >= plan["need"][number])[of] & (held > 0)
+        empty = np.bincount(of[held == 0], minlength=len(counts))
         place = (np.arange(total) - first[of]).astype(np.uint64)
         kind = number[of].astype(np.uint64)
         mark = wordhash.mixed(
@@ -113,6 +119,15 @@ def marks_of(
         mark = (mark & ~np.uint64(_FRAMES)) | kind
         out.append(mark[large])
         owner.append(of[large])
+        at_risk = chosen & (empty >= plan["need"][number]) & (empty > 0)
+        # The shingles of a set are ascending, so these are its first ones.
+        length = np.where(at_risk, counts - -(-counts * percent // 100) + 1, 0)
+        mine = np.repeat(np.arange(len(counts)), length)
+        ahead = found[(np.cumsum(counts) - counts)[mine] + wordhash.within(length)]
+        kind = number[mine].astype(np.uint64)
+        mark = wordhash.mixed(wordhash.mixed(ahead ^ np.uint64(0x2545F4914F6CDD1D)) + kind)
+        out.append((mark & ~np.uint64(_FRAMES)) | kind)
+        owner.append(mine)
     return np.concatenate(out), np.concatenate(owner)
 
 
@@ -142,6 +157,7 @@ def _described(size: int):
                     {
                         "key": part.column("key"),
                         "doc_id": part.column("doc_id"),
+                        "place": part.column("place"),
                         "n": pa.array(counts, pa.int64()),
                         "sid": pa.array(_set_ids(found, counts), pa.int64()),
                     }
@@ -333,11 +349,19 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def classes(
-    docs: DataFrame, percent: int = PERCENT, block: int = BLOCK, size: int = SHINGLE
+    docs: DataFrame,
+    percent: int = PERCENT,
+    block: int = BLOCK,
+    size: int = SHINGLE,
+    key_col: str | None = None,
 ) -> DataFrame:
-    """Per row of ``docs``: ``key`` (a number of the row in the scan), ``doc_id``,
-    ``n_shingles``, ``component_id`` (the smallest id reachable by links, its own included)
-    and ``first`` (whether the row is the one that stands for its class).
+    """Per row of ``docs``: ``key`` (its column ``key_col``, else a number of the row),
+    ``doc_id``, ``n_shingles``, ``component_id`` (the smallest id reachable by links, its own
+    included) and ``first`` (whether the row is the one that stands for its class).
+
+    ``docs`` is read three times, and each scan may be split in another way. So nothing is
+    joined on numbers given while scanning: texts meet their sets by id, or by a hash of the
+    text where there is none, and the number of a row is written with its set.
 
     Texts of one set are one node however often they occur. A mark is sent once per task,
     a mark's sets become a star of edges and not pairs, and a family is compared in units
@@ -346,11 +370,14 @@ def classes(
     A null text, or one without words, has no shingles and stands alone. A row without an
     id has the smallest id it reaches, or null. Rows that repeat an id and text are copies.
     """
-    numbered = docs.select(
-        docs["doc_id"].cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("key")
+    key = F.monotonically_increasing_id() if key_col is None else docs[key_col]
+    doc_id = docs["doc_id"].cast("long")
+    place = F.coalesce(doc_id, F.xxhash64(docs["text"]))
+    texts = docs.select(doc_id.alias("doc_id"), docs["text"], key.alias("key"), place.alias("place"))
+    sets = stored(
+        texts.mapInArrow(_described(size), "key long, doc_id long, place long, n long, sid long"), "jaccard-sets"
     )
-    sets = stored(numbered.mapInArrow(_described(size), "key long, doc_id long, n long, sid long"), "jaccard-sets")
-    marks = numbered.select("text").mapInArrow(_marked(size, percent), "mark long, sid long, low long")
+    marks = texts.select("text").mapInArrow(_marked(size, percent), "mark long, sid long, low long")
     lowest = F.min("low").over(Window.partitionBy("mark"))
     edges = marks.select("sid", lowest.alias("low")).filter("sid <> low").distinct()
     families = components(stored(edges.toDF("a", "b"), "jaccard-edges"))
@@ -366,13 +393,10 @@ def classes(
     units = stored(units, "jaccard-units")
     # The shingles of the documents in some unit, from one text each.
     asked = units.select("sid").distinct()
-    texts = sets.join(asked, "sid").groupBy("sid").agg(
-        F.min(F.coalesce("doc_id", -1 - F.col("key"))).alias("place")
-    )
-    place = F.coalesce(F.col("doc_id"), -1 - F.col("key"))
+    wanted = sets.join(asked, "sid").groupBy("sid").agg(F.min("place").alias("place"))
     whole = (
-        numbered.select(place.alias("place"), "text")
-        .join(texts, "place")
+        texts.select("place", "text")
+        .join(wanted, "place")
         .select("sid", "text")
         .mapInArrow(_whole_sets(size), "sid long, shingles binary")
         .dropDuplicates(["sid"])
@@ -412,7 +436,9 @@ def representatives(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     """The rows of ``docs`` that stand for their class: of linked documents the one of the
     smallest id, of repeated rows the first; with the columns they have."""
     key = fresh("key")
-    firsts = classes(docs, percent, size=size).filter("first").select(F.col("key").alias(key))
-    numbered = docs.withColumn(key, F.monotonically_increasing_id())
+    # Written once with their numbers: another scan of ``docs`` might number them otherwise.
+    numbered = stored(docs.withColumn(key, F.monotonically_increasing_id()), "jaccard-rows")
+    found = classes(numbered, percent, size=size, key_col=key)
+    firsts = found.filter("first").select(F.col("key").alias(key))
     # The same join at every size; only the keys are held in memory, a part at a time.
     return numbered.join(firsts.hint("shuffle_hash"), key).select(*docs.columns)

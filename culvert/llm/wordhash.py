@@ -111,7 +111,7 @@ def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     is one run, a text without words none."""
     h, n = words.hashes, words.per_text()
     counts = np.where(n >= size, n - size + 1, np.minimum(n, 1))
-    starts = np.repeat(words.first[:-1], counts) + _within(counts)
+    starts = np.repeat(words.first[:-1], counts) + within(counts)
     out = np.full(len(starts), size, np.uint64)
     lengths = np.repeat(np.minimum(n, size), counts)
     for place in range(size):
@@ -121,7 +121,7 @@ def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return out, counts
 
 
-def _within(counts: np.ndarray) -> np.ndarray:
+def within(counts: np.ndarray) -> np.ndarray:
     """0, 1, ... within each group."""
     ends = np.cumsum(counts)
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
