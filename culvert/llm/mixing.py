@@ -20,6 +20,7 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from culvert.llm import wordhash
@@ -81,21 +82,22 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(i, step)
 
 
-_GATHERED = "kind string, bucket int, first long, texts int, a binary, b binary, c binary, d binary, e binary"
+_GATHERED = "kind string, bucket int, segment long, keys binary, a binary, b binary, c binary, d binary, e binary"
 
 
 def _gather(buckets: int):
     edges = np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64)
 
     def rows_of(columns: dict) -> pa.RecordBatch:
-        kinds = {"kind": pa.string(), "bucket": pa.int32(), "first": pa.int64(), "texts": pa.int32()}
+        kinds = {"kind": pa.string(), "bucket": pa.int32(), "segment": pa.int64()}
         return pa.RecordBatch.from_pydict(
             {name: pa.array(x, kinds.get(name, pa.binary())) for name, x in columns.items()}
         )
 
-    def word_rows(hashes, text, train, first, texts) -> pa.RecordBatch:
+    def word_rows(hashes, text, train, keys, segment) -> pa.RecordBatch:
         """Per bucket: distinct words, their training counts, numbers of texts that have
-        them, those texts, and how often each has the word."""
+        them, those texts, and how often each has the word. The first bucket has the keys of
+        the texts."""
         order = np.argsort(hashes, kind="stable")
         hashes, text = hashes[order], text[order]
         word = np.append(True, hashes[1:] != hashes[:-1]) if len(hashes) else np.zeros(0, bool)
@@ -115,7 +117,8 @@ def _gather(buckets: int):
              text[at][pairs[a] : pairs[b]].astype(np.uint32), times[pairs[a] : pairs[b]].astype(np.uint32))
             for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
         ]
-        columns = {"kind": ["words"] * buckets, "bucket": range(buckets), "first": [first] * buckets, "texts": [texts] * buckets}
+        columns = {"kind": ["words"] * buckets, "bucket": range(buckets), "segment": [segment] * buckets}
+        columns["keys"] = [keys.tobytes(), *[None] * (buckets - 1)]
         columns |= {name: [p[i].tobytes() for p in parts] for i, name in enumerate("abcde")}
         return rows_of(columns)
 
@@ -126,29 +129,25 @@ def _gather(buckets: int):
         keys, counts = keys[order], counts[order]
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
         spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
-        columns = {"kind": ["grams"] * buckets, "bucket": range(buckets), "first": [None] * buckets, "texts": [None] * buckets}
+        columns = {"kind": ["grams"] * buckets, "bucket": range(buckets), "segment": [None] * buckets, "keys": [None] * buckets}
         columns["a"] = [keys[a:b].tobytes() for a, b in spans]
         columns["b"] = [counts[a:b].astype(np.uint64).tobytes() for a, b in spans]
         return rows_of(columns | {name: [None] * buckets for name in "cde"})
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, text, train = [], [], []
-        first, texts, held = None, 0, 0
+        hashes, text, train, keys = [], [], [], []
+        segment, texts, held = TaskContext.get().partitionId() << 33, 0, 0
         grams, waiting = (np.zeros(0, np.uint64), np.zeros(0, np.int64)), []
         for batch in batches:
             for part in _blocks(batch):
                 data, offsets = wordhash.bytes_of(part.column("text"))
-                keys = part.column("key").to_numpy()
+                keys.append(part.column("key").to_numpy())
                 taught = ~part.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-                if first is None:
-                    first = int(keys[0])
-                if not np.array_equal(keys, first + texts + np.arange(len(keys))):
-                    raise ValueError("the rows of a task are not numbered in a row")
                 words = wordhash.words_of(data, offsets, wordhash.NOT_BLANK, wordhash.LOWER)
                 hashes.append(words.hashes)
                 text.append(words.text + texts)
                 train.append(taught)
-                texts += len(keys)
+                texts += part.num_rows
                 held += len(words.hashes)
                 codes, at = ngrams(data, offsets)
                 found, times = np.unique(codes[np.repeat(taught, np.diff(at))], return_counts=True)
@@ -157,10 +156,11 @@ def _gather(buckets: int):
                     grams = _summed(*(np.concatenate(x) for x in zip(grams, *waiting, strict=True)))
                     waiting = []
                 if held >= SEGMENT_WORDS:
-                    yield word_rows(np.concatenate(hashes), np.concatenate(text), np.concatenate(train), first, texts)
-                    hashes, text, train, held, texts, first = [], [], [], 0, 0, None
+                    yield word_rows(*map(np.concatenate, (hashes, text, train, keys)), segment)
+                    hashes, text, train, keys = [], [], [], []
+                    segment, texts, held = segment + 1, 0, 0
         if texts:
-            yield word_rows(np.concatenate(hashes), np.concatenate(text), np.concatenate(train), first, texts)
+            yield word_rows(*map(np.concatenate, (hashes, text, train, keys)), segment)
         yield gram_rows(*_summed(*(np.concatenate(x) for x in zip(grams, *waiting, strict=True))))
 
     return of
@@ -174,26 +174,28 @@ def _word_counts(group: pd.DataFrame) -> pd.DataFrame:
     _, number = np.unique(np.concatenate(words), return_inverse=True)
     total = np.bincount(number, np.concatenate(known).astype(float))
     rows, at = [], 0
-    for i, (first, texts) in enumerate(zip(group["first"], group["texts"], strict=True)):
+    for i, (segment, keys) in enumerate(zip(group["segment"], group["keys"], strict=True)):
         own = total[number[at : at + len(words[i])]]
         at += len(words[i])
         each = np.repeat(own, spread[i])
-        sums = np.bincount(text[i], times[i] * np.log10(each + 1), int(texts))
-        seen = np.bincount(text[i], times[i] * (each > 0), int(texts)).astype(np.int64)
-        rows.append((first, int(texts), sums.tobytes(), seen.tobytes(), None, None))
+        sums = np.bincount(text[i], times[i] * np.log10(each + 1))
+        seen = np.bincount(text[i], times[i] * (each > 0)).astype(np.int64)
+        rows.append((segment, keys, sums.tobytes(), seen.tobytes(), None, None))
     rows.append((None, None, None, None, int((total > 0).sum()), int(total.sum())))
-    return pd.DataFrame(rows, columns=["first", "texts", "sums", "seen", "distinct", "total"])
+    return pd.DataFrame(rows, columns=["segment", "keys", "sums", "seen", "distinct", "total"])
 
 
 def _text_sums(group: pd.DataFrame) -> pd.DataFrame:
-    """Of one segment: the sums of its texts over all buckets, in bucket order."""
-    texts = int(group["texts"].iloc[0])
+    """Of one segment: the sums of its texts over all buckets, in bucket order. A bucket's
+    list ends with the last text that has a word in it."""
     order = group.sort_values("bucket")
-    sums, seen = np.zeros(texts), np.zeros(texts, np.int64)
+    keys = np.frombuffer(order["keys"].iloc[0], np.int64)
+    sums, seen = np.zeros(len(keys)), np.zeros(len(keys), np.int64)
     for a, b in zip(order["sums"], order["seen"], strict=True):
-        sums += np.frombuffer(a, float)
-        seen += np.frombuffer(b, np.int64)
-    return pd.DataFrame({"key": group["first"].iloc[0] + np.arange(texts), "log_sum": sums, "n_known": seen})
+        part = np.frombuffer(a, float)
+        sums[: len(part)] += part
+        seen[: len(part)] += np.frombuffer(b, np.int64)
+    return pd.DataFrame({"key": keys, "log_sum": sums, "n_known": seen})
 
 
 def _slots(order: int, bits: int, context: np.ndarray, node: np.ndarray) -> np.ndarray:
@@ -473,7 +475,8 @@ def score(docs: DataFrame, divisor: int = 7, rest: int = 2) -> DataFrame:
         docs["doc_id"].cast("long").alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),
         holds_out(F.col("doc_id"), divisor, rest).alias("held_out"),
-        F.monotonically_increasing_id().alias("key"),
+        # Told by what a row holds: another scan might number the rows otherwise.
+        F.xxhash64(docs["doc_id"].cast("long"), "text").alias("key"),
     )
     gathered = numbered.select("key", "text", "held_out").mapInArrow(_gather(buckets), _GATHERED)
     gathered = stored(gathered, "mixing-gathered")
@@ -482,7 +485,7 @@ def score(docs: DataFrame, divisor: int = 7, rest: int = 2) -> DataFrame:
 
     counted = gathered.filter("kind = 'words'").groupBy("bucket").applyInPandas(
         counts_of,
-        "bucket int, first long, texts int, sums binary, seen binary, distinct long, total long",
+        "bucket int, segment long, keys binary, sums binary, seen binary, distinct long, total long",
     )
     counted = stored(counted, "mixing-counted")
     words = counted.agg(
@@ -503,9 +506,10 @@ def score(docs: DataFrame, divisor: int = 7, rest: int = 2) -> DataFrame:
     scored = numbered.mapInArrow(
         _scored(shared), "key long, doc_id long, held_out boolean, n_words long, n_bytes long, bits double"
     )
-    base = counted.filter("first IS NOT NULL").groupBy("first").applyInPandas(
+    # Rows of one key hold the same id and text, and so have the same sums.
+    base = counted.filter("segment IS NOT NULL").groupBy("segment").applyInPandas(
         _text_sums, "key long, log_sum double, n_known long"
-    )
+    ).groupBy("key").agg(F.min("log_sum").alias("log_sum"), F.min("n_known").alias("n_known"))
     n_tokens = F.col("n_words") + 1
     whole = F.lit(math.log10(total + distinct + 1))
     return scored.join(base, "key").select(
