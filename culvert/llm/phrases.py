@@ -38,7 +38,7 @@ UNKNOWN = "und"
 #: 2 ** FILTER_BITS places in a filter: 4 MB, at every size of the corpus.
 FILTER_BITS = 25
 #: Bytes of text whose equal suffixes are merged before they are sent.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20
 #: Suffixes sorted together; equal ones are never parted.
 SORTED_ROWS = 1 << 20
 #: Portions of a partition by hash, of which as many are sorted together as SORTED_ROWS take.
@@ -279,10 +279,7 @@ def frequent_runs(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"))
     every = texts.mapInArrow(_words, "id long, lang string, word string, f long")
-    counted = every.groupBy("id").agg(
-        F.min("lang").alias("lang"), F.min("word").alias("word"), F.sum("f").alias("f")
-    )
-    counted = stored(counted, "phrase-words")
+    counted = stored(every.groupBy("id", "lang", "word").agg(F.sum("f").alias("f")), "phrase-words")
     totals = counted.groupBy("lang").agg(F.sum("f").alias("n"))
     words = counted.filter(F.col("f") >= least)
     known = spark.sparkContext.broadcast(frequent_filter(spark, words.select(F.col("id").alias("h"))))
@@ -366,7 +363,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     weakest cut, ``n`` all words of the language. Equal scores and counts go by the bytes of
     the phrase, so ranks are settled.
 
-    Equal suffixes of 16 MB of text are merged before they are sent, so a phrase reaches its
+    Equal suffixes of 6 MB of text are merged before they are sent, so a phrase reaches its
     partition once per block, however hot it is, and a partition is sorted in portions of
     about a million. Words and runs are told apart by 64-bit hashes.
 
