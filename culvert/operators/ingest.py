@@ -6,11 +6,13 @@ so the first failing stage explains the row.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from typing import NamedTuple
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from culvert import schemas
@@ -59,6 +61,36 @@ class Subscription:
         return value.cast("string"), error
 
 
+def python_handler(fn: Callable[[str, object, dict[str, str]], str | None]) -> Handler:
+    """A handler in plain Python: ``fn(bus topic, message, fields)`` gives an error text or
+    None. It is called for the rows that have come so far without failing, and for no
+    others; what it raises is the error of that row. Rows come in Arrow batches.
+
+    The message is what the payload decoded to: a parsed JSON value, text, bytes or None.
+    """
+
+    @F.pandas_udf("string")
+    def outcome(
+        topic: pd.Series, kind: pd.Series, parsed: pd.Series, text: pd.Series, raw: pd.Series, fields: pd.Series
+    ) -> pd.Series:
+        errors: list[str | None] = [None] * len(topic)
+        for i in topic.notna().to_numpy().nonzero()[0].tolist():
+            try:
+                given = {"json": parsed, "string": text, "bytes": raw}.get(kind[i])
+                message = None if given is None else given[i]
+                if kind[i] == "json":
+                    message = json.loads(message)
+                error = fn(topic[i], message, dict(fields[i] if fields[i] is not None else {}))
+                errors[i] = None if error is None else str(error)
+            except Exception as e:
+                errors[i] = str(e) or type(e).__name__
+        return pd.Series(errors, dtype=object)
+
+    return lambda bus_topic, msg, fields: outcome(
+        bus_topic, msg["kind"], F.to_json(msg["json"]), msg["text"], msg["raw"], fields
+    )
+
+
 def decode_key(df: DataFrame) -> DataFrame:
     """Add ``key_text``: no key stays null, an empty key stays empty."""
     return df.withColumn("key_text", F.col("key").cast("string"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from culvert.functions.results import column_named, computed_once
@@ -12,6 +14,9 @@ COMMIT_MODES = ("after_process", "periodic")
 
 PARTITION = ["topic", "partition"]
 
+#: Ranges of a condition on positions; a plan with thousands would take longer than it saves.
+MAX_RANGES = 256
+
 
 def resume_from(
     records: DataFrame,
@@ -28,7 +33,9 @@ def resume_from(
 
     There is one position per partition. They are written to the working folder
     once, so that Spark knows their size when it plans the join: a small table is
-    broadcast, and a large one is joined by shuffle.
+    broadcast, and a large one is joined by shuffle. They also become a filter that
+    reaches the scan (``behind``), so that files and row groups in front of the positions
+    are not read.
     """
     if start not in STARTS:
         raise ValueError(f"start must be one of {STARTS}: {start!r}")
@@ -41,9 +48,51 @@ def resume_from(
         )
     positions = written_once(positions, "positions")
     first = F.coalesce("_start", F.lit(0))
+    pushed = behind(positions, "_start")
+    records = records if pushed is None else records.filter(pushed)
     return records.join(positions, PARTITION, "left").filter(F.col("offset") >= first).select(*own)
 
 
+def behind(positions: DataFrame, offset_col: str = "next_offset", most: int = MAX_RANGES) -> Column | None:
+    """A condition that holds for all records at or behind the positions, and for those of
+    partitions that have none. It is made of comparisons with literals, which a Parquet
+    scan tests against the least and largest values of a row group.
+
+    Up to ``most`` partitions get a range each, and the condition is exact. Beyond that a
+    topic gets one range from its least position on; beyond ``most`` topics there is no
+    condition (None). At most that many rows come to the driver.
+    """
+    start = F.coalesce(F.col(offset_col), F.lit(0))
+    rows = positions.select(*PARTITION, start.alias("start")).filter("topic IS NOT NULL AND partition IS NOT NULL")
+    single = rows.limit(most + 1).collect()
+    by_topic: dict[str, list[Column]] = {}
+    if len(single) <= most:
+        numbers: dict[str, list[int]] = {}
+        for r in single:
+            by_topic.setdefault(r.topic, []).append((F.col("partition") == r.partition) & (F.col("offset") >= r.start))
+            numbers.setdefault(r.topic, []).append(r.partition)
+        for topic, known in numbers.items():
+            by_topic[topic].append(~F.col("partition").isin(known) | F.col("partition").isNull())
+    else:
+        whole = rows.groupBy("topic").agg(
+            F.min("start").alias("start"), F.min("partition").alias("first"), F.max("partition").alias("last"),
+            F.count_distinct("partition").alias("n"),
+        )
+        coarse = whole.limit(most + 1).collect()
+        if len(coarse) > most:
+            return None
+        for r in coarse:
+            # A partition in a gap has no position, so all of it is to be read.
+            least = r.start if r.n == r.last - r.first + 1 else 0
+            outside = (F.col("partition") < r.first) | (F.col("partition") > r.last) | F.col("partition").isNull()
+            by_topic[r.topic] = [F.col("offset") >= least, outside]
+    if not by_topic:
+        return None
+    topic = F.col("topic")
+    kept = [(topic == name) & functools.reduce(Column.__or__, any_of) for name, any_of in by_topic.items()]
+    return functools.reduce(Column.__or__, [*kept, ~topic.isin(list(by_topic)), topic.isNull()])
+
+
 def committed_positions(processed: DataFrame, eligible: Column | None = None, commit: str = "after_process") -> DataFrame:
     """``topic, partition, next_offset`` after the rows of ``processed``.
 
@@ -75,6 +124,28 @@ def starting_offsets(positions: DataFrame, offset_col: str = "next_offset") -> D
     return topics.agg(F.to_json(everything).alias("starting_offsets"))
 
 
+def offset_range(positions: DataFrame, high_watermarks: DataFrame, start: str = "stored") -> DataFrame:
+    """``topic, partition, first, end`` of what is still to be read of every partition; from
+    ``first`` up to, but not including, ``end``.
+
+    ``start`` decides for partitions without position as in ``resume_from``. A position
+    behind the end of its partition leaves nothing to read.
+    """
+    if start not in STARTS:
+        raise ValueError(f"start must be one of {STARTS}: {start!r}")
+    fallback = F.lit(0).cast("long") if start == "earliest" else F.col("high_watermark")
+    first = F.coalesce("next_offset", fallback)
+    return high_watermarks.join(positions, PARTITION, "left").select(
+        *PARTITION, F.least(first, F.col("high_watermark")).alias("first"), F.col("high_watermark").alias("end")
+    )
+
+
+def range_options(ranges: DataFrame) -> dict[str, str]:
+    """``startingOffsets`` and ``endingOffsets`` of a Kafka batch read of exactly these ranges."""
+    options = {"startingOffsets": "first", "endingOffsets": "end"}
+    return {name: starting_offsets(ranges, column).first().starting_offsets for name, column in options.items()}
+
+
 def consumer_lag(records: DataFrame, high_watermarks: DataFrame) -> DataFrame:
     """``topic, partition, lag`` per fetched partition, zero for one without records.
 

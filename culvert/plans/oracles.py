@@ -198,6 +198,13 @@ FROM ingested WHERE {condition} GROUP BY topic, part""",
     )
 
 
+# A poll takes a share of the event ids.
+POLLS = """
+polls AS (
+  SELECT ids, greatest(4, (ids + 1048575) // 1048576) AS n_polls FROM (SELECT max(event_id) + 1 AS ids FROM rec)),
+polled AS (SELECT rec.*, CAST(event_id * n_polls // ids AS BIGINT) AS poll FROM rec, polls)"""
+
+
 def decoded_as(kind: str, failed: str, json: str, text: str, raw: str) -> str:
     return with_(
         REC,
@@ -448,6 +455,13 @@ ORACLES: dict[str, str] = {
     "resume_stored": resumed("coalesce(next_offset, high_watermark)"),
     "resume_earliest": resumed("coalesce(next_offset, 0)"),
     "resume_latest": resumed("coalesce(next_offset, high_watermark)"),
+    "resume_range": with_(
+        REC,
+        POSITIONS,
+        select="""SELECT w.topic, w.part, least(coalesce(next_offset, high_watermark), high_watermark) AS first,
+  high_watermark AS "end" FROM watermarks w LEFT JOIN committed c ON c.topic = w.topic AND c.part = w.part""",
+    ),
+    "resume_log": resumed("coalesce(next_offset, 0)"),
     "resume_new_partition": resumed("coalesce(next_offset, high_watermark)", "early"),
     "committed_positions": positions("status = 'ok'"),
     "committed_positions_dlq": positions("true"),
@@ -611,6 +625,38 @@ UNION ALL SELECT 'delivered', count(*) FROM ingested WHERE status = 'ok'
 UNION ALL SELECT 'failed', count(*) FROM ingested WHERE status <> 'ok'
 UNION ALL SELECT 'undecoded', 0""",
     ),
+    "stream_positions": with_(
+        INGESTED,
+        POLLS,
+        select="""SELECT topic, part, CAST(max(off) + 1 AS BIGINT) AS n FROM ingested WHERE status = 'ok' GROUP BY topic, part
+UNION ALL SELECT 'commits', NULL, count(DISTINCT poll) FROM polled JOIN ingested USING (event_id) WHERE status = 'ok'""",
+    ),
+    "stream_lag": with_(
+        REC,
+        POSITIONS,
+        POLLS,
+        select="""SELECT p.poll, w.topic, w.part,
+  CAST(coalesce(greatest(high_watermark - last - 1, 0), 0) AS DOUBLE) AS lag
+FROM watermarks w CROSS JOIN (SELECT DISTINCT poll FROM polled) p
+LEFT JOIN (SELECT poll, topic, part, max(off) AS last FROM polled GROUP BY ALL) l
+  ON l.poll = p.poll AND l.topic = w.topic AND l.part = w.part""",
+    ),
+    "stream_dlq_refused": with_(
+        INGESTED,
+        select="""SELECT topic, part, CAST(max(off) + 1 AS BIGINT) AS n FROM ingested
+WHERE status = 'ok' OR part <> 1 GROUP BY topic, part
+UNION ALL SELECT 'app.dlq', NULL, count(*) FROM ingested WHERE status <> 'ok' AND part <> 1""",
+    ),
+    "stream_sent": with_(
+        OUTBOUND,
+        """
+answered AS (SELECT topic, coalesce(key_hex LIKE '%37', false) AS no FROM outbound)""",
+        select="""SELECT what, topic, count(*) AS n FROM answered, (VALUES ('sent'), ('timed'), ('arrived')) v(what)
+WHERE NOT no GROUP BY what, topic
+UNION ALL SELECT 'errors', topic, count(*) FROM answered WHERE no GROUP BY topic""",
+    ),
+    "stream_durations": histogram("ingested", "status IN ('ok', 'handler_error')", INGESTED),
+    "stream_python_handler": with_(INGESTED, select="SELECT event_id, status, error FROM ingested"),
     "stream_restart": with_(OUTBOUND, select="SELECT topic, key_hex, value_hex, headers_text FROM outbound"),
     "stream_bridge": with_(
         INGESTED,

@@ -6,6 +6,7 @@ maps as JSON text, bytes as hex, header lists as text.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -22,8 +23,11 @@ from culvert.operators.bridge import bridge
 from culvert.operators.rules import route_by_table
 from culvert.plans import tables as t
 from culvert.session import work_dir, written_once
-from culvert.sources.records import ParquetLog, read_records, subscribed, write_records
+from culvert.sources import files
+from culvert.sources.delivery import FileSend
+from culvert.sources.records import ParquetLog, read_records, stream_records, subscribed, write_records
 from culvert.streaming import jobs
+from culvert.streaming.changes import histogram_log, position_log
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -535,6 +539,149 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def replay_last_batch(spark: SparkSession, checkpoint: str) -> None:
+    """Forget that the newest batch was done, as a crash before the commit would."""
+    done = max(int(name) for name in files.children(spark, f"{checkpoint}/commits") if name.isdigit())
+    for name in (f"{done}", f".{done}.crc"):
+        files.remove(spark, f"{checkpoint}/commits/{name}")
+
+
+def _polled(spark: SparkSession, log: ParquetLog) -> DataFrame:
+    return stream_records(spark, log, t.TOPICS, "earliest")
+
+
+def stream_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Committed positions and the number of commits of a running job; its last batch is
+    handled twice, and the changes are folded in between."""
+    base = work_dir(spark, "positions")
+    log, positions = t.poll_log(spark, sf_dir, f"{base}/log"), position_log(f"{base}/positions")
+
+    def run() -> None:
+        jobs.run_ingest(
+            _polled(spark, log), t.SUBSCRIPTIONS, lambda batch, batch_id: None, f"{base}/checkpoint", t.handler, positions=positions
+        ).awaitTermination()
+
+    run()
+    replay_last_batch(spark, f"{base}/checkpoint")
+    run()
+    positions.compact(spark)
+    replay_last_batch(spark, f"{base}/checkpoint")
+    run()
+    newest = positions.newest(spark).select("topic", F.col("partition").alias("part"), F.col("next_offset").alias("n"))
+    commits = positions.batches(spark).select(F.lit("commits").alias("topic"), F.lit(None).cast("int").alias("part"), "n")
+    return newest.unionByName(commits)
+
+
+def stream_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lag after each poll of a running job."""
+    base = work_dir(spark, "lag")
+    log, told = t.poll_log(spark, sf_dir, f"{base}/log"), ParquetLog(f"{base}/lag")
+    ends = written_once(t.high_watermarks(t.partition_sizes(t.events(spark, sf_dir))), "ends")
+    jobs.run_ingest(
+        _polled(spark, log),
+        t.SUBSCRIPTIONS,
+        lambda batch, batch_id: None,
+        f"{base}/checkpoint",
+        t.handler,
+        watermarks=lambda batch_id: ends,
+        lag=lambda lag, batch_id: told.write(lag, batch_id),
+    ).awaitTermination()
+    return told.read(spark).select(F.col("batch_id").cast("long").alias("poll"), "topic", F.col("partition").alias("part"), "lag")
+
+
+def stream_dlq_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions of a job whose dead-letter sink takes none of partition 1, and the dead
+    letters it took."""
+    base = work_dir(spark, "refused")
+    log, positions = t.poll_log(spark, sf_dir, f"{base}/log"), position_log(f"{base}/positions")
+    sink = FileSend(f"{base}/dead", ("topic", "key", "value"), t.in_partition_1, "sink down")
+    jobs.run_ingest(
+        _polled(spark, log),
+        t.SUBSCRIPTIONS,
+        lambda batch, batch_id: None,
+        f"{base}/checkpoint",
+        t.handler,
+        dlq=sink,
+        dlq_topic=DLQ_TOPIC,
+        positions=positions,
+    ).awaitTermination()
+    taken = spark.read.schema("topic string, key binary, value binary").parquet(f"{base}/dead")
+    letters = taken.groupBy("topic").agg(F.count("*").alias("n")).select("topic", F.lit(None).cast("int").alias("part"), "n")
+    newest = positions.newest(spark).select("topic", F.col("partition").alias("part"), F.col("next_offset").alias("n"))
+    return newest.unionByName(letters)
+
+
+def stream_sent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sent records, errors and timed sends per topic as the sender answered, and the records
+    that arrived."""
+    base = work_dir(spark, "sent")
+    told = ParquetLog(f"{base}/results")
+    jobs.run_produce(
+        t.bus_events(t.event_stream(spark, sf_dir)),
+        t.MAPPINGS,
+        FileSend(f"{base}/arrived", ("topic", "key"), t.key_ends_in_7, "broker down"),
+        f"{base}/checkpoint",
+        "slash_to_dot",
+        results=lambda said, batch_id: told.write(said, batch_id),
+    ).awaitTermination()
+    results = told.read(spark)
+    durations = m.produce_duration(results, "duration_s", BOUNDS)
+    arrived = spark.read.schema("topic string, key binary").parquet(f"{base}/arrived")
+    counts = {
+        "sent": m.sent_messages(results),
+        "errors": m.producer_errors(results),
+        "timed": durations.filter("shortest >= 0").select("topic", "n"),
+        "arrived": arrived.groupBy("topic").agg(F.count("*").alias("n")),
+    }
+    named = [df.select(F.lit(what).alias("what"), "topic", "n") for what, df in counts.items()]
+    return functools.reduce(DataFrame.unionByName, named)
+
+
+def stream_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The histogram that a job keeps over polls and a restart."""
+    base = work_dir(spark, "durations")
+    for polls in (slice(0, 2), slice(2, None)):
+        log = t.poll_log(spark, sf_dir, f"{base}/log", polls)
+        ingested = _ingested(_polled(spark, log))
+        jobs.run_durations(ingested, f"{base}/histogram", f"{base}/checkpoint", "duration_s", BOUNDS).awaitTermination()
+        histogram_log(f"{base}/histogram", BOUNDS).compact(spark)
+    return _rounded(jobs.latest_durations(spark, f"{base}/histogram", BOUNDS))
+
+
+def stream_python_handler(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statuses and errors where the handler is plain Python that raises."""
+    base = work_dir(spark, "python")
+    report = ParquetLog(f"{base}/report")
+    jobs.run_ingest(
+        t.records_without_offset(t.event_stream(spark, sf_dir)),
+        t.SUBSCRIPTIONS,
+        lambda batch, batch_id: None,
+        f"{base}/checkpoint",
+        i.python_handler(t.k_in_range),
+        report=lambda batch, batch_id: report.write(batch.select("event_id", "status", "error"), batch_id),
+    ).awaitTermination()
+    return report.read(spark).select("event_id", "status", "error")
+
+
+def resume_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left to read of each partition, from the stored position to the end."""
+    sizes = written_once(t.partition_sizes(t.events(spark, sf_dir)), "sizes")
+    ranges = o.offset_range(t.committed(sizes), t.high_watermarks(sizes))
+    return ranges.select("topic", F.col("partition").alias("part"), "first", "end")
+
+
+def resume_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records behind the positions, out of a log of files whose row groups in front of
+    them are skipped."""
+    events = t.events(spark, sf_dir)
+    log = ParquetLog(work_dir(spark, "resume"), t.records(events).schema, in_order=("topic", "partition", "offset"))
+    write_records(t.records(events), log)
+    sizes = written_once(t.partition_sizes(events), "sizes")
+    records = read_records(spark, log, t.TOPICS)
+    resumed = o.resume_from(records, t.committed(sizes), t.high_watermarks(sizes), "earliest")
+    return resumed.select("event_id", "topic", F.col("partition").alias("part"), F.col("offset").alias("off"))
+
+
 def stream_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records sent on and dead letters of both directions, row by row; a dead letter's time is left out."""
     base = work_dir(spark, "bridge")
@@ -602,6 +749,8 @@ QUERIES: dict[str, Query] = {
     "resume_earliest": _resumed("earliest"),
     "resume_latest": _resumed("latest"),
     "resume_new_partition": _resumed("latest", t.early_watermarks),
+    "resume_range": resume_range,
+    "resume_log": resume_log,
     "committed_positions": _positions("after_process", dlq=False),
     "committed_positions_dlq": _positions("after_process", dlq=True),
     "committed_positions_periodic": _positions("periodic", dlq=False),
@@ -667,6 +816,12 @@ QUERIES: dict[str, Query] = {
     "stream_progress": stream_progress,
     "stream_restart": stream_restart,
     "stream_bridge": stream_bridge,
+    "stream_positions": stream_positions,
+    "stream_lag": stream_lag,
+    "stream_dlq_refused": stream_dlq_refused,
+    "stream_sent": stream_sent,
+    "stream_durations": stream_durations,
+    "stream_python_handler": stream_python_handler,
     "bridge_dlq": bridge_dlq,
     "bridge_positions": bridge_positions,
     "bridge_counts": bridge_counts,

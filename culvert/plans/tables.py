@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from culvert import schemas
 from culvert.operators.ingest import Subscription
 from culvert.operators.routing import TopicMapping
+from culvert.session import written_once
+from culvert.sources.records import ParquetLog
 
 # event_id is unique, so a block of this many ids never holds more rows than that.
 BLOCK_IDS = 1 << 20
@@ -255,3 +258,37 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_results(outbound: DataFrame) -> DataFrame:
     """Outbound rows with what the broker said; ``event_id`` must be kept in them."""
     return outbound.withColumn("write_error", F.when(F.col("event_id") % 47 == 0, "broker down"))
+
+
+#: A poll takes a file of at most this many events.
+POLL_EVENTS = 1 << 20
+
+
+def poll_log(spark: SparkSession, sf_dir: str, path: str, polls: slice = slice(None)) -> ParquetLog:
+    """The records as a log that is taken in four polls or more, by ``event_id``; a file and
+    micro-batch each. ``polls`` are those to be written now."""
+    numbered = written_once(records(events(spark, sf_dir)).drop("batch_id"), "polls")
+    ids = (numbered.agg(F.max("event_id")).first()[0] or 0) + 1
+    number = max(4, -(-ids // POLL_EVENTS))
+    log = ParquetLog(path, numbered.schema, max_bytes_per_trigger=1)
+    for k in range(number)[polls]:
+        log.write(numbered.filter(F.expr(f"event_id * {number} div {ids}") == k).coalesce(1), k)
+    return log
+
+
+TOPICS = ["app.click", "app.view", "app.purchase", "app.signup", "app.error"]
+
+
+def in_partition_1(batch: pa.RecordBatch) -> list[bool]:
+    return [p == 1 for p in batch.column("partition").to_pylist()]
+
+
+def key_ends_in_7(batch: pa.RecordBatch) -> list[bool]:
+    return [k is not None and k.endswith(b"7") for k in batch.column("key").to_pylist()]
+
+
+def k_in_range(topic: str, message: object, fields: dict[str, str]) -> str | None:
+    """The same refusal as ``handler``, by raising."""
+    if isinstance(message, dict) and isinstance(message.get("k"), int) and message["k"] >= 90:
+        raise ValueError("k out of range")
+    return None

@@ -60,12 +60,17 @@ class ParquetLog:
     With ``by_topic`` the files are laid out by topic, so that a reader of some
     topics skips the others. That is for few topics; destinations derived from
     event topics can be as many as the devices that send, and stay a plain column.
+
+    ``in_order`` names the columns by whose ranges the rows are laid into files, and sorted
+    within them, so that a reader of a range skips the other files and row groups.
     """
 
     path: str
     schema: T.StructType = schemas.RECORDS
     by_topic: bool = False
     max_bytes_per_trigger: int = 64 << 30
+    in_order: tuple[str, ...] = ()
+    row_group_bytes: int = 16 << 20
 
     def write(self, records: DataFrame, batch_id: int | None = None) -> None:
         """Append ``records``; a batch written twice replaces itself.
@@ -76,12 +81,16 @@ class ParquetLog:
         if self.by_topic:
             # Groups a topic's rows into few files and, unlike repartition, splits a topic too big for one task.
             records = records.hint("rebalance", "topic")
+        if self.in_order:
+            records = records.repartitionByRange(*self.in_order).sortWithinPartitions(*self.in_order)
         if batch_id is None:
             writer, path = records.write.mode("append"), self.path
         else:
             writer, path = records.write.mode("overwrite"), f"{self.path}/batch_id={batch_id}"
         if self.by_topic:
             writer = writer.partitionBy("topic")
+        if self.in_order:
+            writer = writer.option("parquet.block.size", self.row_group_bytes)
         writer.parquet(path)
 
     def read(self, spark: SparkSession) -> DataFrame:

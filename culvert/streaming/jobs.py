@@ -3,6 +3,9 @@
 A micro-batch is written by ``foreachBatch`` under its batch id, and the
 checkpoint moves on only after all its writes: every record is handled at least
 once, and on a table target a replayed batch replaces what it wrote before.
+
+Positions, lag, counters and histograms are kept as changes by batch (``ChangeLog``),
+so that they are the same after a replay or a restart.
 """
 
 from __future__ import annotations
@@ -15,15 +18,32 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from culvert.functions.payload import Codec
 from culvert.operators.bridge import bridge
-from culvert.operators.ingest import Handler, Subscription, build_dlq, ingest, split_outcomes
+from culvert.operators.ingest import Handler, Subscription, build_dlq, commit_eligible, ingest, split_outcomes
+from culvert.operators.metrics import process_duration
+from culvert.operators.offsets import PARTITION, committed_positions, consumer_lag
 from culvert.operators.routing import TopicMapping, failed, produce, route, sent
 from culvert.operators.rules import route_by_table
+from culvert.sources.delivery import Send, send_rows
 from culvert.sources.records import Log, write_dlq, write_records
+from culvert.streaming.changes import ChangeLog, counter_log, histogram_log
 
 AVAILABLE_NOW: dict[str, object] = {"availableNow": True}
 
 Subscriber = Callable[[DataFrame, int], None]
 
+#: The ends of the partitions when a batch was taken: ``topic, partition, high_watermark``.
+Watermarks = Callable[[int], DataFrame]
+
+#: Batches between two snapshots of what a job keeps.
+COMPACT_EVERY = 100
+
+
+def keep(log: ChangeLog, changed: DataFrame, batch_id: int) -> None:
+    """Write what a batch has changed, and now and then fold the changes."""
+    log.append(changed, batch_id)
+    if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
+        log.compact(changed.sparkSession)
+
 
 def run_ingest(
     records: DataFrame,
@@ -32,12 +52,16 @@ def run_ingest(
     checkpoint: str,
     handler: Handler | None = None,
     fmt: str | Codec = "auto",
-    dlq: Log | None = None,
+    dlq: Log | Callable[[], Send] | None = None,
     dlq_topic: str = "dead-letters",
     header_prefix: str = "dlq-",
     report: Subscriber | None = None,
     trigger: dict[str, object] = AVAILABLE_NOW,
     bus_name: str = "bus",
+    positions: ChangeLog | None = None,
+    commit: str = "after_process",
+    watermarks: Watermarks | None = None,
+    lag: Subscriber | None = None,
 ) -> StreamingQuery:
     """Ingest a stream of records.
 
@@ -46,7 +70,16 @@ def run_ingest(
     appear in the query's progress under ``ingest``. Should one of the writes
     fail, the whole batch is tried again after a restart. Without ``dlq`` the
     failed rows reach ``report`` only, and the checkpoint passes them by.
+
+    A ``dlq`` that is no log but makes senders answers for each dead letter; one that it
+    does not take fails alone. ``positions`` is told the committed position of every
+    partition after each batch, last of all writes: of the rows that are good or whose
+    dead letter was taken, or with ``commit="periodic"`` of all. ``lag`` gets, after each
+    batch, how far every partition of ``watermarks`` is behind; a partition without
+    records in the batch is not.
     """
+    if (lag is None) != (watermarks is None):
+        raise ValueError("lag is told from watermarks: give both or none")
     ok = F.col("status") == "ok"
     ingested = ingest(records, subs, handler, fmt, bus_name).observe(
         "ingest",
@@ -62,10 +95,24 @@ def run_ingest(
         try:
             outcomes = split_outcomes(batch, dlq is not None)
             subscriber(outcomes.ok, batch_id)
-            if dlq is not None:
+            refused = None
+            if callable(dlq):
+                origin = F.col("topic").alias("_from")
+                letters = build_dlq(outcomes.dead, dlq_topic, header_prefix, keep=[origin, "partition", "offset"])
+                place = [F.col("_from").alias("topic"), "partition", "offset"]
+                refused = send_rows(letters, dlq, place).filter("write_error IS NOT NULL")
+            elif dlq is not None:
                 write_dlq(build_dlq(outcomes.dead, dlq_topic, header_prefix), dlq, batch_id)
             if report is not None:
                 report(batch, batch_id)
+            if lag is not None:
+                lag(consumer_lag(batch, watermarks(batch_id)), batch_id)
+            if positions is not None:
+                eligible = batch.select(*PARTITION, "offset", "status", "error")
+                if refused is not None and commit == "after_process":
+                    eligible = eligible.join(refused, [*PARTITION, "offset"], "left_anti")
+                done = committed_positions(eligible, commit_eligible(dlq is not None), commit)
+                keep(positions, done, batch_id)
         finally:
             batch.unpersist()
 
@@ -75,13 +122,14 @@ def run_ingest(
 def run_produce(
     events: DataFrame,
     mappings: Sequence[TopicMapping] | DataFrame,
-    target: Log,
+    target: Log | Callable[[], Send],
     checkpoint: str,
     default: str = "error",
     fmt: str | Codec = "auto",
     trigger: dict[str, object] = AVAILABLE_NOW,
     failures: Subscriber | None = None,
     report: Subscriber | None = None,
+    results: Subscriber | None = None,
 ) -> StreamingQuery:
     """Route, encode and write a stream of bus events.
 
@@ -90,14 +138,25 @@ def run_produce(
     do not match, have no key or do not encode, with their ``error``; ``report`` gets
     all events with their ``status``. Sent, ignored and failed events of a batch add
     up to its ``events`` in the query's progress under ``produce``.
+
+    A ``target`` that is no log but makes senders answers for each record; ``results``
+    gets what it said, as ``topic, write_error, duration_s``, which is what
+    ``sent_messages``, ``producer_errors`` and ``produce_duration`` count.
     """
+    if results is not None and not callable(target):
+        raise ValueError("only a target that makes senders has results")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if isinstance(mappings, DataFrame):
             batch = _watched(produce(route_by_table(batch, mappings, default), fmt))
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_records(sent(batch), target, batch_id)
+            if callable(target):
+                said = send_rows(sent(batch), target, ["topic"])
+                if results is not None:
+                    results(said, batch_id)
+            else:
+                write_records(sent(batch), target, batch_id)
             if failures is not None:
                 failures(failed(batch), batch_id)
             if report is not None:
@@ -132,12 +191,16 @@ def run_bridge(
     report: Subscriber | None = None,
     trigger: dict[str, object] = AVAILABLE_NOW,
     bus_name: str = "bus",
+    positions: ChangeLog | None = None,
+    commit: str = "after_process",
 ) -> StreamingQuery:
     """Ingest a stream of records, route the events and write them on.
 
     ``dlq`` gets the record, as it came, of every row that failed in either
     direction; ``report`` gets all rows. The counts of a micro-batch appear in the
     query's progress under ``bridge``. Each record is decoded and encoded once.
+    ``positions`` is told the committed positions as in ``run_ingest``; a record whose
+    event is routed nowhere on purpose is done.
     """
     rows = produce(bridge(records, subs, mappings, handler, default, fmt, bus_name), fmt).observe(
         "bridge",
@@ -155,6 +218,9 @@ def run_bridge(
                 write_dlq(build_dlq(batch, dlq_topic, header_prefix), dlq, batch_id)
             if report is not None:
                 report(batch, batch_id)
+            if positions is not None:
+                eligible = commit_eligible(dlq is not None) | (F.col("status") == "ignored")
+                keep(positions, committed_positions(batch, eligible, commit), batch_id)
         finally:
             batch.unpersist()
 
@@ -173,20 +239,41 @@ def run_counts(
     by: Sequence[str] = ("topic", "status"),
     trigger: dict[str, object] = AVAILABLE_NOW,
 ) -> StreamingQuery:
-    """Keep the running counts of a stream: each batch writes them all under its id, and
-    ``latest_counts`` reads the newest. No batch touches what another has written."""
+    """Keep the running counts of a stream: each batch writes the counters that it has
+    raised, under its id, and ``latest_counts`` reads the newest of each."""
+    log = counter_log(path, by)
+    counts = running_counts(ingested, by).select(*(F.col(name).cast("string").alias(name) for name in by), "n")
+    return _start(counts, lambda batch, batch_id: keep(log, batch, batch_id), checkpoint, trigger, "update")
 
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return _start(running_counts(ingested, by), on_batch, checkpoint, trigger, "complete")
+def latest_counts(spark: SparkSession, path: str, by: Sequence[str] = ("topic", "status")) -> DataFrame:
+    """The counters as they stand after the newest batch."""
+    return counter_log(path, by).newest(spark)
+
+
+def run_durations(
+    ingested: DataFrame,
+    path: str,
+    checkpoint: str,
+    col: str,
+    bounds: Sequence[float],
+    trigger: dict[str, object] = AVAILABLE_NOW,
+) -> StreamingQuery:
+    """Keep the histogram per topic of the time in the handler, over batches and restarts:
+    its counts, sum and buckets are the state of the stream, and each batch writes those of
+    the topics it has seen. ``latest_durations`` reads them."""
+    log = histogram_log(path, bounds)
+    return _start(
+        process_duration(ingested, col, bounds),
+        lambda batch, batch_id: keep(log, batch, batch_id),
+        checkpoint,
+        trigger,
+        "update",
+    )
 
 
-def latest_counts(spark: SparkSession, path: str) -> DataFrame:
-    """The counts of the newest batch."""
-    every = spark.read.parquet(path)
-    newest = every.agg(F.max("batch_id").alias("batch_id"))
-    return every.join(F.broadcast(newest), "batch_id", "left_semi").drop("batch_id")
+def latest_durations(spark: SparkSession, path: str, bounds: Sequence[float]) -> DataFrame:
+    return histogram_log(path, bounds).newest(spark)
 
 
 def _start(

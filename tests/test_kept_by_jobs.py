@@ -1,0 +1,306 @@
+"""Positions, lag, counters, histograms and senders of running jobs."""
+
+import glob
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from compare import spark_rows
+from conftest import TESTDATA
+from culvert import schemas
+from culvert.operators import metrics
+from culvert.operators.ingest import Subscription, ingest, python_handler
+from culvert.operators.offsets import behind, committed_positions, offset_range, range_options, resume_from
+from culvert.plans import tables
+from culvert.plans.queries import replay_last_batch
+from culvert.sources.delivery import FileSend, send_rows
+from culvert.sources.records import ParquetLog, read_records, stream_records, write_records
+from culvert.streaming import jobs
+from culvert.streaming.changes import ChangeLog, counter_log, position_log
+from culvert.streaming.progress import source_lag
+
+SF = f"{TESTDATA}/sf0.001"
+
+
+def positions(spark, *rows):
+    return spark.createDataFrame(list(rows), schemas.COMMITTED)
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_the_newest_change_of_a_key_counts(spark, tmp_path):
+    log = position_log(str(tmp_path / "p"))
+    assert rows_of(log.newest(spark)) == [] and log.batches(spark).first().n == 0
+    log.append(positions(spark, ("a", 0, 5), ("b", 0, 1)), 0)
+    log.append(positions(spark), 1)  # a batch without anything to commit
+    log.append(positions(spark, ("a", 0, 9)), 2)
+    want = [("a", 0, 9), ("b", 0, 1)]
+    assert rows_of(log.newest(spark)) == want and log.batches(spark).first().n == 2
+    log.append(positions(spark, ("a", 0, 9)), 2)  # replayed
+    assert rows_of(log.newest(spark)) == want and log.batches(spark).first().n == 2
+
+
+def test_folding_changes_nothing_that_is_read(spark, tmp_path):
+    log = position_log(str(tmp_path / "p"))
+    assert log.compact(spark) == -1
+    for n in range(3):
+        log.append(positions(spark, ("a", 0, n + 1), (f"t{n}", n, 7)), n)
+    before = rows_of(log.newest(spark))
+    assert log.compact(spark) == 2 and glob.glob(f"{log.path}/batch_id=*") == []
+    assert rows_of(log.newest(spark)) == before and log.batches(spark).first().n == 3
+    assert log.compact(spark) == 2  # nothing new
+    log.append(positions(spark, ("a", 0, 3)), 2)  # a batch that is folded is replayed
+    assert rows_of(log.newest(spark)) == before and log.batches(spark).first().n == 3
+    log.append(positions(spark, ("a", 0, 9)), 3)
+    assert log.compact(spark) == 3 and len(glob.glob(f"{log.path}/snapshots/*")) == 1
+    assert ("a", 0, 9) in rows_of(log.newest(spark)) and log.batches(spark).first().n == 4
+    assert len(glob.glob(f"{log.path}/snapshots/*/*.parquet")) == 1
+
+
+def test_a_crash_while_folding_leaves_what_no_reader_takes(spark, tmp_path, monkeypatch):
+    log = position_log(str(tmp_path / "p"))
+    for n in range(2):
+        log.append(positions(spark, ("a", 0, n + 1)), n)
+
+    def fails(*_):
+        raise OSError("gone")
+
+    monkeypatch.setattr("culvert.streaming.changes.remove", fails)
+    with pytest.raises(OSError):
+        log.compact(spark)
+    monkeypatch.undo()
+    assert len(glob.glob(f"{log.path}/batch_id=*")) == 2  # folded, and still there
+    assert rows_of(log.newest(spark)) == [("a", 0, 2)] and log.batches(spark).first().n == 2
+    assert log.compact(spark) == 1 and glob.glob(f"{log.path}/batch_id=*") == []
+
+
+def polled(spark, tmp_path, log):
+    return stream_records(spark, log, tables.TOPICS, "earliest")
+
+
+def test_positions_of_a_job_equal_those_of_a_batch(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "COMPACT_EVERY", 3)
+    log, kept = tables.poll_log(spark, SF, str(tmp_path / "log")), position_log(str(tmp_path / "p"))
+    bridged = position_log(str(tmp_path / "b"))
+    for _ in range(2):
+        stream = polled(spark, tmp_path, log)
+        nothing = lambda batch, batch_id: None
+        jobs.run_ingest(stream, tables.SUBSCRIPTIONS, nothing, f"{tmp_path}/ck", tables.handler, positions=kept, commit="periodic").awaitTermination()
+        replay_last_batch(spark, f"{tmp_path}/ck")
+    out = ParquetLog(str(tmp_path / "out"))
+    stream = polled(spark, tmp_path, log)
+    jobs.run_bridge(stream, tables.SUBSCRIPTIONS, tables.BRIDGE_MAPPINGS, out, f"{tmp_path}/ck2", tables.handler, "ignore", positions=bridged).awaitTermination()
+    ingested = ingest(tables.records(tables.events(spark, SF)), tables.SUBSCRIPTIONS, tables.handler)
+    assert rows_of(kept.newest(spark)) == rows_of(committed_positions(ingested, commit="periodic"))
+    assert kept.batches(spark).first().n == 4 and glob.glob(f"{kept.path}/snapshots/upto=2")
+    assert rows_of(bridged.newest(spark)) == rows_of(committed_positions(ingested))
+
+
+def test_lag_and_watermarks_go_together(spark):
+    with pytest.raises(ValueError, match="both or none"):
+        jobs.run_ingest(None, [Subscription("a", static="x")], None, "", lag=lambda *_: None)
+
+
+def test_a_batch_writes_only_the_counters_it_has_raised(spark, tmp_path):
+    source = ParquetLog(str(tmp_path / "log"), max_bytes_per_trigger=1)
+    topics = [f"t{i}" for i in range(300)]
+
+    def write(names, start):
+        rows = [(t, 0, start, None, 0, None, bytearray(b"{}"), None) for t in names]
+        write_records(spark.createDataFrame(rows, schemas.RECORDS).coalesce(1), source)
+
+    def run():
+        ingested = ingest(stream_records(spark, source, topics, "earliest"), [Subscription("t0", static="x")])
+        jobs.run_counts(ingested, f"{tmp_path}/counts", f"{tmp_path}/ck").awaitTermination()
+
+    write(topics, 0)
+    run()
+    write(["t0", "t1"], 1)
+    run()
+    changed = {
+        int(p.rsplit("=", 1)[1]): spark.read.parquet(p).count() for p in glob.glob(f"{tmp_path}/counts/batch_id=*")
+    }
+    assert max(changed.values()) == 300 and changed[max(n for n, rows in changed.items() if rows)] == 2
+    counts = {r.topic: r.n for r in jobs.latest_counts(spark, f"{tmp_path}/counts").collect()}
+    assert len(counts) == 300 and counts["t0"] == counts["t1"] == 2 and counts["t2"] == 1
+
+
+def test_counters_with_other_keys(spark, tmp_path):
+    log = counter_log(str(tmp_path / "c"), ("topic",))
+    log.append(spark.createDataFrame([("a", 3)], "topic string, n long"), 0)
+    assert rows_of(log.newest(spark)) == [("a", 3)]
+
+
+def test_a_null_key_is_a_key(spark, tmp_path):
+    log = counter_log(str(tmp_path / "c"), ("topic",))
+    log.append(spark.createDataFrame([(None, 3)], "topic string, n long"), 0)
+    log.append(spark.createDataFrame([(None, 4)], "topic string, n long"), 1)
+    log.compact(spark)
+    assert rows_of(log.newest(spark)) == [(None, 4)]
+
+
+def test_lag_of_a_kafka_source():
+    source = {
+        "startOffset": {"a": {"0": 5, "1": 7}, "b": {"0": 0}},
+        "endOffset": json.dumps({"a": {"0": 9, "1": 7}, "b": {"0": 4}}),
+        "latestOffset": {"a": {"0": 12, "1": 99}, "b": {"0": 4}},
+    }
+    files = {"startOffset": {"logOffset": 0}, "endOffset": {"logOffset": 1}, "latestOffset": None}
+    told = source_lag(json.dumps({"sources": [source, files, {"endOffset": "-"}]}))
+    assert told == [("a", 0, 3.0), ("a", 1, 0.0), ("b", 0, 0.0)]  # a/1 had no records
+
+
+def letters(spark, n=25):
+    rows = [("foo" if i % 2 else "bar", i % 3, i) for i in range(n)]
+    return spark.createDataFrame(rows, "topic string, partition int, offset long").repartition(4)
+
+
+def test_rows_fail_one_by_one(spark, tmp_path):
+    send = FileSend(f"{tmp_path}/out", ("topic", "offset"), tables.in_partition_1, "no")
+    said = send_rows(letters(spark), send, ["offset", F.col("topic").alias("from")], calls_of=4)
+    got = {r.offset: (r["from"], r.write_error) for r in said.collect()}
+    assert got == {i: ("foo" if i % 2 else "bar", "no" if i % 3 == 1 else None) for i in range(25)}
+    assert said.filter("duration_s < 0 OR duration_s IS NULL").count() == 0
+    # Read twice, sent once.
+    arrived = spark.read.parquet(f"{tmp_path}/out")
+    assert sorted(r.offset for r in arrived.collect()) == [i for i in range(25) if i % 3 != 1]
+    assert {r.topic: r.n for r in metrics.sent_messages(said.withColumnRenamed("from", "topic")).collect()} == {
+        "foo": sum(1 for i in range(25) if i % 2 and i % 3 != 1), "bar": sum(1 for i in range(25) if not i % 2 and i % 3 != 1)
+    }
+
+
+def test_a_call_that_raises_or_answers_short_fails_its_rows(spark):
+    def down():
+        def send(batch):
+            if 7 in batch.column("offset").to_pylist():
+                raise OSError("broker down")
+            return [None] * (batch.num_rows - (batch.num_rows > 2))
+
+        return send
+
+    one = send_rows(letters(spark).coalesce(1).sort("offset"), down, ["offset"], calls_of=2)
+    assert {r.offset for r in one.filter("write_error = 'broker down'").collect()} == {6, 7}
+    short = send_rows(letters(spark, 3).coalesce(1), down, ["offset"])
+    assert {r.write_error for r in short.collect()} == {"the sender answered for 2 of 3 rows"}
+    assert send_rows(letters(spark).limit(0), down, ["offset"]).count() == 0
+
+
+def test_results_need_a_sender(spark, tmp_path):
+    with pytest.raises(ValueError, match="senders"):
+        jobs.run_produce(None, [], ParquetLog(str(tmp_path)), "", results=lambda *_: None)
+
+
+def test_a_python_handler_sees_good_rows_only(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def fn(topic, message, fields):
+        calls.add(1)
+        if topic == "boom":
+            raise KeyError("k")
+        return f"{topic} {message!r} {sorted(fields.items())}" if message == {"n": 1} else None
+
+    raw = lambda x: None if x is None else bytearray(x)
+    header = [("region", raw(b"north"))]
+    given = [("a", b'{"n":1}', header), ("a", b"text", None), ("a", None, None), ("b", b"1", None), ("c", b"{}", None), ("gone", b"{}", None)]
+    rows = [(t, 0, i, None, 0, None, raw(v), h) for i, (t, v, h) in enumerate(given)]
+    subs = [Subscription("a", static="fine"), Subscription("b", static="boom"), Subscription("c", template="x/${fields.none}")]
+    df = ingest(spark.createDataFrame(rows, schemas.RECORDS), subs, python_handler(fn)).select("offset", "status", "error")
+    found = {r.offset: (r.status, r.error) for r in df.collect()}
+    assert found[0] == ("handler_error", "fine {'n': 1} [('region', 'north')]")
+    assert found[1][0] == found[2][0] == "ok" and found[3] == ("handler_error", "'k'")
+    assert found[4][0] == "topic_error" and found[5][0] == "no_subscription"
+    assert calls.value == 4
+
+
+def test_a_range_per_partition_to_read(spark):
+    ends = spark.createDataFrame([("a", 0, 9), ("a", 1, 4), ("b", 0, 2)], schemas.HIGH_WATERMARKS)
+    stored = positions(spark, ("a", 0, 5), ("b", 0, 7), ("gone", 0, 1))
+    assert rows_of(offset_range(stored, ends)) == [("a", 0, 5, 9), ("a", 1, 4, 4), ("b", 0, 2, 2)]
+    ranges = offset_range(stored, ends, "earliest")
+    assert rows_of(ranges) == [("a", 0, 5, 9), ("a", 1, 0, 4), ("b", 0, 2, 2)]
+    options = range_options(ranges)
+    assert json.loads(options["startingOffsets"]) == {"a": {"0": 5, "1": 0}, "b": {"0": 2}}
+    assert json.loads(options["endingOffsets"]) == {"a": {"0": 9, "1": 4}, "b": {"0": 2}}
+    with pytest.raises(ValueError):
+        offset_range(stored, ends, "middle")
+
+
+def log_of(spark, tmp_path, **options):
+    """Three partitions of two topics, 4,000 records each."""
+    df = spark.range(24_000).selectExpr(
+        "if(id % 2 = 0, 'a', 'b') AS topic", "cast(id div 2 % 3 AS int) AS partition", "id div 6 AS offset",
+        "cast(null AS timestamp) AS timestamp", "0 AS timestampType", "cast(null AS binary) AS key",
+        "cast(md5(cast(id AS string)) AS binary) AS value", "cast(null AS array<struct<key:string,value:binary>>) AS headers",
+    )
+    log = ParquetLog(str(tmp_path / "log"), in_order=("topic", "partition", "offset"), **options)
+    write_records(df, log)
+    return df, read_records(spark, log, ["a", "b"])
+
+
+def scanned(df):
+    """Rows that the scan of the log gave out."""
+    df.collect()
+    node = df._jdf.queryExecution().executedPlan()
+    if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        node = node.executedPlan()
+    waiting, found = [node], []
+    while waiting:
+        node = waiting.pop()
+        if node.getClass().getSimpleName() == "FileSourceScanExec":
+            found.append(node.metrics().apply("numOutputRows").value())
+        if node.getClass().getSimpleName() == "ResultQueryStageExec":
+            waiting.append(node.plan())
+        else:
+            children = node.children()
+            waiting += [children.apply(i) for i in range(children.size())]
+    return max(found)
+
+
+@pytest.mark.parametrize("most", [256, 4])
+def test_resume_skips_what_lies_in_front(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(behind, "__defaults__", ("next_offset", most))
+    df, log = log_of(spark, tmp_path, row_group_bytes=4096)
+    stored = positions(spark, *[(t, p, 3900 + p) for t in "ab" for p in range(3)])
+    ends = spark.createDataFrame([("a", 0, 4000)], schemas.HIGH_WATERMARKS)
+    resumed = resume_from(log, stored, ends, "earliest")
+    want = df.filter(F.col("offset") >= 3900 + F.col("partition"))
+    assert spark_rows(resumed.select("topic", "partition", "offset")) == spark_rows(want.select("topic", "partition", "offset"))
+    assert "GreaterThanOrEqual(offset" in resumed._jdf.queryExecution().executedPlan().toString()
+    assert scanned(resumed) < 0.5 * 24_000
+
+
+@pytest.mark.parametrize("most", [256, 2, 1])
+def test_the_pushed_condition_loses_nothing(spark, most):
+    names = [("a", 0), ("a", 1), ("a", 3), ("a", None), (None, 0), ("b", 0), ("c", 5)]
+    log = spark.createDataFrame([(t, p, o) for t, p in names for o in range(6)], "topic string, partition int, offset long")
+    stored = positions(spark, ("a", 0, 2), ("a", 1, 4), ("a", 4, 1), ("b", 0, 6), (None, 0, 3))
+    condition = behind(stored, most=most)
+    first = {("a", 0): 2, ("a", 1): 4, ("b", 0): 6}
+    want = {(t, p, o) for t, p in names for o in range(6) if o >= first.get((t, p), 0)}
+    if condition is None:
+        assert most == 1
+        return
+    found = {tuple(r) for r in log.filter(condition).collect()}
+    assert want <= found and (most < 256 or found == want)
+
+
+def test_without_positions_nothing_is_pushed(spark):
+    assert behind(positions(spark)) is None
+
+
+def test_files_of_a_log_in_order_hold_ranges(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        _, log = log_of(spark, tmp_path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    by_file = log.groupBy(F.input_file_name().alias("file")).agg(
+        F.min(F.struct("topic", "partition", "offset")).alias("low"), F.max(F.struct("topic", "partition", "offset")).alias("high")
+    ).orderBy("low").collect()
+    assert len(by_file) > 1 and len(os.listdir(tmp_path / "log")) > 1
+    assert all(tuple(a.high) < tuple(b.low) for a, b in zip(by_file, by_file[1:]))
+    assert isinstance(position_log("x"), ChangeLog)
