@@ -1,9 +1,10 @@
 """Exact Jaccard self-join of documents on word shingles with a token-group matrix.
 
 Similar documents are brought together first. A document's shingles are dealt into as many
-parts as two linked documents can differ in, and some more; the hash of a part is a *mark*.
-Linked documents have a mark in common, unrelated ones hardly ever, so documents connected
-by marks are a family, and no link leaves a family. Families are compared in units of at
+parts as two linked documents can differ in, and some more; the hash of a part is a *mark*
+(below 90 percent, a document's rarest shingles are). Linked documents have a mark in common,
+unrelated ones hardly ever, so documents connected by marks are a family, and no link leaves
+a family. Families are compared in units of at
 most two blocks. In a unit documents next to each other in min-hash order form groups. The
 matrix holds the union of shingles of every group, a document's overlap with a union bounds
 its overlap with every member, and only groups whose bound allows a link are opened.
@@ -15,8 +16,11 @@ import functools
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
 from culvert.llm import wordhash
@@ -30,9 +34,12 @@ PERCENT = 90
 #: and each two blocks meet in a unit.
 GROUP, BLOCK = 32, 512
 #: Parts of fewer shingles are no marks, so a sentence that many documents share makes none.
-#: Below 90 percent parts are so small that most sets would need all of theirs; there one
-#: shingle is enough (``_plan``).
 LEAST = 3
+#: Below this percent parts are so small that most sets would need all of theirs; there the
+#: rarest shingles of a set are its marks (``prefix_marks``).
+PARTS_FROM = 90
+#: 2 ** RARITY_BITS counters tell rare shingles from frequent ones, at every size.
+RARITY_BITS = 20
 #: Bytes of text hashed at a time.
 BLOCK_BYTES = 1 << 20
 
@@ -58,8 +65,7 @@ def _plan(percent: int) -> dict[str, np.ndarray]:
     differ = [2 * u * (100 - percent) // (100 + percent) for u in upper]
     parts = [d + 1 + max(1, d // 4) if d else 1 for d in differ]
     need = [p - d for p, d in zip(parts, differ, strict=True)]
-    least = LEAST if percent >= 90 else 1
-    plan = (("upper", upper), ("parts", parts), ("need", need), ("least", least))
+    plan = (("upper", upper), ("parts", parts), ("need", need), ("least", LEAST))
     return {name: np.array(x, np.int64) for name, x in plan}
 
 
@@ -76,10 +82,72 @@ def sets_of(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarr
     return found[new], np.bincount(text[new], minlength=len(counts))
 
 
+def prefix_marks(
+    found: np.ndarray, counts: np.ndarray, percent: int, rarity: np.ndarray | None
+) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n - ceil(t * n) + 1`` shingles of each set, the rarest first, as marks.
+
+    Linked sets have ``t`` of either set in common. Of what they have in common, the first in
+    the order of all shingles stands in both prefixes: were it behind the prefix of a set,
+    that set would have fewer than ``t`` of its shingles left to share. That holds for any
+    order; with the rarest first, a passage that many documents share is no mark of those
+    that hold much else. ``rarity`` only has to be the same for all sets.
+    """
+    text = np.repeat(np.arange(len(counts)), counts)
+    rank = np.zeros(len(found), np.uint8) if rarity is None else rarity[_counter(found)]
+    # The shingles of a set are ascending, which settles ties.
+    order = np.lexsort((rank, text))
+    length = np.where(counts > 0, counts - -(-counts * percent // 100) + 1, 0)
+    owner = np.repeat(np.arange(len(counts)), length)
+    first = (np.cumsum(counts) - counts)[owner] + wordhash.within(length)
+    return wordhash.mixed(found[order][first] ^ np.uint64(0x2545F4914F6CDD1D)), owner
+
+
+def _counter(found: np.ndarray) -> np.ndarray:
+    return (found >> np.uint64(64 - RARITY_BITS)).astype(np.int64)
+
+
+_CHUNK = 1 << 16
+
+
+def _counted(size: int):
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(task, chunk, counts): in how many texts of the task the shingles of a counter are."""
+        total = np.zeros(1 << RARITY_BITS, np.int64)
+        for batch in batches:
+            for part in _blocks(batch):
+                total += np.bincount(_counter(sets_of(part.column("text"), size)[0]), minlength=len(total))
+        chunks = [total[i : i + _CHUNK].tobytes() for i in range(0, len(total), _CHUNK)]
+        task = [TaskContext.get().partitionId()] * len(chunks)
+        columns = [pa.array(task, pa.int32()), pa.array(range(len(chunks)), pa.int32()), pa.array(chunks, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["task", "chunk", "counts"])
+
+    return of
+
+
+def rarities(texts: DataFrame, size: int) -> np.ndarray:
+    """Per counter the power of two of the number of texts that have a shingle of it: 1 MB,
+    whatever the corpus. The counts of the tasks are summed in groups first."""
+    schema = "task int, chunk int, counts binary"
+
+    def added(group: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum([np.frombuffer(x, np.int64) for x in group["counts"]], axis=0)
+        return pd.DataFrame([(0, group["chunk"].iloc[0], total.tobytes())], columns=["task", "chunk", "counts"])
+
+    counted = texts.select("text").mapInArrow(_counted(size), schema)
+    some = counted.groupBy(F.pmod("task", F.lit(256)), "chunk").applyInPandas(added, schema)
+    out = np.zeros(1 << RARITY_BITS, np.uint8)
+    for row in some.groupBy("chunk").applyInPandas(added, schema).toLocalIterator():
+        counts = np.frombuffer(row.counts, np.int64)
+        out[row.chunk * _CHUNK : (row.chunk + 1) * _CHUNK] = np.ceil(np.log2(counts + 1))
+    return out
+
+
 def marks_of(
-    found: np.ndarray, counts: np.ndarray, percent: int = PERCENT
+    found: np.ndarray, counts: np.ndarray, percent: int = PERCENT, rarity: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Marks of each set and the set each belongs to. The last bits of a mark tell its frame.
+    """Marks of each set and the set each belongs to: below PARTS_FROM percent its rarest
+    shingles, else hashes of its parts, of which the last bits tell the frame.
 
     Of the parts of a set, two linked sets share ``need`` or more, since what they differ in
     touches no more than the others. If a part that they share has ``least`` shingles, it is
@@ -90,6 +158,8 @@ def marks_of(
     empty part of that number would share it.
     """
     plan = _plan(percent)
+    if percent < PARTS_FROM:
+        return prefix_marks(found, counts, percent, rarity)
     frame = np.searchsorted(plan["upper"], counts)
     # A set also meets larger ones of the next frame.
     reaches = (counts * 100 // percent > plan["upper"][frame]) & (counts > 0)
@@ -184,7 +254,7 @@ def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found[:, 0], found[:, 1]
 
 
-def _marked(size: int, percent: int):
+def _marked(size: int, percent: int, rarity: Broadcast | None):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows (mark, sid, low): each mark of a task once, with ``low`` = ``sid`` the first set
         that has it; and for every set that shares a mark with another of the task one row of
@@ -195,7 +265,7 @@ def _marked(size: int, percent: int):
             for part in _blocks(batch):
                 found, counts = sets_of(part.column("text"), size)
                 ids = np.array([x or 0 for x in _set_ids(found, counts)], np.int64)
-                mark, owner = marks_of(found, counts, percent)
+                mark, owner = marks_of(found, counts, percent, rarity and rarity.value)
                 marks.append(mark)
                 sids.append(ids[owner])
         mark = np.concatenate(marks or [np.zeros(0, np.uint64)])
@@ -377,7 +447,10 @@ def classes(
     sets = stored(
         texts.mapInArrow(_described(size), "key long, doc_id long, place long, n long, sid long"), "jaccard-sets"
     )
-    marks = texts.select("text").mapInArrow(_marked(size, percent), "mark long, sid long, low long")
+    rarity = None
+    if percent < PARTS_FROM:
+        rarity = docs.sparkSession.sparkContext.broadcast(rarities(texts, size))
+    marks = texts.select("text").mapInArrow(_marked(size, percent, rarity), "mark long, sid long, low long")
     lowest = F.min("low").over(Window.partitionBy("mark"))
     edges = marks.select("sid", lowest.alias("low")).filter("sid <> low").distinct()
     families = components(stored(edges.toDF("a", "b"), "jaccard-edges"))

@@ -64,3 +64,48 @@ def test_classes_of_five_words_equal_brute_force(spark, five_words):
     assert kept == {own for _, own in want.values()}
     # The looser rule joins what the operator's own leaves apart.
     assert len(kept) < jaccard.representatives(docs, 90, 5).count()
+
+
+def test_unrelated_short_sets_share_no_mark():
+    """Random sets that have nothing in common: no empty part, and nothing else, joins them."""
+    rng = np.random.default_rng(5)
+    for low, high, percent in ((8, 20, 90), (15, 40, 90), (1, 12, 90), (8, 20, 80)):
+        counts = rng.integers(low, high + 1, 60_000)
+        found = rng.integers(0, 1 << 63, int(counts.sum()), dtype=np.uint64) * np.uint64(2)
+        text = np.repeat(np.arange(len(counts)), counts)
+        found = found[np.lexsort((found, text))]
+        marks, owner = jaccard.marks_of(found, counts, percent)
+        order = np.lexsort((owner, marks))
+        marks, owner = marks[order], owner[order]
+        assert not ((marks[1:] == marks[:-1]) & (owner[1:] != owner[:-1])).any()
+
+
+@pytest.mark.parametrize("size", [4, 9, 10, 14, 20])
+def test_sets_whose_equal_parts_are_all_empty_still_meet(size):
+    """Every set that differs in as much as it may, however its shingles fall into parts."""
+    rng = np.random.default_rng(size)
+    for _ in range(3000):
+        base = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        other = base.copy()
+        while True:
+            nxt = other.copy()
+            nxt[rng.integers(len(nxt))] = rng.integers(0, 1 << 63, dtype=np.uint64)
+            nxt = np.unique(nxt)
+            common = len(np.intersect1d(base, nxt))
+            if 100 * common < 90 * (len(base) + len(nxt) - common):
+                break
+            other = nxt
+        marks, owner = jaccard.marks_of(np.concatenate([base, other]), np.array([len(base), len(other)]))
+        assert set(marks[owner == 0].tolist()) & set(marks[owner == 1].tolist())
+
+
+def test_a_passage_that_many_share_makes_no_family(spark):
+    passage = " ".join(words(60, 1, 5000))
+    rows = [(i, f"{passage} " + " ".join(words(150, i + 10, 9000)), "en", "s", 0) for i in range(400)]
+    texts = pa.array([r[1] for r in rows])
+    found, counts = jaccard.sets_of(texts, 5)
+    rarity = jaccard.rarities(spark.createDataFrame(rows, DOCS).repartition(3), 5)
+    marks, owner = jaccard.marks_of(found, counts, 80, rarity)
+    assert len(np.unique(marks)) > 0.99 * len(marks)
+    plain, _ = jaccard.marks_of(found, counts, 80)
+    assert len(np.unique(plain)) < 0.9 * len(plain)
