@@ -15,6 +15,8 @@ from culvert.llm.shared import fresh, stored, table
 ORACLE_SQL = None
 
 VOCABULARY, CLOSE_ID = "byte_bpe_50k.json", 0
+#: Of the stage on word shingles.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +34,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each class of linked ones, that of the smallest id."""
-    return jaccard.representatives(docs)
+    """Keeps one document of each class of linked ones, that of the smallest id. Linked are
+    those that have 80 percent of their runs of five words in common."""
+    return jaccard.representatives(docs, NEAR_PERCENT, NEAR_WORDS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,6 +45,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences, closed by CLOSE_ID each."""
     return packing.pack(docs, tokens.vocabulary(VOCABULARY), CLOSE_ID)
 
 
