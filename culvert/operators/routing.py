@@ -156,6 +156,15 @@ def sent(produced: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def in_key_order(produced: DataFrame, order: str) -> DataFrame:
+    """The same rows, those of one topic and key sorted by ``order``, each topic and key in
+    one partition or, where it holds more than that, in partitions that follow each other:
+    the rows are dealt by ranges, so a hot key is split by its order and not sent to one task.
+    """
+    by = ["kafka_topic", "key", order]
+    return produced.repartitionByRange(*by).sortWithinPartitions(*by)
+
+
 def failed(produced: DataFrame) -> DataFrame:
     """The produced events that could not be sent, with ``status`` and ``error``."""
     return produced.filter(F.col("error").isNotNull())

@@ -567,6 +567,7 @@ FROM rec LEFT JOIN fields USING (event_id) LEFT JOIN header_text USING (event_id
     "route_rule_table_by_user": BY_USER,
     "route_rule_table_keyed": routed(MAPPINGS, "slash_to_dot"),
     "route_rule_table_shapes": BY_SHAPE,
+    "route_rule_table_trie": BY_SHAPE,
     "route_many": ROUTE_MANY,
     "produce_outcomes": with_(
         OUTCOMES, select="SELECT event_id, kafka_topic, key_hex, value_hex, headers_text, status, error FROM outcomes"
@@ -656,6 +657,10 @@ WHERE NOT no GROUP BY what, topic
 UNION ALL SELECT 'errors', topic, count(*) FROM answered WHERE no GROUP BY topic""",
     ),
     "stream_durations": histogram("ingested", "status IN ('ok', 'handler_error')", INGESTED),
+    "stream_replayed": with_(
+        OUTBOUND,
+        select="SELECT topic, key_hex, value_hex, headers_text FROM outbound WHERE topic IN ('shop.purchases', 'meters', 'nobody')",
+    ),
     "stream_python_handler": with_(INGESTED, select="SELECT event_id, status, error FROM ingested"),
     "stream_restart": with_(OUTBOUND, select="SELECT topic, key_hex, value_hex, headers_text FROM outbound"),
     "stream_bridge": with_(

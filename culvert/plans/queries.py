@@ -439,6 +439,13 @@ def route_rule_table_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routed.select("event_id", "topic", "mapping_ord", "kafka_topic", hex_of("key").alias("key_hex"), "status")
 
 
+def route_rule_table_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rules, matched by walking down the trie of their levels."""
+    events = t.events(spark, sf_dir)
+    routed = route_by_table(t.bus_events(events), t.shaped_user_rules(events), "ignore", max_lookups=0, max_masks=0)
+    return routed.select("event_id", "topic", "mapping_ord", "kafka_topic", hex_of("key").alias("key_hex"), "status")
+
+
 # Streams: each runs over the files there are, and its result is read back.
 
 
@@ -682,6 +689,29 @@ def resume_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resumed.select("event_id", "topic", F.col("partition").alias("part"), F.col("offset").alias("off"))
 
 
+def stream_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a job behind a log has read of it, when the last batch of the job in front was
+    replayed after that."""
+    base = work_dir(spark, "replayed")
+    log = ParquetLog(f"{base}/log", schemas.OUTBOUND, once=True)
+    seen = ParquetLog(f"{base}/seen")
+
+    def downstream() -> None:
+        stream = stream_records(spark, log, ["shop.purchases", "meters", "nobody"])
+        jobs.run_each(stream, lambda batch, batch_id: seen.write(batch, batch_id), f"{base}/behind").awaitTermination()
+
+    for attempt in range(2):
+        if attempt:
+            replay_last_batch(spark, f"{base}/checkpoint")
+        jobs.run_produce(
+            t.bus_events(t.event_stream(spark, sf_dir)), t.MAPPINGS, log, f"{base}/checkpoint", "slash_to_dot", order="event_id"
+        ).awaitTermination()
+        downstream()
+    return seen.read(spark).select(
+        "topic", hex_of("key").alias("key_hex"), hex_of("value").alias("value_hex"), headers_text("headers").alias("headers_text")
+    )
+
+
 def stream_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records sent on and dead letters of both directions, row by row; a dead letter's time is left out."""
     base = work_dir(spark, "bridge")
@@ -793,6 +823,7 @@ QUERIES: dict[str, Query] = {
     "route_rule_table_by_user": route_rule_table_by_user,
     "route_rule_table_keyed": route_rule_table_keyed,
     "route_rule_table_shapes": route_rule_table_shapes,
+    "route_rule_table_trie": route_rule_table_trie,
     "route_many": route_many,
     "produce_outcomes": produce_outcomes,
     "decode_texts": decode_texts,
@@ -822,6 +853,7 @@ QUERIES: dict[str, Query] = {
     "stream_sent": stream_sent,
     "stream_durations": stream_durations,
     "stream_python_handler": stream_python_handler,
+    "stream_replayed": stream_replayed,
     "bridge_dlq": bridge_dlq,
     "bridge_positions": bridge_positions,
     "bridge_counts": bridge_counts,

@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import functools
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from culvert.sources.files import remove
+
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -37,6 +42,33 @@ def written_once(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """The folders that ``work_dir`` names in here go at the end, as those of a micro-batch
+    do when all it writes is written."""
+    paths: list[str] = []
+    token = _scratch.set(paths)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in paths:
+            remove(spark, path)
+
+
+@contextlib.contextmanager
+def lasting() -> Iterator[None]:
+    """Folders named in here stay, within ``scratch`` too."""
+    token = _scratch.set(None)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder path for checkpoints and intermediate tables.
 
@@ -50,7 +82,10 @@ def work_dir(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = _local_base()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if (going := _scratch.get()) is not None:
+        going.append(path)
+    return path
 
 
 @functools.cache

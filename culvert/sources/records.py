@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from culvert import schemas
 from culvert.operators.offsets import STARTS
+from culvert.sources.files import exists, move, remove
 
 
 @dataclass(frozen=True)
@@ -63,6 +65,11 @@ class ParquetLog:
 
     ``in_order`` names the columns by whose ranges the rows are laid into files, and sorted
     within them, so that a reader of a range skips the other files and row groups.
+
+    With ``once`` a batch that is there stays as it is, so that a file stream behind the log
+    sees none of its files twice, however often the batch is replayed. Its files are written
+    to a folder that readers pass over, and appear together by one rename; the file system
+    has to rename folders as one step, which HDFS does and plain object stores do not.
     """
 
     path: str
@@ -70,14 +77,21 @@ class ParquetLog:
     by_topic: bool = False
     max_bytes_per_trigger: int = 64 << 30
     in_order: tuple[str, ...] = ()
+    once: bool = False
     row_group_bytes: int = 16 << 20
 
     def write(self, records: DataFrame, batch_id: int | None = None) -> None:
         """Append ``records``; a batch written twice replaces itself.
 
         The files of a replayed batch have new names, so a file stream that has read the
-        batch before reads it again: it should drop repeated rows by ``batch_id``.
+        batch before reads it again: it should drop repeated rows by ``batch_id``, or the
+        log be written ``once``.
         """
+        spark, staged = records.sparkSession, ""
+        if self.once and batch_id is not None:
+            if exists(spark, f"{self.path}/batch_id={batch_id}"):
+                return
+            staged = f"{self.path}/_staged/{uuid.uuid4().hex}"
         if self.by_topic:
             # Groups a topic's rows into few files and, unlike repartition, splits a topic too big for one task.
             records = records.hint("rebalance", "topic")
@@ -86,12 +100,14 @@ class ParquetLog:
         if batch_id is None:
             writer, path = records.write.mode("append"), self.path
         else:
-            writer, path = records.write.mode("overwrite"), f"{self.path}/batch_id={batch_id}"
+            writer, path = records.write.mode("overwrite"), staged or f"{self.path}/batch_id={batch_id}"
         if self.by_topic:
             writer = writer.partitionBy("topic")
         if self.in_order:
             writer = writer.option("parquet.block.size", self.row_group_bytes)
         writer.parquet(path)
+        if staged and not move(spark, staged, f"{self.path}/batch_id={batch_id}"):
+            remove(spark, staged)  # another run of the batch was first
 
     def read(self, spark: SparkSession) -> DataFrame:
         """All batches written so far, in the schema they were written with."""

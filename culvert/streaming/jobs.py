@@ -21,8 +21,9 @@ from culvert.operators.bridge import bridge
 from culvert.operators.ingest import Handler, Subscription, build_dlq, commit_eligible, ingest, split_outcomes
 from culvert.operators.metrics import process_duration
 from culvert.operators.offsets import PARTITION, committed_positions, consumer_lag
-from culvert.operators.routing import TopicMapping, failed, produce, route, sent
-from culvert.operators.rules import route_by_table
+from culvert.operators.routing import TopicMapping, failed, in_key_order, produce, route, sent
+from culvert.operators.rules import CompiledRules, compile_rules, forget, route_by_table
+from culvert.session import scratch
 from culvert.sources.delivery import Send, send_rows
 from culvert.sources.records import Log, write_dlq, write_records
 from culvert.streaming.changes import ChangeLog, counter_log, histogram_log
@@ -130,11 +131,14 @@ def run_produce(
     failures: Subscriber | None = None,
     report: Subscriber | None = None,
     results: Subscriber | None = None,
+    order: str | None = None,
 ) -> StreamingQuery:
     """Route, encode and write a stream of bus events.
 
     ``mappings`` may be a table of rules; a micro-batch is then routed by the rules
-    as they are when it runs. ``failures`` gets the events of each micro-batch that
+    as they are when it runs. They are compiled again only when they have changed. With
+    ``order``, a column of the events, the records of one topic and key are written in that
+    order, in one file or in files that follow each other. ``failures`` gets the events of each micro-batch that
     do not match, have no key or do not encode, with their ``error``; ``report`` gets
     all events with their ``status``. Sent, ignored and failed events of a batch add
     up to its ``events`` in the query's progress under ``produce``.
@@ -146,9 +150,17 @@ def run_produce(
     if results is not None and not callable(target):
         raise ValueError("only a target that makes senders has results")
 
+    compiled: CompiledRules | None = None
+
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        nonlocal compiled
         if isinstance(mappings, DataFrame):
-            batch = _watched(produce(route_by_table(batch, mappings, default), fmt))
+            before, compiled = compiled, compile_rules(mappings, before=compiled)
+            if before is not None and before is not compiled:
+                forget(before)
+            batch = _watched(produce(route_by_table(batch, compiled, default), fmt))
+        if order is not None:
+            batch = in_key_order(batch, order)
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if callable(target):
@@ -176,6 +188,13 @@ def _watched(produced: DataFrame) -> DataFrame:
     return produced.observe("produce", F.count("*").alias("events"), *counts)
 
 
+def run_each(
+    rows: DataFrame, subscriber: Subscriber, checkpoint: str, trigger: dict[str, object] = AVAILABLE_NOW
+) -> StreamingQuery:
+    """Hand each micro-batch of a stream on as it is."""
+    return _start(rows, subscriber, checkpoint, trigger)
+
+
 def run_bridge(
     records: DataFrame,
     subs: Sequence[Subscription],
@@ -279,5 +298,9 @@ def latest_durations(spark: SparkSession, path: str, bounds: Sequence[float]) ->
 def _start(
     df: DataFrame, on_batch: Subscriber, checkpoint: str, trigger: dict[str, object], mode: str = "append"
 ) -> StreamingQuery:
-    writer = df.writeStream.outputMode(mode).foreachBatch(on_batch)
+    def tidied(batch: DataFrame, batch_id: int) -> None:
+        with scratch(batch.sparkSession):
+            on_batch(batch, batch_id)
+
+    writer = df.writeStream.outputMode(mode).foreachBatch(tidied)
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
