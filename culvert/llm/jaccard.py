@@ -2,7 +2,8 @@
 
 Similar documents are brought together first. A document's shingles are dealt into as many
 parts as two linked documents can differ in, and some more; the hash of a part is a *mark*
-(below 90 percent, a document's rarest shingles are). Linked documents have a mark in common,
+(below 90 percent, a document's rarest shingles are, and parities of whole sets tell most of
+those apart that meet by chance). Linked documents have a mark in common,
 unrelated ones hardly ever, so documents connected by marks are a family, and no link leaves
 a family. Families are compared in units of at
 most two blocks. In a unit documents next to each other in min-hash order form groups. The
@@ -21,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.core.broadcast import Broadcast
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from culvert.llm import wordhash
 from culvert.llm.shared import fresh, stored
@@ -40,6 +41,8 @@ LEAST = 3
 PARTS_FROM = 90
 #: 2 ** RARITY_BITS counters tell rare shingles from frequent ones, at every size.
 RARITY_BITS = 20
+#: Bits of the parities that a set is known by where it meets others.
+BITS = 1024
 #: Bytes of text hashed at a time.
 BLOCK_BYTES = 1 << 20
 
@@ -218,7 +221,31 @@ def _set_ids(found: np.ndarray, counts: np.ndarray) -> list[int | None]:
     ]
 
 
-def _described(size: int):
+def parities(found: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Per set a row of BITS bits: whether an odd number of its shingles fall on the bit."""
+    text = np.repeat(np.arange(len(counts)), counts)
+    bit = (wordhash.mixed(found) >> np.uint64(33)).astype(np.int64) % BITS
+    odd = np.bincount(text * BITS + bit, minlength=len(counts) * BITS) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(len(counts), BITS), axis=1).view(np.uint64)
+
+
+def may_link(a: np.ndarray, b: np.ndarray, a_bits: np.ndarray, b_bits: np.ndarray, percent: int) -> np.ndarray:
+    """False for pairs of sets that cannot be linked, by their sizes and parities.
+
+    A shingle that only one of two sets has turns one bit over. So they differ in no fewer
+    shingles than their parities differ in bits, and have at most half of what is left of
+    both sizes in common.
+    """
+    differ = np.bitwise_count(a_bits ^ b_bits).sum(axis=1, dtype=np.int64)
+    return (a + b - differ) * (100 + percent) >= 2 * percent * (a + b)
+
+
+def _described(size: int, percent: int):
+    def bits_of(found: np.ndarray, counts: np.ndarray) -> pa.Array:
+        if percent >= PARTS_FROM:
+            return pa.nulls(len(counts), pa.binary())
+        return pa.array([row.tobytes() for row in parities(found, counts)], pa.binary())
+
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _blocks(batch):
@@ -230,6 +257,7 @@ def _described(size: int):
                         "place": part.column("place"),
                         "n": pa.array(counts, pa.int64()),
                         "sid": pa.array(_set_ids(found, counts), pa.int64()),
+                        "bits": bits_of(found, counts),
                     }
                 )
 
@@ -254,7 +282,7 @@ def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found[:, 0], found[:, 1]
 
 
-def _marked(size: int, percent: int, rarity: Broadcast | None):
+def _marked(size: int, percent: int):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows (mark, sid, low): each mark of a task once, with ``low`` = ``sid`` the first set
         that has it; and for every set that shares a mark with another of the task one row of
@@ -265,7 +293,7 @@ def _marked(size: int, percent: int, rarity: Broadcast | None):
             for part in _blocks(batch):
                 found, counts = sets_of(part.column("text"), size)
                 ids = np.array([x or 0 for x in _set_ids(found, counts)], np.int64)
-                mark, owner = marks_of(found, counts, percent, rarity and rarity.value)
+                mark, owner = marks_of(found, counts, percent)
                 marks.append(mark)
                 sids.append(ids[owner])
         mark = np.concatenate(marks or [np.zeros(0, np.uint64)])
@@ -290,6 +318,102 @@ def _marked(size: int, percent: int, rarity: Broadcast | None):
     return of
 
 
+def _prefixed(size: int, percent: int, rarity: Broadcast):
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (mark, sid), each once per task."""
+        marks, sids = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for batch in batches:
+            for part in _blocks(batch):
+                found, counts = sets_of(part.column("text"), size)
+                ids = np.array([x or 0 for x in _set_ids(found, counts)], np.int64)
+                mark, owner = prefix_marks(found, counts, percent, rarity.value)
+                marks.append(mark)
+                sids.append(ids[owner])
+        mark, sid = np.concatenate(marks), np.concatenate(sids)
+        order = np.lexsort((sid, mark))
+        mark, sid = mark[order], sid[order]
+        new = np.ones(len(mark), bool)
+        new[1:] = (mark[1:] != mark[:-1]) | (sid[1:] != sid[:-1])
+        columns = [mark[new].view(np.int64), sid[new]]
+        for i in range(0, len(columns[0]), 1 << 17):
+            yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 17)]) for x in columns], ["mark", "sid"])
+
+    return of
+
+
+def _bounded(percent: int):
+    def closed(rows: pa.Table) -> pa.RecordBatch:
+        """A forest of the pairs that may be linked, of whole units of a task."""
+        unit, sid, n = (rows.column(c).to_numpy() for c in ("unit", "sid", "n"))
+        bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), np.uint64).reshape(len(unit), -1)
+        at, step, edges = np.arange(len(unit)), 1, [np.zeros((0, 2), np.int64)]
+        while True:  # each row with the one ``step`` behind it, as long as some share a unit
+            at = at[at + step < len(unit)]
+            at = at[unit[at] == unit[at + step]]
+            if not len(at):
+                break
+            for i in range(0, len(at), 1 << 16):
+                x = at[i : i + (1 << 16)]
+                y = x + step
+                ok = may_link(n[x], n[y], bits[x], bits[y], percent) & (sid[x] != sid[y])
+                edges.append(np.column_stack([sid[x[ok]], sid[y[ok]]]))
+            step += 1
+        pairs = np.unique(np.concatenate(edges), axis=0)
+        a, b = _stars(pairs[:, 0], pairs[:, 1])
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            rows = pa.Table.from_batches(held).combine_chunks()
+            unit = rows.column("unit").to_numpy()
+            cut = int(np.searchsorted(unit, unit[-1]))
+            if cut:  # the last unit may go on in the next batch
+                yield closed(rows.slice(0, cut).combine_chunks())
+                held = rows.slice(cut).combine_chunks().to_batches()
+        if held:
+            yield closed(pa.Table.from_batches(held).combine_chunks())
+
+    return of
+
+
+def _cut(groups: DataFrame, group: str, member: str, blocks: Column) -> DataFrame:
+    """(unit, sid): the members of every group, cut into blocks of which each two meet."""
+    own, met = F.pmod(F.xxhash64(member), F.col("blocks")), F.col("met")
+    return (
+        groups.withColumn("blocks", blocks)
+        .select(group, member, own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("met"))
+        .select(
+            F.xxhash64(group, F.least("own", met), F.greatest("own", met)).alias("unit"), F.col(member).alias("sid")
+        )
+    )
+
+
+def prefix_edges(texts: DataFrame, sets: DataFrame, percent: int, block: int, size: int) -> DataFrame:
+    """(a, b) that connect all linked sets, and hardly any others.
+
+    Sets that share a mark meet with their parities. The pairs that those cannot tell apart
+    become a forest of edges, so that texts that share a passage and no more are no family.
+    """
+    rarity = texts.sparkSession.sparkContext.broadcast(rarities(texts, size))
+    marks = texts.select("text").mapInArrow(_prefixed(size, percent, rarity), "mark long, sid long")
+    whole = Window.partitionBy("mark")
+    lowest, highest = F.min("sid").over(whole), F.max("sid").over(whole)
+    met = marks.select("mark", "sid", F.count("*").over(whole).alias("times"), (lowest < highest).alias("several"))
+    units = _cut(met.filter("several"), "mark", "sid", F.ceil(F.col("times") / block).cast("int"))
+    known = sets.filter("sid IS NOT NULL").select("sid", "n", "bits").dropDuplicates(["sid"])
+    return (
+        units.join(known, "sid")
+        .select("unit", "sid", "n", "bits")
+        .repartition("unit")
+        .sortWithinPartitions("unit", "sid")
+        .mapInArrow(_bounded(percent), "a long, b long")
+    )
+
+
 def _forest(
     sids: list[int], sets: list[np.ndarray], percent: int, group: int = GROUP
 ) -> list[tuple[int, int]]:
@@ -444,25 +568,17 @@ def classes(
     doc_id = docs["doc_id"].cast("long")
     place = F.coalesce(doc_id, F.xxhash64(docs["text"]))
     texts = docs.select(doc_id.alias("doc_id"), docs["text"], key.alias("key"), place.alias("place"))
-    sets = stored(
-        texts.mapInArrow(_described(size), "key long, doc_id long, place long, n long, sid long"), "jaccard-sets"
-    )
-    rarity = None
+    schema = "key long, doc_id long, place long, n long, sid long, bits binary"
+    sets = stored(texts.mapInArrow(_described(size, percent), schema), "jaccard-sets")
     if percent < PARTS_FROM:
-        rarity = docs.sparkSession.sparkContext.broadcast(rarities(texts, size))
-    marks = texts.select("text").mapInArrow(_marked(size, percent, rarity), "mark long, sid long, low long")
-    lowest = F.min("low").over(Window.partitionBy("mark"))
-    edges = marks.select("sid", lowest.alias("low")).filter("sid <> low").distinct()
-    families = components(stored(edges.toDF("a", "b"), "jaccard-edges"))
-    sizes = families.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    own, met = F.pmod(F.xxhash64("node"), F.col("blocks")), F.col("met")
-    units = (
-        families.join(sizes, "root")
-        .select("root", "node", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("met"))
-        .select(
-            F.xxhash64("root", F.least("own", met), F.greatest("own", met)).alias("unit"), F.col("node").alias("sid")
-        )
-    )
+        edges = prefix_edges(texts, sets, percent, block, size)
+    else:
+        marks = texts.select("text").mapInArrow(_marked(size, percent), "mark long, sid long, low long")
+        lowest = F.min("low").over(Window.partitionBy("mark"))
+        edges = marks.select("sid", lowest.alias("low")).filter("sid <> low").distinct().toDF("a", "b")
+    families = components(stored(edges, "jaccard-edges"))
+    sizes = families.groupBy("root").agg(F.count("*").alias("times"))
+    units = _cut(families.join(sizes, "root"), "root", "node", F.ceil(F.col("times") / block).cast("int"))
     units = stored(units, "jaccard-units")
     # The shingles of the documents in some unit, from one text each.
     asked = units.select("sid").distinct()
