@@ -563,6 +563,8 @@ def classes(
 
     A null text, or one without words, has no shingles and stands alone. A row without an
     id has the smallest id it reaches, or null. Rows that repeat an id and text are copies.
+    A text of any length is one set. An empty table gives an empty result. Only ``doc_id``
+    and ``text`` are read, so other columns may have any name.
     """
     key = F.monotonically_increasing_id() if key_col is None else docs[key_col]
     doc_id = docs["doc_id"].cast("long")

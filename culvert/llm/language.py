@@ -24,8 +24,9 @@ BATCH = 256
 #: Languages with fewer labelled texts are learned all the same; their number is the
 #: number of columns of the model.
 UNDETERMINED = "und"
-#: Scores below which the pipeline takes a text for no known language.
-MIN_SCORE = 0.25
+#: Scores below which the pipeline takes a text for no known language. Nine in ten texts of a
+#: language left out of the learning lie below, one in a thousand held-out texts of the others.
+MIN_SCORE = 0.32
 
 # Symbols of the kernel: 0 for what is no letter, 1-26 for a-z, 27 on for bytes beyond ASCII.
 _SYMBOLS = 155
@@ -72,13 +73,20 @@ class Model:
 
 
 def presence(texts: list[str | None], table: np.ndarray, width: int) -> np.ndarray:
-    """One row per text: 1 / norm where it holds a gram, else 0."""
+    """One row per text: 1 / norm where it holds a gram, else 0. The norm is that of all
+    distinct grams of the text, also of those that no landmark has."""
     found = np.zeros((len(texts), width), np.float32)
-    for row, text in zip(found, texts, strict=True):
+    norms = np.ones((len(texts), 1), np.float32)
+    last = np.empty(_SIZE, np.int64)  # place of a code's last occurrence in the text at hand
+    for row, norm, text in zip(found, norms, texts, strict=True):
         if text:
-            at = table[codes_of(text)]
+            codes = codes_of(text)
+            places = np.arange(len(codes))
+            last[codes] = places
+            norm[0] = np.sqrt(np.count_nonzero(last[codes] == places))
+            at = table[codes]
             row[at[at >= 0]] = 1.0
-    return found / np.sqrt(np.maximum(found.sum(axis=1, keepdims=True), 1.0))
+    return found / norms
 
 
 def kernel(texts: list[str | None], model: Model, table: np.ndarray) -> np.ndarray:

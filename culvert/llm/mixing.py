@@ -467,7 +467,9 @@ def score(docs: DataFrame, divisor: int = 7, rest: int = 2) -> DataFrame:
     summed per task before they are sent. No key is hot, as a task sends each once.
 
     A null or empty text is its end alone. With nothing to learn from, a token is sure
-    (score 0 of 1 kind) and the model has no counts. Repeated rows are scored each.
+    (score 0 of 1 kind) and the model has no counts. Repeated rows are scored each. A text
+    of any length is scored whole. An empty table gives an empty result. Only ``doc_id``
+    and ``text`` are read, so other columns may have any name.
     """
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))

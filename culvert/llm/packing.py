@@ -140,8 +140,10 @@ def pack(
     nothing is padded. Sequence numbers begin at 2**33 times the number of the task, and
     the same scan gives the same pieces when a task is run again.
 
-    A null or empty text is one piece, ``close_id``. Repeated rows are packed each. Of the
-    table only ``doc_id`` and ``text`` are read.
+    A null or empty text is one piece, ``close_id``. Repeated rows are packed each. Of
+    pieces of one length the first read goes first, of sequences of one cost the first with
+    room is taken. A text of any length is encoded whole and cut. An empty table gives no
+    pieces. Of the table only ``doc_id`` and ``text`` are read, whatever else it holds.
     """
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(
         _packed(vocabulary, close_id, capacity, pool), SCHEMA

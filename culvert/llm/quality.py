@@ -10,9 +10,10 @@ from culvert.llm.shared import fresh, stored, words_of
 
 #: Buckets that unigrams and bigrams are hashed into; the size of the model.
 BUCKETS = 1 << 14
-#: Occurrences by which every bucket of the target is drawn to its share in the corpus: what
-#: the target holds little evidence of has a ratio near 1.
-SMOOTHING = 30.0
+#: By how much every bucket of the target is drawn to its share in the corpus: what the target
+#: holds little evidence of has a ratio near 1. In mean occurrences of a bucket in the target,
+#: so that a text is judged alike in a table of any size.
+SMOOTHING = 1.75
 #: Mean log ratio (nats per n-gram) below which a text is rejected.
 THRESHOLD = -0.045
 #: Weights are whole multiples of 1 / SCALE, so sums do not depend on their order.
@@ -90,7 +91,7 @@ def ratio_weights(
 ) -> DataFrame:
     """One row with the weight of every bucket: the log of its occurrences in the target
     (documents labelled quality 1) over those expected from its share in the raw corpus
-    (all documents), both with ``smoothing`` added.
+    (all documents), both with ``smoothing`` times the target's mean count of a bucket added.
 
     The counts cover every word of every text. Only ``buckets`` sums leave a task.
     Without a target or a corpus all weights are 0.
@@ -126,7 +127,8 @@ def ratio_weights(
     )
     def weight(x: Column) -> Column:
         expected = F.col("n_target") * x["raw"] / F.col("n_raw")
-        ratio = F.log((x["target"] + smoothing) / (expected + smoothing))
+        added = F.col("n_target") * smoothing / buckets
+        ratio = F.log((x["target"] + added) / (expected + added))
         some = (F.col("n_raw") > 0) & (F.col("n_target") > 0)
         return F.when(some, F.round(ratio * SCALE).cast("long")).otherwise(F.lit(0).cast("long"))
 
@@ -149,7 +151,8 @@ def judge(
     longs, whatever the size of the corpus) enter as a scalar subquery.
 
     A null or empty text has no words, fails the base rules and is not kept; its score
-    is 0. Repeated rows are judged each. A null ``doc_id`` never belongs to the target.
+    is 0. Repeated rows are judged each. A null ``doc_id`` never belongs to the target. A
+    text of any length is counted whole, in one row. An empty table gives an empty result.
     Only ``doc_id`` and ``text`` are read; an own column ``name`` is replaced.
     """
     weights = stored(ratio_weights(docs, labels, buckets, smoothing), "quality-weights").scalar()

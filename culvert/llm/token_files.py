@@ -58,7 +58,9 @@ def write_tokens(
     one range: a reader that wants some ids skips files and stripes by their minima and
     maxima, and row groups by their Bloom filters. ``block`` numbers the files in that
     order and ``block_start`` counts the ids in front of a document within its block. A
-    null text counts as empty. Rows that repeat an id are written each.
+    null text counts as empty. Rows that repeat an id are written each, in any order among
+    themselves. A text of any length is one row of one file. An empty table gives files
+    without rows. Only ``doc_id`` and ``text`` are read, so other columns may have any name.
     """
     wanted = docs.select("doc_id", "text")
     ranges = (

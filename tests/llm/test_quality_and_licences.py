@@ -44,7 +44,8 @@ def expected(rows, trusted):
     def weight(b):
         if not n_raw or not n_target:
             return 0
-        ratio = (target[b] + quality.SMOOTHING) / (n_target * raw[b] / n_raw + quality.SMOOTHING)
+        added = n_target * quality.SMOOTHING / quality.BUCKETS
+        ratio = (target[b] + added) / (n_target * raw[b] / n_raw + added)
         return round(math.log(ratio) * quality.SCALE)
 
     out = []
@@ -57,6 +58,13 @@ def expected(rows, trusted):
     return out
 
 
+def test_a_table_in_which_every_row_stands_twice_gets_the_same_verdicts(spark):
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet")
+    labels = spark.read.parquet(f"{TESTDATA}/sf0.001/labels.parquet")
+    of = lambda df: {r.doc_id: (r.score, r.kept) for r in quality.judge(df, labels).select("doc_id", "quality.score", "quality.kept").collect()}
+    assert of(docs) == of(docs.union(docs)) == of(docs.union(docs).union(docs).union(docs))
+
+
 @pytest.mark.parametrize("clashing", [False, True])
 def test_quality_equals_brute_force(spark, clashing):
     rows = odd_docs()
