@@ -3,6 +3,7 @@ identifiers are matched against an ordered list of rules."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -20,20 +21,29 @@ SENTENCES = [
     ("mit_notice", "released under the mit license"),
     ("mit_notice", "licensed under the mit license"),
     ("mit_notice", "this project is licensed under the mit license"),
-    ("mit_notice", "spdx license identifier mit"),
     ("apache2_notice", "licensed under the apache license version 2 0"),
     ("apache2_notice", "licensed under the apache license version 2 0 the license"),
     ("apache2_notice", "released under the apache license version 2 0"),
-    ("apache2_notice", "spdx license identifier apache 2 0"),
     ("apache2_comply", "you may not use this file except in compliance with the license"),
     ("apache2_copy", "you may obtain a copy of the license at http www apache org licenses license 2 0"),
     ("apache2_as_is", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"),
     ("gpl3_notice", "this work is licensed under the gnu general public license version 3"),
     ("gpl3_notice", "licensed under the gnu general public license version 3"),
-    ("gpl3_notice", "spdx license identifier gpl 3 0 only"),
-    ("gpl3_notice", "spdx license identifier gpl 3 0 or later"),
     ("gpl3_free", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
     ("gpl2_free", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version"),
+    ("lgpl21_free", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version"),
+    ("lgpl3_free", "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("lgpl3_free", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("agpl3_free", "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("mpl2_terms", "this source code form is subject to the terms of the mozilla public license v"),
+    ("mpl2_copy", "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0"),
+    ("mpl2_copy", "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0"),
+    ("isc_grant", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("isc_grant", "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("epl2_terms", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0"),
+    ("epl2_terms", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at http www eclipse org legal epl 2 0"),
+    ("epl2_terms", "this program and the accompanying materials are made available under the terms of the eclipse public license v 2 0 which is available at https www eclipse org legal epl 2 0"),
+    ("unlicense_text", "this is free and unencumbered software released into the public domain"),
     ("gpl_hope", "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"),
     ("gpl_details", "see the gnu general public license for more details"),
     ("bsd_grant", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
@@ -51,6 +61,35 @@ SENTENCES = [
     ("reserved", "all rights reserved"),
 ]
 
+# Identifiers that a line "SPDX-License-Identifier: ..." may name, with their kind.
+SPDX = [
+    ("MIT", "permissive"),
+    ("Apache-2.0", "permissive"),
+    ("BSD-2-Clause", "permissive"),
+    ("BSD-3-Clause", "permissive"),
+    ("ISC", "permissive"),
+    ("Unlicense", "permissive"),
+    ("CC0-1.0", "permissive"),
+    ("CC-BY-4.0", "permissive"),
+    ("CC-BY-SA-4.0", "copyleft"),
+    ("CC-BY-NC-4.0", "restricted"),
+    ("MPL-2.0", "copyleft"),
+    ("EPL-2.0", "copyleft"),
+    ("GPL-2.0-only", "copyleft"),
+    ("GPL-2.0-or-later", "copyleft"),
+    ("GPL-3.0-only", "copyleft"),
+    ("GPL-3.0-or-later", "copyleft"),
+    ("LGPL-2.1-only", "copyleft"),
+    ("LGPL-2.1-or-later", "copyleft"),
+    ("LGPL-3.0-only", "copyleft"),
+    ("LGPL-3.0-or-later", "copyleft"),
+    ("AGPL-3.0-only", "copyleft"),
+    ("AGPL-3.0-or-later", "copyleft"),
+]
+SENTENCES += [
+    (f"spdx_{name}", "spdx license identifier " + re.sub("[^a-z0-9]+", " ", name.lower())) for name, _ in SPDX
+]
+
 # Rules in order. A rule that matches takes its identifiers away from
 # the rules behind it, so a whole text goes before the notices it contains.
 RULES = [
@@ -73,15 +112,26 @@ RULES = [
     ("CC-BY-SA-4.0", "copyleft", ["cc_by_sa_notice"]),
     ("CC-BY-4.0", "permissive", ["cc_by_notice"]),
     ("CC0-1.0", "permissive", ["cc0_notice"]),
-    ("proprietary", "restricted", ["reserved"]),
+    ("LGPL-2.1-or-later", "copyleft", ["lgpl21_free"]),
+    ("LGPL-3.0-or-later", "copyleft", ["lgpl3_free"]),
+    ("AGPL-3.0-or-later", "copyleft", ["agpl3_free"]),
+    ("MPL-2.0", "copyleft", ["mpl2_terms"]),
+    ("ISC", "permissive", ["isc_grant"]),
+    ("EPL-2.0", "copyleft", ["epl2_terms"]),
+    ("Unlicense", "permissive", ["unlicense_text"]),
+    *((name, kind, [f"spdx_{name}"]) for name, kind in SPDX),
 ]
 
+#: What counts only where no rule in front of it does: most licensed texts reserve rights, too.
+LAST_RULE = ("proprietary", "restricted", ["reserved"])
+RULES.append(LAST_RULE)
+
 #: What opens a line of a comment.
 _LEADER = r"(?md)^[ \t]*(?:/\*+|\*+/?|#+|//+)[ \t]*"
 #: Cuts of a text, from the surest to the least sure: the end of a sentence, that is a mark
 #: with blanks or a line end behind it, or an empty line unless an address follows; any empty
 #: line; the end of a clause; the end of a line.
-_SENTENCE = r"([.!?])[ \t\n]+|\n[ \t]*\n(?![ \t\n]{0,200}https?://)"
+_SENTENCE = r"([.!?])[ \t\n]+|\n[ \t]*\n(?![ \t\n]*+https?://)"
 _EMPTY = r"()\n[ \t]*\n"
 _CLAUSE = r"([:;])[ \t\n]+"
 _LINE = r"()\n"
@@ -106,10 +156,8 @@ def sentence_ids(text: Column, sentences: Sequence[tuple[str, str]] = SENTENCES)
     line, since notices stand on lines of their own behind unfinished prose. Line ends are
     those of any system; what opens the lines of a comment is no part of the text.
     """
-    known, longest = _known(sentences), max(len(text) for _, text in sentences)
+    known = _known(sentences)
     look_up = lambda part: F.element_at(known, normal_form(part))
-    # Nothing much longer than the longest known sentence can be one.
-    short = lambda part: F.length(part) <= 4 * longest
 
     def cut(part: Column, ends: str) -> Column:
         return F.split(F.regexp_replace(part, ends, f"$1{_SPLIT}"), _SPLIT)
@@ -117,7 +165,7 @@ def sentence_ids(text: Column, sentences: Sequence[tuple[str, str]] = SENTENCES)
     # A part is (text, name). Level by level, unknown parts are replaced by smaller ones.
     def named(texts: Column) -> Column:
         return F.transform(
-            texts, lambda x: F.struct(x.alias("part"), F.when(short(x), look_up(x)).alias("name"))
+            texts, lambda x: F.struct(x.alias("part"), look_up(x).alias("name"))
         )
 
     def smaller(parts: Column, ends: str) -> Column:
@@ -151,7 +199,12 @@ def matched_rules(ids: Column, rules: Sequence[tuple[str, str, list[str]]] = RUL
             )
         )
         left = F.replace(left, F.lit(wanted), F.lit("/"))
-    return F.filter(F.array(*found), lambda x: x.isNotNull())
+    all_found = F.filter(F.array(*found), lambda x: x.isNotNull())
+    last = [number for number, rule in enumerate(rules) if rule == LAST_RULE]
+    if not last:
+        return all_found
+    others = F.filter(all_found, lambda x: x["rule"] != last[0])
+    return F.when(F.size(others) > 0, others).otherwise(all_found)
 
 
 def scan(
@@ -165,7 +218,8 @@ def scan(
 
     Row by row, no shuffle; the lists of sentences and rules are literals of the plan.
     A null or empty text has no identifiers. Repeated rows are scanned each; own columns
-    of these names are replaced.
+    of these names are replaced. A text of any length is scanned whole, in one row. An empty
+    table gives an empty result.
     """
     ids, found = fresh("ids"), fresh("found")
     kinds = F.transform(F.col(found), lambda x: x["kind"])
@@ -196,14 +250,16 @@ def _quoted(text: str) -> str:
 
 def oracle(sentences=SENTENCES, rules=RULES) -> str:
     """DuckDB SQL for ``op9_licence_scan``."""
-    longest = 4 * max(len(text) for _, text in sentences)
     known = ", ".join(f"({_quoted(text)}, {_quoted(name)})" for name, text in sentences)
     steps, left = [], "'|' || array_to_string(ids, '||') || '|'"
     flags, lefts = [], []
     for number, (_, _, sequence) in enumerate(rules):
         wanted = _quoted("".join(f"|{name}|" for name in sequence))
         before = "l" if number == 0 else f"l{number - 1}"
-        flags.append(f"contains({before}, {wanted}) AS f{number}")
+        found = f"contains({before}, {wanted})"
+        if rules[number] == LAST_RULE:
+            found = " AND NOT ".join([found, *(f"f{i}" for i in range(number))])
+        flags.append(f"{found} AS f{number}")
         lefts.append(f"replace({before}, {wanted}, '/') AS l{number}")
         source = "start" if number == 0 else f"s{number - 1}"
         steps.append(f"s{number} AS (SELECT *, {flags[-1]}, {lefts[-1]} FROM {source})")
@@ -212,28 +268,34 @@ def oracle(sentences=SENTENCES, rules=RULES) -> str:
     numbers = ", ".join(f"CASE WHEN f{i} THEN {i} END" for i in range(len(rules)))
     has = lambda kind: " OR ".join(f"f{i}" for i, r in enumerate(rules) if r[1] == kind)
     norm = "trim(regexp_replace(lower({0}), '[^a-z0-9]+', ' ', 'g'))"
+    # An empty line in front of an address is marked by chr(2), and cuts only at the second level.
+    levels = [
+        r"([.!?])[ \t\n\x02]+|\n[ \t]*\n",
+        r"()(?:\n[ \t]*\n|\x02)",
+        r"([:;])[ \t\n\x02]+",
+        r"()[\n\x02]",
+    ]
+    cuts = []
+    for k, ends in enumerate(levels):
+        source = "plain" if k == 0 else f"named{k - 1}"
+        cuts.append(f"""
+parts{k} AS (
+  SELECT doc_id, list_append(path, generate_subscripts(s, 1)) AS path, unnest(s) AS part FROM (
+    SELECT doc_id, path, CASE WHEN name IS NULL THEN
+      string_split(regexp_replace(part, '{ends}', '\\1' || chr(1), 'g'), chr(1)) ELSE [part] END AS s FROM {source})),
+named{k} AS (SELECT doc_id, path, part, name FROM parts{k} LEFT JOIN known ON sentence = {norm.format("part")})""")
     return f"""
 WITH known(sentence, name) AS (VALUES {known}),
-parts AS (
-  SELECT doc_id, generate_subscripts(p, 1) AS a, unnest(p) AS part FROM (
-    SELECT doc_id, string_split(regexp_replace(coalesce(text, ''),
-      '([.!?:;])[ \\t\\r]+|\\n[ \\t\\r]*\\n', '\\1' || chr(1), 'g'), chr(1)) AS p FROM documents)),
-wholes AS (
-  SELECT doc_id, a, part, name FROM parts LEFT JOIN known
-  ON length(part) <= {longest} AND sentence = {norm.format("part")}),
-lines AS (
-  SELECT doc_id, a, generate_subscripts(p, 1) AS b, unnest(p) AS line FROM (
-    SELECT doc_id, a, string_split(part, chr(10)) AS p FROM wholes
-    WHERE name IS NULL AND contains(part, chr(10)))),
-hits AS (
-  SELECT doc_id, a, 0 AS b, name FROM wholes WHERE name IS NOT NULL
-  UNION ALL
-  SELECT doc_id, a, b, name FROM lines JOIN known
-  ON length(line) <= {longest} AND sentence = {norm.format("line")}),
+plain AS (
+  SELECT doc_id, CAST([] AS BIGINT[]) AS path, CAST(NULL AS VARCHAR) AS name,
+    regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '\\r\\n?', chr(10), 'g'),
+      '(?m)^[ \\t]*(?:/\\*+|\\*+/?|#+|//+)[ \\t]*', '', 'g'),
+      '\\n[ \\t]*\\n[ \\t\\n]*(https?://)', chr(2) || '\\1', 'g') AS part
+  FROM documents),{",".join(cuts)},
 start AS (
   SELECT d.doc_id, coalesce(h.ids, []) AS ids, {left.replace("ids", "coalesce(h.ids, [])")} AS l
   FROM documents d LEFT JOIN (
-    SELECT doc_id, list(name ORDER BY a, b) AS ids FROM hits GROUP BY doc_id) h
+    SELECT doc_id, list(name ORDER BY path) AS ids FROM named3 WHERE name IS NOT NULL GROUP BY doc_id) h
   ON d.doc_id = h.doc_id),
 {", ".join(steps)},
 named AS (

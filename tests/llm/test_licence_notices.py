@@ -1,7 +1,10 @@
 """Licence notices as they stand in real files: plain and commented, with either line end."""
 
+import duckdb
 import pytest
 from cases import words
+from compare import difference
+from pyspark.sql import functions as F
 
 from culvert.llm import licences
 
@@ -104,3 +107,73 @@ def test_what_stands_behind_marks_is_still_found(spark):
         f"{prose}:\nAll rights reserved.",
     ]
     assert [names for _, names in scanned(spark, texts)] == [["MIT"], ["GPL-3.0-only"], ["MIT"], ["proprietary"]]
+
+
+LGPL = GPL.replace("This program is", "This library is").replace("GNU General", "GNU Lesser General")
+AGPL = GPL.replace("GNU General", "GNU Affero General")
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+ISC = """Copyright (c) 2020 Someone. All rights reserved.
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+EPL = """This program and the accompanying materials are made available under the
+terms of the Eclipse Public License 2.0 which is available at
+https://www.eclipse.org/legal/epl-2.0/
+
+SPDX-License-Identifier: EPL-2.0
+"""
+UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software.
+"""
+MORE = [
+    (LGPL.format(mark=";", comma=";", version="2.1"), ["LGPL-2.1-or-later"]),
+    (LGPL.format(mark=":", comma=",", version=3), ["LGPL-3.0-or-later"]),
+    (AGPL.format(mark=":", comma=",", version=3), ["AGPL-3.0-or-later"]),
+    (MPL, ["MPL-2.0"]),
+    (ISC, ["ISC"]),
+    (EPL, ["EPL-2.0"]),
+    (UNLICENSE, ["Unlicense"]),
+    ("Copyright 2020 Someone.\nAll rights reserved.\n\n" + BSD + BSD3, ["BSD-3-Clause"]),
+    ("Copyright 2020 Someone.\nAll rights reserved.\n", ["proprietary"]),
+    *((f"SPDX-License-Identifier: {name}\n", [name]) for name, _ in licences.SPDX),
+]
+
+
+def variants(texts):
+    for leader in ("", "# ", " * ", "// "):
+        for end in ("\n", "\r\n"):
+            for text in texts:
+                yield "".join(f"{leader}{x}".rstrip() + end for x in text.splitlines())
+
+
+def test_more_genuine_notices(spark):
+    found = [names for _, names in scanned(spark, list(variants([t for t, _ in MORE])))]
+    assert found == 8 * [names for _, names in MORE]
+
+
+def test_a_notice_in_a_wide_box_or_far_from_its_address(spark):
+    boxed = "".join("#" + " " * 300 + x + " " * 300 + "#\n" for x in MIT.splitlines())
+    far = APACHE.replace("\n\n    http", "\n" + " \n" * 400 + "    http")
+    assert [names for _, names in scanned(spark, [boxed, far])] == [["MIT"], ["Apache-2.0"]]
+
+
+def test_the_sql_states_the_operator(spark):
+    texts = list(variants([t for t, *_ in [*NOTICES, *MORE]]))
+    texts += [f"/*\n{t}\n*/\nint main; {t}" for t in texts[:15]] + [None, "", "\n\n", "a.\n\nhttp://x\n\n\n\nhttp://y"]
+    prose = " ".join(words(30, 4))
+    texts += [f"{prose}: Licensed under the\nMIT License; {prose}", APACHE.replace("\n\n    http", "\n \n\n\t\n http"), "MIT License\n\n\n\nhttps://a"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    found = licences.scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    lists = ("licence_ids", "licences", "licence_rules")
+    shown = found.select("doc_id", *[F.array_join(name, ",").alias(name) for name in lists], "licence_kind")
+    assert difference(shown, con, licences.oracle()) is None
