@@ -16,7 +16,7 @@ ORACLE_SQL = None
 
 VOCABULARY, CLOSE_ID = "byte_bpe_50k.json", 0
 #: Of the stage on word shingles.
-NEAR_WORDS, NEAR_PERCENT = 5, 80
+NEAR_WORDS, NEAR_PERCENT = 5, 85
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each class of linked ones, that of the smallest id. Linked are
-    those that have 80 percent of their runs of five words in common."""
+    those that have 85 percent of their runs of five words in common."""
     return jaccard.representatives(docs, NEAR_PERCENT, NEAR_WORDS)
 
 

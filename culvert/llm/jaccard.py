@@ -2,8 +2,7 @@
 
 Similar documents are brought together first. A document's shingles are dealt into as many
 parts as two linked documents can differ in, and some more; the hash of a part is a *mark*
-(below 90 percent, a document's rarest shingles are, and parities of whole sets tell most of
-those apart that meet by chance). Linked documents have a mark in common,
+(below 85 percent, of two parts together). Linked documents have a mark in common,
 unrelated ones hardly ever, so documents connected by marks are a family, and no link leaves
 a family. Families are compared in units of at
 most two blocks. In a unit documents next to each other in min-hash order form groups. The
@@ -17,11 +16,8 @@ import functools
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
-from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from culvert.llm import wordhash
@@ -34,15 +30,12 @@ PERCENT = 90
 #: Documents of a group in the matrix, and of a block; larger families are cut into blocks,
 #: and each two blocks meet in a unit.
 GROUP, BLOCK = 32, 512
-#: Parts of fewer shingles are no marks, so a sentence that many documents share makes none.
+#: Parts of fewer shingles are no marks, so a sentence that many documents share makes none;
+#: below 90 percent parts are smaller, and it takes one shingle less.
 LEAST = 3
-#: Below this percent parts are so small that most sets would need all of theirs; there the
-#: rarest shingles of a set are its marks (``prefix_marks``).
-PARTS_FROM = 90
-#: 2 ** RARITY_BITS counters tell rare shingles from frequent ones, at every size.
-RARITY_BITS = 20
-#: Bits of the parities that a set is known by where it meets others.
-BITS = 1024
+#: Below this percent parts hold so few shingles that a part alone says little; there two parts
+#: together are a mark (``pair_marks``), which takes twice as many marks.
+PARTS_FROM = 85
 #: Bytes of text hashed at a time.
 BLOCK_BYTES = 1 << 20
 
@@ -53,8 +46,8 @@ _FRAMES = (1 << _FRAME_BITS) - 1
 
 @functools.cache
 def _plan(percent: int) -> dict[str, np.ndarray]:
-    """Per frame: its largest size, the parts of a set, and the parts that two linked sets
-    share at least; and the shingles that a part needs to be a mark.
+    """Per frame: its largest size, the parts of a set, the parts that two linked sets share
+    at least, and the groups that ``pair_marks`` deals the parts into.
 
     A frame is a third larger than the one before, so sets linked at 75 percent or more are
     in the same frame or in neighbours.
@@ -66,9 +59,11 @@ def _plan(percent: int) -> dict[str, np.ndarray]:
         upper.append(max(upper[-1] + 1, upper[-1] * 4 // 3))
     # union - intersection <= (1 - t) * union and a + b >= (1 + t) * union
     differ = [2 * u * (100 - percent) // (100 + percent) for u in upper]
-    parts = [d + 1 + max(1, d // 4) if d else 1 for d in differ]
+    spare = [max(2, d // 2) if percent < PARTS_FROM else 1 + max(1, d // 4) for d in differ]
+    parts = [d + n if d else 1 for d, n in zip(differ, spare, strict=True)]
     need = [p - d for p, d in zip(parts, differ, strict=True)]
-    plan = (("upper", upper), ("parts", parts), ("need", need), ("least", LEAST))
+    groups = [max(1, 4 * n // 5) for n in need]
+    plan = (("upper", upper), ("parts", parts), ("need", need), ("groups", groups))
     return {name: np.array(x, np.int64) for name, x in plan}
 
 
@@ -85,106 +80,115 @@ def sets_of(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarr
     return found[new], np.bincount(text[new], minlength=len(counts))
 
 
-def prefix_marks(
-    found: np.ndarray, counts: np.ndarray, percent: int, rarity: np.ndarray | None
+def _prefix(
+    found: np.ndarray, counts: np.ndarray, percent: int, chosen: np.ndarray, number: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n - ceil(t * n) + 1`` shingles of each set, the rarest first, as marks.
+    """The first ``n - ceil(t * n) + 1`` shingles of the chosen sets as marks.
 
     Linked sets have ``t`` of either set in common. Of what they have in common, the first in
     the order of all shingles stands in both prefixes: were it behind the prefix of a set,
-    that set would have fewer than ``t`` of its shingles left to share. That holds for any
-    order; with the rarest first, a passage that many documents share is no mark of those
-    that hold much else. ``rarity`` only has to be the same for all sets.
+    that set would have fewer than ``t`` of its shingles left to share.
     """
-    text = np.repeat(np.arange(len(counts)), counts)
-    rank = np.zeros(len(found), np.uint8) if rarity is None else rarity[_counter(found)]
-    # The shingles of a set are ascending, which settles ties.
-    order = np.lexsort((rank, text))
-    length = np.where(counts > 0, counts - -(-counts * percent // 100) + 1, 0)
+    length = np.where(chosen, counts - -(-counts * percent // 100) + 1, 0)
     owner = np.repeat(np.arange(len(counts)), length)
-    first = (np.cumsum(counts) - counts)[owner] + wordhash.within(length)
-    return wordhash.mixed(found[order][first] ^ np.uint64(0x2545F4914F6CDD1D)), owner
-
-
-def _counter(found: np.ndarray) -> np.ndarray:
-    return (found >> np.uint64(64 - RARITY_BITS)).astype(np.int64)
-
+    # The shingles of a set are ascending, so these are its first ones.
+    ahead = found[(np.cumsum(counts) - counts)[owner] + wordhash.within(length)]
+    kind = number[owner].astype(np.uint64)
+    mark = wordhash.mixed(wordhash.mixed(ahead ^ np.uint64(0x2545F4914F6CDD1D)) + kind)
+    return (mark & ~np.uint64(_FRAMES)) | kind, owner
 
-_CHUNK = 1 << 16
 
+def _dealt(found: np.ndarray, counts: np.ndarray, chosen: np.ndarray, parts: np.ndarray):
+    """The shingles of the chosen sets dealt into their parts: where each set's parts begin,
+    the hash of each part's content, the shingles it holds, and the set it is of."""
+    text = np.repeat(np.arange(len(counts)), counts)
+    mine = chosen[text]
+    shingle, at = found[mine], text[mine]
+    first = np.cumsum(parts) - parts
+    slot = first[at] + ((shingle >> np.uint64(16)) % parts[at].astype(np.uint64)).astype(np.int64)
+    sums = np.zeros(int(parts.sum()), np.uint64)
+    np.add.at(sums, slot, wordhash.mixed(shingle ^ np.uint64(0x5BD1E995)))
+    held = np.bincount(slot, minlength=len(sums))
+    return first, sums, held, np.repeat(np.arange(len(counts)), parts)
+
+
+def pair_marks(
+    found: np.ndarray, counts: np.ndarray, percent: int, chosen: np.ndarray, number: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of two parts together, for the chosen sets in the frames ``number``.
 
-def _counted(size: int):
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(task, chunk, counts): in how many texts of the task the shingles of a counter are."""
-        total = np.zeros(1 << RARITY_BITS, np.int64)
-        for batch in batches:
-            for part in _blocks(batch):
-                total += np.bincount(_counter(sets_of(part.column("text"), size)[0]), minlength=len(total))
-        chunks = [total[i : i + _CHUNK].tobytes() for i in range(0, len(total), _CHUNK)]
-        task = [TaskContext.get().partitionId()] * len(chunks)
-        columns = [pa.array(task, pa.int32()), pa.array(range(len(chunks)), pa.int32()), pa.array(chunks, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, ["task", "chunk", "counts"])
-
-    return of
-
-
-def rarities(texts: DataFrame, size: int) -> np.ndarray:
-    """Per counter the power of two of the number of texts that have a shingle of it: 1 MB,
-    whatever the corpus. The counts of the tasks are summed in groups first."""
-    schema = "task int, chunk int, counts binary"
-
-    def added(group: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum([np.frombuffer(x, np.int64) for x in group["counts"]], axis=0)
-        return pd.DataFrame([(0, group["chunk"].iloc[0], total.tobytes())], columns=["task", "chunk", "counts"])
-
-    counted = texts.select("text").mapInArrow(_counted(size), schema)
-    some = counted.groupBy(F.pmod("task", F.lit(256)), "chunk").applyInPandas(added, schema)
-    out = np.zeros(1 << RARITY_BITS, np.uint8)
-    for row in some.groupBy("chunk").applyInPandas(added, schema).toLocalIterator():
-        counts = np.frombuffer(row.counts, np.int64)
-        out[row.chunk * _CHUNK : (row.chunk + 1) * _CHUNK] = np.ceil(np.log2(counts + 1))
-    return out
+    The parts of a set are dealt into fewer groups than two linked sets share parts, so some
+    group has two parts that both share, and those two are a mark of both unless both are
+    empty. If in every group all shared parts are empty, each set has that many empty parts
+    to spare (``need - groups`` beyond one in each group), and marks its prefix as well.
+    """
+    plan = _plan(percent)
+    parts = np.where(chosen, plan["parts"][number], 0)
+    groups, need = plan["groups"][number], plan["need"][number]
+    first, sums, held, of = _dealt(found, counts, chosen, parts)
+    whole = parts == 1  # too small to differ in anything: the set is its mark
+    out, owner = [wordhash.mixed(wordhash.mixed(sums[first[whole]]))], [np.flatnonzero(whole)]
+    step = 1
+    while True:
+        # Parts of one group are ``groups`` apart.
+        pairs = np.where(whole, 0, np.maximum(parts - step * groups, 0))
+        if not pairs.any():
+            break
+        set_ = np.repeat(np.arange(len(counts)), pairs)
+        place = wordhash.within(pairs)
+        a = first[set_] + place
+        b = a + step * groups[set_]
+        some = held[a] + held[b] > 0
+        a, b, set_, place = a[some], b[some], set_[some], place[some]
+        at = (place * 64 + step).astype(np.uint64)
+        mark = wordhash.mixed(wordhash.mixed(sums[a]) + np.uint64(0x9E3779B97F4A7C15) * at)
+        out.append(wordhash.mixed(mark ^ wordhash.mixed(sums[b] + np.uint64(0xC2B2AE3D27D4EB4F))))
+        owner.append(set_)
+        step += 1
+    mark, owner_of = np.concatenate(out), np.concatenate(owner)
+    kind = number[owner_of].astype(np.uint64)
+    mark = (wordhash.mixed(mark + kind) & ~np.uint64(_FRAMES)) | kind
+    # Empty parts beyond one in each group.
+    begin = np.cumsum(groups) - groups
+    group = begin[of] + (np.arange(len(sums)) - first[of]) % groups[of]
+    spare = np.maximum(np.bincount(group[held == 0], minlength=int(groups.sum())) - 1, 0)
+    spared = np.bincount(np.repeat(np.arange(len(counts)), groups), spare, len(counts))
+    risk = chosen & ~whole & (spared >= need - groups)
+    more, more_of = _prefix(found, counts, percent, risk, number)
+    return np.concatenate([mark, more]), np.concatenate([owner_of, more_of])
 
 
 def marks_of(
-    found: np.ndarray, counts: np.ndarray, percent: int = PERCENT, rarity: np.ndarray | None = None
+    found: np.ndarray, counts: np.ndarray, percent: int = PERCENT
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Marks of each set and the set each belongs to: below PARTS_FROM percent its rarest
-    shingles, else hashes of its parts, of which the last bits tell the frame.
+    """Marks of each set and the set each belongs to. The last bits of a mark tell its frame.
 
     Of the parts of a set, two linked sets share ``need`` or more, since what they differ in
-    touches no more than the others. If a part that they share has ``least`` shingles, it is
+    touches no more than the others. If a part that they share is large enough, it is
     a mark of both. If all are smaller, both sets have ``need`` such parts and mark all that
     are not empty. If all are empty, both have ``need`` empty parts, and mark their prefix as
-    well: of linked sets sorted alike, the first ``n - ceil(t * n) + 1`` shingles of one and
-    of the other have one in common. An empty part itself is no mark, as all sets with an
-    empty part of that number would share it.
+    well. An empty part itself is no mark, as all sets with an empty part of that number
+    would share it. Below PARTS_FROM percent the marks are those of ``pair_marks``.
     """
     plan = _plan(percent)
-    if percent < PARTS_FROM:
-        return prefix_marks(found, counts, percent, rarity)
     frame = np.searchsorted(plan["upper"], counts)
     # A set also meets larger ones of the next frame.
     reaches = (counts * 100 // percent > plan["upper"][frame]) & (counts > 0)
-    text = np.repeat(np.arange(len(counts)), counts)
     out, owner = [], []
     for shift, chosen in ((0, counts > 0), (1, reaches)):
-        mine = chosen[text]
-        shingle, at = found[mine], text[mine]
         number = np.minimum(frame + shift, _FRAMES - 1)
-        parts = np.where(chosen, plan["parts"][number], 0)
-        first = np.cumsum(parts) - parts
-        slot = first[at] + ((shingle >> np.uint64(16)) % parts[at].astype(np.uint64)).astype(np.int64)
-        total = int(parts.sum())
-        sums = np.zeros(total, np.uint64)
-        np.add.at(sums, slot, wordhash.mixed(shingle ^ np.uint64(0x5BD1E995)))
-        of = np.repeat(np.arange(len(counts)), parts)
-        held = np.bincount(slot, minlength=total)
-        large = held >= plan["least"]
+        if percent < PARTS_FROM:
+            mark, of = pair_marks(found, counts, percent, chosen, number)
+            out.append(mark)
+            owner.append(of)
+            continue
+        parts, need = np.where(chosen, plan["parts"][number], 0), plan["need"][number]
+        first, sums, held, of = _dealt(found, counts, chosen, parts)
+        large = held >= (LEAST if percent >= 90 else LEAST - 1)
         small = parts - np.bincount(of[large], minlength=len(counts))
-        large |= (small >= plan["need"][number])[of] & (held > 0)
+        large |= (small >= need)[of] & (held > 0)
         empty = np.bincount(of[held == 0], minlength=len(counts))
-        place = (np.arange(total) - first[of]).astype(np.uint64)
+        place = (np.arange(len(sums)) - first[of]).astype(np.uint64)
         kind = number[of].astype(np.uint64)
         mark = wordhash.mixed(
             wordhash.mixed(sums) + place * np.uint64(0x9E3779B97F4A7C15) + kind * np.uint64(0xC2B2AE3D27D4EB4F)
@@ -192,15 +196,9 @@ def marks_of(
         mark = (mark & ~np.uint64(_FRAMES)) | kind
         out.append(mark[large])
         owner.append(of[large])
-        at_risk = chosen & (empty >= plan["need"][number]) & (empty > 0)
-        # The shingles of a set are ascending, so these are its first ones.
-        length = np.where(at_risk, counts - -(-counts * percent // 100) + 1, 0)
-        mine = np.repeat(np.arange(len(counts)), length)
-        ahead = found[(np.cumsum(counts) - counts)[mine] + wordhash.within(length)]
-        kind = number[mine].astype(np.uint64)
-        mark = wordhash.mixed(wordhash.mixed(ahead ^ np.uint64(0x2545F4914F6CDD1D)) + kind)
-        out.append((mark & ~np.uint64(_FRAMES)) | kind)
-        owner.append(mine)
+        more, more_of = _prefix(found, counts, percent, chosen & (empty >= need) & (empty > 0), number)
+        out.append(more)
+        owner.append(more_of)
     return np.concatenate(out), np.concatenate(owner)
 
 
@@ -221,31 +219,7 @@ def _set_ids(found: np.ndarray, counts: np.ndarray) -> list[int | None]:
     ]
 
 
-def parities(found: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Per set a row of BITS bits: whether an odd number of its shingles fall on the bit."""
-    text = np.repeat(np.arange(len(counts)), counts)
-    bit = (wordhash.mixed(found) >> np.uint64(33)).astype(np.int64) % BITS
-    odd = np.bincount(text * BITS + bit, minlength=len(counts) * BITS) & 1
-    return np.packbits(odd.astype(np.uint8).reshape(len(counts), BITS), axis=1).view(np.uint64)
-
-
-def may_link(a: np.ndarray, b: np.ndarray, a_bits: np.ndarray, b_bits: np.ndarray, percent: int) -> np.ndarray:
-    """False for pairs of sets that cannot be linked, by their sizes and parities.
-
-    A shingle that only one of two sets has turns one bit over. So they differ in no fewer
-    shingles than their parities differ in bits, and have at most half of what is left of
-    both sizes in common.
-    """
-    differ = np.bitwise_count(a_bits ^ b_bits).sum(axis=1, dtype=np.int64)
-    return (a + b - differ) * (100 + percent) >= 2 * percent * (a + b)
-
-
-def _described(size: int, percent: int):
-    def bits_of(found: np.ndarray, counts: np.ndarray) -> pa.Array:
-        if percent >= PARTS_FROM:
-            return pa.nulls(len(counts), pa.binary())
-        return pa.array([row.tobytes() for row in parities(found, counts)], pa.binary())
-
+def _described(size: int):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _blocks(batch):
@@ -257,7 +231,6 @@ def _described(size: int, percent: int):
                         "place": part.column("place"),
                         "n": pa.array(counts, pa.int64()),
                         "sid": pa.array(_set_ids(found, counts), pa.int64()),
-                        "bits": bits_of(found, counts),
                     }
                 )
 
@@ -318,68 +291,6 @@ def _marked(size: int, percent: int):
     return of
 
 
-def _prefixed(size: int, percent: int, rarity: Broadcast):
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (mark, sid), each once per task."""
-        marks, sids = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for batch in batches:
-            for part in _blocks(batch):
-                found, counts = sets_of(part.column("text"), size)
-                ids = np.array([x or 0 for x in _set_ids(found, counts)], np.int64)
-                mark, owner = prefix_marks(found, counts, percent, rarity.value)
-                marks.append(mark)
-                sids.append(ids[owner])
-        mark, sid = np.concatenate(marks), np.concatenate(sids)
-        order = np.lexsort((sid, mark))
-        mark, sid = mark[order], sid[order]
-        new = np.ones(len(mark), bool)
-        new[1:] = (mark[1:] != mark[:-1]) | (sid[1:] != sid[:-1])
-        columns = [mark[new].view(np.int64), sid[new]]
-        for i in range(0, len(columns[0]), 1 << 17):
-            yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 17)]) for x in columns], ["mark", "sid"])
-
-    return of
-
-
-def _bounded(percent: int):
-    def closed(rows: pa.Table) -> pa.RecordBatch:
-        """A forest of the pairs that may be linked, of whole units of a task."""
-        unit, sid, n = (rows.column(c).to_numpy() for c in ("unit", "sid", "n"))
-        bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), np.uint64).reshape(len(unit), -1)
-        at, step, edges = np.arange(len(unit)), 1, [np.zeros((0, 2), np.int64)]
-        while True:  # each row with the one ``step`` behind it, as long as some share a unit
-            at = at[at + step < len(unit)]
-            at = at[unit[at] == unit[at + step]]
-            if not len(at):
-                break
-            for i in range(0, len(at), 1 << 16):
-                x = at[i : i + (1 << 16)]
-                y = x + step
-                ok = may_link(n[x], n[y], bits[x], bits[y], percent) & (sid[x] != sid[y])
-                edges.append(np.column_stack([sid[x[ok]], sid[y[ok]]]))
-            step += 1
-        pairs = np.unique(np.concatenate(edges), axis=0)
-        a, b = _stars(pairs[:, 0], pairs[:, 1])
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(batch)
-            rows = pa.Table.from_batches(held).combine_chunks()
-            unit = rows.column("unit").to_numpy()
-            cut = int(np.searchsorted(unit, unit[-1]))
-            if cut:  # the last unit may go on in the next batch
-                yield closed(rows.slice(0, cut).combine_chunks())
-                held = rows.slice(cut).combine_chunks().to_batches()
-        if held:
-            yield closed(pa.Table.from_batches(held).combine_chunks())
-
-    return of
-
-
 def _cut(groups: DataFrame, group: str, member: str, blocks: Column) -> DataFrame:
     """(unit, sid): the members of every group, cut into blocks of which each two meet."""
     own, met = F.pmod(F.xxhash64(member), F.col("blocks")), F.col("met")
@@ -392,28 +303,6 @@ def _cut(groups: DataFrame, group: str, member: str, blocks: Column) -> DataFram
     )
 
 
-def prefix_edges(texts: DataFrame, sets: DataFrame, percent: int, block: int, size: int) -> DataFrame:
-    """(a, b) that connect all linked sets, and hardly any others.
-
-    Sets that share a mark meet with their parities. The pairs that those cannot tell apart
-    become a forest of edges, so that texts that share a passage and no more are no family.
-    """
-    rarity = texts.sparkSession.sparkContext.broadcast(rarities(texts, size))
-    marks = texts.select("text").mapInArrow(_prefixed(size, percent, rarity), "mark long, sid long")
-    whole = Window.partitionBy("mark")
-    lowest, highest = F.min("sid").over(whole), F.max("sid").over(whole)
-    met = marks.select("mark", "sid", F.count("*").over(whole).alias("times"), (lowest < highest).alias("several"))
-    units = _cut(met.filter("several"), "mark", "sid", F.ceil(F.col("times") / block).cast("int"))
-    known = sets.filter("sid IS NOT NULL").select("sid", "n", "bits").dropDuplicates(["sid"])
-    return (
-        units.join(known, "sid")
-        .select("unit", "sid", "n", "bits")
-        .repartition("unit")
-        .sortWithinPartitions("unit", "sid")
-        .mapInArrow(_bounded(percent), "a long, b long")
-    )
-
-
 def _forest(
     sids: list[int], sets: list[np.ndarray], percent: int, group: int = GROUP
 ) -> list[tuple[int, int]]:
@@ -570,15 +459,12 @@ def classes(
     doc_id = docs["doc_id"].cast("long")
     place = F.coalesce(doc_id, F.xxhash64(docs["text"]))
     texts = docs.select(doc_id.alias("doc_id"), docs["text"], key.alias("key"), place.alias("place"))
-    schema = "key long, doc_id long, place long, n long, sid long, bits binary"
-    sets = stored(texts.mapInArrow(_described(size, percent), schema), "jaccard-sets")
-    if percent < PARTS_FROM:
-        edges = prefix_edges(texts, sets, percent, block, size)
-    else:
-        marks = texts.select("text").mapInArrow(_marked(size, percent), "mark long, sid long, low long")
-        lowest = F.min("low").over(Window.partitionBy("mark"))
-        edges = marks.select("sid", lowest.alias("low")).filter("sid <> low").distinct().toDF("a", "b")
-    families = components(stored(edges, "jaccard-edges"))
+    schema = "key long, doc_id long, place long, n long, sid long"
+    sets = stored(texts.mapInArrow(_described(size), schema), "jaccard-sets")
+    marks = texts.select("text").mapInArrow(_marked(size, percent), "mark long, sid long, low long")
+    lowest = F.min("low").over(Window.partitionBy("mark"))
+    edges = marks.select("sid", lowest.alias("low")).filter("sid <> low").distinct()
+    families = components(stored(edges.toDF("a", "b"), "jaccard-edges"))
     sizes = families.groupBy("root").agg(F.count("*").alias("times"))
     units = _cut(families.join(sizes, "root"), "root", "node", F.ceil(F.col("times") / block).cast("int"))
     units = stored(units, "jaccard-units")

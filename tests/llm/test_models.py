@@ -186,7 +186,7 @@ def test_pipeline_stages_keep_what_they_should(spark, monkeypatch):
             assert len(rows) == len(ids)  # all of them are in a learned language
         if name == "near_duplicates":
             monkeypatch.setattr(brute, "shingle_set", functools.partial(brute.shingle_set, size=5))
-            classes = brute.jaccard_classes([(r.doc_id, r.text) for r in before.collect()], 80)
+            classes = brute.jaccard_classes([(r.doc_id, r.text) for r in before.collect()], 85)
             assert {r.doc_id for r in rows} == {own for _, own in classes.values()}
         if name == "decontaminate":
             items = [tuple(r) for r in read(spark, "benchmark").collect()]
