@@ -40,7 +40,7 @@ FILTER_BITS = 25
 #: Bytes of text whose equal suffixes are merged before they are sent.
 BLOCK_BYTES = 6 << 20
 #: Suffixes sorted together; equal ones are never parted.
-SORTED_ROWS = 1 << 20
+SORTED_ROWS = 1 << 19
 #: Portions of a partition by hash, of which as many are sorted together as SORTED_ROWS take.
 PORTIONS = 4096
 #: Places that the rows of one key are dealt over in a join.
@@ -167,7 +167,7 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs = block.column("lang").take(pa.array(words.text[first])).to_pylist()
         folded = wordhash.LOWER[data].tobytes()
         spans = zip(words.starts[first].tolist(), words.ends[first].tolist(), strict=True)
-        texts = [folded[a:b].decode() for a, b in spans]
+        texts = [folded[a:b].decode("utf-8", "replace") for a, b in spans]
         yield from _rows({"id": found.view(np.int64), "lang": langs, "word": texts, "f": times})
 
 
@@ -365,7 +365,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
 
     Equal suffixes of 6 MB of text are merged before they are sent, so a phrase reaches its
     partition once per block, however hot it is, and a partition is sorted in portions of
-    about a million. Words and runs are told apart by 64-bit hashes.
+    half a million and more. Words and runs are told apart by 64-bit hashes.
 
     Null texts have no words, texts without language are ``und``. Repeated rows count each
     time. A text of any length is worked through whole. Empty tables, and languages without
