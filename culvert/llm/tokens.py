@@ -3,26 +3,55 @@
 from __future__ import annotations
 
 import functools
+import gc
 import itertools
+import operator
 import os
-import re
 
 import numpy as np
 
-#: Words whose ids a worker remembers, some 200 bytes each; beyond it, it starts anew.
-CACHE_WORDS = 1_000_000
+#: Words whose ids a worker remembers, some 200 bytes each, twice over: beyond it, those not
+#: asked for since the last time are forgotten.
+CACHE_WORDS = 500_000
 #: Texts that are looked up together.
 TEXTS = 512
 #: Unknown words are joined to texts of this many.
-JOINED = 500
+JOINED = 1000
 
-# Letters and marks behind them, and perhaps the same once more in a new line.
-_MARKS = r"[.,!?;:%#*$&|]*"
-_PLAIN = re.compile(rf"([^\W\d_]+)({_MARKS})(?:\n([^\W\d_]+)({_MARKS}))?")
+class _Edges(dict):
+    """Whether a text may be cut at a blank beside the character."""
 
+    def __missing__(self, char: str) -> bool:
+        self[char] = found = char.isprintable() and not char.isspace()
+        return found
 
-def _edge(char: str) -> bool:
-    return char.isprintable() and not char.isspace()
+
+_EDGES = _Edges()
+
+
+class _Recent(dict):
+    """What was asked for or learned lately: when ``most`` is reached, what is there becomes
+    old; of the old, what is asked for comes back, and the rest goes the next time."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.old = most, {}
+
+    def age(self) -> None:
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+
+    def recall(self, words: set[str]) -> list[str]:
+        """The words that are to be learned; the others are there now."""
+        unknown = []
+        for word in words:
+            ids = self.old.get(word, self)
+            if ids is not self:
+                self[word] = ids
+            elif word not in self:
+                unknown.append(word)
+        return unknown
 
 
 class Encoder:
@@ -45,20 +74,20 @@ class Encoder:
         self.starts = np.zeros(size, bool)
         for token, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.starts[number] = token.startswith("Ġ")
-        self.spaced: dict[str, bytes | None] = {}  # of words behind a blank
-        self.bare: dict[str, bytes] = {}  # of words at the start of a text or line
+        self.spaced = _Recent(CACHE_WORDS)  # of words behind a blank
+        self.bare = _Recent(CACHE_WORDS)  # of words at the start of a text or line
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.dtype).tobytes() for x in found]
 
     def _learn_bare(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.bare]
+        new = self.bare.recall(words)
         self.bare.update(zip(new, self._whole(new), strict=True))
 
-    def _learn_spaced(self, words: set[str]) -> None:
-        """Each word has one blank in front of it and no other white space."""
-        new = [w for w in words if w not in self.spaced]
+    def _learn_spaced(self, new: list[str]) -> None:
+        """Between the words stands one blank each, so each begins with the one token of its
+        own that starts with a blank, whatever marks or line ends are inside."""
         joined = ["".join(" " + w for w in new[i : i + JOINED]) for i in range(0, len(new), JOINED)]
         found = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
         for i, x in enumerate(found):
@@ -69,67 +98,59 @@ class Encoder:
                 ends = [*(cuts[1:] * size).tolist(), len(data)]
                 for word, a, b in zip(part, (cuts * size).tolist(), ends, strict=True):
                     self.spaced[word] = data[a:b]
-            else:  # another vocabulary may not mark the blank
+            else:  # another vocabulary may not mark the blank, or cut it off
                 self.spaced.update(zip(part, self._whole([" " + w for w in part]), strict=True))
 
     def _learn(self, parts: set[str]) -> None:
-        """``parts``: what single blanks separate, each with a blank in front.
-
-        Letters, the marks behind them and a line end between two words are pieces of
-        their own to the tokenizer, so their ids are put together.
-        """
-        whole, cut, bare, spaced = [], [], {"\n"}, set()
-        for part in parts:
-            match = _PLAIN.fullmatch(part)
-            if match:
-                word, marks, second, more = pieces = match.groups()
-                spaced.add(word)
-                if marks or second:
-                    cut.append((part, pieces))
-                    bare.update((marks, second or "", more or ""))
-            elif part and _edge(part[0]) and _edge(part[-1]):
-                whole.append(part)
-            else:
-                self.spaced[part] = None  # such a text is not cut
-        bare.discard("")
-        self._learn_bare(bare)
-        self._learn_spaced(spaced)
-        self.spaced.update(zip(whole, self._whole([" " + w for w in whole]), strict=True))
-        known, of, line = self.spaced, self.bare, self.bare["\n"]
-        for part, (word, marks, second, more) in cut:
-            ids = known[word] + of[marks] if marks else known[word]
-            if second:
-                ids += line + of[second] + (of[more] if more else b"")
-            known[part] = ids
+        """``parts``: what single blanks separate, each with a blank in front."""
+        new = self.spaced.recall(parts)
+        cut = [p for p in new if p and _EDGES[p[0]] and _EDGES[p[-1]]]
+        if len(cut) < len(new):  # a text with such a part is not cut
+            self.spaced.update(dict.fromkeys(set(new).difference(cut)))
+        self._learn_spaced(cut)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian ids of each text, of ``self.dtype``; a null text has none."""
         out: list[bytes] = []
-        for i in range(0, len(texts), TEXTS):
-            if len(self.spaced) + len(self.bare) > CACHE_WORDS:
-                self.spaced, self.bare = {}, {}
-            out += self._encode([t or "" for t in texts[i : i + TEXTS]])
+        # Nothing here refers to itself, and walking over all cached words to look takes time.
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            for i in range(0, len(texts), TEXTS):
+                out += self._encode([t or "" for t in texts[i : i + TEXTS]])
+        finally:
+            if collects:
+                gc.enable()
         return out
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        parts = [t.split(" ") for t in texts]
-        odd = [any(s[:2] in t for s in self.special) for t in texts]
-        cut = [p for p, o in zip(parts, odd, strict=True) if not o]
-        words = set(itertools.chain.from_iterable(itertools.islice(p, 1, None) for p in cut))
-        self._learn(words.difference(self.spaced))
-        self._learn_bare({p[0] for p in cut if p[0]})
+        self.spaced.age()
+        self.bare.age()
+        parts = [[] if any(s[:2] in t for s in self.special) else t.split(" ") for t in texts]
+        words = list(itertools.chain.from_iterable(itertools.islice(p, 1, None) for p in parts))
+        # Every word is looked up once; what is not there is learned and put in its places.
+        found = list(map(self.spaced.get, words, itertools.repeat(False)))
+        missing = map(operator.is_, found, itertools.repeat(False))
+        places = list(itertools.compress(range(len(words)), missing))
+        self._learn({words[i] for i in places})
+        for i in places:
+            found[i] = self.spaced[words[i]]
+        self._learn_bare({p[0] for p in parts if p and p[0]})
         out: list[bytes | None] = []
-        for text, part, is_odd in zip(texts, parts, odd, strict=True):
+        start = 0
+        for part in parts:
+            end = start + max(0, len(part) - 1)
             try:
-                if is_odd or len(part) > 1 and not (part[0] and _edge(part[0][-1])):
+                if not part or len(part) > 1 and not (part[0] and _EDGES[part[0][-1]]):
                     raise TypeError
                 head = self.bare[part[0]] if part[0] else b""
-                out.append(head + b"".join(map(self.spaced.__getitem__, part[1:])))
+                out.append(head + b"".join(found[start:end]))
             except TypeError:  # a part that may not be cut off
                 out.append(None)
+            start = end
         slow = [t for t, x in zip(texts, out, strict=True) if x is None]
-        found = iter(self._whole(slow))
-        return [next(found) if x is None else x for x in out]
+        whole = iter(self._whole(slow))
+        return [next(whole) if x is None else x for x in out]
 
 
 @functools.lru_cache(maxsize=4)
