@@ -22,7 +22,7 @@ def shares(sizes, weights=(5, 2, 1), repeats=3):
         total = sum(weight[s] for s in open_)
         full = {s for s in open_ if left * weight[s] / total >= repeats * sizes[s]}
         if not full:
-            out |= {s: left * weight[s] / total for s in open_}
+            out |= {s: weight[s] * (left / total) for s in open_}
             break
         out |= {s: float(repeats * sizes[s]) for s in full}
         left -= sum(repeats * sizes[s] for s in full)
