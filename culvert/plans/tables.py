@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import types as T
 
 from culvert import schemas
 from culvert.operators.ingest import Subscription
 from culvert.operators.routing import TopicMapping
-from culvert.session import written_once
+from culvert.session import work_dir
 from culvert.sources.records import ParquetLog
 
 # event_id is unique, so a block of this many ids never holds more rows than that.
@@ -264,15 +265,30 @@ def write_results(outbound: DataFrame) -> DataFrame:
 POLL_EVENTS = 1 << 20
 
 
+#: A poll's file has row groups of this size, so that a micro-batch is read by many tasks.
+POLL_ROW_GROUP_BYTES = 4 << 20
+
+
 def poll_log(spark: SparkSession, sf_dir: str, path: str, polls: slice = slice(None)) -> ParquetLog:
     """The records as a log that is taken in four polls or more, by ``event_id``; a file and
-    micro-batch each. ``polls`` are those to be written now."""
-    numbered = written_once(records(events(spark, sf_dir)).drop("batch_id"), "polls")
-    ids = (numbered.agg(F.max("event_id")).first()[0] or 0) + 1
+    micro-batch each. ``polls`` are those to be written now.
+
+    The records are dealt to a folder per poll in one pass, so that a poll's file is written
+    from its own records and no others are read.
+    """
+    table = events(spark, sf_dir)
+    ids = (in_partitions(table).dropna(subset=PARTITION_KEYS).agg(F.max("event_id")).first()[0] or 0) + 1
     number = max(4, -(-ids // POLL_EVENTS))
-    log = ParquetLog(path, numbered.schema, max_bytes_per_trigger=1)
-    for k in range(number)[polls]:
-        log.write(numbered.filter(F.expr(f"event_id * {number} div {ids}") == k).coalesce(1), k)
+    numbered = records(table).drop("batch_id")
+    poll = F.expr(f"event_id * {number} div {ids}").alias("_poll")
+    folder = work_dir(spark, "polls")
+    wanted = list(range(number)[polls])
+    now = numbered.select("*", poll).filter(F.col("_poll").isin(wanted))
+    now.repartition("_poll").write.partitionBy("_poll").parquet(folder)
+    dealt = spark.read.schema(T.StructType([*numbered.schema, T.StructField("_poll", T.LongType())])).parquet(folder)
+    log = ParquetLog(path, numbered.schema, max_bytes_per_trigger=1, row_group_bytes=POLL_ROW_GROUP_BYTES)
+    for k in wanted:
+        log.write(dealt.filter(F.col("_poll") == k).drop("_poll").coalesce(1), k)
     return log
 
 

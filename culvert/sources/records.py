@@ -70,6 +70,9 @@ class ParquetLog:
     sees none of its files twice, however often the batch is replayed. Its files are written
     to a folder that readers pass over, and appear together by one rename; the file system
     has to rename folders as one step, which HDFS does and plain object stores do not.
+
+    With ``row_group_bytes`` a file is split into row groups of about that size, each of which
+    another task can read.
     """
 
     path: str
@@ -78,7 +81,11 @@ class ParquetLog:
     max_bytes_per_trigger: int = 64 << 30
     in_order: tuple[str, ...] = ()
     once: bool = False
-    row_group_bytes: int = 16 << 20
+    row_group_bytes: int | None = None
+
+    def _row_group_bytes(self) -> int | None:
+        """Small row groups where the rows are in order, else as Spark makes them."""
+        return self.row_group_bytes or (16 << 20 if self.in_order else None)
 
     def write(self, records: DataFrame, batch_id: int | None = None) -> None:
         """Append ``records``; a batch written twice replaces itself.
@@ -103,8 +110,8 @@ class ParquetLog:
             writer, path = records.write.mode("overwrite"), staged or f"{self.path}/batch_id={batch_id}"
         if self.by_topic:
             writer = writer.partitionBy("topic")
-        if self.in_order:
-            writer = writer.option("parquet.block.size", self.row_group_bytes)
+        if group := self._row_group_bytes():
+            writer = writer.option("parquet.block.size", group)
         writer.parquet(path)
         if staged and not move(spark, staged, f"{self.path}/batch_id={batch_id}"):
             remove(spark, staged)  # another run of the batch was first
