@@ -284,7 +284,7 @@ def poll_log(spark: SparkSession, sf_dir: str, path: str, polls: slice = slice(N
     folder = work_dir(spark, "polls")
     wanted = list(range(number)[polls])
     now = numbered.select("*", poll).filter(F.col("_poll").isin(wanted))
-    now.repartition("_poll").write.partitionBy("_poll").parquet(folder)
+    now.write.partitionBy("_poll").parquet(folder)
     dealt = spark.read.schema(T.StructType([*numbered.schema, T.StructField("_poll", T.LongType())])).parquet(folder)
     log = ParquetLog(path, numbered.schema, max_bytes_per_trigger=1, row_group_bytes=POLL_ROW_GROUP_BYTES)
     for k in wanted:
