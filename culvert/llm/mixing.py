@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from culvert.llm import wordhash
-from culvert.llm.shared import remainder, stored
+from culvert.llm import shared, wordhash
+from culvert.llm.shared import remainder
 
 #: Bytes of context per predictor, and bits of its table of hashed contexts. With 4 bytes
 #: per place this bounds what is broadcast, whatever the size of the corpus.
@@ -39,8 +39,15 @@ PASSES, STEP, RATE = 2, 2048, 0.05
 BINS, PRIOR = 24, 50.0
 #: Words that share one list of distinct words.
 SEGMENT_WORDS = 1 << 18
-#: Bytes worked on at a time.
-BLOCK_BYTES = 1 << 20
+#: Bytes worked on at a time, when n-grams are gathered and when texts are scored.
+BLOCK_BYTES, SCORED_BYTES = 1 << 20, 1 << 18
+#: Bytes of gathered n-grams that a task hands on at a time.
+SENT_BYTES = 4 << 20
+#: Bytes of a row group of what is written between steps. A row may hold megabytes, and a
+#: task that writes or reads holds a row group.
+GROUP_BYTES = 4 << 20
+#: Bits of the range of a table that one task sums.
+PART_BITS = 16
 #: Bits of the cache of costs of a scoring task.
 CACHE_BITS = 20
 
@@ -48,6 +55,10 @@ _SPAN = max(ORDERS)
 _END = 0xFF  # no byte of UTF-8; ends a text, and stands in front of it
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    return shared.stored(df, name, GROUP_BYTES)
+
+
 def ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One code per byte of each text and its end: the byte behind the bytes before it.
     And where the codes of each text begin, with their number last."""
@@ -75,9 +86,9 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[new], np.add.reduceat(counts, new)
 
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def _blocks(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
     size = batch.column("text").nbytes // max(1, batch.num_rows)
-    step = max(1, BLOCK_BYTES // max(1, size))
+    step = max(1, most // max(1, size))
     for i in range(0, batch.num_rows, step):
         yield batch.slice(i, step)
 
@@ -87,6 +98,7 @@ _GATHERED = "kind string, bucket int, segment long, keys binary, a binary, b bin
 
 def _gather(buckets: int):
     edges = np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64)
+    names = [x.split()[0] for x in _GATHERED.split(", ")]
 
     def rows_of(columns: dict) -> pa.RecordBatch:
         kinds = {"kind": pa.string(), "bucket": pa.int32(), "segment": pa.int64()}
@@ -122,24 +134,28 @@ def _gather(buckets: int):
         columns |= {name: [p[i].tobytes() for p in parts] for i, name in enumerate("abcde")}
         return rows_of(columns)
 
-    def gram_rows(keys, counts) -> pa.RecordBatch:
+    def gram_rows(keys, counts) -> Iterator[pa.RecordBatch]:
         # A context and all bytes that follow it share a bucket.
         bucket = np.searchsorted(edges, wordhash.mixed(keys >> np.uint64(8)), "right")
         order = np.argsort(bucket, kind="stable")
         keys, counts = keys[order], counts[order]
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
         spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
-        columns = {"kind": ["grams"] * buckets, "bucket": range(buckets), "segment": [None] * buckets, "keys": [None] * buckets}
-        columns["a"] = [keys[a:b].tobytes() for a, b in spans]
-        columns["b"] = [counts[a:b].astype(np.uint64).tobytes() for a, b in spans]
-        return rows_of(columns | {name: [None] * buckets for name in "cde"})
+        step = max(1, SENT_BYTES * buckets // max(1, 16 * len(keys)))
+        for i in range(0, buckets, step):
+            some = spans[i : i + step]
+            columns = {"kind": ["grams"] * len(some), "bucket": range(i, i + len(some))}
+            columns["a"] = [keys[a:b].tobytes() for a, b in some]
+            columns["b"] = [counts[a:b].astype(np.uint64).tobytes() for a, b in some]
+            none = {name: [None] * len(some) for name in ("segment", "keys", "c", "d", "e")}
+            yield rows_of({name: (columns | none)[name] for name in names})
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, text, train, keys = [], [], [], []
         segment, texts, held = TaskContext.get().partitionId() << 33, 0, 0
         grams, waiting = (np.zeros(0, np.uint64), np.zeros(0, np.int64)), []
         for batch in batches:
-            for part in _blocks(batch):
+            for part in _blocks(batch, BLOCK_BYTES):
                 data, offsets = wordhash.bytes_of(part.column("text"))
                 keys.append(part.column("key").to_numpy())
                 taught = ~part.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
@@ -161,7 +177,7 @@ def _gather(buckets: int):
                     segment, texts, held = segment + 1, 0, 0
         if texts:
             yield word_rows(*map(np.concatenate, (hashes, text, train, keys)), segment)
-        yield gram_rows(*_summed(*(np.concatenate(x) for x in zip(grams, *waiting, strict=True))))
+        yield from gram_rows(*_summed(*(np.concatenate(x) for x in zip(grams, *waiting, strict=True))))
 
     return of
 
@@ -212,9 +228,8 @@ def _bit_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for a, b in zip(batch["keys"], batch["counts"], strict=True):
             keys, counts = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64).astype(float)
-            rows = []
             for number, (order, bits) in enumerate(zip(ORDERS, SLOT_BITS, strict=True)):
-                node, slots, ones = np.ones(len(keys), np.uint64), [], []
+                rows, node, slots, ones = [], np.ones(len(keys), np.uint64), [], []
                 for place in range(7, -1, -1):
                     bit = (keys >> np.uint64(place)) & np.uint64(1)
                     slots.append(_slots(order, bits, keys >> np.uint64(8), node))
@@ -225,19 +240,19 @@ def _bit_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 each = np.tile(counts, 8)
                 n1 = np.bincount(at, each * one, len(unique))
                 n0 = np.bincount(at, each * ~one, len(unique))
-                size = 1 << min(bits, 18)
+                size = 1 << min(bits, PART_BITS)
                 cuts = np.searchsorted(unique, np.arange(0, (1 << bits) + 1, size))
                 for part, (x, y) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
                     if y > x:
                         within = (unique[x:y] - part * size).astype(np.uint32)
                         rows.append((number, part, within.tobytes(), n0[x:y].astype(np.float32).tobytes(), n1[x:y].astype(np.float32).tobytes()))
-            yield pd.DataFrame(rows, columns=["number", "part", "slots", "zeros", "ones"])
+                yield pd.DataFrame(rows, columns=["number", "part", "slots", "zeros", "ones"])
 
 
 def _table_part(group: pd.DataFrame) -> pd.DataFrame:
     """One range of a table: both counts, held to 16 bits at their proportion."""
     number, part = int(group["number"].iloc[0]), int(group["part"].iloc[0])
-    size = 1 << min(SLOT_BITS[number], 18)
+    size = 1 << min(SLOT_BITS[number], PART_BITS)
     n = np.zeros((2, size))
     for slots, zeros, ones in zip(group["slots"], group["zeros"], group["ones"], strict=True):
         at = np.frombuffer(slots, np.uint32)
@@ -287,7 +302,12 @@ def _inputs(model: Model, keys: np.ndarray, node: np.ndarray, bit: np.ndarray) -
 
 
 def stretched_tables(model: Model) -> list[np.ndarray]:
-    return [_stretched(*t.astype(np.float32)) for t in model.tables]
+    """What scoring reads of the tables; of the size of the counts, worked out by ranges."""
+    out = [np.empty(t.shape[1], np.float32) for t in model.tables]
+    for table, counts in zip(out, model.tables, strict=True):
+        for i in range(0, len(table), 1 << 16):
+            table[i : i + (1 << 16)] = _stretched(*counts[:, i : i + (1 << 16)].astype(np.float32))
+    return out
 
 
 def _refine(model: Model, before: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -366,19 +386,19 @@ def fit(grams: DataFrame) -> Model:
     )
     tables = [np.zeros((2, 1 << bits), np.uint16) for bits in SLOT_BITS]
     for row in parts.toLocalIterator():
-        size = 1 << min(SLOT_BITS[row.number], 18)
+        size = 1 << min(SLOT_BITS[row.number], PART_BITS)
         found = np.frombuffer(row.counts, np.uint16).reshape(2, size)
         tables[row.number][:, row.part * size : (row.part + 1) * size] = found
     model = fresh_model(tables)
     for _ in range(PASSES):
-        shared = spark.sparkContext.broadcast(model)
+        told = spark.sparkContext.broadcast(model)
 
-        def one_pass(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+        def one_pass(batches: Iterator[pd.DataFrame], told=told) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 for a, b in zip(batch["keys"], batch["counts"], strict=True):
                     keys, counts = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
                     if len(keys):
-                        after, _, outcomes = learn(shared.value, keys, counts)
+                        after, _, outcomes = learn(told.value, keys, counts)
                         row = (int(counts.sum()), after.weights.tobytes(), outcomes.tobytes())
                         yield pd.DataFrame([row], columns=["events", "weights", "outcomes"])
 
@@ -386,7 +406,7 @@ def fit(grams: DataFrame) -> Model:
             (r.events, bytes(r.weights), bytes(r.outcomes))
             for r in grams.mapInPandas(one_pass, "events long, weights binary, outcomes binary").toLocalIterator()
         )
-        shared.unpersist()
+        told.unpersist()
         if not learned:
             break
         events = sum(n for n, _, _ in learned)
@@ -400,10 +420,11 @@ def fit(grams: DataFrame) -> Model:
 
 
 class _Costs:
-    """Costs of n-grams, remembered by hash; what is forgotten is worked out again."""
+    """Costs of n-grams, remembered by hash; what is forgotten is worked out again. With the
+    ``tables`` stretched, those of the model are not read."""
 
-    def __init__(self, model: Model):
-        self.model, self.tables = model, stretched_tables(model)
+    def __init__(self, model: Model, tables: list[np.ndarray] | None = None):
+        self.model, self.tables = model, stretched_tables(model) if tables is None else tables
         self.keys = np.full(1 << CACHE_BITS, ~np.uint64(0), np.uint64)
         self.bits = np.zeros(1 << CACHE_BITS, np.float32)
 
@@ -424,11 +445,11 @@ class _Costs:
         return out
 
 
-def _scored(shared):
+def _scored(told):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        costs = _Costs(shared.value)
+        costs = _Costs(*told.value)
         for batch in batches:
-            for part in _blocks(batch):
+            for part in _blocks(batch, SCORED_BYTES):
                 data, offsets = wordhash.bytes_of(part.column("text"))
                 inside = wordhash.NOT_BLANK[data]
                 begins = inside.copy()
@@ -482,6 +503,7 @@ def score(docs: DataFrame, divisor: int = 7, rest: int = 2) -> DataFrame:
     )
     gathered = numbered.select("key", "text", "held_out").mapInArrow(_gather(buckets), _GATHERED)
     gathered = stored(gathered, "mixing-gathered")
+
     def counts_of(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         return _word_counts(group).assign(bucket=key[0])
 
@@ -504,9 +526,10 @@ def score(docs: DataFrame, divisor: int = 7, rest: int = 2) -> DataFrame:
 
     grams = gathered.filter("kind = 'grams'").groupBy("bucket").applyInPandas(merged, "keys binary, counts binary")
     model = fit(stored(grams, "mixing-grams"))
-    shared = spark.sparkContext.broadcast(model)
+    # A scoring task reads the stretched tables alone, so they go out in place of the counts.
+    told = spark.sparkContext.broadcast((replace(model, tables=[]), stretched_tables(model)))
     scored = numbered.mapInArrow(
-        _scored(shared), "key long, doc_id long, held_out boolean, n_words long, n_bytes long, bits double"
+        _scored(told), "key long, doc_id long, held_out boolean, n_words long, n_bytes long, bits double"
     )
     # Rows of one key hold the same id and text, and so have the same sums.
     base = counted.filter("segment IS NOT NULL").groupBy("segment").applyInPandas(

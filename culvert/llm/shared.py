@@ -40,10 +40,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: the lineage ends there."""
+def stored(df: DataFrame, name: str, group_bytes: int | None = None) -> DataFrame:
+    """``df`` written once to the shared folder and read back: the lineage ends there.
+
+    ``group_bytes``: of a row group, for rows that hold much each. A task holds a row group
+    when it writes and when it reads; sizes are looked at from the first row on.
+    """
     path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    writer = df.write
+    if group_bytes:
+        writer = writer.option("parquet.block.size", group_bytes).option("parquet.page.size.row.check.min", 1)
+    writer.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
