@@ -39,6 +39,8 @@ UNKNOWN = "und"
 FILTER_BITS = 25
 #: Bytes of text whose equal suffixes are merged before they are sent.
 BLOCK_BYTES = 6 << 20
+#: Bytes of text that are cut into words at a time, which takes some fifty times as many.
+CUT_BYTES = 1 << 19
 #: Suffixes sorted together; equal ones are never parted.
 SORTED_ROWS = 1 << 19
 #: Portions of a partition by hash, of which as many are sorted together as SORTED_ROWS take.
@@ -105,7 +107,8 @@ def pieces_of(text: pa.Array, lang: pa.Array) -> tuple[np.ndarray, np.ndarray, w
     of_text = salt[kinds.indices.to_numpy(zero_copy_only=False).astype(np.int64)] if len(text) else salt[:0]
     ids = wordhash.mixed(words.hashes ^ of_text[words.text])
     ids[ids == 0] = 1  # 0 stands for no word
-    ends = np.concatenate([[0], np.cumsum(_PIECE_ENDS[data])])
+    ends = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(_PIECE_ENDS[data], out=ends[1:])
     follows = np.zeros(len(ids), bool)
     if len(ids):
         follows[:-1] = (words.text[1:] == words.text[:-1]) & (ends[words.starts[1:]] == ends[words.ends[:-1]])
@@ -142,6 +145,13 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _joined(held)
 
 
+def _cut(block: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, int]]:
+    """The texts of a block in their order, about CUT_BYTES at a time, and where they begin."""
+    step = max(1, CUT_BYTES * block.num_rows // max(1, block.column("text").nbytes))
+    for i in range(0, block.num_rows, step):
+        yield block.slice(i, step), i
+
+
 def _joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
     if len(held) == 1:
         return held[0]
@@ -160,15 +170,24 @@ def _rows(columns: dict[str, np.ndarray | list], step: int = 1 << 17) -> Iterato
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, lang, word, f) of the distinct words of a block."""
     for block in _blocks(batches):
-        ids, _, words, data = pieces_of(block.column("text"), block.column("lang"))
-        found, first, times = np.unique(ids, return_index=True, return_counts=True)
-        if not len(found):
+        parts, folded, size = [], [], 0
+        for texts, before in _cut(block):
+            ids, _, words, data = pieces_of(texts.column("text"), texts.column("lang"))
+            found, first, times = np.unique(ids, return_index=True, return_counts=True)
+            parts.append((found, times, words.text[first] + before, words.starts[first] + size, words.ends[first] + size))
+            folded.append(wordhash.LOWER[data].tobytes())
+            size += len(data)
+        if not sum(len(p[0]) for p in parts):
             continue
-        langs = block.column("lang").take(pa.array(words.text[first])).to_pylist()
-        folded = wordhash.LOWER[data].tobytes()
-        spans = zip(words.starts[first].tolist(), words.ends[first].tolist(), strict=True)
-        texts = [folded[a:b].decode("utf-8", "replace") for a, b in spans]
-        yield from _rows({"id": found.view(np.int64), "lang": langs, "word": texts, "f": times})
+        ids, times, text, starts, ends = map(np.concatenate, zip(*parts, strict=True))
+        found, first, place = np.unique(ids, return_index=True, return_inverse=True)
+        sums = np.zeros(len(found), np.int64)
+        np.add.at(sums, place, times)
+        langs = block.column("lang").take(pa.array(text[first])).to_pylist()
+        whole = b"".join(folded)
+        spans = zip(starts[first].tolist(), ends[first].tolist(), strict=True)
+        spelled_out = [whole[a:b].decode("utf-8", "replace") for a, b in spans]
+        yield from _rows({"id": found.view(np.int64), "lang": langs, "word": spelled_out, "f": sums})
 
 
 def _passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -190,6 +209,21 @@ def frequent_filter(spark: SparkSession, hashes: DataFrame) -> np.ndarray:
     return out
 
 
+def _distinct(ids: np.ndarray, at: np.ndarray, depth: int, deepest: int, step: int = 1 << 17) -> Iterator[pa.RecordBatch]:
+    """The distinct runs of ``depth`` words that begin ``at`` some places, and how many of each."""
+    runs = np.empty(len(at), np.uint64)
+    for i in range(0, len(at), step):
+        runs[i : i + step] = run_hash([ids[at[i : i + step] + k] for k in range(depth)])
+    _, first, times = np.unique(runs, return_index=True, return_counts=True)
+    first = at[first]
+    del runs, at
+    for i in range(0, len(first), step):
+        some = first[i : i + step]
+        out = {f"w{k}": ids[some + k].view(np.int64) for k in range(depth)}
+        out |= {f"w{k}": np.zeros(len(some), np.int64) for k in range(depth, deepest)}
+        yield from _rows(out | {"weight": times[i : i + step]}, step)
+
+
 def _suffixes(words, pairs, depths: tuple[int, ...]):
     """(w0.., weight) of the distinct runs of a block, as deep as ``depths``; only runs of
     words, and of pairs, that may be frequent set out. Shallower runs end in zeros."""
@@ -197,27 +231,24 @@ def _suffixes(words, pairs, depths: tuple[int, ...]):
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):
-            ids, follows, _, _ = pieces_of(block.column("text"), block.column("lang"))
-            # whether the word and its next are a pair that may be frequent
-            known = _passes(words.value, ids)
-            pair = follows & known
-            pair[:-1] &= known[1:]
-            if pairs is not None:
-                at = np.flatnonzero(pair)
-                pair[at] = _passes(pairs.value, run_hash([ids[at], ids[at + 1]]))
+            parts = []
+            for texts, _ in _cut(block):
+                ids, follows, _, _ = pieces_of(texts.column("text"), texts.column("lang"))
+                # whether the word and its next are a pair that may be frequent
+                known = _passes(words.value, ids)
+                pair = follows & known
+                pair[:-1] &= known[1:]
+                if pairs is not None:
+                    at = np.flatnonzero(pair)
+                    pair[at] = _passes(pairs.value, run_hash([ids[at], ids[at + 1]]))
+                parts.append((ids, pair))
+            ids, pair = map(np.concatenate, zip(*parts, strict=True))
             for depth in depths:
                 run = pair.copy()
                 for k in range(1, depth - 1):
                     run[:-k] &= pair[k:]
                     run[-k:] = False
-                at = np.flatnonzero(run)
-                if not len(at):
-                    continue
-                own = [ids[at + k] for k in range(depth)]
-                _, first, times = np.unique(run_hash(own), return_index=True, return_counts=True)
-                out = {f"w{k}": w[first].view(np.int64) for k, w in enumerate(own)}
-                out |= {f"w{k}": np.zeros(len(first), np.int64) for k in range(depth, deepest)}
-                yield from _rows(out | {"weight": times})
+                yield from _distinct(ids, np.flatnonzero(run), depth, deepest)
 
     return of
 

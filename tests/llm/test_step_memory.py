@@ -1,12 +1,16 @@
 """What a task holds at a time: row groups, batches and blocks of bounded size."""
 
 import glob
+import random
+import tracemalloc
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 
-from culvert.llm import mixing
+from culvert.llm import mixing, phrases
 
 
 def test_rows_of_megabytes_are_written_in_small_row_groups(spark):
@@ -40,3 +44,29 @@ def test_scoring_needs_the_stretched_tables_alone():
         assert (table == mixing._stretched(*counts.astype(np.float32))).all()
     told = mixing._Costs(mixing.replace(model, tables=[]), mixing.stretched_tables(model))
     assert (told(keys) == mixing._Costs(model)(keys)).all()
+
+
+class _All:
+    value = np.full(1 << (phrases.FILTER_BITS - 6), ~np.uint64(0))
+
+
+@pytest.mark.parametrize(
+    "step, megabytes",
+    [
+        (phrases._words, 60),
+        (phrases._suffixes(_All, None, (2,)), 120),
+        (phrases._suffixes(_All, _All, (3, 4)), 120),
+    ],
+)
+def test_a_block_takes_little_beside_its_words(step, megabytes):
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(3000)}" for _ in range(350)) for _ in range(3200)]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "lang": ["en"] * len(texts)})
+    assert batch.column("text").nbytes >= phrases.BLOCK_BYTES
+    tracemalloc.start()
+    try:
+        rows = sum(b.num_rows for b in step(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows and peak < megabytes << 20
