@@ -15,8 +15,8 @@ import numpy as np
 CACHE_WORDS = 500_000
 #: Texts that are looked up together.
 TEXTS = 512
-#: Unknown words are joined to texts of this many.
-JOINED = 1000
+#: Unknown words are joined to texts of this many; the tokenizer takes longer for each in longer ones.
+JOINED = 100
 
 class _Edges(dict):
     """Whether a text may be cut at a blank beside the character."""
