@@ -10,14 +10,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from culvert.llm.tokens import encoder
+from culvert.llm.tokens import encoder, portions
 
 CAPACITY = 1024
 #: Cost of attending within a piece of n ids: LINEAR * n + QUADRATIC * n * n.
 LINEAR, QUADRATIC = 1.0, 1.0 / 512
 #: Sequences that are balanced against each other.
 POOL = 256
-#: Texts encoded at a time.
+#: Texts packed between two batches of pieces.
 ROWS = 256
 
 SCHEMA = (
@@ -111,15 +111,16 @@ class _Packer:
 def _packed(path: str, close_id: int, capacity: int, pool: int):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(path)
-        end = np.array([close_id], tokens.dtype).tobytes()
         packer = _Packer(TaskContext.get().partitionId(), capacity, pool)
-        for batch in batches:
-            for i in range(0, batch.num_rows, ROWS):
-                part = batch.slice(i, ROWS)
-                found = tokens.encode(part.column("text").to_pylist())
-                for doc, ids in zip(part.column("doc_id").to_pylist(), found, strict=True):
-                    packer.add(doc, np.frombuffer(ids + end, tokens.dtype))
-                yield packer.take()
+        for part in portions(batches):
+            ids, sizes = tokens.lists(part.column("text"))
+            ends = np.cumsum(sizes)
+            rows = zip(part.column("doc_id").to_pylist(), (ends - sizes).tolist(), ends.tolist(), strict=True)
+            for i, (doc, start, stop) in enumerate(rows, 1):
+                packer.add(doc, np.append(ids[start:stop], tokens.dtype.type(close_id)))
+                if i % ROWS == 0:
+                    yield packer.take()
+            yield packer.take()
         if packer.size:
             packer.flush(closing(packer.size, capacity))
         yield packer.take()

@@ -10,41 +10,39 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from culvert.llm.tokens import encoder
+from culvert.llm.tokens import encoder, portions
 
 SCHEMA = "doc_id long, block int, block_start long, n_tokens long, ids array<int>"
 #: Bytes of a stripe, the unit that readers take in parallel.
 STRIPE_BYTES = 16 << 20
 #: Rows behind one entry of the row index and one Bloom filter.
 INDEX_ROWS = 2000
-#: Texts encoded at a time.
+#: Rows handed to Spark at a time.
 ROWS = 512
 
 
 def _encoded(path: str, end_id: int):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, block, start = encoder(path), TaskContext.get().partitionId(), 0
-        for batch in batches:
-            for i in range(0, batch.num_rows, ROWS):
-                part = batch.slice(i, ROWS)
-                found = tokens.encode(part.column("text").to_pylist())
-                end = np.array([end_id], tokens.dtype).tobytes()
-                sizes = np.array([len(x) for x in found], np.int64) // tokens.dtype.itemsize + 1
-                values = np.frombuffer(b"".join(x + end for x in found), tokens.dtype)
-                ends = np.cumsum(sizes)
-                ids = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], ends]), pa.int32()),
-                    pa.array(values.astype(np.int32)),
-                )
-                columns = {
-                    "doc_id": part.column("doc_id").cast(pa.int64()),
-                    "block": pa.array(np.full(len(sizes), block, np.int32)),
-                    "block_start": pa.array(start + ends - sizes),
-                    "n_tokens": pa.array(sizes),
-                    "ids": ids,
-                }
-                start += int(ends[-1])
-                yield pa.RecordBatch.from_pydict(columns)
+        for part in portions(batches):
+            found, sizes = tokens.lists(part.column("text"))
+            values = np.insert(found.astype(np.int32), np.cumsum(sizes), end_id)
+            sizes += 1
+            ends = np.cumsum(sizes)
+            ids = pa.ListArray.from_arrays(
+                pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(values)
+            )
+            columns = {
+                "doc_id": part.column("doc_id").cast(pa.int64()),
+                "block": pa.array(np.full(len(sizes), block, np.int32)),
+                "block_start": pa.array(start + ends - sizes),
+                "n_tokens": pa.array(sizes),
+                "ids": ids,
+            }
+            encoded = pa.RecordBatch.from_pydict(columns)
+            for i in range(0, part.num_rows, ROWS):
+                yield encoded.slice(i, ROWS)
+            start += int(sizes.sum())
 
     return of
 

@@ -3,20 +3,28 @@
 from __future__ import annotations
 
 import functools
-import gc
-import itertools
-import operator
 import os
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-
-#: Words whose ids a worker remembers, some 200 bytes each, twice over: beyond it, those not
-#: asked for since the last time are forgotten.
-CACHE_WORDS = 500_000
-#: Texts that are looked up together.
-TEXTS = 512
+import pyarrow as pa
+import pyarrow.compute as pc
+
+#: Words whose ids a worker remembers, some 30 bytes each: beyond twice as many, those asked
+#: for last stay.
+CACHE_WORDS = 250_000
+#: Bytes of a word that is remembered.
+WORD_BYTES = 64
+#: Texts that are looked up together, and their bytes; one longer text goes by itself.
+TEXTS = 1 << 20
+TEXT_BYTES = 4 << 20
 #: Unknown words are joined to texts of this many; the tokenizer takes longer for each in longer ones.
 JOINED = 100
+#: Bytes that go to the tokenizer at a time; what it returns is some hundred bytes a token.
+ASKED_BYTES = 256 << 10
+
+BLANK = 0x20
+
 
 class _Edges(dict):
     """Whether a text may be cut at a blank beside the character."""
@@ -27,40 +35,115 @@ class _Edges(dict):
 
 
 _EDGES = _Edges()
+_ASCII = np.array([i < 0x80 and _EDGES[chr(i)] for i in range(256)])
+
+
+def _slices(strings: pa.Array, rows: int, size: int) -> Iterator[slice]:
+    """Runs of strings, each of at most so many and so many bytes, or of one string."""
+    ends = np.cumsum(pc.binary_length(strings).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(strings):
+        before = ends[start - 1] if start else 0
+        stop = min(start + rows, int(np.searchsorted(ends, before + size, "right")))
+        yield slice(start, stop := max(start + 1, stop))
+        start = stop
+
+
+def portions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in their order, as many at a time as ``Encoder.lists`` looks up together,
+    however they come."""
+    waiting, rows, size = [], 0, 0
+    for batch in batches:
+        for run in _slices(batch.column("text"), TEXTS, TEXT_BYTES):
+            part = batch.slice(run.start, run.stop - run.start)
+            more = pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
+            if waiting and (rows + part.num_rows > TEXTS or size + more > TEXT_BYTES):
+                yield pa.concat_batches(waiting)
+                waiting, rows, size = [], 0, 0
+            waiting.append(part)
+            rows, size = rows + part.num_rows, size + more
+    if waiting:
+        yield pa.concat_batches(waiting)
+
+
+def _bytes_of(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of strings without nulls, and where each begins; then the end."""
+    _, offsets, data = strings.buffers()
+    at = np.frombuffer(offsets, np.int32)[strings.offset : strings.offset + len(strings) + 1]
+    data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    return data[at[0] : at[-1]], (at - at[0]).astype(np.int64)
+
+
+def _strings(data: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """What ``data`` holds from each start up to the next."""
+    buffers = [None, pa.py_buffer(starts.astype(np.int32)), pa.py_buffer(data)]
+    return pa.Array.from_buffers(pa.string(), len(starts) - 1, buffers)
+
+
+def _edges(data: np.ndarray, at: np.ndarray, *, ends: bool) -> np.ndarray:
+    """Whether the character that begins or ``ends`` at each place is an edge."""
+    found = _ASCII[data[at]]
+    wide = np.flatnonzero(data[at] >= 0x80)
+    first = at[wide]
+    if ends:  # back to the first byte of the character
+        for _ in range(3):
+            first = first - (data[first] & 0xC0 == 0x80)
+    lead = data[first]
+    size = 2 + (lead >= 0xE0).astype(np.int64) + (lead >= 0xF0)
+    code = np.zeros(len(first), np.int64)
+    for i in range(4):  # the bytes of a character as one number
+        inside = i < size
+        code[inside] = code[inside] << 8 | data[first[inside] + i]
+    codes, which = np.unique(code, return_inverse=True)
+    chars = [c.to_bytes(4, "big").lstrip(b"\0").decode() for c in codes.tolist()]
+    found[wide] = np.array([_EDGES[c] for c in chars], bool)[which]
+    return found
+
+
+class _Known:
+    """Words with their ids, and the time each was asked for last."""
+
+    def __init__(self, dtype: np.dtype):
+        self.words = pa.array([], pa.string())
+        self.ids = pa.array([], pa.list_(pa.from_numpy_dtype(dtype)))
+        self.asked, self.time = np.zeros(0, np.int64), 0
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Where each word stands, -1 for those that are not known. Few words are not looked
+        for among many: encoding them takes less time."""
+        self.time += 1
+        if 16 * len(words) < len(self.words):
+            return np.full(len(words), -1)
+        found = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy().astype(np.int64)
+        self.asked[found[found >= 0]] = self.time
+        return found
 
-
-class _Recent(dict):
-    """What was asked for or learned lately: when ``most`` is reached, what is there becomes
-    old; of the old, what is asked for comes back, and the rest goes the next time."""
-
-    def __init__(self, most: int):
-        super().__init__()
-        self.most, self.old = most, {}
-
-    def age(self) -> None:
-        if len(self) >= self.most:
-            self.old = dict(self)
-            self.clear()
-
-    def recall(self, words: set[str]) -> list[str]:
-        """The words that are to be learned; the others are there now."""
-        unknown = []
-        for word in words:
-            ids = self.old.get(word, self)
-            if ids is not self:
-                self[word] = ids
-            elif word not in self:
-                unknown.append(word)
-        return unknown
+    def add(self, words: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Where they stand."""
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+        self.words = pa.concat_arrays([self.words, words])
+        self.ids = pa.concat_arrays([self.ids, pa.ListArray.from_arrays(offsets, pa.array(ids))])
+        self.asked = np.concatenate([self.asked, np.full(len(words), self.time)])
+        return np.arange(len(self.words) - len(words), len(self.words))
+
+    def forget(self, most: int) -> None:
+        """When there are twice too many words or bytes: long words, and those of long ago."""
+        if len(self.words) <= 2 * most and self.words.nbytes <= 2 * most * WORD_BYTES:
+            return
+        short = pc.binary_length(self.words).to_numpy() <= WORD_BYTES
+        keep = np.sort(np.argsort(np.where(short, -self.asked, 1), kind="stable")[:most])
+        keep = keep[short[keep]]
+        self.words, self.ids = self.words.take(pa.array(keep)), self.ids.take(pa.array(keep))
+        self.asked = self.asked[keep]
 
 
 class Encoder:
     """Ids as ``tokenizer.encode(text, add_special_tokens=False)`` gives them.
 
     The byte-level pattern ends a piece before every blank that stands between two other
-    characters, so what such blanks separate can be encoded by itself, and words recur.
-    A text with other white space around a blank, or with the start of a special token,
-    goes to the tokenizer as it is.
+    characters, so what such blanks separate can be encoded by itself, and words recur. A
+    word keeps the blank in front of it. At blanks beside other white space a text is not
+    cut, and nowhere if it holds the start of a special token.
     """
 
     def __init__(self, path: str):
@@ -74,83 +157,84 @@ class Encoder:
         self.starts = np.zeros(size, bool)
         for token, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.starts[number] = token.startswith("Ġ")
-        self.spaced = _Recent(CACHE_WORDS)  # of words behind a blank
-        self.bare = _Recent(CACHE_WORDS)  # of words at the start of a text or line
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.dtype).tobytes() for x in found]
-
-    def _learn_bare(self, words: set[str]) -> None:
-        new = self.bare.recall(words)
-        self.bare.update(zip(new, self._whole(new), strict=True))
-
-    def _learn_spaced(self, new: list[str]) -> None:
-        """Between the words stands one blank each, so each begins with the one token of its
-        own that starts with a blank, whatever marks or line ends are inside."""
-        joined = ["".join(" " + w for w in new[i : i + JOINED]) for i in range(0, len(new), JOINED)]
-        found = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
-        for i, x in enumerate(found):
-            ids, part = np.array(x.ids, self.dtype), new[i * JOINED : (i + 1) * JOINED]
-            cuts = np.flatnonzero(self.starts[ids])
-            if len(cuts) == len(part):
-                data, size = ids.tobytes(), self.dtype.itemsize
-                ends = [*(cuts[1:] * size).tolist(), len(data)]
-                for word, a, b in zip(part, (cuts * size).tolist(), ends, strict=True):
-                    self.spaced[word] = data[a:b]
-            else:  # another vocabulary may not mark the blank, or cut it off
-                self.spaced.update(zip(part, self._whole([" " + w for w in part]), strict=True))
-
-    def _learn(self, parts: set[str]) -> None:
-        """``parts``: what single blanks separate, each with a blank in front."""
-        new = self.spaced.recall(parts)
-        cut = [p for p in new if p and _EDGES[p[0]] and _EDGES[p[-1]]]
-        if len(cut) < len(new):  # a text with such a part is not cut
-            self.spaced.update(dict.fromkeys(set(new).difference(cut)))
-        self._learn_spaced(cut)
+        self.known = _Known(self.dtype)
+
+    def _whole(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """What the tokenizer gives for the texts as they are, and the number of each."""
+        ids = [np.zeros(0, self.dtype)]
+        for run in _slices(texts, TEXTS, ASKED_BYTES):
+            found = self.tokenizer.encode_batch_fast(texts[run].to_pylist(), add_special_tokens=False)
+            ids += [np.array(x.ids, self.dtype) for x in found]
+        return np.concatenate(ids), np.array([len(x) for x in ids[1:]], np.int64)
+
+    def _joined(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Words stand side by side in their buffer, each behind its blank, so each begins with
+        the one token of its own that starts with a blank, whatever marks or line ends are
+        inside."""
+        data, at = _bytes_of(words)
+        bounds = np.append(np.arange(0, len(words), JOINED), len(words))
+        ids, sizes = self._whole(_strings(data, at[bounds]))
+        cuts, ends = np.flatnonzero(self.starts[ids]), np.cumsum(sizes)
+        if np.array_equal(np.searchsorted(cuts, ends), bounds[1:]) and self.starts[ids[ends - sizes]].all():
+            return ids, np.diff(cuts, append=len(ids))
+        return self._whole(words)  # another vocabulary may not mark the blank, or cut it off
+
+    def _learn(self, words: pa.Array) -> np.ndarray:
+        """Where the words stand among the known from now on."""
+        data, at = _bytes_of(words)
+        first, last = at[:-1], at[1:] - 1
+        blanks = np.concatenate([[0], np.cumsum(data == BLANK)])
+        plain = (data[first] == BLANK) & (blanks[at[1:]] - blanks[first] == 1) & (last > first)
+        plain[plain] = _edges(data, first[plain] + 1, ends=False) & _edges(data, last[plain], ends=True)
+        places = np.zeros(len(words), np.int64)
+        for some, encoded in ((plain, self._joined), (~plain, self._whole)):
+            if some.any():
+                part = words.filter(pa.array(some))
+                places[some] = self.known.add(part, *encoded(part))
+        return places
+
+    def _words(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """What stands between the cuts, and how many of them each text has."""
+        data, at = _bytes_of(texts)
+        filled = np.flatnonzero(np.diff(at))
+        cut = data == BLANK
+        cut[at[filled]] = cut[at[filled + 1] - 1] = False
+        blanks = np.flatnonzero(cut)
+        cut[blanks] = _edges(data, blanks - 1, ends=True) & _edges(data, blanks + 1, ends=False)
+        for start in {s[:2] for s in self.special}:
+            for i in np.flatnonzero(pc.match_substring(texts, start).to_numpy(zero_copy_only=False)).tolist():
+                cut[at[i] : at[i + 1]] = False
+        cut[at[filled]] = True
+        starts = np.append(np.flatnonzero(cut), len(data))
+        return _strings(data, starts), np.diff(np.searchsorted(starts, at))
+
+    def _lists(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        words, counts = self._words(texts)
+        # Every distinct word is looked up once, and its ids are put in its places.
+        found = words.dictionary_encode()
+        places = self.known.places(found.dictionary)
+        new = places < 0
+        places[new] = self._learn(found.dictionary.filter(pa.array(new)))
+        lists = self.known.ids.take(pa.array(places[found.indices.to_numpy()]))
+        self.known.forget(CACHE_WORDS)
+        ends = lists.offsets.to_numpy()[np.concatenate([[0], np.cumsum(counts)])]
+        return lists.values.to_numpy()[ends[0] : ends[-1]], np.diff(ends).astype(np.int64)
+
+    def lists(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one behind the other, and how many each has; a null text has
+        none."""
+        ids, sizes = [np.zeros(0, self.dtype)], [np.zeros(0, np.int64)]
+        for run in _slices(texts, TEXTS, TEXT_BYTES):
+            found = self._lists(texts[run].cast(pa.string()).fill_null(""))
+            ids.append(found[0])
+            sizes.append(found[1])
+        return np.concatenate(ids), np.concatenate(sizes)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian ids of each text, of ``self.dtype``; a null text has none."""
-        out: list[bytes] = []
-        # Nothing here refers to itself, and walking over all cached words to look takes time.
-        collects = gc.isenabled()
-        gc.disable()
-        try:
-            for i in range(0, len(texts), TEXTS):
-                out += self._encode([t or "" for t in texts[i : i + TEXTS]])
-        finally:
-            if collects:
-                gc.enable()
-        return out
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        self.spaced.age()
-        self.bare.age()
-        parts = [[] if any(s[:2] in t for s in self.special) else t.split(" ") for t in texts]
-        words = list(itertools.chain.from_iterable(itertools.islice(p, 1, None) for p in parts))
-        # Every word is looked up once; what is not there is learned and put in its places.
-        found = list(map(self.spaced.get, words, itertools.repeat(False)))
-        missing = map(operator.is_, found, itertools.repeat(False))
-        places = list(itertools.compress(range(len(words)), missing))
-        self._learn({words[i] for i in places})
-        for i in places:
-            found[i] = self.spaced[words[i]]
-        self._learn_bare({p[0] for p in parts if p and p[0]})
-        out: list[bytes | None] = []
-        start = 0
-        for part in parts:
-            end = start + max(0, len(part) - 1)
-            try:
-                if not part or len(part) > 1 and not (part[0] and _EDGES[part[0][-1]]):
-                    raise TypeError
-                head = self.bare[part[0]] if part[0] else b""
-                out.append(head + b"".join(found[start:end]))
-            except TypeError:  # a part that may not be cut off
-                out.append(None)
-            start = end
-        slow = [t for t, x in zip(texts, out, strict=True) if x is None]
-        whole = iter(self._whole(slow))
-        return [next(whole) if x is None else x for x in out]
+        ids, sizes = self.lists(pa.array(texts, pa.string()))
+        ends = np.cumsum(sizes)
+        return [ids[e - n : e].tobytes() for n, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
 
 
 @functools.lru_cache(maxsize=4)
