@@ -25,6 +25,13 @@ ASKED_BYTES = 256 << 10
 
 BLANK = 0x20
 
+#: Kinds of characters to the byte-level pattern: letters and digits, marks, white space. Blanks
+#: and apostrophes, which join what is beside them, are of none.
+ALNUM, MARK, SPACE, JOINING, UNASKED = 1, 2, 4, 0, 8
+#: Whether the pattern always ends a piece between two kinds, as 8 * first + second.
+_ENDS = np.zeros(256, bool)
+_ENDS[[8 * a + b for a, b in ((ALNUM, MARK), (MARK, ALNUM), (ALNUM, SPACE), (MARK, SPACE))]] = True
+
 
 class _Edges(dict):
     """Whether a text may be cut at a blank beside the character."""
@@ -143,12 +150,14 @@ class Encoder:
     The byte-level pattern ends a piece before every blank that stands between two other
     characters, so what such blanks separate can be encoded by itself, and words recur. A
     word keeps the blank in front of it. At blanks beside other white space a text is not
-    cut, and nowhere if it holds the start of a special token.
+    cut, and nowhere if it holds the start of a special token. The pattern also ends a piece
+    between letters or digits and marks, and before white space behind them, so "word,"
+    and "word." share their word; apostrophes may begin a piece with letters in it.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
@@ -158,6 +167,48 @@ class Encoder:
         for token, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.starts[number] = token.startswith("Ġ")
         self.known = _Known(self.dtype)
+        self.rule = self.tokenizer.pre_tokenizer
+        pattern = isinstance(self.rule, pre_tokenizers.ByteLevel) and self.rule.use_regex
+        plain = pattern and not self.rule.add_prefix_space and self.tokenizer.normalizer is None
+        self.kinds = np.full(0x110000, UNASKED if plain else JOINING, np.uint8)
+
+    def _kind(self, char: str) -> int:
+        """The tokenizer tells it: characters of one kind are one piece."""
+        if char in " '":
+            return JOINING
+        for other, kind in (("a", ALNUM), ("1", ALNUM), ("!", MARK)):
+            if len(self.rule.pre_tokenize_str(other + char)) == 1:
+                return kind
+        return SPACE
+
+    def _kinds(self, codes: np.ndarray) -> np.ndarray:
+        """Kinds of characters by their numbers."""
+        found = self.kinds[codes]
+        if (found == UNASKED).any():
+            for code in np.unique(codes[found == UNASKED]).tolist():
+                self.kinds[code] = self._kind(chr(code))
+            found = self.kinds[codes]
+        return found
+
+    def _ends(self, data: np.ndarray) -> np.ndarray:
+        """Where a kind ends and the pattern its piece."""
+        kinds = self._kinds(data & 0x7F)
+        lead = np.flatnonzero(data >= 0xC0)
+        size = 2 + (data[lead] >= 0xE0).astype(np.uint8) + (data[lead] >= 0xF0)
+        code = data[lead].astype(np.int32) & (0x7F >> size)
+        for i in range(1, 4):
+            inside = i < size
+            code[inside] = code[inside] << 6 | data[lead[inside] + i] & 0x3F
+        wide = self._kinds(code)
+        for i in range(4):  # all bytes of a character are of its kind
+            inside = i < size
+            kinds[lead[inside] + i] = wide[inside]
+        pairs = kinds[:-1] << 3 | kinds[1:]
+        found = np.append(False, _ENDS[pairs])[: len(data)]
+        # One white space is a piece, of several the last is one if anything follows.
+        after = np.flatnonzero((pairs == 8 * SPACE + ALNUM) | (pairs == 8 * SPACE + MARK))
+        found[after + 1] = found[after]
+        return found
 
     def _whole(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """What the tokenizer gives for the texts as they are, and the number of each."""
@@ -201,6 +252,7 @@ class Encoder:
         cut[at[filled]] = cut[at[filled + 1] - 1] = False
         blanks = np.flatnonzero(cut)
         cut[blanks] = _edges(data, blanks - 1, ends=True) & _edges(data, blanks + 1, ends=False)
+        cut |= self._ends(data)
         for start in {s[:2] for s in self.special}:
             for i in np.flatnonzero(pc.match_substring(texts, start).to_numpy(zero_copy_only=False)).tolist():
                 cut[at[i] : at[i + 1]] = False
